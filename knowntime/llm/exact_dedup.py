@@ -23,10 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .skew import attach
 from .staging import stage
 
-HOT_SHARE = 256
-
 
 def _filter_bits(rows: int, max_bits: int) -> int:
     bits = 1 << 16
@@ -75,10 +74,7 @@ def exact_groups(
     alone = probed.where(~F.col("maybe")).select("id", "sha", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
     maybe = probed.where("maybe").select("id", "sha")
     groups = stage(maybe.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups")
-    hot = F.broadcast(groups.where(F.col("group_size") * HOT_SHARE > rows))
-    in_hot = maybe.join(hot, "sha").select("id", "sha", "keep_id", "group_size")
-    in_cold = maybe.join(hot, "sha", "left_anti").join(groups, "sha").select("id", "sha", "keep_id", "group_size")
-    return alone.unionByName(in_hot).unionByName(in_cold).select(
+    return alone.unionByName(attach(maybe, groups, "sha", "group_size", rows)).select(
         F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
