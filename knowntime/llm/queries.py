@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 NAMES = [
+    "op2_substring_dedup",
     "op8_line_dedup",
     "op9_exact_dedup",
     "op6_decontaminate",
