@@ -5,7 +5,9 @@ from __future__ import annotations
 import importlib
 
 NAMES = [
+    "op1_mixing",
     "op2_substring_dedup",
+    "op7_simhash",
     "op8_line_dedup",
     "op9_exact_dedup",
     "op6_decontaminate",
