@@ -8,8 +8,8 @@ The work is done in two passes so that unrepeated text never leaves its task.
 Two equal windows have the same smallest hash among their ``size // 2``-grams,
 their anchor. Pass one counts anchors by document: only a window whose anchor
 is in two documents can repeat, so nothing is lost. Pass two hashes every window
-over such anchors with two independent hashes (128 bits) and finds the smallest
-document of each hash. Anchors and windows are sent as numbers, never as text.
+over such anchors with two independent hashes and finds the smallest
+document of each hash (96 bits). Anchors and windows are sent as numbers, never as text.
 
 Scale: about 2 in ``size // 2`` words make an anchor row. Anchors in over
 ``heavy`` documents mark heavy windows; these are counted with partial
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .staging import stage
-from .vectortext import as_bytes, grams, mix, slabs, sliding_min, words
+from .vectortext import grams, mix, slabs, sliding_min, words
 
 SECOND = np.uint64(0xD1B54A32D192ED03)
 
@@ -51,9 +51,9 @@ def _anchors(w, size: int):
 def _emit_anchors(size: int):
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(zero_copy_only=False), as_bytes(batch.column(1))
-            for a, b in slabs(texts):
-                _, doc, anchor = _anchors(words(texts[a:b]), size)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for a, b, texts in slabs(batch.column(1)):
+                _, doc, anchor = _anchors(words(texts), size)
                 new = np.ones(len(doc), bool)
                 new[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
                 yield pa.RecordBatch.from_arrays([pa.array(anchor[new].view(np.int64)), pa.array(ids[a:b][doc[new]], pa.int64())], ["anchor", "doc"])
@@ -62,27 +62,24 @@ def _emit_anchors(size: int):
 
 
 def _emit_windows(size: int):
+    """Every window over one of the document's listed anchors."""
+
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(zero_copy_only=False), as_bytes(batch.column(1))
-            shared, heavy = batch.column(2), batch.column(3)
-            for a, b in slabs(texts):
-                w = words(texts[a:b])
+            ids, listed = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2)
+            for a, b, texts in slabs(batch.column(1)):
+                w = words(texts)
                 at, doc, anchor = _anchors(w, size)
                 bounds = np.searchsorted(doc, np.arange(b - a + 1))
-                light_of, heavy_of = np.zeros(len(doc), bool), np.zeros(len(doc), bool)
+                keep = np.zeros(len(doc), bool)
                 for d in range(b - a):
                     s = slice(bounds[d], bounds[d + 1])
-                    for column, mask in ((shared, light_of), (heavy, heavy_of)):
-                        value = column[a + d].values
-                        if value is not None and len(value):
-                            mask[s] = np.isin(anchor[s], value.to_numpy().view(np.uint64))
-                keep = light_of | heavy_of
+                    keep[s] = np.isin(anchor[s], listed[a + d].values.to_numpy().view(np.uint64))
                 h1, h2 = grams(w.hash, size), grams(mix(w.hash ^ SECOND), size)
                 pos = (at - w.first[doc]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1[at[keep]].view(np.int64)), pa.array(h2[at[keep]].view(np.int64)), pa.array(ids[a:b][doc[keep]], pa.int64()), pa.array(pos[keep]), pa.array(heavy_of[keep])],
-                    ["h1", "h2", "doc", "pos", "heavy"])
+                    [pa.array(h1[at[keep]].view(np.int64)), pa.array((h2[at[keep]] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(ids[a:b][doc[keep]], pa.int64()), pa.array(pos[keep])],
+                    ["h1", "h2", "doc", "pos"])
 
     return run
 
@@ -98,26 +95,24 @@ def _removed(pos: np.ndarray, size: int, n: int) -> np.ndarray:
 def _cut(size: int):
     def run(batches):
         for batch in batches:
-            texts, starts = as_bytes(batch.column(1)), batch.column(2)
-            kept, n_words, n_removed, spans = [], [], [], []
-            for t, found in zip(texts, starts):
-                w, pos = t.split(), found.values
-                gone = np.zeros(0, np.int64)
-                if pos is not None and len(pos):
-                    mask = _removed(pos.to_numpy(), size, len(w))
-                    edge = np.flatnonzero(np.diff(np.concatenate(([0], mask.view(np.int8), [0]))))
-                    gone = edge
+            ids, starts = batch.column(0), batch.column(2)
+            for a, b, texts in slabs(batch.column(1)):
+                kept, n_words, n_removed, spans = [], [], [], []
+                for d, t in enumerate(texts, a):
+                    w, pos, edge = t.split(), starts[d].values, []
+                    mask = np.zeros(len(w), bool)
+                    if pos is not None and len(pos):
+                        mask = _removed(pos.to_numpy(), size, len(w))
+                        edge = np.flatnonzero(np.diff(np.concatenate(([0], mask.view(np.int8), [0])))).tolist()
+                        w = [x for x, m in zip(w, mask.tolist()) if not m]
+                    n_words.append(len(mask))
                     n_removed.append(int(mask.sum()))
-                    kept.append(b" ".join([x for x, m in zip(w, mask.tolist()) if not m]))
-                else:
-                    n_removed.append(0)
+                    spans.append([{"start": s, "end": e} for s, e in zip(edge[::2], edge[1::2])])
                     kept.append(b" ".join(w))
-                n_words.append(len(w))
-                spans.append([{"start": int(s), "end": int(e)} for s, e in zip(gone[::2], gone[1::2])])
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary()).cast(pa.string()), pa.array([hashlib.sha256(k).hexdigest() for k in kept])],
-                ["id", "n_words", "n_removed", "spans", "kept_text", "kept_sha256"])
+                kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(a, b - a), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary()).cast(pa.string()), pa.array([hashlib.sha256(k).hexdigest() for k in kept])],
+                    ["id", "n_words", "n_removed", "spans", "kept_text", "kept_sha256"])
 
     return run
 
@@ -135,14 +130,19 @@ def repeated_windows(docs: DataFrame, size: int = 50, id_col: str = "doc_id", te
     shared = stage(shared.select("anchor", (F.col("n") > heavy).alias("heavy")), "shared")
     by_doc = anchors.join(shared, "anchor").groupBy("doc").agg(
         F.collect_set(F.when(~F.col("heavy"), F.col("anchor"))).alias("light"), F.collect_set(F.when(F.col("heavy"), F.col("anchor"))).alias("heavy"))
+    by_doc = stage(by_doc, "by_doc")
+
+    # One query from here on: its joins with the text all read the same exchange of it.
+    def windows(kind):
+        listed = known.join(by_doc.where(F.size(kind) > 0), "doc").select("doc", "text", kind)
+        return listed.mapInArrow(_emit_windows(size), "h1 long, h2 int, doc long, pos int")
 
-    found = stage(known.join(stage(by_doc, "by_doc"), "doc").select("doc", "text", "light", "heavy").mapInArrow(_emit_windows(size), "h1 long, h2 long, doc long, pos int, heavy boolean"), "windows")
     smallest = F.min("doc").over(Window.partitionBy("h1", "h2"))
-    light = found.where("not heavy").withColumn("lo", smallest).where("doc > lo").select("doc", "pos")
-    many = found.where("heavy")
-    least = stage(many.groupBy("h1", "h2").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h1", "h2", "lo"), "least")
-    later = light.unionByName(many.join(least, ["h1", "h2"]).where("doc > lo").select("doc", "pos"))
+    light = windows("light").withColumn("lo", smallest).where("doc > lo").select("doc", "pos")
+    least = windows("heavy").groupBy("h1", "h2").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h1", "h2", "lo")
+    later = light.unionByName(windows("heavy").join(stage(least, "least"), ["h1", "h2"]).where("doc > lo").select("doc", "pos"))
     starts = later.groupBy("doc").agg(F.collect_set("pos").alias("starts"))
-    out = texts.join(starts, "doc", "left").select("doc", "text", "starts")
     schema = "id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_text string, kept_sha256 string"
-    return out.mapInArrow(_cut(size), schema).withColumnRenamed("id", id_col)
+    out = known.join(starts, "doc", "left").select("doc", "text", "starts").mapInArrow(_cut(size), schema)
+    nameless = texts.where("doc is null").withColumn("starts", F.lit(None).cast("array<int>")).mapInArrow(_cut(size), schema)
+    return out.unionByName(nameless).withColumnRenamed("id", id_col)

@@ -88,16 +88,16 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - reach)], x[width - reach :]) if width > reach else x
 
 
-def slabs(texts: list[bytes], limit: int = 1 << 20):
-    """Ranges of texts of about ``limit`` bytes each, so that arrays stay small."""
-    at, held = 0, 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held >= limit:
-            yield at, i + 1
-            at, held = i + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
+def slabs(column, limit: int = 1 << 20):
+    """(from, to, texts as bytes) over an Arrow string column, about ``limit`` bytes at a time; null is empty."""
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        yield at, to, as_bytes(column.slice(at, to - at))
+        at = to
 
 
 def as_bytes(column) -> list[bytes]:
