@@ -50,11 +50,11 @@ class Words:
     first: np.ndarray
 
 
-def words(texts: list[bytes]) -> Words:
+def words(texts: list[bytes], separator: np.ndarray = SEPARATOR) -> Words:
     joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     begins = np.concatenate(([0], np.cumsum(sizes)))
-    inside = ~SEPARATOR[joined]
+    inside = ~separator[joined]
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     if len(inside) and inside[0]:
         edge = np.concatenate(([0], edge))
