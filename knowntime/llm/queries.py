@@ -12,6 +12,7 @@ NAMES = [
     "op7_simhash",
     "op8_line_dedup",
     "op9_exact_dedup",
+    "op10_lm_scoring",
     "op6_decontaminate",
 ]
 
