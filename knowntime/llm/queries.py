@@ -7,6 +7,7 @@ import importlib
 NAMES = [
     "op1_mixing",
     "op2_substring_dedup",
+    "op3_quality",
     "op4_toxicity",
     "op5_token_counts",
     "op7_simhash",
