@@ -9,5 +9,5 @@ SQL = None
 
 def query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    hexed = F.lower(F.lpad(F.hex(F.get("fps", F.lit(0))), 16, "0")).alias("fingerprint")
     return near_groups(docs, shingle=4, distance=4).select("doc_id", hexed, "component_id")

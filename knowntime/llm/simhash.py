@@ -37,40 +37,47 @@ from pyspark.sql import functions as F
 from .components import components
 from .skew import attach
 from .staging import stage
-from .vectortext import as_bytes
+from .vectortext import mix, slabs
 
 BITS = 64
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
-def fingerprint(text: bytes, shingle: int) -> int:
-    """The 64 bits as a signed integer."""
+def fingerprint(text: bytes, shingle: int, tables: int = 1) -> list[int]:
+    """The 64 bits as a signed integer, once a table; tables past the first use remixed hashes."""
     words = text.lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
-        return 0
+        return [0] * tables
     size = min(shingle, len(words))
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate(([0], ends[:-1]))
     one = xxhash.xxh64_intdigest
-    hashes = np.array([one(line[i:j], 42) for i, j in zip(starts[: len(words) - size + 1].tolist(), (ends[size - 1 :] - 1).tolist())], dtype=">u8")
-    byte = hashes.view(np.uint8).reshape(-1, 8) + np.arange(0, 2048, 256)
-    counts = np.bincount(byte.ravel(), minlength=2048).reshape(8, 256) @ _BYTE_BITS
-    return int.from_bytes(np.packbits(counts.ravel() * 2 > len(hashes)).tobytes(), "big", signed=True)
+    hashes = np.array([one(line[i:j], 42) for i, j in zip(starts[: len(words) - size + 1].tolist(), (ends[size - 1 :] - 1).tolist())], np.uint64)
+    out = []
+    for t in range(tables):
+        own = hashes if t == 0 else mix(hashes + np.uint64(t))
+        byte = own.astype(">u8").view(np.uint8).reshape(-1, 8) + np.arange(0, 2048, 256)
+        counts = np.bincount(byte.ravel(), minlength=2048).reshape(8, 256) @ _BYTE_BITS
+        out.append(int.from_bytes(np.packbits(counts.ravel() * 2 > len(own)).tobytes(), "big", signed=True))
+    return out
 
 
-def _fingerprints(shingle: int):
+def _fingerprints(shingle: int, tables: int):
     def run(batches):
         for batch in batches:
-            made = [fingerprint(t, shingle) for t in as_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.int64())], ["id", "fp"])
+            ids = batch.column(0)
+            for a, b, texts in slabs(batch.column(1)):
+                made = [fingerprint(t, shingle, tables) for t in texts]
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(made, pa.list_(pa.int64()))], ["id", "fps"])
 
     return run
 
 
-def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int, tables: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, fps) of every row; fps has one fingerprint a table."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_fingerprints(shingle), "id long, fp long")
+    return rows.mapInArrow(_fingerprints(shingle, tables), "id long, fps array<long>")
 
 
 def _signed(x: int) -> int:
@@ -158,18 +165,36 @@ def _through_points(members: DataFrame, distance: int) -> DataFrame:
     return stage(points, "points").join(stage(low, "lows"), "point").where("fp <> low").select(F.col("fp").alias("a"), F.col("low").alias("b"))
 
 
-def near_groups(docs: DataFrame, shingle: int = 5, distance: int = 4, id_col: str = "doc_id", text_col: str = "text", crowd: int = 4096) -> DataFrame:
-    """(id, fp, component_id) of every row; component_id is the smallest id it reaches."""
-    rows = stage(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    nodes = stage(rows.groupBy("fp").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")), "nodes")
+def _edges(nodes: DataFrame, table: int, distance: int, n: int, crowd: int) -> DataFrame:
+    """(a, b): linked nodes by one table; a fingerprint that several nodes share has one of them for all."""
+    of = nodes.select(F.get("fps", F.lit(table)).alias("fp"), "fps")
+    heads = stage(of.groupBy("fp").agg(F.min("fps").alias("head")), "heads")
+    near = stage(links(heads.select("fp"), distance, n, crowd), "links")
+    left, right = heads.select(F.col("fp").alias("a"), F.col("head").alias("ha")), heads.select(F.col("fp").alias("b"), F.col("head").alias("hb"))
+    between = near.join(left, "a").join(right, "b").select(F.col("ha").alias("a"), F.col("hb").alias("b"))
+    shared = of.join(heads, "fp").where("fps <> head").select(F.col("fps").alias("a"), F.col("head").alias("b"))
+    return between.unionByName(shared)
+
+
+def near_groups(docs: DataFrame, shingle: int = 5, distance: int = 4, tables: int = 1, id_col: str = "doc_id", text_col: str = "text", crowd: int = 4096) -> DataFrame:
+    """(id, fps, component_id) of every row; component_id is the smallest id it reaches.
+
+    With several ``tables`` rows link if any of their fingerprints do, which
+    finds more of the pairs whose similarity is near the limit.
+    """
+    rows = stage(fingerprints(docs, shingle, tables, id_col, text_col), "fingerprints")
+    nodes = stage(rows.groupBy("fps").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")), "nodes")
     total, distinct = rows.count(), nodes.count()
-    label = components(links(nodes.select("fp"), distance, distinct, crowd))
-    of = nodes.join(label.select(F.col("a").alias("fp"), F.col("component").alias("root")), "fp", "left").select("fp", "n", "low", F.coalesce("root", "fp").alias("root"))
+    edges = _edges(nodes, 0, distance, distinct, crowd)
+    for t in range(1, tables):
+        edges = edges.unionByName(_edges(nodes, t, distance, distinct, crowd))
+    label = components(edges)
+    of = nodes.join(label.select(F.col("a").alias("fps"), F.col("component").alias("root")), "fps", "left").select("fps", "n", "low", F.coalesce("root", "fps").alias("root"))
     of = stage(of, "labelled")
     sizes = of.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("members"))
     named = attach(of, stage(sizes, "roots"), "root", "members", distinct)
-    out = attach(rows, stage(named.select("fp", "n", "component_id"), "named"), "fp", "n", total)
-    return out.select(F.col("id").alias(id_col), "fp", F.coalesce("component_id", "id").alias("component_id"))
+    out = attach(rows, stage(named.select("fps", "n", "component_id"), "named"), "fps", "n", total)
+    return out.select(F.col("id").alias(id_col), "fps", F.coalesce("component_id", "id").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

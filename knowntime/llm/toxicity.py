@@ -315,23 +315,23 @@ def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a, 0.05)), float(b)
 
 
-def _score(odds: np.ndarray, net: Net):
+def _score(odds: np.ndarray, net: Net, text_at: int, score_col: str):
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
-            for a, b, texts in _lines(batch, 1):
+            for a, b, texts in _lines(batch, text_at):
                 inputs = Inputs(texts)
                 x = net.inputs(*inputs.features(odds, net.p["bytes"]))
                 at, doc = inputs.windows()
                 logit = np.concatenate([net.forward(x, at[i : i + 4096]) for i in range(0, len(at), 4096)])
                 worst = np.maximum.reduceat(logit.astype(float), np.searchsorted(doc, np.arange(b - a)))
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(sigmoid(np.clip(net.scale * worst + net.shift, -30, 30)))], ["id", "score"])
+                score = pa.array(sigmoid(np.clip(net.scale * worst + net.shift, -30, 30)))
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), score], [*batch.schema.names, score_col])
 
     return run
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, train: Column | None = None, label_sample: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> DataFrame:
-    """(id, score) of every row of ``docs``; ``train`` selects the labelled rows that may be learnt from."""
+def with_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None, label_sample: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", score_col: str = "toxicity", **options) -> DataFrame:
+    """``docs`` with a score column; ``train`` selects the rows of ``labels`` (id as ``_id``) that may be learnt from."""
     usable = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"), F.xxhash64(F.lit("fit"), F.col(id_col)).alias("place"))
     usable = usable.where("label in (0, 1)")
     if train is not None:
@@ -339,5 +339,13 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, train: Column | None = N
     sample = usable.orderBy("place", "_id").limit(label_sample)
     labelled = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).join(F.broadcast(sample), F.col("_doc") == F.col("_id")).select("text", "label", "place")
     odds, net = fit(labelled, **options)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_score(odds, net), rows.select("id").schema.add("score", "double")).withColumnRenamed("id", id_col)
+    # Plain names inside the task, whatever the columns are called.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    scored = plain.mapInArrow(_score(odds, net, docs.columns.index(text_col), "score"), plain.limit(0).select("*", F.lit(0.0).alias("score")).schema)
+    return scored.toDF(*docs.columns, score_col)
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """(id, score) of every row of ``docs``."""
+    return with_toxicity(docs.select(id_col, text_col), labels, id_col=id_col, text_col=text_col, score_col="score", **options).select(id_col, "score")

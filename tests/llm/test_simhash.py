@@ -41,7 +41,7 @@ def test_components_are_those_of_all_pairs(spark, crowd):
     texts = corpus()
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, fp string")
     prints, low = brute(texts, 4, 4)
-    got = {r.doc_id: (r.fp & (1 << 64) - 1, r.component_id) for r in simhash.near_groups(df, 4, 4, crowd=crowd).collect()}
+    got = {r.doc_id: (r.fps[0] & (1 << 64) - 1, r.component_id) for r in simhash.near_groups(df, 4, 4, crowd=crowd).collect()}
     assert got == {i: (p, c) for i, (p, c) in enumerate(zip(prints, low))}
     assert len(set(low)) < len(low) - 5
 
@@ -63,3 +63,11 @@ def test_empty_and_repeated(spark):
     same = spark.createDataFrame([(7, "a b c d e f"), (7, "a b c d e f"), (9, "a b c d e f"), (None, "zz yy")], "doc_id long, text string")
     assert sorted((r.doc_id is None, r.component_id is None, r.component_id or 0) for r in simhash.near_groups(same).collect()) == [(False, False, 7)] * 3 + [(True, True, 0)]
     assert simhash.drop_near_duplicates(same).where(F.col("doc_id").isNotNull()).count() == 2
+
+
+def test_more_tables_only_add_links(spark):
+    texts = corpus()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    one = {r.doc_id: r.component_id for r in simhash.near_groups(df, 5, 6).collect()}
+    more = {r.doc_id: r.component_id for r in simhash.near_groups(df, 5, 6, tables=3).collect()}
+    assert all(more[i] <= one[i] for i in one) and len(set(more.values())) < len(set(one.values()))
