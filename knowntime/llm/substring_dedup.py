@@ -75,11 +75,19 @@ def _emit_windows(size: int):
                 for d in range(b - a):
                     s = slice(bounds[d], bounds[d + 1])
                     keep[s] = np.isin(anchor[s], listed[a + d].values.to_numpy().view(np.uint64))
-                h1, h2 = grams(w.hash, size), grams(mix(w.hash ^ SECOND), size)
-                pos = (at - w.first[doc]).astype(np.int32)
+                at, doc = at[keep], doc[keep]
+                h1, h2 = grams(w.hash, size)[at], grams(mix(w.hash ^ SECOND), size)[at]
+                # One row for a window and document, however often it repeats there.
+                order = np.lexsort((at, h1, doc))
+                at, doc, h1, h2 = at[order], doc[order], h1[order], h2[order]
+                new = np.ones(len(at), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+                pos, first = (at - w.first[doc]).astype(np.int32), np.flatnonzero(new)
+                extra = np.diff(np.append(first, len(at))) - 1
+                more = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(extra))), pa.int32()), pa.array(pos[~new]), mask=pa.array(extra == 0))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1[at[keep]].view(np.int64)), pa.array((h2[at[keep]] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(ids[a:b][doc[keep]], pa.int64()), pa.array(pos[keep])],
-                    ["h1", "h2", "doc", "pos"])
+                    [pa.array(h1[first].view(np.int64)), pa.array((h2[first] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(ids[a:b][doc[first]], pa.int64()), pa.array(pos[first]), more],
+                    ["h1", "h2", "doc", "pos", "more"])
 
     return run
 
@@ -135,13 +143,13 @@ def repeated_windows(docs: DataFrame, size: int = 50, id_col: str = "doc_id", te
     # One query from here on: its joins with the text all read the same exchange of it.
     def windows(kind):
         listed = known.join(by_doc.where(F.size(kind) > 0), "doc").select("doc", "text", kind)
-        return listed.mapInArrow(_emit_windows(size), "h1 long, h2 int, doc long, pos int")
+        return listed.mapInArrow(_emit_windows(size), "h1 long, h2 int, doc long, pos int, more array<int>")
 
     smallest = F.min("doc").over(Window.partitionBy("h1", "h2"))
-    light = windows("light").withColumn("lo", smallest).where("doc > lo").select("doc", "pos")
+    light = windows("light").withColumn("lo", smallest).where("doc > lo").select("doc", "pos", "more")
     least = windows("heavy").groupBy("h1", "h2").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h1", "h2", "lo")
-    later = light.unionByName(windows("heavy").join(stage(least, "least"), ["h1", "h2"]).where("doc > lo").select("doc", "pos"))
-    starts = later.groupBy("doc").agg(F.collect_set("pos").alias("starts"))
+    later = light.unionByName(windows("heavy").join(stage(least, "least"), ["h1", "h2"]).where("doc > lo").select("doc", "pos", "more"))
+    starts = later.groupBy("doc").agg(F.concat(F.collect_list("pos"), F.flatten(F.collect_list("more"))).alias("starts"))
     schema = "id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_text string, kept_sha256 string"
     out = known.join(starts, "doc", "left").select("doc", "text", "starts").mapInArrow(_cut(size), schema)
     nameless = texts.where("doc is null").withColumn("starts", F.lit(None).cast("array<int>")).mapInArrow(_cut(size), schema)
