@@ -224,7 +224,7 @@ def log_odds(n0: np.ndarray, n1: np.ndarray, all0: float, all1: float, prior: fl
     return (np.log((n1 + prior * share) / (n0 + prior * (1 - share))) - np.log(share / (1 - share))).astype(np.float32)
 
 
-def fit(labelled: DataFrame, fit_documents: int = 1500, fit_bytes: int = 8 << 20, seed: int = 1):
+def fit(labelled: DataFrame, fit_documents: int = 1500, fit_bytes: int = 2 << 20, seed: int = 1):
     """(odds tables, net) from rows (text, label 0/1, place); place orders and folds them."""
     rows = labelled.select("text", "label", F.pmod("place", F.lit(2)).cast("int").alias("fold"), "place")
     counts = rows.select("text", "label", "fold").mapInArrow(_count, "bucket long, fold int, n0 long, n1 long")
@@ -246,7 +246,7 @@ def fit(labelled: DataFrame, fit_documents: int = 1500, fit_bytes: int = 8 << 20
         net.p["o"][:] = 0
         net.shift = float(np.log((all1 + 0.5) / (all0 + 0.5)))
         return odds((0, 1)), net
-    taken = [rows.where(F.col("label") == y).where(F.octet_length("text") <= fit_bytes // 64).orderBy("place").limit(fit_documents).toPandas() for y in (1, 0)]
+    taken = [rows.where(F.col("label") == y).where(F.octet_length("text") <= fit_bytes // 16).orderBy("place").limit(fit_documents).toPandas() for y in (1, 0)]
     texts, y, fold = [], [], []
     for frame in taken:
         size = frame["text"].map(lambda t: len((t or "").encode())).cumsum()

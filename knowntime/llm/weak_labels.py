@@ -161,7 +161,7 @@ def _score(weights: np.ndarray):
     return run
 
 
-def quality_scores(docs: DataFrame, fit_documents: int = 2000, fit_bytes: int = 8 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def quality_scores(docs: DataFrame, fit_documents: int = 2000, fit_bytes: int = 3 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, votes, posterior, score, keep): the weak labels and the learnt score of every row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     made = labellers(text)
@@ -172,7 +172,7 @@ def quality_scores(docs: DataFrame, fit_documents: int = 2000, fit_bytes: int =
     post, _, _ = expectation_maximisation(votes, np.array([r.n for r in patterns], float))
     table = docs.sparkSession.createDataFrame([(r.votes, float(p)) for r, p in zip(patterns, post)], "votes string, posterior double")
     labelled = voted.join(F.broadcast(table), "votes")
-    short = labelled.where(F.octet_length("text") <= fit_bytes // 64).withColumn("place", F.xxhash64(F.lit("fit"), "id"))
+    short = labelled.where(F.octet_length("text") <= fit_bytes // 24).withColumn("place", F.xxhash64(F.lit("fit"), "id"))
     texts, soft = [], []
     for side in (F.col("posterior") >= 0.5, F.col("posterior") < 0.5):
         frame = short.where(side).orderBy("place", "id").limit(fit_documents).select("text", "posterior").toPandas()
