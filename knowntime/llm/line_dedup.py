@@ -57,14 +57,15 @@ def suffix_array(lines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
             break
         levels.append(active.select("doc", "seq", "rank"))
         ahead = ranked.select("doc", (F.col("seq") - reach).alias("seq"), F.col("rank").alias("next"))
-        pairs = stage(active.select("doc", "seq", "rank").join(ahead, ["doc", "seq"], "left").withColumn("next", F.coalesce("next", F.lit(0).cast("long"))), "pairs")
+        # Nothing that repeats follows: no other suffix goes on alike. The number is fixed when the pairs are written.
+        alone = -1 - F.monotonically_increasing_id()
+        pairs = stage(active.select("doc", "seq", "rank").join(ahead, ["doc", "seq"], "left").withColumn("next", F.coalesce("next", alone)), "pairs")
         groups = pairs.groupBy("rank", "next").agg(F.count(F.lit(1)).alias("n"))
         placed = stage(running_total(groups, ["rank", "next"], F.col("n"), "before", "order"), "placed")
         start = placed.groupBy("rank").agg(F.min("before").alias("first"))
-        # Nothing follows where next is 0: no two of these suffixes go on alike.
         renamed = stage(placed.join(start, "rank").select(
             F.struct("rank", "next").alias("pair"), (F.col("rank") + F.col("before") - F.col("first")).alias("to"),
-            F.when(F.col("next") == 0, 1).otherwise(F.col("n")).alias("size"), "n"), "renamed")
+            F.col("n").alias("size"), "n"), "renamed")
         moved = attach(pairs.select("doc", "seq", F.struct("rank", "next").alias("pair")), renamed, "pair", "n", total)
         done = ranked.where("size = 1")
         ranked = stage(done.unionByName(moved.select("doc", "seq", F.col("to").alias("rank"), "size")), "suffixes")

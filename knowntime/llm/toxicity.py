@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .staging import stage
 from .vectortext import mix, slabs, words
 
 BUCKETS = 1 << 17
@@ -71,20 +72,30 @@ class Inputs:
         lo, hi = max(0, w.start[a] - 1), w.end[b - 1]
         return [np.unique(self.word[a:b]), *(np.unique(g[lo:hi][ok[lo:hi]]) for g, ok in self.grams)]
 
-    def features(self, odds: np.ndarray, bytes_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Evidence (words x 3), mean byte embedding, embedding slot."""
+    def evidence(self, odds: np.ndarray) -> np.ndarray:
+        """Log odds of every word, of its strongest 4-gram and of its strongest 5-gram."""
         w = self.w
         if not len(w.start):
-            return np.zeros((0, 3), np.float32), np.zeros((0, BYTE_DIM), np.float32), np.zeros(0, np.int64)
+            return np.zeros((0, 3), np.float32)
         found = [odds[0][self.word]]
         begin = np.maximum(w.start - 1, 0)
         for table, (g, ok) in zip(odds[1:], self.grams):
-            value = np.where(ok, table[g], np.float32(-4))
-            best = np.maximum.reduceat(value, begin)
+            best = np.maximum.reduceat(np.where(ok, table[g], np.float32(-4)), begin)
             found.append(np.where(best <= -4, np.float32(0), best))
+        return np.stack(found, 1).astype(np.float32)
+
+    def means(self, bytes_: np.ndarray) -> np.ndarray:
+        """Mean embedding of every word's bytes."""
+        w = self.w
         total = np.concatenate((np.zeros((1, BYTE_DIM)), np.cumsum(bytes_[w.data], axis=0, dtype=np.float64)))
-        mean = (total[w.end] - total[w.start]) / (w.end - w.start)[:, None]
-        return np.stack(found, 1).astype(np.float32), mean.astype(np.float32), (w.hash % np.uint64(WORD_SLOTS)).astype(np.int64)
+        return ((total[w.end] - total[w.start]) / (w.end - w.start)[:, None]).astype(np.float32)
+
+    def slots(self) -> np.ndarray:
+        return (self.w.hash % np.uint64(WORD_SLOTS)).astype(np.int64)
+
+    def features(self, odds: np.ndarray, bytes_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Evidence (words x 3), mean byte embedding, embedding slot."""
+        return self.evidence(odds), self.means(bytes_), self.slots()
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of each window (-1 past the end) and the text of each window."""
@@ -228,11 +239,13 @@ def fit(labelled: DataFrame, fit_documents: int = 1500, fit_bytes: int = 2 << 20
     """(odds tables, net) from rows (text, label 0/1, place); place orders and folds them."""
     rows = labelled.select("text", "label", F.pmod("place", F.lit(2)).cast("int").alias("fold"), "place")
     counts = rows.select("text", "label", "fold").mapInArrow(_count, "bucket long, fold int, n0 long, n1 long")
-    # Buckets of a fixed table: at most 6 * BUCKETS rows; those of one toxic text at most say nothing.
-    counts = counts.groupBy("bucket").agg(*[F.sum(F.when(F.col("fold") == f, F.col(n)).otherwise(0)).alias(f"{n}_{f}") for n in ("n0", "n1") for f in (0, 1)])
-    found = counts.where("n1_0 + n1_1 > 1 or n0_0 + n0_1 > 20 or bucket = -1").toPandas()
-    whole = found[found["bucket"] == -1].sum()
-    table = found[found["bucket"] >= 0]
+    # Buckets of a fixed table: at most 3 * BUCKETS rows.
+    counts = stage(counts.groupBy("bucket").agg(*[F.sum(F.when(F.col("fold") == f, F.col(n)).otherwise(0)).alias(f"{n}_{f}") for n in ("n0", "n1") for f in (0, 1)]), "odds")
+    whole = counts.where("bucket = -1").toPandas().sum()
+    share = float(whole.get("n1_0", 0) + whole.get("n1_1", 0)) / max(float(whole.drop("bucket", errors="ignore").sum()), 1.0)
+    # Evidence is what toxic texts have more often than others; all else says nothing.
+    n1, n = F.col("n1_0") + F.col("n1_1"), F.col("n1_0") + F.col("n1_1") + F.col("n0_0") + F.col("n0_1")
+    table = counts.where((F.col("bucket") >= 0) & (n1 > 1) & (n1 > 1.5 * share * n)).toPandas()
 
     def odds(folds):
         n0, n1, all0, all1 = (sum(x[f"{n}_{f}"] for f in folds) for x, n in ((table, "n0"), (table, "n1"), (whole, "n0"), (whole, "n1")))
@@ -261,19 +274,23 @@ def fit(labelled: DataFrame, fit_documents: int = 1500, fit_bytes: int = 2 << 20
 def _train(net: Net, texts, y, fold, odds, seed: int, epochs: int = 6) -> None:
     """Worst windows of toxic texts against worst and random windows of others, chosen anew every epoch."""
     rng = np.random.default_rng(seed)
-    sets, base = [], 0
+    sets = []
     for f in (0, 1):
-        own = np.flatnonzero(fold == f)
-        inputs = Inputs([texts[i] for i in own])
-        evidence, _, slot = inputs.features(odds[f], net.p["bytes"])
-        at, doc = inputs.windows()
-        sets.append((inputs, evidence, slot, at, own[doc] if len(own) else doc))
+        own, at = np.flatnonzero(fold == f), 0
+        ends = np.cumsum([len(texts[i]) for i in own])
+        while at < len(own):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 18), "right")))
+            inputs = Inputs([texts[i] for i in own[at:to]])
+            evidence, (at_words, doc) = inputs.evidence(odds[f]), inputs.windows()
+            inputs.grams = None
+            sets.append((inputs, evidence, inputs.slots(), at_words, own[at:to][doc]))
+            at = to
     opt = Adam(net.p, 0.01)
     for epoch in range(epochs):
         for inputs, evidence, slot, at, doc in sets:
             if not len(doc):
                 continue
-            _, mean, _ = inputs.features(np.zeros((3, BUCKETS), np.float32), net.p["bytes"])
+            mean = inputs.means(net.p["bytes"])
             strength = np.where(at >= 0, np.append(evidence.sum(1), 0)[at], -1e9).max(1) if epoch == 0 else net.forward(net.inputs(evidence, mean, slot), at)
             order = np.lexsort((-strength, doc))
             rank = np.empty(len(doc), np.int64)
@@ -295,7 +312,7 @@ def _train(net: Net, texts, y, fold, odds, seed: int, epochs: int = 6) -> None:
     logit, labels = [], []
     for inputs, evidence, slot, at, doc in sets:
         if len(doc):
-            _, mean, _ = inputs.features(np.zeros((3, BUCKETS), np.float32), net.p["bytes"])
+            mean = inputs.means(net.p["bytes"])
             scores = net.forward(net.inputs(evidence, mean, slot), at)
             cut = np.flatnonzero(np.diff(doc, prepend=-1))
             logit.append(np.maximum.reduceat(scores, cut))
