@@ -54,8 +54,7 @@ def evaluate_trades(trades: DataFrame, bars: DataFrame, mode: str = "asof", know
         return found.withColumn(out, F.when(F.col("_known") <= F.col(date).cast("timestamp_ntz"), F.col(out))).drop("_known")
 
     both = priced(priced(trades, "entry_date", "entry_price"), "exit_date", "exit_price")
-    sign = F.when(F.col("direction") == "SHORT", -1.0).otherwise(1.0)
-    gain = sign * (F.col("exit_price") - F.col("entry_price"))
+    gain = F.when(F.col("direction") == "SHORT", F.col("entry_price") - F.col("exit_price")).otherwise(F.col("exit_price") - F.col("entry_price"))
     return both.withColumns({
         "pnl_per_share": gain, "pnl_pct": safe_div(gain * 100, F.col("entry_price")), "holding_days": F.datediff("exit_date", "entry_date"),
         "outcome": F.when(gain.isNull(), "ERROR").when(gain > 0, "GAIN").otherwise("LOSS"),

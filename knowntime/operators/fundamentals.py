@@ -113,7 +113,7 @@ def valuations(bars: DataFrame, filings: DataFrame, flows: tuple[str, ...] = ("r
 
 def dividend_table(bars: DataFrame, filings: DataFrame, min_bars: int = 200) -> DataFrame:
     """Yearly dividends per share with growth, streak, payout and payer flag; thin years are left out."""
-    dps = bars.groupBy("ticker", F.year("event").alias("year")).agg(F.sum("dividends").alias("annual_dps"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_bars).drop("_n")
+    dps = bars.groupBy("ticker", F.year("event").alias("year")).agg(F.sum("dividends").cast("double").alias("annual_dps"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_bars).drop("_n")
     dps = dps.withColumns({f"dps_growth_{n}y": cagr(F.col("annual_dps"), "ticker", "year", n, positive_now=False) for n in (1, 3, 5)})
     dps = growth_streak(dps, "annual_dps", "ticker", "year", "consecutive_growth")
     eps = filings.where("form = '10-Q'").groupBy("ticker", F.year("period_end").alias("year")).agg(F.sum("eps").alias("annual_eps"))

@@ -95,7 +95,7 @@ def stochastic(df: DataFrame, by, order, n: int = 14, smooth: int = 3, d: int =
 
 def williams_r(df: DataFrame, by, order, n: int = 14) -> DataFrame:
     df = df.withColumns({"_lo": full(F.col("low"), by, order, n, F.min), "_hi": full(F.col("high"), by, order, n, F.max)})
-    return df.withColumn("williams_r", -100 * safe_div(F.col("_hi") - F.col("close"), F.col("_hi") - F.col("_lo"))).drop("_lo", "_hi")
+    return df.withColumn("williams_r", 100 * safe_div(F.col("close") - F.col("_hi"), F.col("_hi") - F.col("_lo"))).drop("_lo", "_hi")
 
 
 def indicator_table(bars: DataFrame, by="ticker", order="event", min_bars: int = 30) -> DataFrame:

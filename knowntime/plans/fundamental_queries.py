@@ -67,24 +67,25 @@ j1 AS (SELECT b.*, e.ttm_eps FROM b ASOF LEFT JOIN teps e ON b.ticker = e.ticker
 j2 AS (SELECT j1.*, s.shares FROM j1 ASOF LEFT JOIN sheet s ON j1.ticker = s.ticker AND j1.known >= s.known),
 j3 AS (SELECT j2.*, y.revenue AS year_revenue FROM j2 ASOF LEFT JOIN yr y ON j2.ticker = y.ticker AND j2.known >= y.known),
 j4 AS (SELECT j3.*, coalesce(t.ttm, j3.year_revenue) AS rev FROM j3 ASOF LEFT JOIN ttm t ON j3.ticker = t.ticker AND j3.known >= t.known)
-SELECT ticker, event, round(close, 8) AS close, round(close * shares, 2) AS market_cap, round(ttm_eps, 4) AS ttm_eps, round(rev, 4) AS revenue,
+SELECT ticker, event, round(close, 8) AS close, close * shares AS market_cap, round(ttm_eps, 4) AS ttm_eps, round(rev, 4) AS revenue,
        round(CASE WHEN ttm_eps <> 0 AND close / ttm_eps BETWEEN 0 AND 500 THEN close / ttm_eps END, 4) AS pe_ttm, round(CASE WHEN close * shares / rev BETWEEN 0 AND 200 THEN close * shares / rev END, 4) AS ps,
        round(rev / shares, 4) AS revenue_per_share, round(CASE WHEN ttm_dividends / close BETWEEN 0 AND 0.5 THEN ttm_dividends / close END, 6) AS dividend_yield FROM j4""")
 def f1(spark, sf):
     v = X.valuations(bars(spark, sf), financials(spark, sf))
     return v.select(
-        "ticker", "event", F.round("close", 8).alias("close"), F.round("market_cap", 2).alias("market_cap"), F.round("ttm_eps", 4).alias("ttm_eps"), F.round("revenue", 4).alias("revenue"),
+        "ticker", "event", F.round("close", 8).alias("close"), "market_cap", F.round("ttm_eps", 4).alias("ttm_eps"), F.round("revenue", 4).alias("revenue"),
         F.round("pe_ttm", 4).alias("pe_ttm"), F.round("ps", 4).alias("ps"), F.round("revenue_per_share", 4).alias("revenue_per_share"), F.round("dividend_yield", 6).alias("dividend_yield"))
 
 
-@query("f2_dividends", f"""WITH {BARS}, {FIN}, d AS (SELECT ticker, year(event) AS year, sum(dividends) AS dps FROM bars GROUP BY 1, 2 HAVING count(*) >= 40),
+@query("f2_dividends", f"""WITH {BARS}, {FIN}, d AS (SELECT ticker, year(event) AS year, sum(dividends::DECIMAL(18, 4))::DOUBLE AS dps FROM bars GROUP BY 1, 2 HAVING count(*) >= 40),
 e AS (SELECT ticker, year, sum(eps) AS eps FROM fin WHERE form = '10-Q' GROUP BY 1, 2),
 u AS (SELECT *, coalesce(dps > lag(dps) OVER w, false) AS up, CASE WHEN lag(dps) OVER w > 0 THEN dps / lag(dps) OVER w - 1 END AS g1, CASE WHEN lag(dps, 3) OVER w > 0 THEN pow(dps / lag(dps, 3) OVER w, 1 / 3.0) - 1 END AS g3 FROM d WINDOW w AS (PARTITION BY ticker ORDER BY year)),
 g AS (SELECT *, count(*) FILTER (WHERE NOT up) OVER (PARTITION BY ticker ORDER BY year) AS grp FROM u)
 SELECT ticker, year, round(dps, 6) AS annual_dps, round(g1, 6) AS dps_growth_1y, round(g3, 6) AS dps_growth_3y, count(*) FILTER (WHERE up) OVER (PARTITION BY ticker, grp ORDER BY year) AS consecutive_growth,
        round(CASE WHEN eps <> 0 AND dps / eps BETWEEN 0 AND 2 THEN dps / eps END, 6) AS payout_ratio, (dps > 0)::INT AS is_payer FROM g LEFT JOIN e USING (ticker, year)""")
 def f2(spark, sf):
-    d = X.dividend_table(bars(spark, sf), financials(spark, sf), min_bars=40)
+    exact = bars(spark, sf).withColumn("dividends", F.col("dividends").cast("decimal(18,4)"))
+    d = X.dividend_table(exact, financials(spark, sf), min_bars=40)
     return d.select("ticker", "year", *[F.round(c, 6).alias(c) for c in ("annual_dps", "dps_growth_1y", "dps_growth_3y", "payout_ratio")], F.col("consecutive_growth").cast("long").alias("consecutive_growth"), "is_payer").withColumn("year", F.col("year").cast("long"))
 
 

@@ -64,7 +64,7 @@ TRADES = """trades AS (SELECT DISTINCT o_orderkey AS order_id, l_suppkey AS tick
 
 
 @query("c3_evaluate_trades", f"""WITH {BARS}, {TRADES}, a AS (SELECT t.*, b.close AS p0 FROM trades t ASOF LEFT JOIN bars b ON t.ticker = b.ticker AND t.entry_date >= b.event),
-p AS (SELECT a.*, b.close AS p1, (b.close - p0) * CASE direction WHEN 'SHORT' THEN -1 ELSE 1 END AS gain FROM a ASOF LEFT JOIN bars b ON a.ticker = b.ticker AND a.exit_date >= b.event)
+p AS (SELECT a.*, b.close AS p1, CASE direction WHEN 'SHORT' THEN p0 - b.close ELSE b.close - p0 END AS gain FROM a ASOF LEFT JOIN bars b ON a.ticker = b.ticker AND a.exit_date >= b.event)
 SELECT order_id, ticker, direction, round(gain, 8) AS pnl_per_share, round(gain * 100 / p0, 4) AS pnl_pct, CASE WHEN gain IS NULL THEN 'ERROR' WHEN gain > 0 THEN 'GAIN' ELSE 'LOSS' END AS outcome FROM p""")
 def c3(spark, sf):
     done = asof.evaluate_trades(_trades(spark, sf), bars(spark, sf))

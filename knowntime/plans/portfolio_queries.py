@@ -120,7 +120,7 @@ def e21(spark, sf):
 
 
 @query("f15_backtest", f"""WITH {FLIPS}, a AS (SELECT tr.*, b.close AS p0 FROM tr ASOF LEFT JOIN bars b ON tr.ticker = b.ticker AND tr.entry_date >= b.event), p AS (SELECT a.*, b.close AS p1 FROM a ASOF LEFT JOIN bars b ON a.ticker = b.ticker AND a.exit_date >= b.event),
-o AS (SELECT (p1 - p0) * CASE direction WHEN 'SHORT' THEN -1 ELSE 1 END * 100 / p0 AS pnl FROM p)
+o AS (SELECT CASE direction WHEN 'SHORT' THEN p0 - p1 ELSE p1 - p0 END * 100 / p0 AS pnl FROM p)
 SELECT count(*) AS trades, round(avg((pnl > 0)::INT), 6) AS win_rate, round(sum(pnl), 3) AS total_pnl, round(avg(pnl), 5) AS avg_pnl, round(avg(pnl) FILTER (WHERE pnl > 0), 5) AS avg_gain, round(avg(pnl) FILTER (WHERE pnl <= 0), 5) AS avg_loss FROM o WHERE pnl IS NOT NULL""")
 def f15(spark, sf):
     s = T.backtest_summary(T.backtest(bars(spark, sf), _dates(spark)))

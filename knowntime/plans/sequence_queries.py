@@ -123,7 +123,7 @@ def e30(spark, sf):
 
 @query("e36_e37_e38_oscillators", f"""WITH {BARS}, o AS (SELECT *, coalesce(sign(close - lag(close) OVER w), 1) * volume AS step, CASE WHEN count(*) OVER (w ROWS 13 PRECEDING) = 14 THEN min(low) OVER (w ROWS 13 PRECEDING) END AS lo, CASE WHEN count(*) OVER (w ROWS 13 PRECEDING) = 14 THEN max(high) OVER (w ROWS 13 PRECEDING) END AS hi FROM bars WINDOW w AS ({WIN})),
 r AS (SELECT *, CASE WHEN hi > lo THEN 100 * (close - lo) / (hi - lo) END AS raw FROM o), k AS (SELECT *, CASE WHEN count(raw) OVER (w ROWS 2 PRECEDING) = 3 THEN avg(raw) OVER (w ROWS 2 PRECEDING) END AS k FROM r WINDOW w AS ({WIN}))
-SELECT ticker, event, round(sum(step) OVER w, 2) AS obv, round(k, 4) AS stoch_k, round(CASE WHEN count(k) OVER (w ROWS 2 PRECEDING) = 3 THEN avg(k) OVER (w ROWS 2 PRECEDING) END, 4) AS stoch_d, round(CASE WHEN hi > lo THEN -100 * (hi - close) / (hi - lo) END, 4) AS williams_r FROM k WINDOW w AS ({WIN})""")
+SELECT ticker, event, round(sum(step) OVER w, 2) AS obv, round(k, 4) AS stoch_k, round(CASE WHEN count(k) OVER (w ROWS 2 PRECEDING) = 3 THEN avg(k) OVER (w ROWS 2 PRECEDING) END, 4) AS stoch_d, round(CASE WHEN hi > lo THEN 100 * (close - hi) / (hi - lo) END, 4) AS williams_r FROM k WINDOW w AS ({WIN})""")
 def e36(spark, sf):
     b = I.williams_r(I.stochastic(I.with_obv(bars(spark, sf), "ticker", "event"), "ticker", "event"), "ticker", "event")
     return b.select("ticker", "event", F.round("obv", 2).alias("obv"), *[F.round(c, 4).alias(c) for c in ("stoch_k", "stoch_d", "williams_r")])

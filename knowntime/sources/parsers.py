@@ -132,7 +132,7 @@ def parse_html_table(pages: DataFrame, table_id: str | None = None, key: str = "
             yield pd.DataFrame(out, columns=["k", "row", "cells"])
 
     rows = pages.select(F.col(key).alias("k"), F.col(html).alias("h"))
-    schema = rows.select("k").schema.add("row", "int").add("cells", "array<string>")
+    schema = f"k {rows.schema['k'].dataType.simpleString()}, row int, cells array<string>"
     return rows.mapInPandas(run, schema).withColumnRenamed("k", key)
 
 
