@@ -229,13 +229,13 @@ def _count(batches):
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.full(len(at) + 1, f), pa.int32()), *(pa.array(np.append(held[f, y, at], texts_of[f, y]), pa.int64()) for y in (0, 1))], ["bucket", "fold", "n0", "n1"])
 
 
-def log_odds(n0: np.ndarray, n1: np.ndarray, all0: float, all1: float, prior: float = 8.0) -> np.ndarray:
+def log_odds(n0: np.ndarray, n1: np.ndarray, all0: float, all1: float, prior: float = 20.0) -> np.ndarray:
     """Smoothed log odds of a bucket against the share of labels; 0 where it says nothing."""
     share = max(all1, 1) / max(all0 + all1, 2)
     return (np.log((n1 + prior * share) / (n0 + prior * (1 - share))) - np.log(share / (1 - share))).astype(np.float32)
 
 
-def fit(labelled: DataFrame, fit_documents: int = 1500, fit_bytes: int = 2 << 20, seed: int = 1):
+def fit(labelled: DataFrame, fit_documents: int = 1500, fit_bytes: int = 4 << 20, seed: int = 1):
     """(odds tables, net) from rows (text, label 0/1, place); place orders and folds them."""
     rows = labelled.select("text", "label", F.pmod("place", F.lit(2)).cast("int").alias("fold"), "place")
     counts = rows.select("text", "label", "fold").mapInArrow(_count, "bucket long, fold int, n0 long, n1 long")
@@ -259,7 +259,7 @@ def fit(labelled: DataFrame, fit_documents: int = 1500, fit_bytes: int = 2 << 20
         net.p["o"][:] = 0
         net.shift = float(np.log((all1 + 0.5) / (all0 + 0.5)))
         return odds((0, 1)), net
-    taken = [rows.where(F.col("label") == y).where(F.octet_length("text") <= fit_bytes // 16).orderBy("place").limit(fit_documents).toPandas() for y in (1, 0)]
+    taken = [rows.where(F.col("label") == y).where(F.octet_length("text") <= fit_bytes // 32).orderBy("place").limit(fit_documents).toPandas() for y in (1, 0)]
     texts, y, fold = [], [], []
     for frame in taken:
         size = frame["text"].map(lambda t: len((t or "").encode())).cumsum()
@@ -268,6 +268,8 @@ def fit(labelled: DataFrame, fit_documents: int = 1500, fit_bytes: int = 2 << 20
         y += frame["label"].tolist()
         fold += frame["fold"].tolist()
     _train(net, texts, np.array(y), np.array(fold), [odds((1,)), odds((0,))], seed)
+    # The fit saw both labels about equally often; scores are for texts as they come.
+    net.shift += float(np.log(all1 / all0) - np.log(sum(y) / max(len(y) - sum(y), 1)))
     return odds((0, 1)), net
 
 
