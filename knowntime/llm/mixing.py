@@ -45,12 +45,14 @@ def source_targets(sized: DataFrame, weights: list[float], share: float, most: f
     cycle = F.array(*[F.lit(float(w)) for w in weights])
     by = sums.withColumn("w", F.get(cycle, (F.row_number().over(order) - 1) % len(weights))).withColumn("cap", F.col("source_size") * float(most))
     by = by.withColumn("total", F.sum("source_size").over(Window.partitionBy()) * float(share))
-    # Sources by the level at which they reach their cap; the first that the level of the rest does not reach sets it.
+    # Sources in the order in which they reach their cap. With all before one capped, the rest share what is left;
+    # the first source that this level does not fill sets the level.
     up = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last())
     capped = F.coalesce(F.sum("cap").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     rest = F.sum("w").over(up.rowsBetween(0, Window.unboundedFollowing))
-    by = by.withColumn("level", F.greatest(F.lit(0.0), (F.col("total") - capped) / rest))
-    by = by.withColumn("level", F.min(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level"))).over(Window.partitionBy()))
+    by = by.withColumns({"level": (F.col("total") - capped) / rest, "nth": F.row_number().over(up)})
+    first = F.min(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.struct("nth", "level"))).over(Window.partitionBy())
+    by = by.withColumn("level", first["level"])
     target = F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("level") * F.col("w")))
     return stage(by.select("source", "source_size", target.alias("target")), "targets")
 

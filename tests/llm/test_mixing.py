@@ -1,8 +1,6 @@
 import random
 
 import numpy as np
-from pyspark.sql import functions as F
-
 from knowntime.llm import mixing
 
 
@@ -45,6 +43,19 @@ def test_targets_and_balance(spark):
     assert again == {(r.doc_id, r.taken) for r in out}
 
 
+def test_targets_of_many_sources(spark):
+    rng = random.Random(9)
+    for share in (0.3, 1.0, 1.5, 1.99):
+        sizes = {f"s{i:02d}": rng.choice([1, 5, 50, 400, 3000]) for i in range(25)}
+        rows = [(s, n) for s, n in sizes.items()]
+        weights = {s: [3.0, 1.0, 2.0][i % 3] for i, s in enumerate(sorted(sizes))}
+        want = targets_by_hand(sizes, weights, share * sum(sizes.values()), 2.0)
+        got = mixing.source_targets(spark.createDataFrame(rows, "source string, size long"), [3.0, 1.0, 2.0], share, 2.0)
+        got = {r.source: r.target for r in got.collect()}
+        assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 for s in want)
+        assert abs(sum(got.values()) - share * sum(sizes.values())) < 1e-6
+
+
 def test_flight_keeps_totals():
     rng = np.random.default_rng(2)
     x = [int(v) for v in rng.integers(1, 500, 300)]
@@ -63,4 +74,4 @@ def test_repeat(spark):
     df, _ = docs(spark)
     mix = spark.createDataFrame([(0, 2), (1, 0), (2, 1)], "doc_id long, copies long")
     assert [r.doc_id for r in mixing.repeat_documents(df, mix).orderBy("doc_id").collect()] == [0, 0, 2]
-    assert mixing.repeat_documents(df, mix).columns == df.columns and F
+    assert mixing.repeat_documents(df, mix).columns == df.columns

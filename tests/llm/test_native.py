@@ -4,8 +4,6 @@ import hashlib
 import random
 import re
 
-from pyspark.sql import functions as F
-
 from knowntime.llm import decontaminate, exact_dedup, line_dedup
 
 
@@ -116,4 +114,3 @@ def test_longest_repeats(spark):
             if best:
                 want[i, p] = best
     assert {(r.doc_id, r.seq): r["lines"] for r in line_dedup.repeated_runs(df).collect()} == want
-    assert F
