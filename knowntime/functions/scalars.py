@@ -6,9 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ITEM_FLAGS = {
-    # Disclosure item codes and the flag each one sets.
-    "has_earnings": "2.02", "has_guidance": "7.01", "has_ma": "1.01", "has_exec_change": "5.02",
-    "has_bankruptcy": "1.03", "has_restatement": "4.02", "has_impairment": "2.06", "has_delisting": "3.01",
+    # Flag names and the disclosure item code that sets each one.
+    "has_auditor_change": "4.01",
+    "has_bankruptcy": "1.03",
+    "has_debt_obligation": "2.03",
+    "has_delisting": "3.01",
+    "has_earnings": "2.02",
+    "has_exec_change": "5.02",
+    "has_ma": "2.01",
+    "has_material_agreement": "1.01",
 }
 
 
