@@ -1,8 +1,9 @@
 """A training corpus from ``documents``: five stages, each a Parquet table that the next one reads.
 
 toxicity: documents scored 0.5 or more go. line dedup: later copies of runs of
-two or more lines are cut from the texts. SimHash near-dedup: of documents whose
-five-word fingerprints link, the one with the smallest id stays. benchmark
+two or more lines are cut from the texts. SimHash near-dedup: of documents that
+SimHash finds and that share 0.8 of their five-word shingles, directly or through
+others, the one with the smallest id stays. benchmark
 decontamination: documents that hold a window of a benchmark item go. mixing:
 the remaining documents, each as often as the mix of sources takes it.
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from knowntime.llm.decontaminate import decontaminate
 from knowntime.llm.line_dedup import drop_repeated_lines
 from knowntime.llm.mixing import mix_sources, repeat_documents
-from knowntime.llm.simhash import drop_near_duplicates
+from knowntime.llm.near_dedup import drop_similar
 from knowntime.llm.staging import stage
 from knowntime.llm.toxicity import with_toxicity
 
@@ -36,7 +37,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near_duplicates(docs, shingle=5, distance=6, tables=3)
+    return drop_similar(docs, similarity=0.8, shingle=5)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
