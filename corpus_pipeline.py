@@ -1,7 +1,7 @@
 """A training corpus from ``documents``: five stages, each a Parquet table that the next one reads.
 
-toxicity: documents scored 0.5 or more go. line dedup: later copies of runs of
-two or more lines are cut from the texts. SimHash near-dedup: of documents that
+toxicity: documents scored 0.5 or more go. line dedup: later copies of lines,
+single ones too, are cut from the texts. SimHash near-dedup: of documents that
 SimHash finds and that share 0.8 of their five-word shingles, directly or through
 others, the one with the smallest id stays. benchmark
 decontamination: documents that hold a window of a benchmark item go. mixing:
@@ -32,7 +32,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = drop_repeated_lines(docs, min_lines=2)
+    cut = drop_repeated_lines(docs, min_lines=1)
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 

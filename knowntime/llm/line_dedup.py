@@ -40,11 +40,12 @@ def lines_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.groupBy("doc", "seq").agg(F.min(F.struct(F.col("part.line").alias("line"), key.alias("key"))).alias("m")).select("doc", "seq", "m.line", "m.key")
 
 
-def suffix_array(lines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+def suffix_array(lines: DataFrame, first_line: bool = False) -> tuple[DataFrame, list[DataFrame]]:
     """The repeated suffixes with their place ``sa``, and the classes after 1, 2, 4, ... lines.
 
     A class table has (doc, seq, rank) of the suffixes that share that many
-    lines with another one; equal ranks mean equal lines.
+    lines with another one; equal ranks mean equal lines. With ``first_line``
+    the array is in the order of the first line only, which tells runs of one line.
     """
     total = lines.count()
     groups = lines.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -56,6 +57,8 @@ def suffix_array(lines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         if active.isEmpty():
             break
         levels.append(active.select("doc", "seq", "rank"))
+        if first_line:
+            break
         ahead = ranked.select("doc", (F.col("seq") - reach).alias("seq"), F.col("rank").alias("next"))
         # Nothing that repeats follows: no other suffix goes on alike. The number is fixed when the pairs are written.
         alone = -1 - F.monotonically_increasing_id()
@@ -115,7 +118,7 @@ def drop_repeated_lines(df: DataFrame, min_lines: int = 2, id_col: str = "doc_id
     ``removed_col`` names an added column with the number of lines cut.
     """
     lines = stage(lines_of(df, id_col, text_col), "lines")
-    array, levels = suffix_array(lines)
+    array, levels = suffix_array(lines, first_line=min_lines == 1)
     later = later_copies(stage(common_prefixes(array, levels), "prefixes"), min_lines)
     gone = later.select("doc", F.explode(F.sequence("seq", F.col("seq") + min_lines - 1)).alias("seq")).distinct()
     cut = lines.join(gone, ["doc", "seq"], "left_semi").groupBy("doc").agg(F.collect_set("line").alias("_cut")).select(F.col("doc.id").alias("_cut_id"), "_cut")
