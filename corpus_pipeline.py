@@ -5,7 +5,8 @@ single ones too, are cut from the texts. SimHash near-dedup: of documents that
 SimHash finds and that share 0.8 of their five-word shingles, directly or through
 others, the one with the smallest id stays. benchmark
 decontamination: documents that hold a window of a benchmark item go. mixing:
-the remaining documents, each as often as the mix of sources takes it.
+the remaining documents, each as often as the mix of sources takes it. Stages
+decide rows by a row number of their own, so ids may repeat or be null.
 
 Models and drawn samples are not SQL, so ``ORACLE_SQL`` is None and the stages
 are checked against brute force in tests/llm.
@@ -20,7 +21,7 @@ from knowntime.llm.decontaminate import decontaminate
 from knowntime.llm.line_dedup import drop_repeated_lines
 from knowntime.llm.mixing import mix_sources, repeat_documents
 from knowntime.llm.near_dedup import drop_similar
-from knowntime.llm.staging import stage
+from knowntime.llm.staging import numbered, stage
 from knowntime.llm.toxicity import with_toxicity
 
 ORACLE_SQL = None
@@ -32,7 +33,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = drop_repeated_lines(docs, min_lines=1)
+    # By id and row number: rows that share an id, or have none, are compared like any others.
+    keyed = numbered(docs, "_row").withColumn("_key", F.struct("doc_id", "_row"))
+    cut = drop_repeated_lines(keyed, min_lines=1, id_col="_key")
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
@@ -41,11 +44,13 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    rows = numbered(docs, "_row")
+    return decontaminate(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row").drop("_row")
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return repeat_documents(docs, mix_sources(docs))
+    rows = numbered(docs, "_row")
+    return repeat_documents(rows, mix_sources(rows, row_col="_row"), id_col="_row").drop("_row")
 
 
 STAGES = [

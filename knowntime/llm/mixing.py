@@ -101,7 +101,7 @@ def land(p: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def _round(seed: int, last: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["place", "id", "size"], kind="stable")
+        pdf = pdf.sort_values(["place", "id", "size", *(["row"] if "row" in pdf else [])], kind="stable")
         key = f"{seed}|{pdf['source'].iloc[0]}|{pdf['block'].iloc[0]}".encode()
         rng = np.random.default_rng(int.from_bytes(hashlib.sha256(key).digest()[:8], "big"))
         sizes = [int(v) for v in pdf["size"]]
@@ -113,12 +113,17 @@ def _round(seed: int, last: bool):
 
 def mix_sources(
     docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, block: int = 2000, seed: int = 1,
-    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None,
 ) -> DataFrame:
-    """(id, size, source_size, target, copies, taken) of every row."""
+    """(id, size, source_size, target, copies, taken) of every row.
+
+    ``row_col`` names a unique number of the row, which is then the first column:
+    ids may repeat or be null, and rows are dealt by their text too.
+    """
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    place = F.xxhash64(F.lit(seed), F.col(id_col))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), place.alias("place"))
+    place = F.xxhash64(F.lit(seed), F.col(id_col), *([F.col(text_col)] if row_col else []))
+    row = [F.col(row_col).cast("long").alias("row")] if row_col else []
+    rows = docs.select(*row, F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), place.alias("place"))
     rows = stage(rows, "sizes")
     targets = source_targets(rows, list(weights), share, most)
     rate = F.when(F.col("size") == 0, 0.0).otherwise(F.least(F.lit(float(most)), F.col("target") / F.col("source_size")))
@@ -147,11 +152,12 @@ def mix_sources(
     for part in parts[1:]:
         out = out.unionByName(part)
     copies = (F.col("whole") + F.round("p")).cast("long")
-    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    row = [F.col("row").alias(row_col)] if row_col else []
+    return out.select(*row, F.col("id").alias(id_col), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def repeat_documents(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The mix itself: each document of ``docs`` as often as ``mix`` takes it."""
+    """The mix itself: each document of ``docs`` as often as ``mix`` takes it; ``id_col`` must be unique."""
     times = mix.select(F.col(id_col).alias("_id"), "copies").where("copies > 0")
     joined = docs.join(times, F.col(id_col).eqNullSafe(F.col("_id"))).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return joined.drop("_id", "copies", "_copy")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .skew import attach
-from .staging import stage
+from .staging import numbered, stage
 from .vectortext import grams, mix, slabs, words
 
 #: Words of 64 bits that bands are drawn from; one more is the sieve.
@@ -202,7 +202,7 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
 
 def drop_similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall: float = 0.995, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of linked rows stays; all columns are kept."""
-    numbered = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    rows = numbered.select(F.col("_row").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs = numbered(docs, "_row")
+    rows = docs.select(F.col("_row").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     gone = linked_rows(rows, similarity, shingle, recall).where("row <> keep").select(F.col("row").alias("_row"))
-    return numbered.join(gone, "_row", "left_anti").select(*docs.columns)
+    return docs.join(gone, "_row", "left_anti").drop("_row")

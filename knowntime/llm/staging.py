@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,6 +28,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return stage_at(df, name)[0]
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written with a number of its own for every row, whatever its ids are."""
+    return stage(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """As :func:`stage`, with the path, for loops that drop what they replaced."""
     spark = df.sparkSession

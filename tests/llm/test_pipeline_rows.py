@@ -24,3 +24,23 @@ def test_single_repeated_lines_are_cut(spark):
     got = corpus_pipeline.line_dedup(spark, df, "")
     assert {r.doc_id: r.text for r in got.collect()} == want
     assert got.where("n_chars <> char_length(text)").count() == 0
+
+
+def test_rows_without_an_id_of_their_own(spark, tmp_path):
+    rng = random.Random(2)
+    vocab = [f"w{i}" for i in range(2000)]
+    texts = [" ".join(rng.choices(vocab, k=rng.randint(5, 60))) for _ in range(90)]
+    rows = [(None if i < 40 else i // 3, t, "a" if i % 3 else "b", 0) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    passage = " ".join(rng.choices(vocab, k=12))
+    leak = spark.createDataFrame([(None, passage, "a", 0), (20, passage, "a", 0)], df.schema)
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert sorted(r.text for r in corpus_pipeline.line_dedup(spark, df, "").collect()) == sorted(texts)
+    assert sorted(r.text for r in corpus_pipeline.benchmark_decontamination(spark, df.union(leak), str(tmp_path)).collect()) == sorted(texts)
+    mixed = corpus_pipeline.source_mixing(spark, df, "")
+    assert mixed.columns == df.columns
+    size = lambda rows: sum(len(r[1].split()) for r in rows)
+    got = [tuple(r) for r in mixed.collect()]
+    # a has weight 3 and is capped at twice its words, or b at twice its own; together 1.5 times all words.
+    assert abs(size(got) - 1.5 * size(rows)) <= 2 * 60
+    assert all(got.count(r) <= 2 for r in rows) and set(got) <= set(rows)
