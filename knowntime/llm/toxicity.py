@@ -10,14 +10,16 @@ next, and the text has the score of its worst window, calibrated.
 
 The fit uses at most ``label_sample`` labelled rows (those with the smallest
 hash of their id), which bounds what is broadcast, and at most ``fit_documents``
-texts of each label on the driver, each cut out of the fit beyond ``fit_bytes``.
+texts of each label on the driver, ``fit_bytes`` together; a text over a 32nd of that
+is fitted on its windows of the most evidence and on evenly spaced ones. Buckets that
+are not 1.5 times over the toxic share in toxic texts are no evidence.
 Log odds are taken across two folds so that no text is evidence for itself.
 Everything but the fit sees every row and the whole text.
 
 Scale: one scan for the evidence, one for the fit, one map over the documents;
 nothing of the corpus is shuffled but counts by hash bucket.
 
-Edge cases: null and empty texts are scored as a window without words. Rows
+Edge cases: null and empty texts are fitted and scored as a window without words. Rows
 whose label is null are not used; without labels of both kinds every score is
 the prior. Repeated rows are repeated in the result.
 """
@@ -235,6 +237,44 @@ def log_odds(n0: np.ndarray, n1: np.ndarray, all0: float, all1: float, prior: fl
     return (np.log((n1 + prior * share) / (n0 + prior * (1 - share))) - np.log(share / (1 - share))).astype(np.float32)
 
 
+def excerpt(inputs: Inputs, evidence: np.ndarray, limit: int) -> bytes:
+    """Windows of one text, in their order, up to ``limit`` bytes: for half of them those of the most evidence, then evenly spaced ones."""
+    w = inputs.w
+    at = inputs.windows()[0][::2]
+    real = at >= 0
+    strength = np.where(real, np.append(evidence.sum(1), 0)[at], -1e9).max(1)
+    first, last = at[:, 0], np.where(real, at, -1).max(1)
+    size = w.end[last] - w.start[first] + 1
+    strong = np.argsort(-strength, kind="stable")
+    spread = np.arange(len(at)) * 0.6180339887498949 % 1
+    chosen = np.zeros(len(at), bool)
+    chosen[strong[: max(1, int(np.searchsorted(np.cumsum(size[strong]), limit // 2, "right")))]] = True
+    others = np.argsort(spread, kind="stable")
+    others = others[~chosen[others]]
+    left = limit - size[chosen].sum()
+    chosen[others[: int(np.searchsorted(np.cumsum(size[others]), left, "right"))]] = True
+    pieces = [w.data[w.start[first[i]] : w.end[last[i]]].tobytes() for i in np.flatnonzero(chosen)]
+    return b"\n".join(pieces)[:limit]
+
+
+def _excerpts(odds: list[np.ndarray], limit: int):
+    """Texts over ``limit`` bytes as excerpts, by the evidence of the other fold; null is empty."""
+
+    def run(batches):
+        for batch in batches:
+            fold = batch.column(2).to_numpy()
+            for a, b, texts in _lines(batch, 0):
+                for i, t in enumerate(texts):
+                    if len(t) > limit:
+                        inputs = Inputs([t])
+                        found = inputs.evidence(odds[fold[a + i]])
+                        texts[i] = excerpt(inputs, found, limit) if len(found) else b""
+                made = pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string())
+                yield pa.RecordBatch.from_arrays([made, *(c.slice(a, b - a) for c in batch.columns[1:])], batch.schema.names)
+
+    return run
+
+
 def fit(labelled: DataFrame, fit_documents: int = 1500, fit_bytes: int = 4 << 20, seed: int = 1):
     """(odds tables, net) from rows (text, label 0/1, place); place orders and folds them."""
     rows = labelled.select("text", "label", F.pmod("place", F.lit(2)).cast("int").alias("fold"), "place")
@@ -259,7 +299,8 @@ def fit(labelled: DataFrame, fit_documents: int = 1500, fit_bytes: int = 4 << 20
         net.p["o"][:] = 0
         net.shift = float(np.log((all1 + 0.5) / (all0 + 0.5)))
         return odds((0, 1)), net
-    taken = [rows.where(F.col("label") == y).where(F.octet_length("text") <= fit_bytes // 32).orderBy("place").limit(fit_documents).toPandas() for y in (1, 0)]
+    rows = rows.select("text", "label", "fold", "place").mapInArrow(_excerpts([odds((1,)), odds((0,))], fit_bytes // 32), rows.schema)
+    taken = [rows.where(F.col("label") == y).orderBy("place").limit(fit_documents).toPandas() for y in (1, 0)]
     texts, y, fold = [], [], []
     for frame in taken:
         size = frame["text"].map(lambda t: len((t or "").encode())).cumsum()
@@ -269,7 +310,7 @@ def fit(labelled: DataFrame, fit_documents: int = 1500, fit_bytes: int = 4 << 20
         fold += frame["fold"].tolist()
     _train(net, texts, np.array(y), np.array(fold), [odds((1,)), odds((0,))], seed)
     # The fit saw both labels about equally often; scores are for texts as they come.
-    net.shift += float(np.log(all1 / all0) - np.log(sum(y) / max(len(y) - sum(y), 1)))
+    net.shift += float(np.log(all1 / all0) - np.log(max(sum(y), 1) / max(len(y) - sum(y), 1)))
     return odds((0, 1)), net
 
 

@@ -59,3 +59,34 @@ def test_held_out(spark):
     assert sum(a == b for a, b in held) / len(held) > 0.95
     assert toxicity.toxicity_scores(docs, labels.limit(0)).count() == len(rows)
     assert toxicity.toxicity_scores(docs.limit(0), labels).count() == 0
+
+
+def test_long_and_null_texts_are_fitted(spark):
+    rng = random.Random(6)
+    vocab = [f"{a}{b}" for a in ("ba", "ke", "lo", "mi", "tu") for b in ("na", "ro", "si", "ve", "po", "ga")]
+
+    def text(bad, n):
+        w = rng.choices(vocab, k=n)
+        for _ in range(3 * bad):
+            w.insert(rng.randrange(len(w)), "zorg")
+        return " ".join(w)
+
+    # A limit of 2 KB a text; all toxic ones are longer, or null, and then those of both labels are.
+    for clean in (60, 900):
+        rows = [(i, text(i % 3 == 0, 900 if i % 3 == 0 else clean)) for i in range(150)] + [(150, None), (153, None)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+        out = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, labels, train=toxicity.F.col("_id") % 5 != 0, fit_bytes=64 << 10).collect()}
+        held = [(i % 3 == 0) == (out[i] >= 0.5) for i in range(0, 150, 5)]
+        assert len(out) == len(rows) and sum(held) >= 0.9 * len(held)
+
+
+def test_excerpt():
+    words = [f"w{i}" for i in range(2000)]
+    words[1234] = "zorg"
+    inputs = toxicity.Inputs([" ".join(words).encode()])
+    evidence = np.zeros((2000, 3), np.float32)
+    evidence[1234] = 5
+    got = toxicity.excerpt(inputs, evidence, 3000)
+    assert len(got) <= 3000 and b"zorg" in got and len(got.split()) > 300
+    assert len(toxicity.excerpt(toxicity.Inputs([b"x" * 9000]), np.zeros((1, 3), np.float32), 3000)) == 3000
