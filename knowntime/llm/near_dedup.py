@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .skew import attach
-from .staging import numbered, stage
+from .staging import drop, numbered, stage, stage_at
 from .vectortext import grams, mix, slabs, words
 
 #: Words of 64 bits that bands are drawn from; one more is the sieve.
@@ -153,7 +153,7 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
     leads = firsts.select("node", F.col("first.row").alias("row"))
     nodes = made.join(leads.select("row"), "row", "left_semi").where("size > 0").select("node", "size", "bits")
     width, bands = plan(distinct, similarity, recall)
-    put = stage(nodes.mapInArrow(_bands(width, bands), "key long, node long, size int, sieve long"), "bands")
+    put, put_path = stage_at(nodes.mapInArrow(_bands(width, bands), "key long, node long, size int, sieve long"), "bands")
     # Four deviations above the mean of the 64 sieve bits at this similarity.
     differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
     most = math.ceil(64 * differ + 4 * math.sqrt(64 * differ * (1 - differ)))
@@ -172,7 +172,8 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
     order = [F.col("node").bitwiseXOR(F.lit(c)) for c in _ORDERS]
     lead = [x for i, o in enumerate(order) for x in (F.min(o).alias(f"o{i}"), F.min_by("size", o).alias(f"size{i}"), F.min_by("sieve", o).alias(f"sieve{i}"))]
     buckets = stage(put.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *lead).where("n > 1"), "buckets")
-    shared = stage(attach(put, buckets, "key", "n", total), "shared")
+    shared, shared_path = stage_at(attach(put, buckets, "key", "n", total), "shared")
+    drop(rows.sparkSession, put_path)
     stars = None
     for i, c in enumerate(_ORDERS):
         star = shared.select("node", "size", "sieve", F.col(f"o{i}").bitwiseXOR(F.lit(c)).alias("node2"), F.col(f"size{i}").alias("size2"), F.col(f"sieve{i}").alias("sieve2"))
@@ -184,6 +185,7 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
     open_ = shared.where("n > 2").select("key", "node", "size", "sieve")
     open_ = open_.join(label.withColumnRenamed("a", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_ = stage(open_, "open")
+    drop(rows.sparkSession, shared_path)
     parts = open_.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"))
     mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("key")
     parts = stage(parts.join(mixed, "key", "left_semi"), "parts")
