@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .staging import stage
+from .staging import numbered, stage, tidy
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -75,6 +75,7 @@ def _window_text() -> Column:
     return F.array_join(F.slice("words", F.col("start") + 1, F.col("length")), " ")
 
 
+@tidy
 def contaminated_words(
     docs: DataFrame, items: DataFrame, span: int = 10, k: int = 5, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", max_broadcast: int = 2_000_000,
@@ -115,7 +116,10 @@ def contaminated_words(
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents without any hit, with all their columns."""
-    hit = contaminated_words(docs, items, id_col=id_col, **options).where("n_hit > 0").select(F.col(id_col).alias("_hit"))
-    return docs.join(hit, F.col(id_col).eqNullSafe(F.col("_hit")), "left_anti")
+@tidy
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows without any hit, with all their columns; rows that share an id are told apart by a number written with them."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = numbered(docs.toDF(*names), "row")
+    hit = contaminated_words(rows, items, id_col="row", text_col=names[docs.columns.index(text_col)], **options).where("n_hit > 0").select("row")
+    return rows.join(stage(hit, "hit"), "row", "left_anti").select(*names).toDF(*docs.columns)

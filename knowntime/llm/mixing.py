@@ -20,8 +20,8 @@ so reruns agree. Sources are one row each.
 
 Edge cases: a null text has size 0; documents of size 0 are taken 0 times and a
 source without words has target 0. A null source is one source, last in order.
-Rows that share an id are drawn each on their own. An empty table gives an
-empty result.
+Rows that share an id are drawn each on their own, by their text too: rows that agree
+in both are dealt in an order of no meaning. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .staging import stage
+from .staging import numbered, stage, tidy
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -111,6 +111,7 @@ def _round(seed: int, last: bool):
     return run
 
 
+@tidy
 def mix_sources(
     docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, block: int = 2000, seed: int = 1,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None,
@@ -156,8 +157,14 @@ def mix_sources(
     return out.select(*row, F.col("id").alias(id_col), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
-def repeat_documents(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The mix itself: each document of ``docs`` as often as ``mix`` takes it; ``id_col`` must be unique."""
-    times = mix.select(F.col(id_col).alias("_id"), "copies").where("copies > 0")
-    joined = docs.join(times, F.col(id_col).eqNullSafe(F.col("_id"))).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return joined.drop("_id", "copies", "_copy")
+@tidy
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as the mix takes it, all columns kept.
+
+    Rows are told apart by a number written with them, so ids may repeat or be null.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    of = {k: names[docs.columns.index(c)] for k, c in (("id_col", id_col), ("text_col", text_col), ("source_col", source_col))}
+    rows = numbered(docs.toDF(*names), "row")
+    times = mix_sources(rows, row_col="row", **of, **options).select("row", "copies").where("copies > 0")
+    return rows.join(times, "row").select(*names, F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*names).toDF(*docs.columns)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .skew import attach
-from .staging import drop, numbered, stage, stage_at
+from .staging import drop, numbered, stage, stage_at, tidy
 from .vectortext import grams, mix, slabs, words
 
 #: Words of 64 bits that bands are drawn from; one more is the sieve.
@@ -144,7 +144,7 @@ def _pair(df: DataFrame) -> DataFrame:
 def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float) -> DataFrame:
     """(row, keep): the row that stays of each row's group; ``rows`` has (row, id, text), written once."""
     made = rows.select("row", "text").mapInArrow(_nodes(shingle), "row long, node long, size int, bits binary")
-    made = stage(made, "shingled")
+    made, made_path = stage_at(made, "shingled")
     firsts = made.select("row", "node").join(rows.select("row", "id"), "row")
     firsts = firsts.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = stage(firsts, "firsts")
@@ -153,20 +153,24 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
     leads = firsts.select("node", F.col("first.row").alias("row"))
     nodes = made.join(leads.select("row"), "row", "left_semi").where("size > 0").select("node", "size", "bits")
     width, bands = plan(distinct, similarity, recall)
+    rows_of, total_rows = stage(made.select("row", "node"), "nodes"), made.count()
     put, put_path = stage_at(nodes.mapInArrow(_bands(width, bands), "key long, node long, size int, sieve long"), "bands")
+    drop(rows.sparkSession, made_path)
     # Four deviations above the mean of the 64 sieve bits at this similarity.
     differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
     most = math.ceil(64 * differ + 4 * math.sqrt(64 * differ * (1 - differ)))
     possible, total = _possible(similarity, most), distinct * bands
 
     def confirmed(pairs):
-        pairs = stage(pairs, "candidates")
+        pairs, at_pairs = stage_at(pairs, "candidates")
         need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(leads, "node")
         texts = rows.select("row", "text").join(need, "row").select("node", "text")
-        sets = stage(texts.mapInArrow(_sets(shingle), "node long, shingles binary"), "sets")
+        sets, at_sets = stage_at(texts.mapInArrow(_sets(shingle), "node long, shingles binary"), "sets")
         left, right = (sets.select(F.col("node").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-        return stage(both.mapInArrow(_confirm(similarity), "a long, b long"), "confirmed")
+        found = stage(both.mapInArrow(_confirm(similarity), "a long, b long"), "confirmed")
+        drop(rows.sparkSession, at_pairs, at_sets)
+        return found
 
     # All members of a bucket against two of them.
     order = [F.col("node").bitwiseXOR(F.lit(c)) for c in _ORDERS]
@@ -184,7 +188,7 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
     # What is left: pairs of nodes of one bucket in different components.
     open_ = shared.where("n > 2").select("key", "node", "size", "sieve")
     open_ = open_.join(label.withColumnRenamed("a", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_ = stage(open_, "open")
+    open_, open_path = stage_at(open_, "open")
     drop(rows.sparkSession, shared_path)
     parts = open_.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"))
     mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("key")
@@ -193,18 +197,21 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
     other = open_.select("key", F.col("component").alias("component2"), F.col("node").alias("node2"), F.col("size").alias("size2"), F.col("sieve").alias("sieve2"))
     rest = open_.join(ways, ["key", "component"]).join(other, ["key", "component2"]).where(possible)
     late = confirmed(_pair(rest))
+    drop(rows.sparkSession, open_path)
 
     label = components(label.select("a", F.col("component").alias("b")).unionByName(late))
     named = firsts.join(label.withColumnRenamed("a", "node"), "node", "left").select("node", "n", "first", F.coalesce("component", "node").alias("component"))
     named = stage(named, "labelled")
     heads = named.groupBy("component").agg(F.min("first").alias("head"), F.count(F.lit(1)).alias("members"))
     named = attach(named, stage(heads, "heads"), "component", "members", distinct).select("node", "n", F.col("head.row").alias("keep"))
-    return attach(made.select("row", "node"), stage(named, "named"), "node", "n", made.count()).select("row", "keep")
+    return attach(rows_of, stage(named, "named"), "node", "n", total_rows).select("row", "keep")
 
 
+@tidy
 def drop_similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall: float = 0.995, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of linked rows stays; all columns are kept."""
-    docs = numbered(docs, "_row")
-    rows = docs.select(F.col("_row").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    gone = linked_rows(rows, similarity, shingle, recall).where("row <> keep").select(F.col("row").alias("_row"))
-    return docs.join(gone, "_row", "left_anti").drop("_row")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = numbered(docs.toDF(*names), "row")
+    rows = plain.select("row", F.col(names[docs.columns.index(id_col)]).alias("id"), F.col(names[docs.columns.index(text_col)]).alias("text"))
+    gone = stage(linked_rows(rows, similarity, shingle, recall).where("row <> keep").select("row"), "gone")
+    return plain.join(gone, "row", "left_anti").select(*names).toDF(*docs.columns)

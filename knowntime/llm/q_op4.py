@@ -14,4 +14,4 @@ def fifth(column):
 def query(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     scored = toxicity_scores(docs, labels, train=fifth("_id") != 0)
-    return scored.select("doc_id", (fifth("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(fifth("doc_id") == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

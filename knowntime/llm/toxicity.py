@@ -1,44 +1,49 @@
 """Toxicity: a bidirectional GRU with attention pooling over character and word inputs.
 
 Words are runs of bytes other than ASCII punctuation and white space, A-Z in
-lower case. A word's inputs are the mean of learned byte embeddings, a learned
-embedding of its hash, and three pieces of evidence: log odds of the word and of its
-strongest 4-gram and 5-gram of bytes, word boundaries included. Two GRUs read a
-window of words from either end, attention pools their states, and a logistic
-unit scores the window. All windows of a text are scored, each overlapping the
-next, and the text has the score of its worst window, calibrated.
-
-The fit uses at most ``label_sample`` labelled rows (those with the smallest
-hash of their id), which bounds what is broadcast, and at most ``fit_documents``
-texts of each label on the driver, ``fit_bytes`` together; a text over a 32nd of that
-is fitted on its windows of the most evidence and on evenly spaced ones. Buckets that
-are not 1.5 times over the toxic share in toxic texts are no evidence.
-Log odds are taken across two folds so that no text is evidence for itself.
-Everything but the fit sees every row and the whole text.
-
-Scale: one scan for the evidence, one for the fit, one map over the documents;
-nothing of the corpus is shuffled but counts by hash bucket.
+lower case. A word's inputs are a learned embedding of its hash and the largest
+values, over its runs of four and of five bytes (its two ends included), of learned
+embeddings of those runs: a one-layer convolution over characters in their order.
+Two GRUs read a window of words from either end, attention pools their states, and a
+logistic unit scores the window. All windows of a text are scored, each overlapping
+the next, and the text has the score of its worst window, calibrated. All weights are
+learnt from labels by back-propagation: first every window of a toxic text counts as
+toxic, then the one that scores worst.
+
+The fit is a classifier's on a bounded sample: at most ``label_sample`` labelled rows
+(those with the smallest hash of their id), which bounds what is broadcast, and about
+``fit_bytes`` bytes of texts of either label, chosen by a hash. A text over a 32nd of
+that is fitted on evenly spaced parts of it. The fit is one Spark task whose row of weights is
+all that the driver sees. Scores see every row and the whole text.
+
+Scale: one scan for the labelled rows, one map over the documents; nothing of the
+corpus is shuffled but the sample.
 
 Edge cases: null and empty texts are fitted and scored as a window without words. Rows
 whose label is null are not used; without labels of both kinds every score is
-the prior. Repeated rows are repeated in the result.
+the prior. Repeated rows are repeated in the result. Columns keep their names,
+whatever they are.
 """
 
 from __future__ import annotations
 
+import io
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .staging import stage
+from .sampling import below, fit_in_task, parts
+from .staging import stage, tidy
 from .vectortext import mix, slabs, words
 
-BUCKETS = 1 << 17
 WINDOW, STRIDE = 32, 16
 #: Everything in ASCII that is neither a letter nor a digit.
 BREAK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
-HIDDEN, WORD_DIM, BYTE_DIM, WORD_SLOTS = 8, 6, 4, 4096
+HIDDEN, WORD_DIM, RUN_DIM = 12, 8, 12
+WORD_SLOTS, RUN_SLOTS = 1 << 14, 1 << 16
+RUNS, BATCH = (4, 5), 128
 
 
 def _lines(batch, column: int):
@@ -47,67 +52,54 @@ def _lines(batch, column: int):
 
 
 class Inputs:
-    """The words of several texts with their evidence buckets (word, 4-gram, 5-gram)."""
+    """The distinct words of several texts, with their runs of bytes, and the windows over them."""
 
     def __init__(self, texts: list[bytes]):
-        self.w = w = words(texts, BREAK)
-        n = len(w.data)
-        sep = np.concatenate((BREAK[w.data], np.ones(6, bool)))
-        clean = np.concatenate((np.where(sep[:n], np.uint8(32), w.data), np.full(6, 32, np.uint8))).astype(np.uint64)
-        self.word = (w.hash % np.uint64(BUCKETS)).astype(np.int64)
-        self.grams = []
-        for size in (4, 5):
-            g = np.zeros(n, np.uint64)
-            for k in range(size):
-                g |= clean[k : k + n] << np.uint64(8 * k)
-            crossing = np.zeros(n, bool)
-            for k in range(1, size - 1):
-                crossing |= sep[k : k + n]
-            self.grams.append(((mix(g) % np.uint64(BUCKETS)).astype(np.int64), ~crossing))
-
-    def buckets(self, d: int) -> list[np.ndarray]:
-        """The distinct buckets of each kind in text d."""
-        w = self.w
-        a, b = w.first[d], w.first[d + 1]
-        if a == b:
-            return [np.zeros(0, np.int64)] * 3
-        lo, hi = max(0, w.start[a] - 1), w.end[b - 1]
-        return [np.unique(self.word[a:b]), *(np.unique(g[lo:hi][ok[lo:hi]]) for g, ok in self.grams)]
-
-    def evidence(self, odds: np.ndarray) -> np.ndarray:
-        """Log odds of every word, of its strongest 4-gram and of its strongest 5-gram."""
-        w = self.w
-        if not len(w.start):
-            return np.zeros((0, 3), np.float32)
-        found = [odds[0][self.word]]
-        begin = np.maximum(w.start - 1, 0)
-        for table, (g, ok) in zip(odds[1:], self.grams):
-            best = np.maximum.reduceat(np.where(ok, table[g], np.float32(-4)), begin)
-            found.append(np.where(best <= -4, np.float32(0), best))
-        return np.stack(found, 1).astype(np.float32)
-
-    def means(self, bytes_: np.ndarray) -> np.ndarray:
-        """Mean embedding of every word's bytes."""
-        w = self.w
-        total = np.concatenate((np.zeros((1, BYTE_DIM)), np.cumsum(bytes_[w.data], axis=0, dtype=np.float64)))
-        return ((total[w.end] - total[w.start]) / (w.end - w.start)[:, None]).astype(np.float32)
-
-    def slots(self) -> np.ndarray:
-        return (self.w.hash % np.uint64(WORD_SLOTS)).astype(np.int64)
-
-    def features(self, odds: np.ndarray, bytes_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Evidence (words x 3), mean byte embedding, embedding slot."""
-        return self.evidence(odds), self.means(bytes_), self.slots()
+        w = words(texts, BREAK)
+        self.first = w.first
+        hashes, lead, self.of = np.unique(w.hash, return_index=True, return_inverse=True)
+        self.slot = (hashes % np.uint64(WORD_SLOTS)).astype(np.int64)
+        start, size = w.start[lead], w.end[lead] - w.start[lead]
+        # Each distinct word with a blank at either end, one after the other, and blanks to spare.
+        begin = np.concatenate(([0], np.cumsum(size + 2)))
+        spot = np.arange(begin[-1]) - np.repeat(begin[:-1], size + 2)
+        inner = (spot > 0) & (spot <= np.repeat(size, size + 2))
+        data = np.full(begin[-1] + max(RUNS), 32, np.uint64)
+        data[: begin[-1]][inner] = w.data[(np.repeat(start, size + 2) + spot - 1)[inner]]
+        word = np.repeat(np.arange(len(lead)), size + 2)
+        left = np.repeat(size + 2, size + 2) - spot
+        slots, owners = [], []
+        for n in RUNS:
+            run = np.zeros(begin[-1], np.uint64)
+            for k in range(n):
+                run |= data[k : k + begin[-1]] << np.uint64(8 * k)
+            whole = (left >= n) | ((spot == 0) & (n == RUNS[0]))
+            slots.append((mix(run + np.uint64(n)) % np.uint64(RUN_SLOTS)).astype(np.int64)[whole])
+            owners.append(word[whole])
+        self.run, self.owner = np.concatenate(slots), np.concatenate(owners)
+        order = np.argsort(self.owner, kind="stable")
+        self.run, self.owner = self.run[order], self.owner[order]
+        self.cut = np.searchsorted(self.owner, np.arange(len(lead)))
+
+    def part(self, used: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Word slots, run slots, owners and cuts of some of the distinct words."""
+        ends = np.append(self.cut, len(self.run))
+        n = ends[used + 1] - ends[used]
+        cut = np.concatenate(([0], np.cumsum(n)))
+        at = np.repeat(ends[used] - cut[:-1], n) + np.arange(cut[-1])
+        return self.slot[used], self.run[at], np.repeat(np.arange(len(used)), n), cut[:-1]
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers of each window (-1 past the end) and the text of each window."""
-        first = self.w.first
+        """Distinct words of each window (-1 past the end) and the text of each window."""
+        first = self.first
         n = np.diff(first)
         count = 1 + np.maximum(0, -(-(n - WINDOW) // STRIDE))
         doc = np.repeat(np.arange(len(n)), count)
         nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
         at = nth[:, None] * STRIDE + np.arange(WINDOW)
-        return np.where(at < n[doc][:, None], at + first[doc][:, None], -1), doc
+        real = at < n[doc][:, None]
+        of = np.append(self.of, -1)
+        return of[np.where(real, at + first[doc][:, None], len(of) - 1)], doc
 
 
 def sigmoid(x):
@@ -119,19 +111,34 @@ class Net:
 
     def __init__(self, seed: int = 1):
         rng = np.random.default_rng(seed)
-        e, h = 3 + BYTE_DIM + WORD_DIM, HIDDEN
+        e, h = RUN_DIM + WORD_DIM, HIDDEN
 
         def normal(*shape):
             return (rng.normal(size=shape) * 0.3).astype(np.float32)
 
-        self.p = {"words": normal(WORD_SLOTS, WORD_DIM) * 0.1, "bytes": normal(256, BYTE_DIM)}
+        self.p = {"words": normal(WORD_SLOTS, WORD_DIM) * 0.1, "runs": normal(RUN_SLOTS, RUN_DIM) * 0.1}
         for d in "fb":
             self.p |= {f"W{d}": normal(e, 3 * h), f"U{d}": normal(h, 3 * h), f"c{d}": np.zeros(3 * h, np.float32)}
         self.p |= {"A": normal(2 * h, h), "v": normal(h), "o": normal(2 * h), "k": np.zeros(1, np.float32)}
         self.scale, self.shift = 1.0, 0.0
 
-    def inputs(self, evidence, mean, slot):
-        return np.concatenate((evidence, mean, self.p["words"][slot]), 1)
+    def to_bytes(self) -> bytes:
+        held = io.BytesIO()
+        np.savez(held, scale=self.scale, shift=self.shift, **self.p)
+        return held.getvalue()
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> Net:
+        net, held = cls.__new__(cls), dict(np.load(io.BytesIO(data)))
+        net.scale, net.shift = float(held.pop("scale")), float(held.pop("shift"))
+        net.p = held
+        return net
+
+    def inputs(self, slot, run, owner, cut):
+        """A row a word: the largest value of each run dimension, and the word's embedding."""
+        if not len(slot):
+            return np.zeros((0, RUN_DIM + WORD_DIM), np.float32)
+        return np.concatenate((np.maximum.reduceat(self.p["runs"][run], cut), self.p["words"][slot]), 1)
 
     def forward(self, x: np.ndarray, at: np.ndarray, keep: bool = False):
         """Logit of each window; ``x`` has a row a word, ``at`` word numbers or -1."""
@@ -161,12 +168,13 @@ class Net:
         logit = pooled @ p["o"] + p["k"]
         return (logit, (tape, states, att, a, pooled, real, index)) if keep else logit
 
-    def gradients(self, evidence, mean, slot, at, y):
-        """Logistic loss on windows, back through attention and both GRUs."""
+    def gradients(self, part, at, y):
+        """Logistic loss on windows, back through attention, both GRUs and the convolution."""
         p, H = self.p, HIDDEN
-        x = self.inputs(evidence, mean, slot)
+        slot, run, owner, cut = part
+        x = self.inputs(*part)
         logit, (tape, states, att, a, pooled, real, index) = self.forward(x, at, True)
-        g = {k: np.zeros_like(v) for k, v in p.items()}
+        g = {}
         dl = ((sigmoid(logit) - y) / len(y)).astype(np.float32)
         g["o"], g["k"] = pooled.T @ dl, dl.sum(keepdims=True)
         dpool = dl[:, None] * p["o"]
@@ -176,11 +184,11 @@ class Net:
         g["v"] = np.einsum("tn,tnh->h", de, att)
         g["A"] = np.einsum("tni,tnj->ij", states, datt)
         dstates = a[:, :, None] * dpool + datt @ p["A"].T
-        dx = np.zeros((len(x) + 1, x.shape[1]), np.float32)
+        dx = np.zeros_like(x)
         n, T = at.shape
         for j, d in enumerate("fb"):
             U, dh = p[f"U{d}"], np.zeros((n, H), np.float32)
-            dproj = np.zeros((len(x) + 1, 3 * H), np.float32)
+            into, dU = np.empty((T, n, 3 * H), np.float32), np.zeros_like(U)
             for t in reversed(range(T)) if d == "f" else range(T):
                 h, z, r, c, uc = tape[d, t]
                 dh = dh + dstates[t, :, j * H : (j + 1) * H]
@@ -188,181 +196,105 @@ class Net:
                 dc = live * (1 - z) * (1 - c * c)
                 dz = live * (h - c) * z * (1 - z)
                 dr = dc * uc * r * (1 - r)
-                dg = np.concatenate((dz, dr, dc), 1)
+                into[t] = np.concatenate((dz, dr, dc), 1)
                 du = np.concatenate((dz, dr, dc * r), 1)
-                g[f"U{d}"] += h.T @ du
+                dU += h.T @ du
                 dh = np.where(real[:, t, None], live * z + du @ U.T, dh)
-                np.add.at(dproj, index[:, t], dg)
-            dproj = dproj[:-1]
+            dproj = np.zeros((len(x) + 1, 3 * H), np.float32)
+            at_rows, summed = _sum_rows(index.T.ravel(), into.reshape(-1, 3 * H))
+            dproj[at_rows] = summed
+            dproj, g[f"U{d}"] = dproj[:-1], dU
             g[f"W{d}"], g[f"c{d}"] = x.T @ dproj, dproj.sum(0)
-            dx[:-1] += dproj @ p[f"W{d}"].T
-        np.add.at(g["words"], slot, dx[:-1, 3 + BYTE_DIM :])
-        return g, dx[:-1, 3 : 3 + BYTE_DIM]
+            dx += dproj @ p[f"W{d}"].T
+        g["words"] = _sum_rows(slot, dx[:, RUN_DIM:])
+        # The largest value of a dimension has its gradient.
+        value = p["runs"][run]
+        g["runs"] = _sum_rows(run, np.where(value == x[owner, :RUN_DIM], dx[owner, :RUN_DIM], np.float32(0)))
+        return g
+
+
+def _sum_rows(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct entries of ``index`` and the sum of ``values`` at each."""
+    if not len(index):
+        return index, values
+    order = np.argsort(index, kind="stable")
+    cut = np.flatnonzero(np.diff(index[order], prepend=index[order[0]] - 1))
+    return index[order[cut]], np.add.reduceat(values[order], cut)
 
 
 class Adam:
+    """Gradients are arrays, or (rows, values) of the rows of a table that they touch."""
+
     def __init__(self, params: dict, rate: float):
         self.p, self.rate, self.n = params, rate, 0
         self.m = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in params.items()}
 
     def step(self, grads: dict) -> None:
         self.n += 1
+        rate, level = np.float32(self.rate / (1 - 0.9**self.n)), np.float32(1 - 0.999**self.n)
         for k, g in grads.items():
-            m, v = self.m[k]
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            self.p[k] -= self.rate * (m / (1 - 0.9**self.n)) / (np.sqrt(v / (1 - 0.999**self.n)) + 1e-8)
-
-
-def _count(batches):
-    """Texts with each bucket, by (kind and bucket, fold, label)."""
-    held = np.zeros((2, 2, 3 * BUCKETS), np.int32)
-    texts_of = np.zeros((2, 2), np.int64)
-    for batch in batches:
-        label, fold = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-        for a, b, texts in _lines(batch, 0):
-            seen = Inputs(texts)
-            for d in range(b - a):
-                texts_of[fold[a + d], label[a + d]] += 1
-                for kind, found in enumerate(seen.buckets(d)):
-                    held[fold[a + d], label[a + d], kind * BUCKETS + found] += 1
-    for f in range(2):
-        at = np.flatnonzero(held[f].any(0))
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.full(len(at) + 1, f), pa.int32()), *(pa.array(np.append(held[f, y, at], texts_of[f, y]), pa.int64()) for y in (0, 1))], ["bucket", "fold", "n0", "n1"])
-
-
-def log_odds(n0: np.ndarray, n1: np.ndarray, all0: float, all1: float, prior: float = 20.0) -> np.ndarray:
-    """Smoothed log odds of a bucket against the share of labels; 0 where it says nothing."""
-    share = max(all1, 1) / max(all0 + all1, 2)
-    return (np.log((n1 + prior * share) / (n0 + prior * (1 - share))) - np.log(share / (1 - share))).astype(np.float32)
-
-
-def excerpt(inputs: Inputs, evidence: np.ndarray, limit: int) -> bytes:
-    """Windows of one text, in their order, up to ``limit`` bytes: for half of them those of the most evidence, then evenly spaced ones."""
-    w = inputs.w
-    at = inputs.windows()[0][::2]
-    real = at >= 0
-    strength = np.where(real, np.append(evidence.sum(1), 0)[at], -1e9).max(1)
-    first, last = at[:, 0], np.where(real, at, -1).max(1)
-    size = w.end[last] - w.start[first] + 1
-    strong = np.argsort(-strength, kind="stable")
-    spread = np.arange(len(at)) * 0.6180339887498949 % 1
-    chosen = np.zeros(len(at), bool)
-    chosen[strong[: max(1, int(np.searchsorted(np.cumsum(size[strong]), limit // 2, "right")))]] = True
-    others = np.argsort(spread, kind="stable")
-    others = others[~chosen[others]]
-    left = limit - size[chosen].sum()
-    chosen[others[: int(np.searchsorted(np.cumsum(size[others]), left, "right"))]] = True
-    pieces = [w.data[w.start[first[i]] : w.end[last[i]]].tobytes() for i in np.flatnonzero(chosen)]
-    return b"\n".join(pieces)[:limit]
-
-
-def _excerpts(odds: list[np.ndarray], limit: int):
-    """Texts over ``limit`` bytes as excerpts, by the evidence of the other fold; null is empty."""
+            rows, g = g if isinstance(g, tuple) else (slice(None), g)
+            m, v = (x[rows] for x in self.m[k])
+            m = m + np.float32(0.1) * (g - m)
+            v = v + np.float32(0.001) * (g * g - v)
+            self.m[k][0][rows], self.m[k][1][rows] = m, v
+            self.p[k][rows] -= rate * m / (np.sqrt(v / level) + np.float32(1e-8))
 
-    def run(batches):
-        for batch in batches:
-            fold = batch.column(2).to_numpy()
-            for a, b, texts in _lines(batch, 0):
-                for i, t in enumerate(texts):
-                    if len(t) > limit:
-                        inputs = Inputs([t])
-                        found = inputs.evidence(odds[fold[a + i]])
-                        texts[i] = excerpt(inputs, found, limit) if len(found) else b""
-                made = pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string())
-                yield pa.RecordBatch.from_arrays([made, *(c.slice(a, b - a) for c in batch.columns[1:])], batch.schema.names)
 
-    return run
+def _chosen(toxic, rank, count, first: bool, rng) -> np.ndarray:
+    """Windows to learn from: at first some of every text, then the worst of each and a tenth of the clean ones."""
+    lot = rng.random(len(rank))
+    if first:
+        return np.flatnonzero(lot < 6 / count)
+    return np.flatnonzero(np.where(toxic, rank == 0, (rank == 0) | (lot < 0.1)))
 
 
-def fit(labelled: DataFrame, fit_documents: int = 1500, fit_bytes: int = 4 << 20, seed: int = 1):
-    """(odds tables, net) from rows (text, label 0/1, place); place orders and folds them."""
-    rows = labelled.select("text", "label", F.pmod("place", F.lit(2)).cast("int").alias("fold"), "place")
-    counts = rows.select("text", "label", "fold").mapInArrow(_count, "bucket long, fold int, n0 long, n1 long")
-    # Buckets of a fixed table: at most 3 * BUCKETS rows.
-    counts = stage(counts.groupBy("bucket").agg(*[F.sum(F.when(F.col("fold") == f, F.col(n)).otherwise(0)).alias(f"{n}_{f}") for n in ("n0", "n1") for f in (0, 1)]), "odds")
-    whole = counts.where("bucket = -1").toPandas().sum()
-    share = float(whole.get("n1_0", 0) + whole.get("n1_1", 0)) / max(float(whole.drop("bucket", errors="ignore").sum()), 1.0)
-    # Evidence is what toxic texts have more often than others; all else says nothing.
-    n1, n = F.col("n1_0") + F.col("n1_1"), F.col("n1_0") + F.col("n1_1") + F.col("n0_0") + F.col("n0_1")
-    table = counts.where((F.col("bucket") >= 0) & (n1 > 1) & (n1 > 1.5 * share * n)).toPandas()
-
-    def odds(folds):
-        n0, n1, all0, all1 = (sum(x[f"{n}_{f}"] for f in folds) for x, n in ((table, "n0"), (table, "n1"), (whole, "n0"), (whole, "n1")))
-        out = np.zeros(3 * BUCKETS, np.float32)
-        out[table["bucket"].to_numpy(np.int64)] = log_odds(np.asarray(n0, float), np.asarray(n1, float), float(all0), float(all1))
-        return out.reshape(3, BUCKETS)
-
-    net = Net(seed)
-    all0, all1 = (float(sum(whole.get(f"{n}_{f}", 0) for f in (0, 1))) for n in ("n0", "n1"))
-    if min(all0, all1) < 1:
-        net.p["o"][:] = 0
-        net.shift = float(np.log((all1 + 0.5) / (all0 + 0.5)))
-        return odds((0, 1)), net
-    rows = rows.select("text", "label", "fold", "place").mapInArrow(_excerpts([odds((1,)), odds((0,))], fit_bytes // 32), rows.schema)
-    taken = [rows.where(F.col("label") == y).orderBy("place").limit(fit_documents).toPandas() for y in (1, 0)]
-    texts, y, fold = [], [], []
-    for frame in taken:
-        size = frame["text"].map(lambda t: len((t or "").encode())).cumsum()
-        frame = frame[size <= fit_bytes]
-        texts += [(t or "").encode().lower() for t in frame["text"]]
-        y += frame["label"].tolist()
-        fold += frame["fold"].tolist()
-    _train(net, texts, np.array(y), np.array(fold), [odds((1,)), odds((0,))], seed)
-    # The fit saw both labels about equally often; scores are for texts as they come.
-    net.shift += float(np.log(all1 / all0) - np.log(max(sum(y), 1) / max(len(y) - sum(y), 1)))
-    return odds((0, 1)), net
-
-
-def _train(net: Net, texts, y, fold, odds, seed: int, epochs: int = 6) -> None:
-    """Worst windows of toxic texts against worst and random windows of others, chosen anew every epoch."""
+def train(net: Net, texts: list[bytes], y: np.ndarray, seed: int = 1, warm: int = 3, epochs: int = 6, rate: float = 0.015) -> None:
     rng = np.random.default_rng(seed)
-    sets = []
-    for f in (0, 1):
-        own, at = np.flatnonzero(fold == f), 0
-        ends = np.cumsum([len(texts[i]) for i in own])
-        while at < len(own):
-            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 18), "right")))
-            inputs = Inputs([texts[i] for i in own[at:to]])
-            evidence, (at_words, doc) = inputs.evidence(odds[f]), inputs.windows()
-            inputs.grams = None
-            sets.append((inputs, evidence, inputs.slots(), at_words, own[at:to][doc]))
-            at = to
-    opt = Adam(net.p, 0.01)
+    ends, sets, at = np.cumsum([len(t) for t in texts]), [], 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 18), "right")))
+        inputs = Inputs(texts[at:to])
+        windows, doc = inputs.windows()
+        sets.append((inputs, windows, doc + at))
+        at = to
+    opt = Adam(net.p, rate)
     for epoch in range(epochs):
-        for inputs, evidence, slot, at, doc in sets:
-            if not len(doc):
-                continue
-            mean = inputs.means(net.p["bytes"])
-            strength = np.where(at >= 0, np.append(evidence.sum(1), 0)[at], -1e9).max(1) if epoch == 0 else net.forward(net.inputs(evidence, mean, slot), at)
+        for inputs, at, doc in sets:
+            first = epoch < warm
+            strength = rng.random(len(doc)) if first else _logits(net, inputs, at)
             order = np.lexsort((-strength, doc))
+            begin = np.searchsorted(doc[order], doc[order])
             rank = np.empty(len(doc), np.int64)
-            rank[order] = np.arange(len(doc)) - np.searchsorted(doc[order], doc[order])
-            toxic = y[doc] == 1
-            chosen = np.flatnonzero(np.where(toxic, rank == 0, (rank == 0) | (rng.random(len(doc)) < 0.1)))
+            rank[order] = np.arange(len(doc)) - begin
+            count = np.bincount(doc - doc[0])[doc - doc[0]]
+            chosen = _chosen(y[doc] == 1, rank, count, first, rng)
             rng.shuffle(chosen)
-            for i in range(0, len(chosen), 64):
-                part = chosen[i : i + 64]
+            for i in range(0, len(chosen), BATCH):
+                part = chosen[i : i + BATCH]
                 used, inverse = np.unique(at[part], return_inverse=True)
                 skip = int(len(used) > 0 and used[0] < 0)
-                used, local = used[skip:], inverse.reshape(len(part), -1) - skip
-                grads, dmean = net.gradients(evidence[used], mean[used], slot[used], local, y[doc[part]])
-                w = inputs.w
-                size = w.end[used] - w.start[used]
-                spots = np.repeat(w.start[used] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
-                np.add.at(grads["bytes"], w.data[spots], np.repeat(dmean / size[:, None], size, axis=0))
-                opt.step(grads)
+                opt.step(net.gradients(inputs.part(used[skip:]), inverse.reshape(len(part), -1) - skip, y[doc[part]]))
     logit, labels = [], []
-    for inputs, evidence, slot, at, doc in sets:
-        if len(doc):
-            mean = inputs.means(net.p["bytes"])
-            scores = net.forward(net.inputs(evidence, mean, slot), at)
-            cut = np.flatnonzero(np.diff(doc, prepend=-1))
-            logit.append(np.maximum.reduceat(scores, cut))
-            labels.append(y[doc[cut]])
+    for inputs, at, doc in sets:
+        cut = np.flatnonzero(np.diff(doc, prepend=-1))
+        logit.append(np.maximum.reduceat(_logits(net, inputs, at), cut))
+        labels.append(y[doc[cut]])
     net.scale, net.shift = _calibrate(np.concatenate(logit).astype(float), np.concatenate(labels))
 
 
+def _logits(net: Net, inputs: Inputs, at: np.ndarray) -> np.ndarray:
+    x = net.inputs(inputs.slot, inputs.run, inputs.owner, inputs.cut)
+    return np.concatenate([net.forward(x, at[i : i + 2048]) for i in range(0, len(at), 2048)])
+
+
+def worst(net: Net, texts: list[bytes]) -> np.ndarray:
+    """The logit of the worst window of every text."""
+    inputs = Inputs(texts)
+    at, doc = inputs.windows()
+    return np.maximum.reduceat(_logits(net, inputs, at).astype(float), np.searchsorted(doc, np.arange(len(texts))))
+
+
 def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """A logistic fit of the label on the worst window's logit, lightly held back."""
     a, b = 1.0, 0.0
@@ -375,35 +307,81 @@ def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a, 0.05)), float(b)
 
 
-def _score(odds: np.ndarray, net: Net, text_at: int, score_col: str):
+def _excerpts(limit: int):
+    """Long texts in evenly spaced parts; null is empty."""
+
+    def run(batches):
+        for batch in batches:
+            for a, b, texts in _lines(batch, 0):
+                made = [parts(t, limit) for t in texts]
+                size = pa.array([len(t) for t in made], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary()), *(c.slice(a, b - a) for c in batch.columns[1:]), size], [*batch.schema.names, "size"])
+
+    return run
+
+
+def fit(labelled: DataFrame, fit_bytes: int = 8 << 20, seed: int = 1) -> Net:
+    """The network from rows (text, label 0/1, place); ``place`` is a hash that chooses rows."""
+    rows = labelled.select("text", "label", F.xxhash64("place", "text").alias("place"))
+    rows = stage(rows.mapInArrow(_excerpts(fit_bytes // 32), "text binary, label int, place long, size long"), "labelled")
+    sums = {r.label: (r.n, r.size) for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).collect()}
+    all0, all1 = (sums.get(k, (0, 0))[0] for k in (0, 1))
+    if not (all0 and all1):
+        net = Net(seed)
+        net.p["o"][:] = 0
+        net.shift = float(np.log((all1 + 0.5) / (all0 + 0.5)))
+        return net
+
+    def learn(table: pa.Table) -> bytes:
+        net, y = Net(seed), table.column("label").to_numpy().astype(np.int64)
+        if 0 < y.sum() < len(y):
+            train(net, table.column("text").to_pylist(), y, seed)
+        # The sample need not hold both labels as often as all rows do; scores are for texts as they come.
+        net.shift += float(np.log(all1 / all0) - np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
+        return net.to_bytes()
+
+    taken = F.lit(False)
+    for label, (_, size) in sums.items():
+        taken = taken | ((F.col("label") == label) & below(F.col("place"), fit_bytes / max(size, 1)))
+    made = fit_in_task(rows.where(taken).select("text", "label", "place"), ["place", "text"], learn)
+    return Net.from_bytes(made) if made else Net(seed)
+
+
+def _score(net: Net, text_at: int):
     def run(batches):
         for batch in batches:
             for a, b, texts in _lines(batch, text_at):
-                inputs = Inputs(texts)
-                x = net.inputs(*inputs.features(odds, net.p["bytes"]))
-                at, doc = inputs.windows()
-                logit = np.concatenate([net.forward(x, at[i : i + 4096]) for i in range(0, len(at), 4096)])
-                worst = np.maximum.reduceat(logit.astype(float), np.searchsorted(doc, np.arange(b - a)))
-                score = pa.array(sigmoid(np.clip(net.scale * worst + net.shift, -30, 30)))
-                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), score], [*batch.schema.names, score_col])
+                score = pa.array(sigmoid(np.clip(net.scale * worst(net, texts) + net.shift, -30, 30)))
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), score], [*batch.schema.names, "score"])
 
     return run
 
 
-def with_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None, label_sample: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", score_col: str = "toxicity", **options) -> DataFrame:
-    """``docs`` with a score column; ``train`` selects the rows of ``labels`` (id as ``_id``) that may be learnt from."""
+def _scored(docs: DataFrame, labels: DataFrame, train: Column | None, label_sample: int, id_col: str, text_col: str, label_col: str, options: dict) -> DataFrame:
+    """``docs`` under plain names c0, c1, ... with ``score``."""
     usable = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"), F.xxhash64(F.lit("fit"), F.col(id_col)).alias("place"))
     usable = usable.where("label in (0, 1)")
     if train is not None:
         usable = usable.where(train)
+    # At most label_sample narrow rows.
     sample = usable.orderBy("place", "_id").limit(label_sample)
-    labelled = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).join(F.broadcast(sample), F.col("_doc") == F.col("_id")).select("text", "label", "place")
-    odds, net = fit(labelled, **options)
-    # Plain names inside the task, whatever the columns are called.
     names = [f"c{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*names)
-    scored = plain.mapInArrow(_score(odds, net, docs.columns.index(text_col), "score"), plain.limit(0).select("*", F.lit(0.0).alias("score")).schema)
-    return scored.toDF(*docs.columns, score_col)
+    plain, text = docs.toDF(*names), names[docs.columns.index(text_col)]
+    of = F.col(names[docs.columns.index(id_col)]) == F.col("_id")
+    net = fit(plain.join(F.broadcast(sample), of).select(F.col(text).alias("text"), "label", "place"), **options)
+    return plain.mapInArrow(_score(net, docs.columns.index(text_col)), plain.select("*", F.lit(0.0).alias("score")).schema)
+
+
+@tidy
+def with_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None, label_sample: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", score_col: str = "toxicity", **options) -> DataFrame:
+    """``docs`` with a score column; ``train`` selects the rows of ``labels`` (id as ``_id``) that may be learnt from."""
+    return _scored(docs, labels, train, label_sample, id_col, text_col, label_col, options).toDF(*docs.columns, score_col)
+
+
+@tidy
+def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5, train: Column | None = None, label_sample: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> DataFrame:
+    """The rows that score under ``limit``, with all their columns."""
+    return _scored(docs, labels, train, label_sample, id_col, text_col, label_col, options).where(F.col("score") < limit).drop("score").toDF(*docs.columns)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
