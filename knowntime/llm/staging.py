@@ -77,6 +77,11 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return stage(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _file_system(spark, path)
+    return fs.exists(p)
+
+
 def drop(spark: SparkSession, *paths: str) -> None:
     """Delete staged tables that no later plan reads."""
     for path in paths:
