@@ -4,17 +4,17 @@ A fingerprint bit is set if it is set in over half of the hashes of a text's
 word shingles (XXH64, seed 42, repeats included). Two fingerprints link at up to
 ``distance`` differing bits. Copies of a fingerprint are one node.
 
-Cut into m = distance + 1 segments on a ring, two linked fingerprints must have
-a start from which every chain of l consecutive segments differs in at most
-l * distance / m bits (the pigeonring principle). Candidates are joined on a
-prefix of that chain: the probe side writes the prefix with every pattern of
-differing bits that the budgets allow, the index side as it is. The remaining
-chains are checked by bit counts in the join, then the full distance. Prefixes
-take as many segments as needed for a key of about log2(n) bits, which changes
-the cost, not the links.
-
-Scale: rows per fingerprint are a constant of (distance, segments). A prefix
-that over ``crowd`` fingerprints share is not paired out: its members each write
+The 64 bits are cut into m segments on a ring, m > distance. Two linked fingerprints
+agree in m - distance segments at least, and have a start from which every chain of l
+consecutive segments differs in at most l * distance / m bits (the pigeonring
+principle). So a fingerprint is written once for each choice of m - distance
+segments, with their bits as key; pairs that meet at a key are pruned by the budgets of
+the chains, then checked by the full distance. m is as large as is needed for
+keys of about log2(n) bits, which changes the cost, not the links.
+
+Scale: at distance 4 a fingerprint has 5 rows up to 2**14 fingerprints, 15 up to 2**23,
+35 up to 2**29, 70 up to 2**34 (1.7e10). A key that over ``crowd`` fingerprints
+share is not paired out: its members each write
 the points within half the distance and are linked through the smallest
 fingerprint at a point: a fixed number of rows each and the same components.
 
@@ -31,12 +31,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .skew import attach
-from .staging import stage
+from .staging import numbered, stage, tidy
 from .vectortext import mix, slabs
 
 BITS = 64
@@ -91,57 +91,45 @@ def segments(m: int) -> list[list[int]]:
     return [list(range(a, b)) for a, b in zip(cuts, cuts[1:])]
 
 
-def chain(start: int, distance: int, taken: int) -> tuple[int, list[int], list[tuple[int, int]]]:
-    """Key mask, allowed differences inside it, and (mask, budget) of every longer chain."""
-    parts, m = segments(distance + 1), distance + 1
-    order = [parts[(start + i) % m] for i in range(m)]
-    patterns = [0]
-    for i in range(taken):
-        budget, grown = (i + 1) * distance // m, []
-        for p in patterns:
-            for k in range(budget - p.bit_count() + 1):
-                grown += [p | sum(1 << b for b in c) for c in combinations(order[i], k)]
-        patterns = grown
-    mask, masks = 0, []
-    for i in range(m):
-        mask |= sum(1 << b for b in order[i])
-        masks.append((_signed(mask), (i + 1) * distance // m))
-    return masks[taken - 1][0], [_signed(p) for p in patterns], masks[taken:]
+def cuts(distance: int, n: int) -> int:
+    """Segments: the fewest whose keys have about log2(n) bits."""
+    m = distance + 1
+    while BITS * (m - distance) // m < n.bit_length() - 2 and m < 16:
+        m += 1
+    return m
 
 
-def links(nodes: DataFrame, distance: int, n: int, crowd: int = 4096) -> DataFrame:
-    """(a, b): linked pairs of the distinct fingerprints ``fp``, enough for their components."""
-    m, width = distance + 1, BITS // (distance + 1)
-    taken = min(m - 1, max(2, -(-max(1, n.bit_length() - 2) // width)))
-    chains = [chain(i, distance, taken) for i in range(m)]
+def key_masks(m: int, distance: int) -> list[int]:
+    """The bits of every choice of m - distance segments."""
+    parts = segments(m)
+    return [_signed(sum(1 << b for i in chosen for b in parts[i])) for chosen in combinations(range(m), m - distance)]
 
-    def keys(fp, i, pattern=None):
-        masked = fp.bitwiseAND(F.lit(chains[i][0]))
-        return F.struct(F.lit(i).alias("i"), (masked if pattern is None else masked.bitwiseXOR(pattern)).alias("k"))
 
-    fp = F.col("fp")
-    index = nodes.select("fp", F.explode(F.array(*[keys(fp, i) for i in range(m)])).alias("key"))
-    def probes(i):
-        return F.transform(F.array(*[F.lit(p) for p in chains[i][1]]), lambda p: keys(fp, i, p))
+def within_budgets(differ: Column, m: int, distance: int) -> Column:
+    """Some start has all its chains within l * distance / m differing bits."""
+    parts, fits = segments(m), F.lit(False)
+    for start in range(m):
+        mask, chain = 0, F.lit(True)
+        for i in range(m):
+            mask |= sum(1 << b for b in parts[(start + i) % m])
+            chain = chain & (F.bit_count(differ.bitwiseAND(F.lit(_signed(mask)))) <= (i + 1) * distance // m)
+        fits = fits | chain
+    return fits
 
-    flips = [probes(i) for i in range(m)]
-    probe = nodes.select("fp", F.explode(F.flatten(F.array(*flips))).alias("key"))
 
+def links(nodes: DataFrame, distance: int, n: int, crowd: int = 4096) -> DataFrame:
+    """(a, b): linked pairs of the distinct fingerprints ``fp``, enough for their components."""
+    m = cuts(distance, n)
+    masks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(x).alias("mask")) for i, x in enumerate(key_masks(m, distance))])
+    index = nodes.select("fp", F.explode(masks).alias("cut"))
+    index = index.select("fp", F.struct(F.col("cut.i").alias("i"), F.col("fp").bitwiseAND(F.col("cut.mask")).alias("k")).alias("key"))
     crowded = stage(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("key"), "crowded")
-    has_crowds = not crowded.isEmpty()
+    has_crowds, full = not crowded.isEmpty(), index
     if has_crowds:
-        index, full = index.join(crowded, "key", "left_anti"), probe
-        probe = probe.join(crowded, "key", "left_anti")
-
-    a, b = probe.select(F.col("fp").alias("a"), "key").alias("p"), index.select(F.col("fp").alias("b"), "key").alias("q")
+        index = index.join(crowded, "key", "left_anti")
+    a, b = index.select(F.col("fp").alias("a"), "key"), index.select(F.col("fp").alias("b"), "key")
     differ = F.col("a").bitwiseXOR(F.col("b"))
-    within = F.lit(False)
-    for i in range(m):
-        fits = F.col("p.key.i") == i
-        for mask, budget in chains[i][2]:
-            fits = fits & (F.bit_count(differ.bitwiseAND(F.lit(mask))) <= budget)
-        within = within | fits
-    near = a.join(b, (F.col("p.key") == F.col("q.key")) & (F.col("a") < F.col("b")) & within & (F.bit_count(differ) <= distance))
+    near = a.join(b, "key").where((F.col("a") < F.col("b")) & (F.bit_count(differ) <= distance) & within_budgets(differ, m, distance))
     edges = near.select("a", "b")
     if has_crowds:
         edges = edges.unionByName(_through_points(full.join(crowded, "key", "left_semi").select("fp").distinct(), distance))
@@ -176,6 +164,7 @@ def _edges(nodes: DataFrame, table: int, distance: int, n: int, crowd: int) -> D
     return between.unionByName(shared)
 
 
+@tidy
 def near_groups(docs: DataFrame, shingle: int = 5, distance: int = 4, tables: int = 1, id_col: str = "doc_id", text_col: str = "text", crowd: int = 4096) -> DataFrame:
     """(id, fps, component_id) of every row; component_id is the smallest id it reaches.
 
@@ -197,8 +186,13 @@ def near_groups(docs: DataFrame, shingle: int = 5, distance: int = 4, tables: in
     return out.select(F.col("id").alias(id_col), "fps", F.coalesce("component_id", "id").alias("component_id"))
 
 
+@tidy
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; all columns are kept."""
-    gone = near_groups(docs, id_col=id_col, text_col=text_col, **options).where(F.col(id_col) != F.col("component_id"))
-    gone = gone.select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    """One row of each group stays, the one with the smallest id, a null id last, of equal ids the first; all columns are kept."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = numbered(docs.toDF(*names), "row")
+    found = near_groups(plain, id_col="row", text_col=names[docs.columns.index(text_col)], **options).select("row", F.col("component_id").alias("component"))
+    found = stage(found.join(plain.select("row", F.col(names[docs.columns.index(id_col)]).alias("id")), "row"), "found")
+    heads = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    gone = attach(found, stage(heads, "heads"), "component", "n", found.count()).where("row <> head.row").select("row")
+    return plain.join(stage(gone, "gone"), "row", "left_anti").select(*names).toDF(*docs.columns)
