@@ -4,11 +4,13 @@ Each labeller votes 1 (good), -1 (poor) or 0 (no opinion) on a text, as a column
 expression. The votes of all documents are counted by pattern, of which there
 are at most 3 ** labellers, and expectation-maximisation on those counts gives
 every labeller's behaviour under either class, and a posterior to every pattern.
-The posteriors of a sample, at most ``fit_documents`` of either side in hash
-order, train a logistic scorer on hashed words, word shapes and word ends.
+The posteriors of a sample, about ``fit_bytes`` bytes of texts of either side chosen by a
+hash, train a logistic scorer on hashed words, word shapes and word ends. The bound is a
+classifier's; a text over a 24th of it is fitted on evenly spaced parts of it.
 
 Scale: one scan for the counts, one for the sample and one for the scores;
-nothing but patterns is shuffled. The counts cover all documents.
+nothing but patterns and the sample is shuffled. The counts cover all documents. The
+scorer is trained in one Spark task, and the driver sees its weights alone.
 
 Edge cases: a null text counts as empty; an empty text gets the votes of its
 empty measures and the scorer's intercept. If all documents agree in every vote
@@ -22,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sampling import below, fit_in_task, parts
+from .staging import tidy
 from .toxicity import sigmoid
 from .vectortext import mix, slabs, words
 
@@ -161,25 +165,30 @@ def _score(weights: np.ndarray):
     return run
 
 
-def quality_scores(docs: DataFrame, fit_documents: int = 2000, fit_bytes: int = 3 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+@tidy
+def quality_scores(docs: DataFrame, fit_bytes: int = 8 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, votes, posterior, score, keep): the weak labels and the learnt score of every row."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text, limit = F.coalesce(F.col(text_col), F.lit("")), fit_bytes // 24
     made = labellers(text)
-    voted = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.concat_ws(",", *[v.cast("string") for v in made.values()]).alias("votes"))
+    votes = F.concat_ws(",", *[v.cast("string") for v in made.values()]).alias("votes")
+    place = F.xxhash64(F.lit("fit"), F.col(id_col), text)
     # At most 3 ** len(labellers) patterns.
-    patterns = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).orderBy("votes").collect()
-    votes = np.array([[int(x) for x in r.votes.split(",")] for r in patterns], int).reshape(-1, len(made))
-    post, _, _ = expectation_maximisation(votes, np.array([r.n for r in patterns], float))
-    table = docs.sparkSession.createDataFrame([(r.votes, float(p)) for r, p in zip(patterns, post)], "votes string, posterior double")
-    labelled = voted.join(F.broadcast(table), "votes")
-    short = labelled.where(F.octet_length("text") <= fit_bytes // 24).withColumn("place", F.xxhash64(F.lit("fit"), "id"))
-    texts, soft = [], []
-    for side in (F.col("posterior") >= 0.5, F.col("posterior") < 0.5):
-        frame = short.where(side).orderBy("place", "id").limit(fit_documents).select("text", "posterior").toPandas()
-        frame = frame[frame["text"].map(lambda t: len(t.encode())).cumsum() <= fit_bytes]
-        texts += [t.encode() for t in frame["text"]]
-        soft += frame["posterior"].tolist()
-    weights = train_scorer(texts, np.array(soft)) if texts else np.zeros(KINDS * SLOTS + 1)
-    schema = labelled.select("id", "votes", "posterior").schema.add("score", "double")
-    scored = labelled.select("id", "votes", "posterior", "text").mapInArrow(_score(weights), schema)
+    patterns = docs.select(votes, F.least(F.octet_length(text), F.lit(limit)).alias("size")).groupBy("votes").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).orderBy("votes").collect()
+    cast = np.array([[int(x) for x in r.votes.split(",")] for r in patterns], int).reshape(-1, len(made))
+    post, _, _ = expectation_maximisation(cast, np.array([r.n for r in patterns], float))
+    table = F.broadcast(docs.sparkSession.createDataFrame([(r.votes, float(p)) for r, p in zip(patterns, post)], "votes string, posterior double"))
+    share = [fit_bytes / max(1, sum(r.size for r, p in zip(patterns, post) if (p >= 0.5) == side)) for side in (False, True)]
+    # The hash first: votes are counted only where a text can be in the sample.
+    sample = docs.where(below(place, max(share))).select(text.alias("text"), votes, place.alias("place")).join(table, "votes")
+    sample = sample.where(below(F.col("place"), share[0]) & (F.col("posterior") < 0.5) | below(F.col("place"), share[1]) & (F.col("posterior") >= 0.5))
+
+    def learn(rows: pa.Table) -> bytes:
+        texts = [parts(t.encode(), limit) for t in rows.column("text").to_pylist()]
+        return train_scorer(texts, rows.column("posterior").to_numpy()).astype(np.float32).tobytes()
+
+    found = fit_in_task(sample.select("text", "posterior", "place"), ["place", "text"], learn)
+    weights = np.frombuffer(found, np.float32).astype(float) if found else np.zeros(KINDS * SLOTS + 1)
+    voted = docs.select(F.col(id_col).alias("id"), text.alias("text"), votes).join(table, "votes")
+    schema = voted.select("id", "votes", "posterior", F.lit(0.0).alias("score")).schema
+    scored = voted.select("id", "votes", "posterior", "text").mapInArrow(_score(weights), schema)
     return scored.withColumn("keep", F.col("score") >= 0.5).withColumnRenamed("id", id_col)
