@@ -70,8 +70,13 @@ def test_empty(spark):
     assert mixing.mix_sources(empty).count() == 0
 
 
-def test_repeat(spark):
-    df, _ = docs(spark)
-    mix = spark.createDataFrame([(0, 2), (1, 0), (2, 1)], "doc_id long, copies long")
-    assert [r.doc_id for r in mixing.repeat_documents(df, mix).orderBy("doc_id").collect()] == [0, 0, 2]
-    assert mixing.repeat_documents(df, mix).columns == df.columns
+def test_mixed(spark):
+    rows = [(7, "one two three", "a", "p"), (7, "four five", "a", "q"), (None, "six", "b", "r"), (None, "seven eight", "b", "s"), (1, None, "a", "t"), (2, "w " * 50_000, "a", "u")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies string")
+    got = mixing.mixed(df)
+    assert got.columns == df.columns
+    times = {k: sum(r.copies == k for r in got.collect()) for k in "pqrstu"}
+    assert all(n <= 2 for n in times.values()) and times["t"] == 0
+    taken = sum(times[k] * len((t or "").split()) for _, t, _, k in rows)
+    assert abs(taken - 1.5 * 50_008) <= 50_000
+    assert mixing.mixed(df.limit(0)).count() == 0

@@ -19,7 +19,8 @@ def test_exact_dedup(spark):
         g = groups[t or ""]
         keep = max((x for x in g if x is not None), default=None)
         want.append((i, keep, len(g), i == keep, hashlib.sha256((t or "").encode()).hexdigest()))
-    for bits in (1 << 28, 1):
+    # One filter, and four by ranges of a hash.
+    for bits in (1 << 28, 1 << 11):
         got = [tuple(r) for r in exact_dedup.exact_groups(df, max_bits=bits).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
     kept = exact_dedup.drop_exact_duplicates(df)
@@ -67,35 +68,64 @@ def test_decontaminate(spark):
     assert decontaminate.contaminated_words(d, b.limit(0)).where("n_hit > 0").count() == 0
 
 
-def without_repeats(docs, least):
-    seqs = {i: [(k, x) for k, x in enumerate(t.split("\n")) if x.strip(" ")] for i, t in docs if t is not None}
-    first = {}
-    for i in sorted(seqs):
-        for p in range(len(seqs[i]) - least + 1):
-            first.setdefault(tuple(x for _, x in seqs[i][p : p + least]), (i, p))
-    out = {}
-    for i, t in docs:
-        gone = set()
-        for p in range(len(seqs.get(i, [])) - least + 1):
-            if first[tuple(x for _, x in seqs[i][p : p + least])] != (i, p):
-                gone |= {k for k, _ in seqs[i][p : p + least]}
-        out[i] = None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone)
+def test_exact_rows_that_share_an_id(spark):
+    rows = [(1, "same", "a"), (5, "same", "b"), (5, "unlike", "c"), (None, "same", "d"), (None, "other", "e"), (7, "twice", "f"), (7, "twice", "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _gone string")
+    got = exact_dedup.drop_exact_duplicates(df)
+    assert got.columns == df.columns and sorted(r._gone for r in got.collect()) == ["b", "c", "e", "f"]
+
+
+def test_long_texts(spark):
+    text = "\n".join(f"line {i} of a long text of its own" for i in range(20000))
+    rows = [(1, text), (2, text), (3, "line 5 of a long text of its own\nand a new one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [(r.doc_id, r.keep_id) for r in exact_dedup.exact_groups(df).orderBy("doc_id").collect()] == [(1, 2), (2, 2), (3, 3)]
+    assert [(r.doc_id, r.text) for r in line_dedup.drop_repeated_lines(df).orderBy("doc_id").collect()] == [(1, text), (2, ""), (3, "and a new one")]
+    items = spark.createDataFrame([(1, "line 7 of a long text of its own line 8 of")], "item_id long, text string")
+    assert [r.doc_id for r in decontaminate.decontaminate(df, items).collect()] == [3]
+
+
+def without_repeats(docs, least, alone=20):
+    """``docs`` are (id, text) in the order of ids."""
+    seqs = [[(k, x) for k, x in enumerate(t.split("\n")) if x.strip(" ")] if t is not None else [] for _, t in docs]
+    out = []
+    cut = [set() for _ in docs]
+    for n in {1, least}:
+        first = {}
+        for i, seq in enumerate(seqs):
+            for p in range(len(seq) - n + 1):
+                run = tuple(x for _, x in seq[p : p + n])
+                if n == least or len(run[0]) >= alone:
+                    if first.setdefault(run, (i, p)) != (i, p):
+                        cut[i] |= {k for k, _ in seq[p : p + n]}
+    for (_, t), gone in zip(docs, cut):
+        out.append(None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone))
     return out
 
 
 def test_line_dedup(spark):
     rng = random.Random(3)
-    lines = [f"line {i}" for i in range(12)]
-    docs = [(i, "\n".join(rng.choices([*lines, "", "hot", "hot"], k=rng.randint(1, 25)))) for i in range(40)] + [(50, None), (51, ""), (52, "hot\n" * 40), (53, "solo\n\nother")]
+    lines = [f"line {i}" for i in range(12)] + ["a line of some twenty characters", "another one of at least twenty"]
+    docs = [(i, "\n".join(rng.choices([*lines, "", "hot", "hot", "\t"], k=rng.randint(1, 25)))) for i in range(40)] + [(50, None), (51, ""), (52, "hot\n" * 40), (53, "solo\n\nother")]
     docs += [(60, docs[3][1]), (61, docs[3][1])]
     df = spark.createDataFrame([(i, t, "z") for i, t in docs], "doc_id long, text string, line string")
-    for least in (2, 3):
-        got = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(df, least).collect()}
-        assert got == without_repeats(docs, least)
+    for least, alone in ((2, 20), (3, 20), (2, 1)):
+        got = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(df, least, alone).collect()}
+        assert got == dict(zip([i for i, _ in docs], without_repeats(docs, least, alone)))
     assert line_dedup.drop_repeated_lines(df).columns == df.columns
     assert line_dedup.drop_repeated_lines(df.limit(0)).count() == 0
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    rows = [(1, "a,b,c", "x"), (5, "a,b,z", "y"), (5, "p,q,r", "z"), (None, "k,l", "w"), (None, "m,n", "v"), (9, "p,q,s", "u")]
+    df = spark.createDataFrame([(i, t.replace(",", "\n"), k) for i, t, k in rows], "doc_id long, text string, _cut string")
+    got = line_dedup.drop_repeated_lines(df, removed_col="n")
+    assert got.columns == [*df.columns, "n"]
+    assert {(r._cut, r.text, r.n) for r in got.collect()} == {("x", "a\nb\nc", 0), ("y", "z", 2), ("z", "p\nq\nr", 0), ("w", "k\nl", 0), ("v", "m\nn", 0), ("u", "s", 2)}
+    twice = df.where("doc_id = 1").union(df.where("doc_id = 1"))
+    assert [r.text for r in line_dedup.drop_repeated_lines(twice).collect()] == ["a\nb\nc"] * 2
+
+
 def test_longest_repeats(spark):
     docs = [(1, "a\nb\nc\nd"), (2, "x\nb\nc\nd\ny"), (3, "c\nd\na"), (4, "a\na\na")]
     df = spark.createDataFrame(docs, "doc_id long, text string")

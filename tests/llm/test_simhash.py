@@ -62,7 +62,21 @@ def test_empty_and_repeated(spark):
     assert simhash.near_groups(empty).count() == 0
     same = spark.createDataFrame([(7, "a b c d e f"), (7, "a b c d e f"), (9, "a b c d e f"), (None, "zz yy")], "doc_id long, text string")
     assert sorted((r.doc_id is None, r.component_id is None, r.component_id or 0) for r in simhash.near_groups(same).collect()) == [(False, False, 7)] * 3 + [(True, True, 0)]
-    assert simhash.drop_near_duplicates(same).where(F.col("doc_id").isNotNull()).count() == 2
+    assert [(r.doc_id, r.text) for r in simhash.drop_near_duplicates(same).orderBy(F.col("doc_id").desc_nulls_last()).collect()] == [(7, "a b c d e f"), (None, "zz yy")]
+
+
+def test_rows_that_share_an_id_are_rows_of_their_own(spark):
+    rows = [(1, "a b c d e f", "x"), (5, "a b c d e f", "y"), (5, "nothing like the other one at all", "z"), (None, "a b c d e f", "w"), (None, "some more words of another kind", "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _gone string")
+    got = simhash.drop_near_duplicates(df)
+    assert got.columns == df.columns and sorted(r._gone for r in got.collect()) == ["v", "x", "z"]
+
+
+def test_rows_a_fingerprint_stay_few():
+    import math
+
+    for n, most in ((10**4, 15), (10**6, 15), (10**8, 35), (10**10, 70)):
+        assert math.comb(simhash.cuts(4, n), 4) <= most
 
 
 def test_more_tables_only_add_links(spark):

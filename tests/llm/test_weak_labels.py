@@ -1,6 +1,8 @@
+import os
 import random
 
 import numpy as np
+import pytest
 
 from knowntime.llm import weak_labels
 
@@ -35,3 +37,19 @@ def test_scores(spark):
     assert all(of[i] for i in range(400) if i % 4)
     assert sum(of[i] for i in range(0, 400, 4)) < 10
     assert weak_labels.quality_scores(df.limit(0)).count() == 0
+
+
+def test_long_texts_and_nothing_else(spark):
+    rng = random.Random(4)
+    rows = [(i, (good(rng) + "\n") * 30 if i % 4 else poor(rng, 0) * 30) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.score for r in weak_labels.quality_scores(df, fit_bytes=48 << 10).collect()}
+    assert len(out) == 40 and len(set(out.values())) > 2
+    assert np.mean([out[i] for i in out if i % 4]) > np.mean([out[i] for i in out if not i % 4]) + 0.2
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_labels_that_were_never_learnt_from(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = weak_labels.quality_scores(docs).join(labels, "doc_id").where("quality in (0, 1)").collect()
+    assert len(rows) > 300 and np.mean([r.keep == (r.quality == 1) for r in rows]) > 0.95
