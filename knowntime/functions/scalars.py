@@ -61,10 +61,11 @@ def market_close_utc(day: Column, zone: str = "America/New_York", hour: int = 16
 
 
 def add_publication_lag(df: DataFrame, code: str, event: str, lags: dict[str, int], default: int, today, out: str = "known") -> DataFrame:
-    """``out`` = event date plus the lag of its code, at most ``today``."""
+    """``out`` = event date plus the lag of its code, at most ``today``; the lags are one map, however many codes there are."""
     lag = F.lit(default)
-    for name, days in lags.items():
-        lag = F.when(F.col(code) == name, days).otherwise(lag)
+    if lags:
+        table = F.create_map(*[F.lit(x) for pair in lags.items() for x in pair])
+        lag = F.coalesce(F.try_element_at(table, F.col(code)), lag)
     return df.withColumn(out, F.least(F.date_add(F.col(event).cast("date"), lag), F.lit(today).cast("date")))
 
 
@@ -106,15 +107,44 @@ def stamp(df: DataFrame, known, ingested) -> DataFrame:
     return df.withColumns({"knowledge_timestamp": F.coalesce("knowledge_timestamp", F.lit(known)), "ingestion_timestamp": F.coalesce("ingestion_timestamp", F.lit(ingested))})
 
 
+#: Fields of the JSON payload of each category of events.
+PAYLOADS = {
+    "insider": {"insider_name": "string", "title": "string", "trade_type": "string", "price": "double", "qty": "bigint", "value": "double"},
+    "congress": {"member": "string", "chamber": "string", "side": "string", "amount": "string", "asset": "string", "trade_date": "date", "delay_days": "int"},
+    "earnings": {"actual": "double", "estimate": "double", "surprise": "double"},
+    "meeting": {"meeting": "string", "kind": "string", "rate": "double"},
+}
+
+#: One-line summaries by category.
+HEADLINES = {
+    "insider": ("%s: %s of %d shares at %.2f", ("insider_name", "trade_type", "qty", "price")),
+    "congress": ("%s (%s): %s %s", ("member", "chamber", "side", "amount")),
+    "earnings": ("EPS %.2f against %.2f expected", ("actual", "estimate")),
+    "meeting": ("%s meeting, rate %.2f", ("kind", "rate")),
+}
+
+
 def payload_fields(payload: Column, fields: dict[str, str]) -> list[Column]:
     """Typed columns out of a JSON payload; what does not parse is null."""
     return [F.get_json_object(payload, f"$.{name}").try_cast(kind).alias(name) for name, kind in fields.items()]
 
 
+def category_fields(payload: Column, category: str) -> list[Column]:
+    """The fields of a category's payload."""
+    return payload_fields(payload, PAYLOADS[category])
+
+
 def headline(pattern: str, *columns: Column) -> Column:
     return F.format_string(pattern, *columns)
 
 
+def category_headline(payload: Column, category: str) -> Column:
+    """The one-line summary of a category's payload."""
+    pattern, names = HEADLINES[category]
+    kinds = PAYLOADS[category]
+    return headline(pattern, *[F.get_json_object(payload, f"$.{n}").try_cast(kinds[n]) for n in names])
+
+
 def meeting_date(text: Column, year: Column) -> Column:
     """``January 30-31`` of a year: the last day named, as a date."""
     month = F.regexp_extract(text, r"([A-Z][a-z]{2})[a-z]*", 1)
@@ -122,6 +152,11 @@ def meeting_date(text: Column, year: Column) -> Column:
     return F.to_date(F.try_to_timestamp(F.concat_ws(" ", year.cast("string"), month, day), F.lit("yyyy MMM d")))
 
 
+def meeting_time(text: Column, year: Column) -> Column:
+    """14:00 in New York on the last day of a meeting, in UTC without zone."""
+    return market_close_utc(meeting_date(text, year), hour=14)
+
+
 def clean_columns(df: DataFrame) -> DataFrame:
     """Column names in lower case, with underscores for spaces, hard ones too."""
     return df.toDF(*[c.replace("\u00a0", " ").strip().lower().replace(" ", "_") for c in df.columns])
@@ -130,8 +165,3 @@ def clean_columns(df: DataFrame) -> DataFrame:
 def statutory_tax(year: Column) -> Column:
     """The federal rate: 35 % through 2017, then 21 %."""
     return F.when(year <= 2017, 0.35).otherwise(0.21)
-
-
-def first_present(*maps_or_columns: Column) -> Column:
-    """The first whole alternative that has a value."""
-    return F.coalesce(*maps_or_columns)

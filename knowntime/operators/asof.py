@@ -2,36 +2,68 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from knowntime.functions.scalars import safe_div
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, columns: list[str], direction: str = "backward", tiebreak: list[str] | None = None, tolerance_days: int | None = None) -> DataFrame:
-    """Each left row with the last right row at or before it (``forward``: the first at or after).
+@dataclass(frozen=True)
+class Source:
+    """A right side of an as-of join: its rows, their time, what to carry, and the order of rows at one time."""
+
+    rows: DataFrame
+    on: str
+    columns: tuple[str, ...]
+    tiebreak: tuple[str, ...] = ()
+
 
-    The two sides are put in one relation and a window carries the right row along as one
-    struct, so that a null cell of the matched row stays null. Of right rows at
-    the same time the last by ``tiebreak`` counts.
+def asof_many(left: DataFrame, sources: list[Source], by: list[str], left_on: str, direction: str = "backward", tolerance_days: int | None = None, bucket_days: int | None = None) -> DataFrame:
+    """Each left row with the last row at or before it of every source (``forward``: the first at or after).
+
+    All sides are put in one relation, and one window carries the last row of each
+    source along as one struct, so that a null cell of the matched row stays null.
+    With ``bucket_days`` a key is cut into buckets of time, and the rows that a bucket
+    starts with are carried over from the buckets before it: a key with a third of
+    all rows is then many groups.
     """
     back = direction == "backward"
     keep = [c for c in left.columns if c not in by]
-    ties = F.struct(*[F.col(c) for c in tiebreak]) if tiebreak else F.lit(0)
-    rows = F.struct(F.col(right_on).alias("_time"), *[F.col(c) for c in columns])
-    a = left.select(*by, F.col(left_on).alias("_t"), F.struct(*keep).alias("_left"), F.lit(1 if back else 0).alias("_side"))
-    b = right.select(*by, F.col(right_on).alias("_t"), F.lit(0 if back else 1).alias("_side"), rows.alias("_right"), ties.alias("_tie"))
-    both = a.unionByName(b, allowMissingColumns=True)
-    w = Window.partitionBy(*by)
-    if back:
-        w = w.orderBy("_t", "_side", F.col("_tie").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    else:
-        w = w.orderBy(F.col("_t").desc(), F.col("_side").desc(), F.col("_tie").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    hit = both.withColumn("_hit", F.last("_right", ignorenulls=True).over(w)).where(F.col("_left").isNotNull())
+    both = left.select(*by, F.col(left_on).alias("_t"), F.struct(*keep).alias("_left"), F.lit(1 if back else 0).alias("_side"))
+    ties = []
+    for i, s in enumerate(sources):
+        row = F.struct(F.col(s.on).alias("_time"), *[F.col(c) for c in s.columns]).alias(f"_right{i}")
+        tie = F.struct(*[F.col(c) for c in s.tiebreak]) if s.tiebreak else F.lit(0)
+        both = both.unionByName(s.rows.select(*by, F.col(s.on).alias("_t"), F.lit(0 if back else 1).alias("_side"), row, tie.alias(f"_tie{i}")), allowMissingColumns=True)
+        ties.append(F.col(f"_tie{i}").asc_nulls_first())
+    group = list(by)
+    if bucket_days:
+        day = F.datediff(F.col("_t").cast("date"), F.lit("1970-01-01").cast("date"))
+        both = both.withColumn("_bucket", F.floor(day / bucket_days))
+        group.append("_bucket")
+        edge = F.max_by if back else F.min_by
+        ends = both.groupBy(*group).agg(*[edge(F.col(f"_right{i}"), F.when(F.col(f"_right{i}").isNotNull(), F.struct("_t", f"_tie{i}"))).alias(f"_end{i}") for i in range(len(sources))])
+        w = Window.partitionBy(*by).orderBy("_bucket" if back else F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        carried = ends.select(*group, *[F.last(f"_end{i}", ignorenulls=True).over(w).alias(f"_carried{i}") for i in range(len(sources))])
+        both = both.join(carried, group)
+    w = Window.partitionBy(*group)
+    w = w.orderBy("_t", "_side", *ties) if back else w.orderBy(F.col("_t").desc(), F.col("_side").desc(), *ties)
+    w = w.rowsBetween(Window.unboundedPreceding, 0)
+    hits = {}
+    for i in range(len(sources)):
+        own = F.last(f"_right{i}", ignorenulls=True).over(w)
+        hits[f"_hit{i}"] = F.coalesce(own, F.col(f"_carried{i}")) if bucket_days else own
+    hit = both.withColumns(hits).where(F.col("_left").isNotNull())
     if tolerance_days is not None:
-        near = F.abs(F.datediff(F.col("_t"), F.col("_hit._time"))) <= tolerance_days
-        hit = hit.withColumn("_hit", F.when(near, F.col("_hit")))
-    return hit.select(*by, *[F.col(f"_left.{c}").alias(c) for c in keep], *[F.col(f"_hit.{c}").alias(c) for c in columns])
+        hit = hit.withColumns({f"_hit{i}": F.when(F.abs(F.datediff(F.col("_t"), F.col(f"_hit{i}._time"))) <= tolerance_days, F.col(f"_hit{i}")) for i in range(len(sources))})
+    return hit.select(*by, *[F.col(f"_left.{c}").alias(c) for c in keep], *[F.col(f"_hit{i}.{c}").alias(c) for i, s in enumerate(sources) for c in s.columns])
+
+
+def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, columns: list[str], direction: str = "backward", tiebreak: list[str] | None = None, tolerance_days: int | None = None, bucket_days: int | None = None) -> DataFrame:
+    """:func:`asof_many` with one source; of right rows at the same time the last by ``tiebreak`` counts."""
+    return asof_many(left, [Source(right, right_on, tuple(columns), tuple(tiebreak or ()))], by, left_on, direction, tolerance_days, bucket_days)
 
 
 def price_on(requests: DataFrame, prices: DataFrame, by: str, request_date: str, price_date: str, price: str, out: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,9 +34,49 @@ def pivot_long(df: DataFrame, index: str, names: str, value: str, wanted: list,
     return df.where(F.col(names).isin(*wanted)).groupBy(index).pivot(names, wanted).agg(pick)
 
 
-def correlation_matrix(returns: DataFrame, by: str = "ticker", at: str = "event", value: str = "ret") -> DataFrame:
-    """Pearson correlation of each pair (a <= b) over the dates that both have."""
-    a = returns.select(F.col(by).alias("a"), at, F.col(value).alias("x"))
-    b = returns.select(F.col(by).alias("b"), at, F.col(value).alias("y"))
-    pairs = a.join(b, at).where(F.col("a") <= F.col("b"))
-    return pairs.groupBy("a", "b").agg(F.corr("x", "y").alias("corr"), F.count(F.lit(1)).alias("n"))
+def resample_prices(df: DataFrame, freq: str, by: str = "ticker", event: str = "event", columns: tuple[str, ...] = ("close",)) -> DataFrame:
+    """The last value of each price and the summed volume of every period, in long form."""
+    last = [F.max_by(c, event).alias(c) for c in columns]
+    return df.groupBy(by, bucket(F.col(event), freq).alias("period")).agg(*last, F.sum("volume").alias("volume"))
+
+
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _moments(a: pd.DataFrame) -> pd.DataFrame:
+    """Sums of products of all pairs of one block pair and span of dates, by matrix products."""
+    left, right = (a[a["side"] == side] for side in (0, 1))
+    days, day = np.unique(a["at"], return_inverse=True)
+    made = []
+    for rows, at in ((left, day[(a["side"] == 0).to_numpy()]), (right, day[(a["side"] == 1).to_numpy()])):
+        names, name = np.unique(rows["name"], return_inverse=True)
+        x, seen = np.zeros((len(days), len(names))), np.zeros((len(days), len(names)))
+        x[at, name], seen[at, name] = rows["x"], 1.0
+        made.append((names, x, seen))
+    (an, x, sx), (bn, y, sy) = made
+    n = sx.T @ sy
+    i, j = np.nonzero((n > 0) & (an[:, None] <= bn[None, :]))
+    parts = {"n": n, "sx": x.T @ sy, "sy": sx.T @ y, "sxx": (x * x).T @ sy, "syy": sx.T @ (y * y), "sxy": x.T @ y}
+    return pd.DataFrame({"a": an[i], "b": bn[j], **{k: v[i, j] for k, v in parts.items()}})
+
+
+def correlation_matrix(returns: DataFrame, by: str = "ticker", at: str = "event", value: str = "ret", blocks: int = 16, span_days: int = 512) -> DataFrame:
+    """Pearson correlation of each pair (a <= b) over the dates that both have.
+
+    Tickers are dealt into blocks and dates into spans. A pair of blocks over a span is one
+    matrix product, which gives one row of moments a pair of tickers instead of one a date;
+    moments add up over the spans. Values are moved to a mean of 0 first, for precision.
+    """
+    mean = F.avg(value).over(Window.partitionBy(by))
+    rows = returns.where(F.col(value).isNotNull()).select(F.col(by).alias("name"), F.datediff(F.col(at).cast("date"), F.lit("1970-01-01").cast("date")).alias("at"), (F.col(value) - mean).alias("x"))
+    rows = rows.withColumns({"block": F.pmod(F.xxhash64("name"), F.lit(blocks)).cast("int"), "span": F.floor(F.col("at") / span_days)})
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = rows.select("*", F.lit(0).alias("side"), other.alias("other")).withColumn("pair", F.col("block") * blocks + F.col("other"))
+    right = rows.select("*", F.lit(1).alias("side"), other.alias("other")).withColumn("pair", F.col("other") * blocks + F.col("block"))
+    kind = rows.schema["name"].dataType.simpleString()
+    sums = left.unionByName(right).select("pair", "span", "side", "name", "at", "x").groupBy("pair", "span").applyInPandas(_moments, f"a {kind}, b {kind}, n double, sx double, sy double, sxx double, syy double, sxy double")
+    total = sums.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    top = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    under = (F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")) * (F.col("n") * F.col("syy") - F.col("sy") * F.col("sy"))
+    return total.select("a", "b", F.when(under > 0, F.try_divide(top, F.sqrt(under))).alias("corr"), F.col("n").cast("long").alias("n"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from knowntime.functions.scalars import clamp_knowledge, derive_ratios, null_implausible, safe_div, statutory_tax
-from knowntime.operators.asof import asof_join
+from knowntime.operators.asof import Source, asof_join, asof_many
 from knowntime.operators.pit import dedup_latest
 from knowntime.operators.windows import cagr, growth_streak, over, prior_mean, trailing_sum
 
@@ -76,39 +76,50 @@ def ttm_flow(filings: DataFrame, metric: str, days: int = 370) -> DataFrame:
     return dedup_latest(rolled, ["ticker", "known"], [F.col("period_end").desc()]).select("ticker", "known", "period_end", f"ttm_{metric}")
 
 
-def valuations(bars: DataFrame, filings: DataFrame, flows: tuple[str, ...] = ("revenue",), min_bars: int = 5) -> DataFrame:
+SHEET = ("shares", "total_equity", "lt_debt", "cash")
+FLOWS = ("revenue", "fcf")
+
+
+def valuations(bars: DataFrame, filings: DataFrame, min_bars: int = 5) -> DataFrame:
     """Every bar valued with what was known at its close.
 
-    Trailing dividends and EPS, the latest balance sheet and year, and trailing
-    flows are carried to the bars by as-of joins on knowledge; a trailing flow is
-    preferred to the year's. Ratios outside their range are null.
+    Trailing EPS, the latest balance sheet, the latest year and trailing revenue and
+    free cash flow are carried to the bars in one as-of pass on knowledge; a
+    trailing flow is preferred to the year's. Ratios outside their range are null.
     """
     n = F.count(F.lit(1)).over(Window.partitionBy("ticker"))
     base = bars.withColumn("_n", n).where(F.col("_n") >= min_bars).drop("_n")
     base = base.withColumn("ttm_dividends", trailing_sum(F.coalesce("dividends", F.lit(0.0)), "ticker", "event", 252))
-    day = filings.withColumn("_k", F.col("known").cast("timestamp_ntz"))
-    sheet = day.where("shares is not null").select("ticker", "_k", "period_end", F.col("shares").alias("shares_outstanding"))
-    year = day.where("form = '10-K'").select("ticker", "_k", "period_end", *[F.col(c).alias(f"year_{c}") for c in flows])
+    filings = filings.withColumn("fcf", F.col("operating_cf") - F.abs("capex"))
+
+    def timed(df):
+        return df.withColumn("_k", F.col("known").cast("timestamp_ntz"))
+
+    year = [*FLOWS, "operating_income", "depreciation"]
+    sheet = timed(filings.where("shares is not null")).select("ticker", "_k", "period_end", *SHEET)
+    annual = timed(filings.where("form = '10-K'")).select("ticker", "_k", "period_end", *[F.col(c).alias(f"year_{c}") for c in year])
     quarterly = filings.where("form = '10-Q'").select("ticker", "period_end", "known", "eps", "form")
     every_eps = ttm_eps(quarterly.unionByName(implied_q4_eps(filings).select("ticker", "period_end", "known", "eps", "form")))
-    out = asof_join(base, every_eps.withColumn("_k", F.col("known").cast("timestamp_ntz")).drop("known"), ["ticker"], "known", "_k", ["ttm_eps"])
-    out = asof_join(out, sheet, ["ticker"], "known", "_k", ["shares_outstanding"], tiebreak=["period_end"])
-    out = asof_join(out, year, ["ticker"], "known", "_k", [f"year_{c}" for c in flows], tiebreak=["period_end"])
-    for c in flows:
-        flow = ttm_flow(filings, c).select("ticker", F.col("known").cast("timestamp_ntz").alias("_k"), f"ttm_{c}")
-        out = asof_join(out, flow, ["ticker"], "known", "_k", [f"ttm_{c}"])
-        out = out.withColumn(c, F.coalesce(f"ttm_{c}", f"year_{c}"))
-    shares = F.col("shares_outstanding")
-    out = out.withColumn("market_cap", F.col("close") * shares)
-    made = {
-        "pe_ttm": safe_div(F.col("close"), F.col("ttm_eps"), 0, 500),
-        "dividend_yield": safe_div(F.col("ttm_dividends"), F.col("close"), 0, 0.5),
-    }
-    if "revenue" in flows:
-        made |= {"revenue_per_share": safe_div(F.col("revenue"), shares), "ps": safe_div(F.col("market_cap"), F.col("revenue"), 0, 200)}
-    if "net_income" in flows:
-        made["earnings_yield"] = safe_div(F.col("net_income"), F.col("market_cap"), -0.5, 0.5)
-    return out.withColumns(made)
+    sources = [Source(timed(every_eps), "_k", ("ttm_eps",)), Source(sheet, "_k", SHEET, ("period_end",)), Source(annual, "_k", tuple(f"year_{c}" for c in year), ("period_end",))]
+    sources += [Source(timed(ttm_flow(filings, c)), "_k", (f"ttm_{c}",)) for c in FLOWS]
+    out = asof_many(base, sources, ["ticker"], "known")
+    out = out.withColumnsRenamed({"shares": "shares_outstanding"}).withColumns({c: F.coalesce(f"ttm_{c}", f"year_{c}") for c in FLOWS})
+    shares, close = F.col("shares_outstanding"), F.col("close")
+    earned = F.coalesce("year_operating_income", F.lit(0.0)) + F.coalesce("year_depreciation", F.lit(0.0))
+    out = out.withColumns({
+        "market_cap": close * shares, "book_value_per_share": safe_div(F.col("total_equity"), shares), "revenue_per_share": safe_div(F.col("revenue"), shares),
+        "fcf_per_share": safe_div(F.col("fcf"), shares), "ebitda": F.when(earned > 0, earned)})
+    out = out.withColumn("enterprise_value", F.col("market_cap") + F.coalesce("lt_debt", F.lit(0.0)) - F.coalesce("cash", F.lit(0.0)))
+    return out.withColumns({
+        "pe_ttm": safe_div(close, F.col("ttm_eps"), 0, 500), "pb": safe_div(close, F.col("book_value_per_share"), 0, 100), "ps": safe_div(close, F.col("revenue_per_share"), 0, 200),
+        "ev_ebitda": safe_div(F.col("enterprise_value"), F.col("ebitda"), 0, 300), "fcf_yield": safe_div(F.col("fcf_per_share"), close, -0.5, 0.5),
+        "dividend_yield": safe_div(F.col("ttm_dividends"), close, 0, 0.5)})
+
+
+def annual_eps(filings: DataFrame) -> DataFrame:
+    """Quarterly EPS added up by the year of the period, of each period the version known last."""
+    last = dedup_latest(filings.where("form = '10-Q'"), ["ticker", "period_end"], [F.col("known").desc(), F.col("eps").desc()])
+    return last.groupBy("ticker", F.year("period_end").alias("year")).agg(F.sum("eps").alias("annual_eps"))
 
 
 def dividend_table(bars: DataFrame, filings: DataFrame, min_bars: int = 200) -> DataFrame:
@@ -116,30 +127,52 @@ def dividend_table(bars: DataFrame, filings: DataFrame, min_bars: int = 200) ->
     dps = bars.groupBy("ticker", F.year("event").alias("year")).agg(F.sum("dividends").cast("double").alias("annual_dps"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_bars).drop("_n")
     dps = dps.withColumns({f"dps_growth_{n}y": cagr(F.col("annual_dps"), "ticker", "year", n, positive_now=False) for n in (1, 3, 5)})
     dps = growth_streak(dps, "annual_dps", "ticker", "year", "consecutive_growth")
-    eps = filings.where("form = '10-Q'").groupBy("ticker", F.year("period_end").alias("year")).agg(F.sum("eps").alias("annual_eps"))
-    both = dps.join(eps, ["ticker", "year"], "left")
+    both = dps.join(annual_eps(filings), ["ticker", "year"], "left")
     return both.withColumns({"payout_ratio": safe_div(F.col("annual_dps"), F.col("annual_eps"), 0, 2), "is_payer": (F.col("annual_dps") > 0).cast("int")})
 
 
-def quality_table(filings: DataFrame, bars: DataFrame) -> DataFrame:
-    """Annual quality measures: growth, margins against their past, buybacks, consistency, yield at filing."""
+def quality_table(filings: DataFrame, bars: DataFrame, least: float = 1e6) -> DataFrame:
+    """Annual quality measures: returns on capital, growth, margins against their past, buybacks, consistency, yield at filing.
+
+    Capital and EBITDA of at most ``least`` in size are no base for a ratio.
+    """
     w = over("ticker", "period_end")
-    k = filings.where("form = '10-K'")
-    k = k.withColumn("gross_margin", safe_div(F.col("gross_profit"), F.col("revenue")))
-    for metric, spans in (("revenue", (1, 3, 5)), ("eps", (1, 3))):
-        k = k.withColumns({f"{metric}_cagr_{n}y": cagr(F.col(metric), "ticker", "period_end", n, -0.8, 5) for n in spans})
+    k = derive_ratios(filings.where("form = '10-K'"))
+    debt, cash = F.coalesce("lt_debt", F.lit(0.0)), F.coalesce("cash", F.lit(0.0))
+    invested, earned = F.coalesce("total_equity", F.lit(0.0)) + debt - cash, F.coalesce("operating_income", F.lit(0.0)) + F.coalesce("depreciation", F.lit(0.0))
+    k = k.withColumns({
+        "roic": F.when(F.abs(invested) > least, safe_div(F.col("operating_income") * (1 - statutory_tax(F.year("period_end"))), invested, -1, 3)),
+        "net_debt_ebitda": F.when(F.abs(earned) > least, safe_div(debt - cash, earned, -50, 50)), "_eps": safe_div(F.col("net_income"), F.col("shares"))})
+    for metric, column, spans in (("revenue", "revenue", (1, 3, 5)), ("eps", "_eps", (1, 3))):
+        k = k.withColumns({f"{metric}_cagr_{n}y": cagr(F.col(column), "ticker", "period_end", n, -0.8, 5) for n in spans})
     k = k.withColumn("gross_margin_3y_avg", prior_mean(F.col("gross_margin"), "ticker", "period_end", 3))
     k = k.withColumn("gross_margin_trend", F.col("gross_margin") - F.col("gross_margin_3y_avg"))
     before = F.lag("shares").over(w)
     k = k.withColumn("buyback_yield", safe_div(before - F.col("shares"), before, -0.5, 0.5))
     k = k.withColumn("_rose", (F.col("net_income") > F.lag("net_income").over(w)).cast("double"))
-    k = k.withColumn("earnings_consistency_5y", F.avg("_rose").over(w.rowsBetween(-4, 0))).drop("_rose")
-    k = k.withColumn("after_tax", F.col("net_income") * (1 - statutory_tax(F.year("period_end"))))
+    k = k.withColumn("earnings_consistency_5y", F.avg("_rose").over(w.rowsBetween(-4, 0))).drop("_rose", "_eps")
     priced = asof_join(k, bars.select("ticker", "event", "close"), ["ticker"], "known", "event", ["close"])
-    return priced.withColumn("income_yield_filing", safe_div(F.col("net_income"), F.col("close") * F.col("shares"), -1, 1))
+    return priced.withColumn("fcf_yield_filing", safe_div(F.col("fcf"), F.col("close") * F.col("shares"), -1, 1))
+
+
+def first_tag(facts: DataFrame, by: list[str]) -> DataFrame:
+    """Facts (.., priority) of the first tag that a company uses at all: a whole tag counts, not one a period."""
+    best = F.min("priority").over(Window.partitionBy(*by, "metric"))
+    return facts.withColumn("_best", best).where("priority = _best").drop("_best")
+
+
+def earnings_table(eps_facts: DataFrame, estimates: DataFrame, columns: list[str]) -> DataFrame:
+    """EPS of proper periods, newest filing first, with implied fourth quarters and the estimates of the same period.
+
+    ``eps_facts`` has (ticker, period_end, form, priority, filed, value).
+    """
+    own = first_tag(eps_facts.withColumn("metric", F.lit("eps")), ["ticker"])
+    own = dedup_latest(own, ["ticker", "period_end", "form"], [F.col("filed").desc(), F.col("value").desc()])
+    own = own.select("ticker", "period_end", "form", F.col("filed").alias("known"), F.col("value").alias("eps"), F.lit(False).alias("implied"))
+    implied = implied_q4_eps(own).select("ticker", "period_end", "form", "known", F.round("eps", 4).alias("eps"), F.lit(True).alias("implied"))
+    return attach_estimates(own.unionByName(implied), estimates, columns)
 
 
-def earnings_table(actuals: DataFrame, estimates: DataFrame, columns: list[str]) -> DataFrame:
-    """Actual EPS with the estimates of the same period; either side may be missing."""
-    est = estimates.select("ticker", "period_end", *columns)
-    return actuals.join(est, ["ticker", "period_end"], "full")
+def attach_estimates(actuals: DataFrame, estimates: DataFrame, columns: list[str]) -> DataFrame:
+    """Actuals with the estimates of the same period; either side may be missing."""
+    return actuals.join(estimates.select("ticker", "period_end", *columns), ["ticker", "period_end"], "full")

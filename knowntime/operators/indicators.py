@@ -1,14 +1,13 @@
-"""Technical indicators as windows; recurrences as a bounded fold or a grouped map.
+"""Technical indicators as windows; recurrences as block-wise sums that carry their state.
 
-An exponential average weighs a value k rows back by (1 - alpha) ** k, so a fold
-over the rows where that weight is above 1e-14 is exact to rounding. It is seeded
-with the mean of the first n values.
+An exponential average is sum(d ** (t - i) * x_i), seeded with the mean of the first n
+values. Each key is cut into blocks of BLOCK rows: a running sum inside the block, scaled
+so that it stays in range, plus the decayed ends of the blocks before it, as many as
+still matter at double precision. All of it is windows over one order of a key.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,18 +25,31 @@ def sma(value: Column, by, order, n: int) -> Column:
     return full(value, by, order, n, F.avg)
 
 
+BLOCK = 256
+
+
 def exponential(df: DataFrame, value: str, by, order, n: int, alpha: float, out: str) -> DataFrame:
     """Adds an exponential average of ``value`` seeded with the mean of its first n present values."""
-    reach = math.ceil(math.log(1e-14) / math.log(1 - alpha)) + n
-    w = over(by, order)
+    decay, w = 1 - alpha, over(by, order)
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    keys = [by] if isinstance(by, str) else list(by)
     v = F.col(value)
-    seen = F.count(v).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    recent = F.collect_list(v).over(w.rowsBetween(-(reach - 1), 0))
-    df = df.withColumns({"_seen": seen, "_recent": recent})
-    seed = F.aggregate(F.slice("_recent", 1, n), F.lit(0.0), lambda a, x: a + x) / n
-    rest = F.slice("_recent", n + 1, reach)
-    folded = F.aggregate(rest, seed, lambda a, x: a * (1 - alpha) + x * alpha)
-    return df.withColumn(out, F.when((F.col("_seen") >= n) & v.isNotNull(), folded)).drop("_seen", "_recent")
+    df = df.withColumns({"_rank": F.count(v).over(running), "_mean": F.avg(v).over(running)})
+    term = F.when(F.col("_rank") > n, v * alpha).when(F.col("_rank") == n, F.col("_mean"))
+    df = df.withColumns({"_block": F.floor((F.col("_rank") - 1) / BLOCK), "_at": (F.col("_rank") - 1) % BLOCK, "_term": F.when(v.isNotNull(), term)})
+    inside = over([*keys, "_block"], order).rowsBetween(Window.unboundedPreceding, 0)
+    scaled = F.sum(F.col("_term") * F.pow(F.lit(1 / decay), F.col("_at"))).over(inside)
+    df = df.withColumn("_own", F.coalesce(scaled, F.lit(0.0)) * F.pow(F.lit(decay), F.col("_at")))
+    # The end of the block before, then of the one before that, until their weight is below rounding.
+    earlier, carried, weight, k = w.rowsBetween(Window.unboundedPreceding, -1), F.lit(0.0), 1.0, 0
+    last = F.col("_own")
+    while weight > 1e-18:
+        df = df.withColumn(f"_end{k}", F.coalesce(F.last(F.when(v.isNotNull() & (F.col("_at") == BLOCK - 1), last), ignorenulls=True).over(earlier), F.lit(0.0)))
+        carried, last = carried + F.col(f"_end{k}") * weight, F.col(f"_end{k}")
+        weight, k = weight * decay**BLOCK, k + 1
+    total = F.col("_own") + carried * F.pow(F.lit(decay), F.col("_at") + 1)
+    names = ["_rank", "_mean", "_block", "_at", "_term", "_own", *[f"_end{i}" for i in range(k)]]
+    return df.withColumn(out, F.when((F.col("_rank") >= n) & v.isNotNull(), total)).drop(*names)
 
 
 def ema(df, value, by, order, n, out):
@@ -98,6 +110,19 @@ def williams_r(df: DataFrame, by, order, n: int = 14) -> DataFrame:
     return df.withColumn("williams_r", 100 * safe_div(F.col("close") - F.col("_hi"), F.col("_hi") - F.col("_lo"))).drop("_lo", "_hi")
 
 
+def with_volatility(df: DataFrame, by, order, n: int = 21, price: str = "close", out: str = "volatility") -> DataFrame:
+    """Yearly deviation of log returns over n rows."""
+    step = F.log(safe_div(F.col(price), F.lag(price).over(over(by, order))))
+    df = df.withColumn("_step", step)
+    return df.withColumn(out, full(F.col("_step"), by, order, n, F.stddev_samp) * F.sqrt(F.lit(252.0))).drop("_step")
+
+
+def vwap(by, order, n: int = 20, price: str = "close", volume: str = "volume") -> Column:
+    """Price by volume over the last n rows."""
+    w = over(by, order).rowsBetween(-(n - 1), 0)
+    return F.when(F.count(price).over(w) == n, safe_div(F.sum(F.col(price) * F.col(volume)).over(w), F.sum(volume).over(w)))
+
+
 def indicator_table(bars: DataFrame, by="ticker", order="event", min_bars: int = 30) -> DataFrame:
     """All indicators of every bar of keys with enough bars."""
     n = F.count(F.lit(1)).over(over(by, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))

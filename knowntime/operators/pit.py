@@ -62,9 +62,22 @@ def membership_intervals(events: DataFrame, keys: list[str], action: str, at: st
     return spans.select(*keys, F.col(at).alias("start"), "end")
 
 
-def members_at(intervals: DataFrame, as_of) -> DataFrame:
+def members_at(intervals: DataFrame, as_of, known: str | None = None) -> DataFrame:
+    """Members on a day; with ``known`` only of the additions that were public by then."""
     day = F.lit(as_of)
-    return intervals.where((F.col("start") <= day) & (F.col("end").isNull() | (F.col("end") > day)))
+    inside = intervals.where((F.col("start") <= day) & (F.col("end").isNull() | (F.col("end") > day)))
+    return known_at(inside, as_of, known) if known else inside
+
+
+def membership_counts(events: DataFrame, by: str = "index_name", action: str = "action") -> DataFrame:
+    """Additions, removals and distinct tickers of each index."""
+    return events.groupBy(by).agg(F.count_if(F.col(action) == "added").alias("added"), F.count_if(F.col(action) == "removed").alias("removed"), F.count_distinct("ticker").alias("tickers"))
+
+
+def pending_backfill(removed: DataFrame, current: DataFrame, done: DataFrame, batch: int | None = None, key: str = "ticker") -> DataFrame:
+    """Removed keys that are not members again and not done yet; ``batch`` takes the first of them in order."""
+    left = removed.select(key).distinct().join(current.select(key), key, "left_anti").join(done.select(key), key, "left_anti")
+    return left if batch is None else left.orderBy(key).limit(batch)
 
 
 def calendar(spark, first: str, last: str, step: str, name: str = "as_of") -> DataFrame:

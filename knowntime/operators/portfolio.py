@@ -15,6 +15,32 @@ def map_identifier(df: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
     return df.join(mapping, key, "left")
 
 
+def aggregate_holdings(rows: DataFrame, keys: list[str], share_type: str = "share_type") -> DataFrame:
+    """Share positions added up by ``keys``; rows of another kind than shares are left out."""
+    kind = F.coalesce(F.trim(F.upper(share_type)), F.lit(""))
+    return rows.where(kind.isin("SH", "")).groupBy(*keys).agg(F.sum("shares").alias("shares"), F.sum("value").alias("value"))
+
+
+def missing_prices(needed: DataFrame, priced: DataFrame, key: str) -> DataFrame:
+    """Keys that are held but have no price."""
+    return needed.select(key).distinct().join(priced.select(key), key, "left_anti")
+
+
+def change_breakdown(history: DataFrame) -> DataFrame:
+    """How many positions changed in which way in each manager's last quarter."""
+    last = history.withColumn("_last", F.max("period").over(Window.partitionBy("manager"))).where("period = _last")
+    return last.groupBy("manager", "change").agg(F.count(F.lit(1)).alias("n"))
+
+
+def best_and_worst(df: DataFrame, by: str, value: str, ties: list[str], n: int = 5) -> DataFrame:
+    """The n highest and the n lowest rows of each key, marked ``best`` or ``worst``."""
+    rows = df.where(F.col(value).isNotNull())
+    w = Window.partitionBy(by)
+    ranked = rows.withColumns({"_up": F.row_number().over(w.orderBy(F.col(value).desc(), *ties)), "_down": F.row_number().over(w.orderBy(F.col(value), *ties))})
+    side = F.explode(F.filter(F.array(F.when(F.col("_up") <= n, "best"), F.when(F.col("_down") <= n, "worst")), lambda x: x.isNotNull()))
+    return ranked.withColumn("side", side).drop("_up", "_down")
+
+
 def portfolio_history(holdings: DataFrame, up: float = 1.05, down: float = 0.95) -> DataFrame:
     """Positions with weight, change on the manager's last quarter, closed rows and quarters held.
 
@@ -49,24 +75,46 @@ def holding_runs(history: DataFrame, today: str) -> DataFrame:
     runs = rows.groupBy("manager", "cusip", "_run").agg(
         F.min(F.when(F.col("change") != "closed", F.col("period"))).alias("start"), F.max(F.when(F.col("change") != "closed", F.col("period"))).alias("last"),
         F.max("_closed").alias("closed_on"), F.count_if(F.col("change") != "closed").alias("quarters"), F.max("weight").alias("peak_weight"))
+    # The peak is over all quarters of the position, not only those of the run.
+    runs = runs.withColumn("peak_weight", F.max("peak_weight").over(Window.partitionBy("manager", "cusip")))
     return runs.withColumns({"is_open": F.col("closed_on").isNull(), "exit": F.coalesce("closed_on", F.lit(today).cast("date"))}).drop("_run")
 
 
+def priced_spans(df: DataFrame, prices: DataFrame, bench, first: str, last: str) -> DataFrame:
+    """Rows (cusip, two dates) with both prices, the return, the benchmark's and the excess over it."""
+    p = df.withColumn("ticker", F.col("cusip"))
+    for when, out in ((first, "entry_price"), (last, "exit_price")):
+        p = price_on(p, prices, "ticker", when, "event", "close", out)
+    # One row a pair of dates, however many positions share it.
+    marks = df.select(first, last).distinct().withColumn("ticker", F.lit(bench))
+    for when, out in ((first, "_b0"), (last, "_b1")):
+        marks = price_on(marks, prices.where(F.col("ticker") == bench), "ticker", when, "event", "close", out)
+    p = p.join(marks.drop("ticker"), [first, last])
+    r, b = safe_div(F.col("exit_price"), F.col("entry_price")) - 1, safe_div(F.col("_b1"), F.col("_b0")) - 1
+    return p.withColumns({"ret": r, "bench": b}).withColumn("alpha", vs_benchmark(F.col("ret"), F.col("bench"))).drop("_b0", "_b1", "ticker")
+
+
+def holding_returns(runs: DataFrame, prices: DataFrame, bench) -> DataFrame:
+    """What each run of a position returned from its first quarter to its exit; runs without both prices are left out."""
+    return priced_spans(runs, prices, bench, "start", "exit").where("entry_price > 0 and exit_price is not null")
+
+
+def coverage_stats(quarters: DataFrame, positions: DataFrame) -> DataFrame:
+    """Per manager: quarters, clean ones, mean share of value priced, tickers held and tickers never priced."""
+    a = quarters.groupBy("manager").agg(F.count(F.lit(1)).alias("n_quarters"), F.count_if(~F.col("confidential")).alias("n_clean_quarters"), F.avg("coverage").alias("avg_coverage"))
+    b = positions.groupBy("manager", "cusip").agg(F.count("ret").alias("_priced"))
+    b = b.groupBy("manager").agg(F.count(F.lit(1)).alias("tickers"), F.count_if(F.col("_priced") == 0).alias("tickers_missing"))
+    return a.join(b, "manager")
+
+
 def position_returns(history: DataFrame, prices: DataFrame, bench, today: str, copycat_days: int = 0, few: int = 10) -> DataFrame:
     """Return of each position from its quarter's end (or filing) to the next quarter's, and its excess over a benchmark."""
     p = history.where("change <> 'closed'")
     n = F.count(F.lit(1)).over(Window.partitionBy("manager", "period"))
     spans = p.select("manager", "period").distinct().withColumn("_next", F.lead("period").over(over("manager", "period")))
     spans = spans.select("manager", "period", F.date_add("period", copycat_days).alias("entry_date"), F.coalesce(F.date_add("_next", copycat_days), F.lit(today).cast("date")).alias("exit_date"))
-    p = p.withColumn("confidential", n < few).join(spans, ["manager", "period"]).withColumn("ticker", F.col("cusip"))
-    for when, out in (("entry_date", "entry_price"), ("exit_date", "exit_price")):
-        p = price_on(p, prices, "ticker", when, "event", "close", out)
-    marks = p.select("entry_date", "exit_date").distinct().withColumn("ticker", F.lit(bench))
-    for when, out in (("entry_date", "_b0"), ("exit_date", "_b1")):
-        marks = price_on(marks, prices.where(F.col("ticker") == bench), "ticker", when, "event", "close", out)
-    p = p.join(marks.drop("ticker"), ["entry_date", "exit_date"])
-    r, b = safe_div(F.col("exit_price"), F.col("entry_price")) - 1, safe_div(F.col("_b1"), F.col("_b0")) - 1
-    return p.withColumns({"ret": r, "bench": b}).withColumn("alpha", vs_benchmark(F.col("ret"), F.col("bench"))).drop("_b0", "_b1", "ticker")
+    p = p.withColumn("confidential", n < few).join(spans, ["manager", "period"])
+    return priced_spans(p, prices, bench, "entry_date", "exit_date")
 
 
 def quarterly_returns(positions: DataFrame) -> DataFrame:

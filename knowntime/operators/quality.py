@@ -61,3 +61,46 @@ def stale(df: DataFrame, by: str, event: str, today: str, days: int = 10) -> Dat
 
 def summary(results: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, results).groupBy("status").agg(F.count(F.lit(1)).alias("rules"), F.sum("bad").alias("bad"))
+
+
+def required_columns(name: str, df: DataFrame, columns: list[str]) -> DataFrame:
+    """How many of the columns a table must have are missing."""
+    gone = len([c for c in columns if c not in df.columns])
+    return check(df.limit(1), [(name, F.lit(gone), False)])
+
+
+def distinct_keys(name: str, df: DataFrame, key: str, least: int) -> DataFrame:
+    """At least so many distinct keys; fails with 1."""
+    return check(df.select(key).distinct(), [at_least(name, F.count(F.lit(1)), least)])
+
+
+def depth(name: str, df: DataFrame, event: str, first: str) -> DataFrame:
+    """The history reaches back to ``first``; fails with 1."""
+    return check(df.agg(F.min(event).alias("first")), [rule(name, F.col("first").isNull() | (F.col("first") > F.lit(first).cast("date")))])
+
+
+def parseable_dates(name: str, df: DataFrame, column: str) -> DataFrame:
+    """Values that are there and are no dates."""
+    text = F.col(column).cast("string")
+    return check(df, [rule(name, text.isNotNull() & F.try_to_timestamp(text).isNull())])
+
+
+def spot_values(name: str, df: DataFrame, expected: DataFrame, keys: list[str], value: str, tolerance: float) -> DataFrame:
+    """Rows of ``expected`` (keys, value) that are missing or off by more than a share of the value."""
+    both = expected.withColumnRenamed(value, "_want").join(df.select(*keys, F.col(value).alias("_got")), keys, "left")
+    off = F.col("_got").isNull() | (F.abs(F.col("_got") - F.col("_want")) > tolerance * F.abs("_want"))
+    return check(both, [(name, F.count_if(off), False)])
+
+
+def unreadable_files(name: str, files: DataFrame, rows: DataFrame) -> DataFrame:
+    """Files (path) that gave no row of ``rows`` (_file): broken or empty ones, a warning each."""
+    seen = rows.select(F.col("_file").alias("path")).distinct()
+    return check(files.join(seen, "path", "left_anti"), [(name, F.count(F.lit(1)), True)])
+
+
+def same_rows(name: str, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Rows, with their number of copies, that are in one table only: 0 if a re-run changed nothing."""
+    columns = before.columns
+    a = before.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    b = after.select(*columns).groupBy(*columns).agg((-F.count(F.lit(1))).alias("_n"))
+    return check(a.unionByName(b).groupBy(*columns).agg(F.sum("_n").alias("_n")), [(name, F.sum(F.abs("_n")), False)])

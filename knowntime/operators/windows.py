@@ -61,3 +61,10 @@ def max_drawdown(df, value: str, by, order, out: str = "max_drawdown"):
     w = over(by, order).rowsBetween(Window.unboundedPreceding, 0)
     grown = df.withColumn("_cum", F.product(1 + F.col(value)).over(w)).withColumn("_peak", F.max("_cum").over(w))
     return grown.groupBy(*keys).agg(F.min((F.col("_cum") - F.col("_peak")) / F.col("_peak")).alias(out))
+
+
+def window_return(returns, by, value: str, need: int = 10, out: str = "ret"):
+    """The compounded return of each key that has over ``need`` returns."""
+    keys = [by] if isinstance(by, str) else list(by)
+    grown = returns.where(F.col(value).isNotNull()).groupBy(*keys).agg((F.product(1 + F.col(value)) - 1).alias(out), F.count(F.lit(1)).alias("_n"))
+    return grown.where(F.col("_n") > need).drop("_n")

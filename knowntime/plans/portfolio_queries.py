@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from knowntime.operators import backtest as T
 from knowntime.operators import pit
 from knowntime.operators import portfolio as P
-from knowntime.operators.bars import bucket
 from knowntime.plans.proxies import BARS, HOLD, TODAY, bars, holdings, table
 from knowntime.plans.registry import query
+from knowntime.plans.store_queries import shared
 
 HISTORY = f"""{HOLD}, per AS (SELECT manager, period, row_number() OVER w AS ordinal, lead(period) OVER w AS next_period FROM (SELECT DISTINCT manager, period FROM hold) WINDOW w AS (PARTITION BY manager ORDER BY period)),
 h0 AS (SELECT hold.*, ordinal, next_period, value / sum(value) OVER (PARTITION BY manager, period) AS weight FROM hold JOIN per USING (manager, period)),
@@ -24,17 +24,21 @@ def f8(spark, sf):
     return P.portfolio_history(holdings(spark, sf)).select("manager", "period", "cusip", "shares", F.round("value", 2).alias("value"), F.round("weight", 8).alias("weight"), "change", "quarters_held")
 
 
-@query("d6_d7_holdings", f"WITH {HOLD} SELECT manager, period, cusip, shares, round(value / sum(value) OVER (PARTITION BY manager, period), 8) AS weight FROM hold")
+@query("d6_d7_holdings", """WITH l AS (SELECT c_nationkey AS manager, last_day((date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH)::DATE) AS period, l_suppkey AS cusip, l_quantity AS shares, l_extendedprice AS value FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE l_linenumber <> 2),
+h AS (SELECT manager, period, cusip, sum(shares) AS shares, sum(value) AS value FROM l GROUP BY ALL) SELECT manager, period, cusip, shares, round(value / sum(value) OVER (PARTITION BY manager, period), 8) AS weight FROM h""")
 def d6(spark, sf):
-    h = holdings(spark, sf)
+    """Rows as they are filed: shares, shares with a blank, no kind, and principal amounts, which do not count."""
+    o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    o = o.select(F.col("o_orderkey").alias("l_orderkey"), F.col("c_nationkey").alias("manager"), F.last_day(F.add_months(F.trunc("o_orderdate", "quarter"), 2)).alias("period"))
+    kind = F.when(F.col("l_linenumber") == 1, "SH ").when(F.col("l_linenumber") == 2, "PRN").when(F.col("l_linenumber") == 3, "").when(F.col("l_linenumber") != 4, "SH")
+    rows = table(spark, sf, "lineitem").join(o, "l_orderkey").select("manager", "period", F.col("l_suppkey").alias("cusip"), F.col("l_quantity").alias("shares"), F.col("l_extendedprice").alias("value"), kind.alias("share_type"))
+    h = P.aggregate_holdings(rows, ["manager", "period", "cusip"])
     return h.select("manager", "period", "cusip", "shares", F.round(F.col("value") / F.sum("value").over(Window.partitionBy("manager", "period")), 8).alias("weight"))
 
 
 @query("d19_change_breakdown", f"WITH {HISTORY} SELECT manager, change, count(*) AS n FROM hist WHERE (manager, period) IN (SELECT (manager, max(period)) FROM hold GROUP BY manager) GROUP BY 1, 2")
 def d19(spark, sf):
-    h = P.portfolio_history(holdings(spark, sf))
-    last = h.withColumn("_last", F.max("period").over(Window.partitionBy("manager"))).where("period = _last")
-    return last.groupBy("manager", "change").agg(F.count(F.lit(1)).alias("n"))
+    return P.change_breakdown(P.portfolio_history(holdings(spark, sf)))
 
 
 @query("c13_map_identifier", f"WITH {HOLD} SELECT manager, period, cusip, s_name AS ticker FROM hold LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) ON cusip = s_suppkey")
@@ -43,11 +47,17 @@ def c13(spark, sf):
     return P.map_identifier(holdings(spark, sf).select("manager", "period", "cusip"), mapping, "cusip")
 
 
-@query("f11_holding_periods", f"""WITH {HISTORY}, r AS (SELECT *, count(*) FILTER (WHERE change = 'new') OVER (PARTITION BY manager, cusip ORDER BY ordinal) AS run FROM hist)
-SELECT manager, cusip, min(period) FILTER (WHERE change <> 'closed') AS start, max(period) FILTER (WHERE change <> 'closed') AS last, max(period) FILTER (WHERE change = 'closed') AS closed_on, count(*) FILTER (WHERE change <> 'closed') AS quarters,
-  round(max(weight), 8) AS peak_weight, max(period) FILTER (WHERE change = 'closed') IS NULL AS is_open, coalesce(max(period) FILTER (WHERE change = 'closed'), DATE '{TODAY}') AS exit FROM r GROUP BY manager, cusip, run""")
+RUNS = f"""{HISTORY}, r AS (SELECT *, count(*) FILTER (WHERE change = 'new') OVER (PARTITION BY manager, cusip ORDER BY ordinal) AS run, max(weight) OVER (PARTITION BY manager, cusip) AS peak FROM hist),
+runs AS (SELECT manager, cusip, min(period) FILTER (WHERE change <> 'closed') AS start, max(period) FILTER (WHERE change <> 'closed') AS last, max(period) FILTER (WHERE change = 'closed') AS closed_on, count(*) FILTER (WHERE change <> 'closed') AS quarters,
+  any_value(peak) AS peak_weight, max(period) FILTER (WHERE change = 'closed') IS NULL AS is_open, coalesce(max(period) FILTER (WHERE change = 'closed'), DATE '{TODAY}') AS exit FROM r GROUP BY manager, cusip, run)"""
+
+
+@query("f11_holding_periods", f"""WITH {RUNS}, {BARS}, a AS (SELECT u.*, b.close AS c0 FROM runs u ASOF LEFT JOIN bars b ON u.cusip = b.ticker AND u.start >= b.event), b AS (SELECT a.*, b.close AS c1 FROM a ASOF LEFT JOIN bars b ON a.cusip = b.ticker AND a.exit >= b.event),
+c AS (SELECT b.*, x.close AS b0 FROM b ASOF LEFT JOIN (SELECT * FROM bars WHERE ticker = 0) x ON b.start >= x.event), d AS (SELECT c.*, x.close AS b1 FROM c ASOF LEFT JOIN (SELECT * FROM bars WHERE ticker = 0) x ON c.exit >= x.event)
+SELECT manager, cusip, start, last, closed_on, quarters, round(peak_weight, 8) AS peak_weight, is_open, exit, round(c0, 8) AS entry_price, round(c1, 8) AS exit_price, round(c1 / c0 - 1, 6) AS ret, round((c1 / c0) / (b1 / b0) - 1, 6) AS alpha FROM d WHERE c0 > 0 AND c1 IS NOT NULL""")
 def f11(spark, sf):
-    return P.holding_runs(P.portfolio_history(holdings(spark, sf)), TODAY).withColumn("peak_weight", F.round("peak_weight", 8))
+    runs = P.holding_returns(P.holding_runs(P.portfolio_history(holdings(spark, sf)), TODAY), bars(spark, sf), 0)
+    return runs.select("manager", "cusip", "start", "last", "closed_on", "quarters", F.round("peak_weight", 8).alias("peak_weight"), "is_open", "exit", *[F.round(c, 8).alias(c) for c in ("entry_price", "exit_price")], *[F.round(c, 6).alias(c) for c in ("ret", "alpha")])
 
 
 POSITIONS = f"""{HISTORY}, {BARS}, sp AS (SELECT manager, period, period AS entry_date, coalesce(next_period, DATE '{TODAY}') AS exit_date FROM per),
@@ -57,8 +67,24 @@ p3 AS (SELECT p2.*, b.close AS b0 FROM p2 ASOF LEFT JOIN (SELECT * FROM bars WHE
 pos AS (SELECT *, c1 / c0 - 1 AS ret, b1 / b0 - 1 AS bench, (c1 / c0) / (b1 / b0) - 1 AS alpha FROM p4)"""
 
 
-def _positions(spark, sf):
-    return P.position_returns(P.portfolio_history(holdings(spark, sf)), bars(spark, sf), 0, TODAY)
+def _positions(spark, sf, copycat_days=0):
+    return P.position_returns(P.portfolio_history(holdings(spark, sf)), bars(spark, sf), 0, TODAY, copycat_days)
+
+
+def _written(spark, df):
+    """``df`` in the shared folder, for plans that read it more than once."""
+    path = f"{shared(spark)}/once"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@query("f9_copycat_returns", f"""WITH {HISTORY}, {BARS}, sp AS (SELECT manager, period, period + 45 AS entry_date, coalesce(next_period + 45, DATE '{TODAY}') AS exit_date FROM per),
+p0 AS (SELECT h.*, entry_date, exit_date FROM hist h JOIN sp ON h.manager = sp.manager AND h.period = sp.period WHERE change <> 'closed'),
+p1 AS (SELECT p0.*, b.close AS c0 FROM p0 ASOF LEFT JOIN bars b ON p0.cusip = b.ticker AND p0.entry_date >= b.event), p2 AS (SELECT p1.*, b.close AS c1 FROM p1 ASOF LEFT JOIN bars b ON p1.cusip = b.ticker AND p1.exit_date >= b.event)
+SELECT manager, period, cusip, entry_date, exit_date, round(c1 / c0 - 1, 6) AS ret FROM p2""")
+def f9_copycat(spark, sf):
+    """Bought and sold when the filings are public, 45 days on."""
+    return _positions(spark, sf, 45).select("manager", "period", "cusip", "entry_date", "exit_date", F.round("ret", 6).alias("ret"))
 
 
 @query("f9_position_returns", f"WITH {POSITIONS} SELECT manager, period, cusip, exit_date, confidential, round(ret, 6) AS ret, round(alpha, 6) AS alpha FROM pos")
@@ -81,16 +107,24 @@ md AS (SELECT manager, min((cum - peak) / peak) AS max_drawdown FROM pk GROUP BY
 SELECT manager, count(*) AS quarters, round(pow(product(1 + ret), 4.0 / count(*)) - 1, 5) AS annual_return, round(pow(product(1 + ret), 4.0 / count(*)) - pow(product(1 + bench), 4.0 / count(*)), 5) AS annual_alpha, round(avg((ret > 0)::INT), 6) AS hit_rate,
   round(avg(alpha) / stddev_samp(alpha) * 2, 5) AS information_ratio, round(any_value(max_drawdown), 5) AS max_drawdown, round(any_value(top5), 6) AS top5 FROM c JOIN md USING (manager) JOIN tp USING (manager) GROUP BY manager""")
 def f12(spark, sf):
-    p = _positions(spark, sf)
+    p = _written(spark, _positions(spark, sf))
     s = P.performance_summary(P.quarterly_returns(p), p)
     return s.select("manager", "quarters", *[F.round(c, d).alias(c) for c, d in (("annual_return", 5), ("annual_alpha", 5), ("hit_rate", 6), ("information_ratio", 5), ("max_drawdown", 5), ("top5", 6))])
 
 
-@query("e23_top_n", f"WITH {POSITIONS} SELECT manager, period, cusip, round(alpha, 6) AS alpha FROM pos WHERE alpha IS NOT NULL QUALIFY row_number() OVER (PARTITION BY manager ORDER BY alpha DESC, period, cusip) <= 5")
+@query("d21_coverage_stats", f"""WITH {QUARTERS}, a AS (SELECT manager, count(*) AS n_quarters, count(*) FILTER (WHERE NOT confidential) AS n_clean_quarters, round(avg(coverage), 6) AS avg_coverage FROM qr GROUP BY 1),
+t AS (SELECT manager, cusip, count(ret) AS priced FROM pos GROUP BY 1, 2) SELECT a.*, tickers, tickers_missing FROM a JOIN (SELECT manager, count(*) AS tickers, count(*) FILTER (WHERE priced = 0) AS tickers_missing FROM t GROUP BY 1) USING (manager)""")
+def d21(spark, sf):
+    p = _written(spark, _positions(spark, sf))
+    return P.coverage_stats(P.quarterly_returns(p), p).withColumn("avg_coverage", F.round("avg_coverage", 6))
+
+
+@query("e23_top_n", f"""WITH {POSITIONS}, a AS (SELECT manager, period, cusip, round(alpha, 6) AS alpha, row_number() OVER (PARTITION BY manager ORDER BY alpha DESC, period, cusip) AS up, row_number() OVER (PARTITION BY manager ORDER BY alpha, period, cusip) AS down FROM pos WHERE alpha IS NOT NULL)
+SELECT manager, period, cusip, alpha, 'best' AS side FROM a WHERE up <= 5 UNION ALL SELECT manager, period, cusip, alpha, 'worst' FROM a WHERE down <= 5""")
 def e23(spark, sf):
-    p = _positions(spark, sf).where("alpha is not null").select("manager", "period", "cusip", "alpha")
-    rank = F.row_number().over(Window.partitionBy("manager").orderBy(F.col("alpha").desc(), "period", "cusip"))
-    return p.withColumn("_r", rank).where("_r <= 5").select("manager", "period", "cusip", F.round("alpha", 6).alias("alpha"))
+    """The five best and the five worst positions of each manager."""
+    top = P.best_and_worst(_positions(spark, sf).select("manager", "period", "cusip", "alpha"), "manager", "alpha", ["period", "cusip"])
+    return top.withColumn("alpha", F.round("alpha", 6))
 
 
 DATES = "days AS (SELECT unnest(generate_series(DATE '1996-01-31', DATE '2000-12-31', INTERVAL 30 DAY))::DATE AS as_of)"

@@ -40,8 +40,10 @@ def financials(spark, sf) -> DataFrame:
     rows = table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("ticker"), F.year("l_shipdate").alias("year"), F.quarter("l_shipdate").alias("quarter"),
         (x * (1 - F.col("l_discount"))).alias("revenue"), (x * (1 - F.col("l_discount")) * (1 - F.col("l_tax"))).alias("gross_profit"),
-        (x * (0.2 - F.col("l_discount"))).alias("net_income"), F.col("l_quantity").alias("shares"))
-    money = [F.sum(c).alias(c) for c in ("revenue", "gross_profit", "net_income", "shares")]
+        (x * (0.2 - F.col("l_discount"))).alias("net_income"), F.col("l_quantity").alias("shares"),
+        (x * (0.25 - F.col("l_discount"))).alias("operating_income"), (x * F.col("l_tax")).alias("depreciation"), (x * (0.22 - F.col("l_discount"))).alias("operating_cf"),
+        (x * -0.04).alias("capex"), (x * 0.5).alias("total_equity"), (x * 0.3).alias("lt_debt"), (F.col("l_quantity") * 120).alias("cash"))
+    money = [F.sum(c).alias(c) for c in rows.columns[3:]]
     q = rows.where("quarter < 4").groupBy("ticker", "year", "quarter").agg(*money).withColumn("form", F.lit("10-Q"))
     k = rows.groupBy("ticker", "year").agg(*money).withColumns({"quarter": F.lit(4), "form": F.lit("10-K")})
     both = q.unionByName(k).withColumn("period_end", F.last_day(F.make_date("year", F.col("quarter") * 3, F.lit(1))))
@@ -50,13 +52,14 @@ def financials(spark, sf) -> DataFrame:
 
 FIN = """fin0 AS (
   SELECT l_suppkey AS ticker, year(l_shipdate) AS year, quarter(l_shipdate) AS quarter, l_extendedprice * (1 - l_discount) AS revenue,
-         l_extendedprice * (1 - l_discount) * (1 - l_tax) AS gross_profit, l_extendedprice * (0.2 - l_discount) AS net_income, l_quantity AS shares FROM lineitem),
+         l_extendedprice * (1 - l_discount) * (1 - l_tax) AS gross_profit, l_extendedprice * (0.2 - l_discount) AS net_income, l_quantity AS shares,
+         l_extendedprice * (0.25 - l_discount) AS operating_income, l_extendedprice * l_tax AS depreciation, l_extendedprice * (0.22 - l_discount) AS operating_cf,
+         l_extendedprice * -0.04 AS capex, l_extendedprice * 0.5 AS total_equity, l_extendedprice * 0.3 AS lt_debt, l_quantity * 120 AS cash FROM lineitem),
 fin1 AS (
-  SELECT ticker, year, quarter, '10-Q' AS form, sum(revenue) AS revenue, sum(gross_profit) AS gross_profit, sum(net_income) AS net_income, sum(shares) AS shares
-  FROM fin0 WHERE quarter < 4 GROUP BY ALL
-  UNION ALL SELECT ticker, year, 4, '10-K', sum(revenue), sum(gross_profit), sum(net_income), sum(shares) FROM fin0 GROUP BY ticker, year),
+  SELECT ticker, year, quarter, '10-Q' AS form, sum(COLUMNS(* EXCLUDE (ticker, year, quarter))) FROM fin0 WHERE quarter < 4 GROUP BY ticker, year, quarter
+  UNION ALL SELECT ticker, year, 4, '10-K', sum(COLUMNS(* EXCLUDE (ticker, year, quarter))) FROM fin0 GROUP BY ticker, year),
 fin AS (
-  SELECT *, net_income / shares AS eps, last_day(make_date(year, quarter * 3, 1)) AS period_end,
+  SELECT *, operating_cf - abs(capex) AS fcf, net_income / shares AS eps, last_day(make_date(year, quarter * 3, 1)) AS period_end,
          (last_day(make_date(year, quarter * 3, 1)) + CASE WHEN form = '10-K' THEN INTERVAL 90 DAY ELSE INTERVAL 45 DAY END)::DATE AS known FROM fin1)"""
 
 

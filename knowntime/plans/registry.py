@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from collections.abc import Callable
 
-MODULES = ["scalar_queries", "pit_queries", "sequence_queries", "fundamental_queries", "portfolio_queries", "store_queries", "report_queries"]
+MODULES = ["scalar_queries", "pit_queries", "sequence_queries", "fundamental_queries", "portfolio_queries", "store_queries", "source_queries", "report_queries"]
 _QUERIES: dict[str, Callable] = {}
 _SQL: dict[str, str] = {}
 

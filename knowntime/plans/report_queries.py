@@ -6,7 +6,7 @@ from knowntime.functions.scalars import cap_bucket
 from knowntime.operators import pit
 from knowntime.operators import quality as Q
 from knowntime.operators.bars import pivot_long
-from knowntime.operators.windows import over
+from knowntime.operators.windows import over, pct_change, window_return
 from knowntime.plans.proxies import BARS, HOLD, bars, holdings, table
 from knowntime.plans.registry import query
 from knowntime.plans.store_queries import shared

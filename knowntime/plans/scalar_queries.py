@@ -100,6 +100,21 @@ def b20(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", S.meeting_date(text, F.year("o_orderdate")).alias("meeting"))
 
 
+@query("b20_meeting_time", "SELECT o_orderkey, ((o_orderdate::DATE + INTERVAL 14 HOUR) AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS known FROM orders")
+def b20_time(spark, sf):
+    text = F.concat(F.date_format("o_orderdate", "MMMM"), F.lit(" 1-"), F.dayofmonth("o_orderdate").cast("string"))
+    return table(spark, sf, "orders").select("o_orderkey", S.meeting_time(text, F.year("o_orderdate")).alias("known"))
+
+
+@query("b4_default_flags", """WITH i AS (SELECT event_id, ['4.01', '1.03', '2.03', '3.01', '2.02', '5.02', '2.01', '1.01'][1 + event_id % 8] AS a, ['2.02', '9.01', '5.02'][1 + user_id % 3] AS b FROM events)
+SELECT event_id, (a = '4.01')::INT AS has_auditor_change, (a = '1.03')::INT AS has_bankruptcy, (a = '2.03')::INT AS has_debt_obligation, (a = '3.01')::INT AS has_delisting, (a = '2.02' OR b = '2.02')::INT AS has_earnings,
+  (a = '5.02' OR b = '5.02')::INT AS has_exec_change, (a = '2.01')::INT AS has_ma, (a = '1.01')::INT AS has_material_agreement FROM i""")
+def b4_default(spark, sf):
+    codes, more = ["4.01", "1.03", "2.03", "3.01", "2.02", "5.02", "2.01", "1.01"], ["2.02", "9.01", "5.02"]
+    a, b = (F.get(F.array(*[F.lit(c) for c in cs]), (F.col(of) % len(cs)).cast("int")) for cs, of in ((codes, "event_id"), (more, "user_id")))
+    return table(spark, sf, "events").select("event_id", *S.item_flags(F.concat(a, F.lit(" , "), b)))
+
+
 @query("b22_statutory_tax", "SELECT o_orderkey, CASE WHEN year(o_orderdate) + 20 <= 2017 THEN 0.35 ELSE 0.21 END::DOUBLE AS rate FROM orders")
 def b22(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", S.statutory_tax(F.year("o_orderdate") + 20).alias("rate"))

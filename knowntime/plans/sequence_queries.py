@@ -8,7 +8,8 @@ from knowntime.operators import windows as W
 from knowntime.plans.proxies import BARS, FIN, bars, financials, table
 from knowntime.plans.registry import query
 
-WANTED = [0, 1, 2, 3, 4]
+#: The nations of the tables.
+NATIONS = list(range(25))
 
 
 def rounded(df, *columns, digits=6):
@@ -27,9 +28,17 @@ def d2(spark, sf):
     return rounded(B.resample(bars(spark, sf), "MS", known="known"), "open", "high", "low", "close", digits=8)
 
 
-@query("d4_pivot_prices", f"""WITH {BARS} SELECT event, {', '.join(f'round(max(close) FILTER (WHERE ticker = {t}), 8) AS "{t}"' for t in WANTED)} FROM bars WHERE ticker < 5 GROUP BY 1""")
+@query("d3_resample_prices", f"""WITH {BARS} SELECT ticker, date_trunc('quarter', event)::DATE AS period, round(arg_max(close, event), 8) AS close, round(arg_max(open, event), 8) AS open, sum(volume) AS volume FROM bars GROUP BY 1, 2""")
+def d3(spark, sf):
+    return rounded(B.resample_prices(bars(spark, sf), "QS", columns=("close", "open")), "close", "open", digits=8)
+
+
+@query("d4_pivot_prices", f"""WITH {BARS} SELECT event, {', '.join(f'round(max(close) FILTER (WHERE s_nationkey = {t}), 8) AS "{t}"' for t in NATIONS)} FROM bars JOIN supplier ON s_suppkey = ticker GROUP BY 1""")
 def d4(spark, sf):
-    return B.pivot_long(rounded(bars(spark, sf), "close", digits=8), "event", "ticker", "close", WANTED)
+    """All tickers, one column a nation."""
+    home = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("ticker"), "s_nationkey")
+    top = bars(spark, sf).join(home, "ticker").groupBy("event", "s_nationkey").agg(F.round(F.max("close"), 8).alias("close"))
+    return B.pivot_long(top, "event", "s_nationkey", "close", NATIONS)
 
 
 RETURNS = f"""{BARS}, rets AS (SELECT ticker, event, close / lag(close) OVER (PARTITION BY ticker ORDER BY event) - 1 AS ret FROM bars)"""
@@ -44,21 +53,21 @@ def e11(spark, sf):
     return rounded(_returns(spark, sf), "ret")
 
 
-@query("d16_correlation", f"""WITH {RETURNS}, r AS (SELECT * FROM rets WHERE ticker < 8 AND ret IS NOT NULL)
-SELECT a.ticker AS a, b.ticker AS b, round(corr(a.ret, b.ret), 6) AS corr, count(*) AS n FROM r a JOIN r b ON a.event = b.event AND a.ticker <= b.ticker GROUP BY 1, 2""")
+@query("d16_correlation", f"""WITH {RETURNS}, r AS (SELECT * FROM rets WHERE ret IS NOT NULL)
+SELECT a.ticker AS a, b.ticker AS b, round(corr(a.ret, b.ret), 5) AS corr, count(*) AS n FROM r a JOIN r b ON a.event = b.event AND a.ticker <= b.ticker GROUP BY 1, 2 HAVING count(*) > 2""")
 def d16(spark, sf):
-    return rounded(B.correlation_matrix(_returns(spark, sf).where("ticker < 8 and ret is not null")), "corr")
+    """All pairs of tickers with over two dates in common."""
+    return rounded(B.correlation_matrix(_returns(spark, sf)).where("n > 2"), "corr", digits=5)
 
 
 @query("d17_window_return", f"""WITH {RETURNS} SELECT ticker, round(product(1 + ret) - 1, 5) AS ret FROM rets WHERE event BETWEEN DATE '1998-01-01' AND DATE '1998-03-31' AND ret IS NOT NULL GROUP BY 1 HAVING count(*) > 10""")
 def d17(spark, sf):
-    r = _returns(spark, sf).where("event between date'1998-01-01' and date'1998-03-31' and ret is not null")
-    return rounded(r.groupBy("ticker").agg((F.product(1 + F.col("ret")) - 1).alias("ret"), F.count(F.lit(1)).alias("n")).where("n > 10").drop("n"), "ret", digits=5)
+    return rounded(W.window_return(_returns(spark, sf).where("event between date'1998-01-01' and date'1998-03-31'"), "ticker", "ret"), "ret", digits=5)
 
 
 @query("d24_value_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def d24(spark, sf):
-    return table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return B.value_counts(table(spark, sf, "events"), "event_type")
 
 
 @query("e5_trailing_dividends", f"WITH {BARS} SELECT ticker, event, round(sum(dividends) OVER (PARTITION BY ticker ORDER BY event ROWS BETWEEN 251 PRECEDING AND CURRENT ROW), 6) AS ttm FROM bars")
@@ -129,7 +138,30 @@ def e36(spark, sf):
     return b.select("ticker", "event", F.round("obv", 2).alias("obv"), *[F.round(c, 4).alias(c) for c in ("stoch_k", "stoch_d", "williams_r")])
 
 
-@query("f6_indicators")
+@query("e39_volatility_vwap", f"""WITH {BARS}, s AS (SELECT *, ln(close / lag(close) OVER w) AS step FROM bars WINDOW w AS ({WIN}))
+SELECT ticker, event, round(CASE WHEN count(step) OVER (w ROWS 20 PRECEDING) = 21 THEN stddev_samp(step) OVER (w ROWS 20 PRECEDING) * sqrt(252) END, 6) AS volatility,
+  round(CASE WHEN count(*) OVER (w ROWS 19 PRECEDING) = 20 THEN sum(close * volume) OVER (w ROWS 19 PRECEDING) / sum(volume) OVER (w ROWS 19 PRECEDING) END + 1e-7, 4) AS vwap FROM s WINDOW w AS ({WIN})""")
+def e39(spark, sf):
+    v = I.with_volatility(bars(spark, sf), "ticker", "event")
+    return v.select("ticker", "event", F.round("volatility", 6).alias("volatility"), F.round(I.vwap("ticker", "event") + 1e-7, 4).alias("vwap"))
+
+
+def seeded(name, value, n, alpha, seed):
+    """One state of the recursion: nothing, the seed at row n, then the recurrence."""
+    return f"CASE WHEN b.rn < {n} THEN NULL WHEN b.rn = {n} THEN {seed} ELSE r.{name} * (1 - {alpha}) + {value} * {alpha} END AS {name}"
+
+
+@query("f6_indicators", f"""WITH RECURSIVE {BARS}, l AS (SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY ticker) AS n, close - lag(close) OVER w AS step, greatest(high - low, abs(high - lag(close) OVER w), abs(low - lag(close) OVER w)) AS tr FROM bars WINDOW w AS ({WIN})),
+b AS MATERIALIZED (SELECT ticker, event, rn, close, tr, CASE WHEN step IS NOT NULL THEN greatest(step, 0) END AS up, CASE WHEN step IS NOT NULL THEN greatest(-step, 0) END AS down,
+  {', '.join(f'avg(close) OVER (w ROWS {k - 1} PRECEDING) AS m{k}' for k in (9, 12, 21, 26))}, avg(tr) OVER (w ROWS 13 PRECEDING) AS mtr,
+  avg(CASE WHEN step IS NOT NULL THEN greatest(step, 0) END) OVER (w ROWS 13 PRECEDING) AS mup, avg(CASE WHEN step IS NOT NULL THEN greatest(-step, 0) END) OVER (w ROWS 13 PRECEDING) AS mdown FROM l WHERE n >= 30 WINDOW w AS ({WIN})),
+r AS (SELECT ticker, event, rn, NULL::DOUBLE AS e9, NULL::DOUBLE AS e12, NULL::DOUBLE AS e21, NULL::DOUBLE AS e26, NULL::DOUBLE AS atr, NULL::DOUBLE AS au, NULL::DOUBLE AS ad FROM b WHERE rn = 1
+  UNION ALL SELECT b.ticker, b.event, b.rn, {', '.join(seeded(f'e{k}', 'b.close', k, f'(2.0 / {k + 1})', f'b.m{k}') for k in (9, 12, 21, 26))}, {seeded('atr', 'b.tr', 14, '(1.0 / 14)', 'b.mtr')}, {seeded('au', 'b.up', 15, '(1.0 / 14)', 'b.mup')}, {seeded('ad', 'b.down', 15, '(1.0 / 14)', 'b.mdown')}
+  FROM r JOIN b ON b.ticker = r.ticker AND b.rn = r.rn + 1),
+m AS MATERIALIZED (SELECT ticker, rn, e12 - e26 AS macd, avg(e12 - e26) OVER (PARTITION BY ticker ORDER BY rn ROWS 8 PRECEDING) AS mm FROM r),
+s AS (SELECT ticker, rn, NULL::DOUBLE AS sig FROM m WHERE rn = 33 UNION ALL SELECT m.ticker, m.rn, CASE WHEN m.rn = 34 THEN m.mm ELSE s.sig * 0.8 + m.macd * 0.2 END FROM s JOIN m ON m.ticker = s.ticker AND m.rn = s.rn + 1)
+SELECT r.ticker, r.event, round(e9, 4) AS ema_9, round(e21, 4) AS ema_21, round(CASE WHEN au + ad <> 0 THEN 100 * au / (au + ad) END, 4) AS rsi, round(atr, 4) AS atr, round(macd, 4) AS macd, round(sig, 4) AS macd_signal, round(macd - sig, 4) AS macd_hist
+FROM r JOIN m USING (ticker, rn) LEFT JOIN s USING (ticker, rn)""")
 def f6(spark, sf):
-    """Recurrences are no window SQL: tests hold them against a plain loop."""
-    return I.indicator_table(bars(spark, sf))
+    t = I.indicator_table(bars(spark, sf))
+    return t.select("ticker", "event", *[F.round(c, 4).alias(c) for c in ("ema_9", "ema_21", "rsi", "atr", "macd", "macd_signal", "macd_hist")])

@@ -1,11 +1,12 @@
 """Tables, sources, rules and increments over the driver tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from knowntime.operators import quality as Q
+from knowntime.operators.portfolio import missing_prices
+from knowntime.operators.windows import over, yoy_change
 from knowntime.plans.proxies import BARS, VINTAGES, bars, table, vintages
 from knowntime.plans.registry import query
 from knowntime.sources import parsers, store
@@ -13,8 +14,14 @@ from knowntime.streaming import increments
 
 
 def shared(spark) -> str:
-    """A new folder that driver and executors share."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="knowntime-")
+    """A new folder that driver and executors share; on one machine a temporary one where none is set."""
+    sc = spark.sparkContext
+    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not found:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = f"file:///tmp/spark-{uuid.uuid4().hex}"
+        sc.setCheckpointDir(found)
     return f"{found.rstrip('/')}/store-{uuid.uuid4().hex}"
 
 
@@ -30,21 +37,27 @@ def a3(spark, sf):
     return store.read_prices(_ohlcv(spark, sf), wanted).withColumn("close", F.round("close", 8))
 
 
-@query("a4_read_ohlcv_pit", f"WITH {BARS} SELECT ticker, event::TIMESTAMP AS event_timestamp, volume FROM bars WHERE ticker IN (1, 2, 3) AND event BETWEEN DATE '1997-01-01' AND DATE '1998-06-30' AND known <= TIMESTAMP '1998-06-30'")
+@query("a4_read_ohlcv_pit", f"WITH {BARS} SELECT ticker, event::TIMESTAMP AS event_timestamp, volume FROM bars WHERE ticker IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) AND event BETWEEN DATE '1997-01-01' AND DATE '1998-06-30' AND known <= TIMESTAMP '1998-06-30'")
 def a4(spark, sf):
-    return store.read_ohlcv_pit(_ohlcv(spark, sf), [1, 2, 3], "1998-06-30", "1997-01-01").select("ticker", "event_timestamp", "volume")
+    wanted = table(spark, sf, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("ticker"))
+    return store.read_ohlcv_pit(_ohlcv(spark, sf), wanted, "1998-06-30", "1997-01-01").select("ticker", "event_timestamp", "volume")
 
 
-@query("a8_series_vintages", f"WITH {VINTAGES} SELECT code, line, event, known, part, value, row_number() OVER (PARTITION BY code, line, event ORDER BY known, part, value) - 1 AS revision FROM vintages")
+@query("a8_series_vintages", f"WITH {VINTAGES} SELECT code, line, event, known, part, value, row_number() OVER (PARTITION BY code, line, event ORDER BY known, part, value) - 1 AS revision FROM vintages WHERE part % 7 <> 0")
 def a8(spark, sf):
-    out = parsers.load_series_vintages(vintages(spark, sf), ["code", "line", "event"], ["known", "part", "value"])
+    """A seventh of the releases has no value."""
+    raw = vintages(spark, sf).withColumn("value", F.when(F.col("part") % 7 != 0, F.col("value")))
+    out = parsers.load_series_vintages(raw, ["code", "line", "event"], ["known", "part", "value"])
     return out.withColumn("revision", F.col("revision").cast("long"))
 
 
-@query("a14_discover_links", """SELECT page_id, len(regexp_extract_all(html, 'href="([^"]+)"', 1))::INT AS n_links, list_extract(regexp_extract_all(html, 'href="([^"]+)"', 1), 1) AS first_link FROM pages""")
+@query("a14_discover_links", """SELECT page_id, len(regexp_extract_all(html, 'href="([^"]+)"', 1))::INT AS n_links, CASE WHEN page_id % 3 = 0 THEN '/a/data.XML' WHEN page_id % 3 = 1 THEN '/xsl/other.xml' END AS picked FROM pages""")
 def a14(spark, sf):
-    links, _ = parsers.discover_links(F.col("html"))
-    return table(spark, sf, "pages").select("page_id", F.size(links).alias("n_links"), F.get(links, F.lit(0)).alias("first_link"))
+    """Pages with a cover document, style sheets and data files among their links."""
+    more = F.when(F.col("page_id") % 3 == 0, '<a href="primary_doc.xml"></a><a href="/xslF/x.xml"></a><a href="/a/data.XML">').when(F.col("page_id") % 3 == 1, '<a href="/x/primary_doc.xml"><a href="/xsl/other.xml">').otherwise('<a href="primary_doc.xml">')
+    links, picked = parsers.discover_links(F.col("marked"))
+    pages = table(spark, sf, "pages").select("page_id", "html", F.concat("html", more).alias("marked"))
+    return pages.select("page_id", (F.size(links) - F.when(F.col("page_id") % 3 == 0, 3).when(F.col("page_id") % 3 == 1, 2).otherwise(1)).alias("n_links"), picked.alias("picked"))
 
 
 @query("a20_upsert", """
@@ -61,6 +74,20 @@ def a20(spark, sf):
     return store.read_table(spark, root, "lines").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", F.col("year").cast("long").alias("year"))
 
 
+@query("a20_upsert_moved", """
+WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate::DATE AS day, 0 AS wave FROM lineitem),
+m AS (SELECT * FROM l UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice * 2, day + 400, 1 FROM l WHERE l_orderkey % 3 = 1)
+SELECT l_orderkey, l_linenumber, l_extendedprice, year(day)::BIGINT AS year FROM m QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY wave DESC, day DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1""")
+def a20_moved(spark, sf):
+    """A second batch corrects a third of the rows and moves them to another year's partition."""
+    spec = store.TableSpec("lines", ("l_orderkey", "l_linenumber"), ("year",), "day", ("day", "l_partkey", "l_suppkey", "l_extendedprice"))
+    root = shared(spark)
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", F.col("l_shipdate").cast("date").alias("day"))
+    store.upsert(rows, root, spec)
+    store.upsert(rows.where("l_orderkey % 3 = 1").withColumns({"l_extendedprice": F.col("l_extendedprice") * 2, "day": F.date_add("day", 400)}), root, spec)
+    return store.read_table(spark, root, "lines").select("l_orderkey", "l_linenumber", "l_extendedprice", F.col("year").cast("long").alias("year"))
+
+
 @query("a21_upsert_columns", """
 WITH a AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0), b AS (SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_orderkey % 2 = 0)
 SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN a.o_orderkey IS NULL THEN b.o_orderstatus ELSE a.o_orderstatus END AS o_orderstatus, CASE WHEN b.o_orderkey IS NOT NULL THEN b.o_totalprice ELSE a.o_totalprice END AS o_totalprice FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey""")
@@ -97,8 +124,8 @@ def a29(spark, sf):
 
 @query("c12_missing_prices", "SELECT DISTINCT p_partkey AS part FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)")
 def c12(spark, sf):
-    priced = table(spark, sf, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("part")).distinct()
-    return table(spark, sf, "part").select(F.col("p_partkey").alias("part")).distinct().join(priced, "part", "left_anti")
+    priced = table(spark, sf, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("part"))
+    return missing_prices(table(spark, sf, "part").select(F.col("p_partkey").alias("part")), priced, "part")
 
 
 @query("f16_universe", """SELECT ticker, idx AS index_name FROM (SELECT c_custkey AS ticker, 'A' AS idx, 0 AS p FROM customer WHERE c_acctbal > 0 UNION ALL SELECT o_custkey, 'B', 1 FROM orders WHERE o_totalprice > 100000)
@@ -130,6 +157,43 @@ def k_rules(spark, sf):
     return found
 
 
+@query("k12_k16_rules", f"""WITH {BARS}, s AS (SELECT ticker, max(close) AS top FROM bars GROUP BY 1), r AS (
+  SELECT 'columns' AS rule, 1::BIGINT AS bad UNION ALL SELECT 'enough_tickers', (count(DISTINCT ticker) < 50)::BIGINT FROM bars UNION ALL SELECT 'too_few_tickers', (count(DISTINCT ticker) < 1000000)::BIGINT FROM bars
+  UNION ALL SELECT 'reaches_1993', (min(event) > DATE '1993-01-01')::BIGINT FROM bars UNION ALL SELECT 'dates', count(*) FILTER (WHERE o_orderkey % 10 = 0) FROM orders
+  UNION ALL SELECT 'spot', count(*) FILTER (WHERE ticker % 4 = 0) FROM s UNION ALL SELECT 'rerun', 0)
+SELECT rule, CASE WHEN bad = 0 THEN 'PASS' ELSE 'FAIL' END AS status, bad FROM r""")
+def k12(spark, sf):
+    b, o = bars(spark, sf), table(spark, sf, "orders")
+    top = b.groupBy("ticker").agg(F.max("close").alias("top"))
+    expected = top.select("ticker", F.when(F.col("ticker") % 4 == 0, F.col("top") * 1.2).otherwise(F.col("top") * 1.001).alias("top"))
+    found = [
+        Q.required_columns("columns", b, ["ticker", "event", "adj_close"]), Q.distinct_keys("enough_tickers", b, "ticker", 50), Q.distinct_keys("too_few_tickers", b, "ticker", 1_000_000), Q.depth("reaches_1993", b, "event", "1993-01-01"),
+        Q.parseable_dates("dates", o.select(F.when(F.col("o_orderkey") % 10 == 0, "soon").otherwise(F.col("o_orderdate").cast("string")).alias("d")), "d"),
+        Q.spot_values("spot", top, expected, ["ticker"], "top", 0.01)]
+    # A second run over the same input leaves the table as it was.
+    root, spec = shared(spark), store.TableSpec("orders", ("o_orderkey",), (), "o_orderdate", ("o_orderdate",))
+    rows = o.select("o_orderkey", "o_orderdate", "o_totalprice")
+    store.upsert(rows, root, spec)
+    before = store.read_table(spark, root, "orders")
+    before.write.parquet(f"{root}/before")
+    store.upsert(rows, root, spec)
+    found.append(Q.same_rows("rerun", spark.read.parquet(f"{root}/before"), store.read_table(spark, root, "orders")))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@query("k13_file_integrity", "SELECT 'files' AS rule, 'WARN' AS status, 1::BIGINT AS bad FROM (SELECT count(*) FROM region)")
+def k13(spark, sf):
+    """One of the files is no table."""
+    root = shared(spark)
+    r = table(spark, sf, "customer").select("c_custkey")
+    r.write.parquet(f"{root}/files")
+    r.limit(1).select(F.lit("x").alias("value")).coalesce(1).write.mode("append").text(f"{root}/files")
+    return Q.unreadable_files("files", store.files_of(spark, f"{root}/files"), store.read_tolerant(spark, f"{root}/files", r.schema))
+
+
 @query("k3_coverage", f"""WITH {BARS}, o AS (SELECT ticker, count(*) AS n, min(event) AS f, max(event) AS l FROM bars GROUP BY 1)
 SELECT ticker, n AS bars, round(date_diff('day', f, least(DATE '2001-12-31', l)) * 252 / 365.0, 4) AS possible, date_diff('day', f, least(DATE '2001-12-31', l)) * 252 / 365.0 >= 30 AND n < 0.9 * date_diff('day', f, least(DATE '2001-12-31', l)) * 252 / 365.0 AS thin FROM o""")
 def k3(spark, sf):
@@ -141,28 +205,53 @@ def k4(spark, sf):
     return Q.stale(bars(spark, sf), "ticker", "event", "2001-12-31")
 
 
-@query("i1_high_water", "SELECT user_id, max(ts) AS high_water FROM events GROUP BY 1")
+@query("i1_high_water", "SELECT 'bars' AS job, c_custkey AS user_id, coalesce(h, TIMESTAMP '2009-12-31') AS high_water FROM customer LEFT JOIN (SELECT user_id, max(ts) AS h FROM events GROUP BY 1) ON user_id = c_custkey")
 def i1(spark, sf):
-    return increments.high_water(table(spark, sf, "events"), "user_id", "ts")
+    keys = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
+    return increments.high_water(table(spark, sf, "events"), "user_id", "ts", keys, "bars")
 
 
-@query("i3_stream_upsert", "SELECT user_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")
+@query("i3_stream_upsert", """WITH a AS (SELECT user_id, event_type, value, ts, event_id FROM events UNION ALL SELECT user_id, event_type, value * 10, ts + INTERVAL 40 DAY, event_id FROM events WHERE event_id % 5 = 0)
+SELECT user_id, event_type, value, strftime(ts, '%m') AS month FROM a QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
 def i3(spark, sf):
-    """Events as a stream, merged batch by batch into one row a key; a second run adds nothing."""
+    """Events as a stream, merged batch by batch into one row a key; later files correct earlier rows, in other partitions too."""
     root = shared(spark)
-    spec = store.TableSpec("latest", ("user_id", "event_type"), (), "ts", ("ts", "event_id"))
-    source = increments.stream(spark, sf, "ts", "events.parquet")
-    for _ in range(2):
-        increments.run_available(source, lambda batch, n: store.upsert(batch, root, spec), f"{root}/marks")
-    return store.read_table(spark, root, "latest").select("user_id", "event_type", "value")
+    spec = store.TableSpec("latest", ("user_id", "event_type"), ("year", "month"), "ts", ("ts", "event_id"))
+    e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    later = e.where("event_id % 5 = 0").withColumns({"value": F.col("value") * 10, "ts": F.col("ts") + F.expr("INTERVAL 40 DAYS")})
+    for batch in (e, later):
+        batch.write.mode("append").parquet(f"{root}/in")
+        increments.run_available(increments.stream(spark, f"{root}/in", "ts"), lambda rows, n: store.upsert(rows, root, spec), f"{root}/marks")
+    return store.read_table(spark, root, "latest").select("user_id", "event_type", "value", "month")
+
+
+@query("i5_warm_up", f"""WITH {BARS} SELECT ticker, event, round(mean, 6) AS mean FROM (SELECT ticker, event, avg(close) OVER (PARTITION BY ticker ORDER BY event ROWS 4 PRECEDING) AS mean FROM bars) WHERE event >= DATE '1998-01-01'""")
+def i5(spark, sf):
+    """Windows over a batch and the history before it; only the batch's rows come back."""
+    b = bars(spark, sf).select("ticker", "event", "close")
+    batch, history = b.where("event >= date'1998-01-01'"), b.where("event < date'1998-01-01'")
+    mean = F.avg("close").over(over("ticker", "event").rowsBetween(-4, 0))
+    return increments.with_history(batch, history, ["ticker"], "event", 1500, lambda df: df.withColumn("mean", F.round(mean, 6))).select("ticker", "event", "mean")
+
+
+@query("i6_recompute", """WITH m AS (SELECT o_orderstatus AS code, date_trunc('month', o_orderdate)::DATE AS month, count(*) AS v FROM orders GROUP BY 1, 2)
+SELECT code, month, round((v - lag(v, 12) OVER w) / lag(v, 12) OVER w * 100, 4) AS yoy FROM m WINDOW w AS (PARTITION BY code ORDER BY month)""")
+def i6(spark, sf):
+    """A derived series computed anew as a whole; its partition is replaced, the others stay."""
+    root = shared(spark)
+    m = table(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("code"), F.trunc("o_orderdate", "month").alias("month")).agg(F.count(F.lit(1)).alias("v"))
+    yoy = m.select("month", F.round(yoy_change(F.col("v"), "code", "month"), 4).alias("yoy"), "code")
+    store.replace_partition(yoy.withColumn("yoy", F.when(F.col("code") != "F", F.col("yoy"))), root, "yoy", ["code"])
+    store.replace_partition(yoy.where("code = 'F'"), root, "yoy", ["code"])
+    return store.read_table(spark, root, "yoy").select("code", "month", "yoy")
 
 
-@query("i4_stream_weekly_bars", """WITH w AS (SELECT user_id, date_trunc('week', ts)::DATE AS period, ts, value FROM events)
-SELECT user_id, period, arg_min(value, ts) AS open, max(value) AS high, min(value) AS low, arg_max(value, ts) AS close, round(sum(value), 4) AS volume FROM w
+@query("i4_stream_weekly_bars", """WITH w AS (SELECT user_id, date_trunc('week', ts)::DATE AS period, ts, value, event_id FROM events)
+SELECT user_id, period, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close, round(sum(value), 4) AS volume FROM w
 WHERE period + 7 <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY 1, 2""")
 def i4(spark, sf):
     """Weeks that the watermark has passed, as a stream emits them."""
     root = shared(spark)
     source = increments.stream(spark, sf, "ts", "events.parquet")
-    increments.run_available(increments.weekly_bars(source, "user_id", "ts", "value", "value"), lambda batch, n: batch.write.mode("append").parquet(f"{root}/bars"), f"{root}/marks")
+    increments.run_available(increments.weekly_bars(source, "user_id", "ts", "value", "value", ["event_id"]), lambda batch, n: batch.write.mode("append").parquet(f"{root}/bars"), f"{root}/marks")
     return store.read_table(spark, root, "bars").withColumn("volume", F.round("volume", 4))

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from knowntime.functions.scalars import add_publication_lag, base_form, is_period_length
+from knowntime.functions.scalars import add_publication_lag, base_form, derive_ratios, is_period_length, meeting_time, parse_amount
 from knowntime.operators.pit import dedup_latest, number_revisions
 
 
@@ -23,10 +23,11 @@ def load_series_csv(spark: SparkSession, path: str, code: str, lags: dict[str, i
 
 
 def load_series_json(raw: DataFrame, column: str = "json") -> DataFrame:
-    """``observations[]`` of (date, value, realtime_start); values that are no numbers are skipped."""
+    """``observations[]`` of (date, value, realtime_start); values that are no numbers are skipped, other columns are kept."""
     schema = "observations array<struct<date:string,value:string,realtime_start:string>>"
-    seen = raw.select(F.inline(F.from_json(column, schema).getField("observations")))
-    rows = seen.select(F.col("date").try_cast("date").alias("event"), F.col("value").try_cast("double").alias("value"), F.col("realtime_start").try_cast("date").alias("known"))
+    keys = [c for c in raw.columns if c != column]
+    seen = raw.select(*keys, F.inline(F.from_json(column, schema).getField("observations")))
+    rows = seen.select(*keys, F.col("date").try_cast("date").alias("event"), F.col("value").try_cast("double").alias("value"), F.col("realtime_start").try_cast("date").alias("known"))
     return rows.where("event is not null and value is not null")
 
 
@@ -81,7 +82,8 @@ def facts_by_accession(observations: DataFrame, tags: dict[str, list[str]], by:
 def parse_infotable(spark: SparkSession, path: str) -> DataFrame:
     """Holdings of a 13-F information table, with or without a namespace; rows without cusip go."""
     shares = "struct<sshPrnamt:string,sshPrnamtType:string>"
-    schema = f"nameOfIssuer string, cusip string, value string, shrsOrPrnAmt {shares}, investmentDiscretion string"
+    voting = "struct<Sole:string,Shared:string,None:string>"
+    schema = f"nameOfIssuer string, cusip string, value string, shrsOrPrnAmt {shares}, investmentDiscretion string, votingAuthority {voting}"
     raw = spark.read.format("xml").option("rowTag", "infoTable").option("ignoreNamespace", True).schema(schema).load(path)
 
     def number(c):
@@ -89,7 +91,8 @@ def parse_infotable(spark: SparkSession, path: str) -> DataFrame:
 
     rows = raw.select(
         F.col("nameOfIssuer").alias("company_name"), F.trim("cusip").alias("cusip"), number("value").alias("value_raw"),
-        number("shrsOrPrnAmt.sshPrnamt").alias("shares"), F.col("shrsOrPrnAmt.sshPrnamtType").alias("share_type"), F.col("investmentDiscretion").alias("discretion"))
+        number("shrsOrPrnAmt.sshPrnamt").alias("shares"), F.col("shrsOrPrnAmt.sshPrnamtType").alias("share_type"), F.col("investmentDiscretion").alias("discretion"),
+        number("votingAuthority.Sole").alias("voting_sole"))
     return rows.where("cusip <> ''")
 
 
@@ -150,6 +153,28 @@ def table_columns(rows: DataFrame, names: dict[str, list[str]], key: str = "page
     return body.select(key, "row", *[cell(words).alias(name) for name, words in names.items()])
 
 
+#: Words that name a column on each kind of page.
+PAGES = {
+    "constituents": {"ticker": ["symbol", "ticker"], "company": ["security", "company"], "sector": ["sector"]},
+    "changes": {"day": ["date"], "added": ["added"], "removed": ["removed"], "reason": ["reason"]},
+    "insider": {"trade_date": ["trade date"], "ticker": ["ticker"], "insider_name": ["insider"], "trade_type": ["trade type"], "price": ["price"], "qty": ["qty"]},
+    "meetings": {"meeting": ["meeting", "dates"], "year": ["year"]},
+}
+
+
+def parse_page(pages: DataFrame, kind: str, table_id: str | None = None, key: str = "page_id", html: str = "html") -> DataFrame:
+    """The rows of one kind of page under its column names; tickers have a dash for a dot, numbers are numbers."""
+    out = table_columns(parse_html_table(pages, table_id, key, html), PAGES[kind], key)
+    for c in ("ticker", "added", "removed"):
+        if c in out.columns:
+            out = out.withColumn(c, F.upper(F.regexp_replace(F.trim(c), r"\.", "-")))
+    out = out.withColumns({c: parse_amount(F.col(c)) for c in ("price", "qty") if c in out.columns})
+    if kind == "meetings":
+        out = out.withColumn("known", meeting_time(F.col("meeting"), F.col("year").try_cast("int")))
+    days = [c for c in ("day", "trade_date") if c in out.columns]
+    return out.withColumns({c: F.to_date(F.try_to_timestamp(c)) for c in days})
+
+
 def discover_links(html: Column) -> tuple[Column, Column]:
     """All ``href`` targets, and the first that is a data file: XML, no style sheet, no cover document."""
     links = F.regexp_extract_all(html, F.lit(r'href="([^"]+)"'), F.lit(1))
@@ -159,13 +184,13 @@ def discover_links(html: Column) -> tuple[Column, Column]:
     return links, F.coalesce(F.get(plain, F.lit(0)), F.get(second, F.lit(0)))
 
 
-def load_disclosed_trades(raw: DataFrame, first: str, last: str, column: str = "json") -> DataFrame:
+def load_disclosed_trades(raw: DataFrame, first: str, last: str, column: str = "json", keys: list[str] = ()) -> DataFrame:
     """Disclosed trades under alternative field names; the ticker is required."""
     def pick(*names):
         return F.coalesce(*[F.get_json_object(column, f"$.{n}") for n in names])
 
     rows = raw.select(
-        F.upper(F.trim(pick("ticker", "symbol"))).alias("ticker"), pick("representative", "senator", "name").alias("member"), pick("type", "transaction_type").alias("side"),
+        *keys, F.upper(F.trim(pick("ticker", "symbol"))).alias("ticker"), pick("representative", "senator", "name").alias("member"), pick("type", "transaction_type").alias("side"),
         pick("amount", "range").alias("amount"), pick("transaction_date", "transactionDate").try_cast("date").alias("event"), pick("disclosure_date", "disclosureDate").try_cast("date").alias("known"))
     rows = rows.where(F.col("ticker").isNotNull() & ~F.col("ticker").isin("", "--", "N/A") & F.col("known").between(first, last))
     return rows.withColumn("delay_days", F.datediff("known", "event"))
@@ -177,7 +202,8 @@ def load_statements_wide(cells: DataFrame, aliases: dict[str, list[str]], keys:
     mapping = cells.sparkSession.createDataFrame(pairs, "metric string, label string, priority int")
     named = cells.join(F.broadcast(mapping), "label").where("value is not null and not isnan(value)")
     wide = named.groupBy(*keys).pivot("metric", list(aliases)).agg(F.min_by("value", "priority"))
-    return wide.where("revenue is not null or net_income is not null")
+    kept = wide.where("revenue is not null or net_income is not null")
+    return derive_ratios(kept) if {"operating_cf", "capex", "gross_profit", "total_equity", "lt_debt"} <= set(kept.columns) else kept
 
 
 def load_option_snapshot(calls: DataFrame, puts: DataFrame, expiries: int = 8) -> DataFrame:

@@ -1,17 +1,23 @@
 """Partitioned Parquet tables: reading, upserts, archives and the catalogue.
 
 Every table has a specification. An upsert reads only the partitions that the new
-rows touch, keeps the newest version of each key and rewrites those partitions.
+rows touch, and those that hold older rows of their keys, keeps the newest version of
+each key and rewrites those partitions: written aside first, then put in place.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
+from graphlib import TopologicalSorter
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from knowntime.functions.scalars import clean_columns, market_close_utc
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -56,7 +62,10 @@ def normalise_types(df: DataFrame, times: list[str] = (), dates: list[str] = ())
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(f"{root}/{name}")
+    out = spark.read.option("mergeSchema", True).parquet(f"{root}/{name}")
+    # Two digits, as a partition of year and month was written; Spark reads a number out of the folder's name.
+    kinds = dict(out.dtypes)
+    return out.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0")) if "year" in kinds and kinds.get("month") == "int" else out
 
 
 def read_tolerant(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -64,16 +73,39 @@ def read_tolerant(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(path).withColumn("_file", F.input_file_name())
 
 
+def files_of(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of the data files that a read of ``path`` meets."""
+    return spark.read.format("binaryFile").load(path).select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), "length")
+
+
+def load_bars(raw: DataFrame, ticker, source: str, frequency: str = "1D") -> DataFrame:
+    """A downloaded price table in the columns of ``ohlcv``; known at the close of its day."""
+    named = clean_columns(raw)
+    day = F.col("date").try_cast("date")
+    adjusted = F.col("adj_close") if "adj_close" in named.columns else F.col("close")
+    return named.where(day.isNotNull()).select(
+        day.cast("timestamp_ntz").alias("event_timestamp"), F.col(ticker).alias("ticker") if ticker in named.columns else F.lit(ticker).alias("ticker"), F.lit(frequency).alias("frequency"),
+        *[F.col(c).try_cast("double").alias(c) for c in ("open", "high", "low", "close")], adjusted.try_cast("double").alias("adj_close"), F.col("volume").try_cast("double").alias("volume"),
+        market_close_utc(day).alias("knowledge_timestamp"), F.lit(source).alias("source"))
+
+
+def repartition_flat(flat: DataFrame, root: str, spec: TableSpec, renamed: dict[str, str]) -> int:
+    """A flat table, columns renamed, as the partitioned table of ``spec``; how many keys that added."""
+    return upsert(flat.withColumnsRenamed(renamed), root, spec)
+
+
 def read_prices(table: DataFrame, tickers: DataFrame) -> DataFrame:
     """(ticker, date, close) of the wanted tickers with a positive adjusted close, in order."""
     rows = table.where("adj_close > 0").join(tickers.select("ticker"), "ticker", "left_semi")
     return rows.select("ticker", F.col("event_timestamp").cast("date").alias("date"), F.col("adj_close").alias("close")).orderBy("ticker", "date")
 
 
-def read_ohlcv_pit(table: DataFrame, tickers: list, as_of: str, start: str) -> DataFrame:
+def read_ohlcv_pit(table: DataFrame, tickers, as_of: str, start: str) -> DataFrame:
     """Daily bars in a window, known at ``as_of``; implied years are pruned."""
     year = F.col("year").between(int(start[:4]), int(as_of[:4])) if "year" in table.columns else F.lit(True)
-    return table.where(year & F.col("ticker").isin(*tickers) & (F.col("frequency") == "1D") & F.col("event_timestamp").between(start, as_of) & (F.col("knowledge_timestamp") <= F.lit(as_of).cast("timestamp_ntz")))
+    from knowntime.operators.pit import for_tickers
+
+    return for_tickers(table, tickers).where(year & (F.col("frequency") == "1D") & F.col("event_timestamp").between(start, as_of) & (F.col("knowledge_timestamp") <= F.lit(as_of).cast("timestamp_ntz")))
 
 
 def read_macro_pit(table: DataFrame, as_of: str, start: str) -> DataFrame:
@@ -95,34 +127,71 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    jvm = spark.sparkContext._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _folder(row, partitions: tuple[str, ...]) -> str:
+    """A partition's folder; partition values are numbers or plain codes."""
+    return "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in partitions)
+
+
+def _same(left: str, right: str, columns) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
+
+
 def upsert(new: DataFrame, root: str, spec: TableSpec) -> int:
     """Merge ``new`` into a table; returns how many keys it did not hold before.
 
-    A new row replaces an old one of its key; of new rows of one key the last by
-    ``version`` counts. The batch is taken as written once: keep a single writer a table.
+    A new row replaces an old one of its key, in whatever partition that is; of new
+    rows of one key the last by ``version`` counts. The merged partitions are written
+    aside in one pass, which counts the new keys too, and then take the place of the old
+    ones. A run that ends in between leaves the old partitions or the new ones in
+    ``.{name}-*`` beside the table. Keep a single writer a table.
     """
-    spark, path = new.sparkSession, f"{root}/{spec.name}"
+    spark, path, parts = new.sparkSession, f"{root}/{spec.name}", spec.partitions
     key, version = list(spec.key), [F.col(v).desc_nulls_last() for v in spec.version]
-    if spec.partitions and spec.partitions[-1] in ("year", "month") and "year" not in new.columns:
-        new = with_partition_cols(new, spec.date_col, "month" in spec.partitions)
+    if parts and parts[-1] in ("year", "month") and "year" not in new.columns:
+        new = with_partition_cols(new, spec.date_col, "month" in parts)
     new = newest(new, key, version).withColumn("_new", F.lit(1))
-    if not exists(spark, path):
-        out = new.drop("_new")
-        added = out.count()
-    else:
+    merged, touched = new.withColumn("_old", F.lit(0)), []
+    if exists(spark, path):
         old = read_table(spark, root, spec.name)
-        if spec.partitions:
-            touched = new.select(*spec.partitions).distinct().collect()
-            hit = reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [F.col(c) == r[c] for c in spec.partitions]) for r in touched], F.lit(False))
-            old = old.where(hit)
+        if parts:
+            here = new.select(*parts)
+            if not set(parts) <= set(key):
+                # Old rows of these keys may lie in other partitions: keys and folders of the whole table, nothing else, are read.
+                moved = old.select(*dict.fromkeys([*key, *parts])).alias("o").join(new.select(*key).alias("n"), _same("o", "n", key), "left_semi")
+                here = here.unionByName(moved.select(*parts))
+            touched = here.distinct().collect()
+            old = old.where(reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(r[c])) for c in parts]) for r in touched], F.lit(False)))
         both = old.withColumn("_new", F.lit(0)).unionByName(new, allowMissingColumns=True)
         n_old = F.count_if(F.col("_new") == 0).over(Window.partitionBy(*key))
         merged = newest(both.withColumn("_old", n_old), key, [F.col("_new").desc(), *version])
-        added = merged.where("_new = 1 and _old = 0").count()
-        out = merged.drop("_new", "_old")
-    writer = out.sortWithinPartitions(*key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (writer.partitionBy(*spec.partitions) if spec.partitions else writer).parquet(path)
-    return added
+    elif parts:
+        touched = new.select(*parts).distinct().collect()
+    seen, aside = Observation(), f"{root}/.{spec.name}-{uuid.uuid4().hex}"
+    out = merged.observe(seen, F.count_if((F.col("_new") == 1) & (F.col("_old") == 0)).alias("added")).drop("_new", "_old").sortWithinPartitions(*key)
+    (out.write.partitionBy(*parts) if parts else out.write).parquet(f"{aside}/new")
+    for folder in [_folder(r, parts) for r in touched] if parts else [""]:
+        at = f"{path}/{folder}".rstrip("/")
+        if exists(spark, at):
+            _move(spark, at, f"{aside}/old/{folder}".rstrip("/"))
+        # A partition whose rows have all moved away is gone.
+        if exists(spark, f"{aside}/new/{folder}".rstrip("/")):
+            _move(spark, f"{aside}/new/{folder}".rstrip("/"), at)
+    _delete(spark, aside)
+    return seen.get["added"]
 
 
 def upsert_columns(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -130,7 +199,8 @@ def upsert_columns(old: DataFrame, new: DataFrame, keys: list[str], columns: lis
     rest = [c for c in old.columns if c not in keys]
     a = old.select(*keys, F.struct(*rest).alias("_a"))
     b = new.select(*keys, F.struct(*rest).alias("_b"))
-    both = a.join(b, keys, "full")
+    both = a.alias("l").join(b.alias("r"), _same("l", "r", keys), "full")
+    both = both.select(*[F.coalesce(F.col(f"l.{k}"), F.col(f"r.{k}")).alias(k) for k in keys], "_a", "_b")
     pick = [F.when(F.col("_a").isNull() | (F.col("_b").isNotNull() & F.lit(c in columns)), F.col(f"_b.{c}")).otherwise(F.col(f"_a.{c}")).alias(c) for c in rest]
     return both.select(*keys, *pick)
 
@@ -151,14 +221,25 @@ def write_results(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(f"{path}/csv")
 
 
-def report_document(meta: dict, parts: dict[str, DataFrame], spark: SparkSession) -> DataFrame:
-    """One JSON document of several result tables; for reports, whose tables are small."""
-    out = spark.createDataFrame([tuple(meta.values())], list(meta))
-    out = out.select(F.struct("*").alias("metadata"))
+def export_archive(df: DataFrame, root: str, name: str, date_col: str, cutoff: str) -> int:
+    """Append the rows before the cutoff to the archive by month, but for months that it has; how many rows that were."""
+    spark, path = df.sparkSession, f"{root}/{name}"
+    old = read_table(spark, root, name) if exists(spark, path) else None
+    seen = Observation()
+    archive_older_than(df, old, date_col, cutoff).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy("year", "month").parquet(path)
+    return seen.get["n"]
+
+
+def report_document(meta: dict, parts: dict[str, DataFrame], path: str, spark: SparkSession) -> DataFrame:
+    """A report: every part as JSON lines under ``path``, and one document with the metadata and each part's place and rows."""
+    rows = []
     for name, df in parts.items():
-        rows = df.agg(F.array_sort(F.collect_list(F.struct(*df.columns))).alias(name))
-        out = out.withColumn("_one", F.lit(1)).join(rows.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    return out.select(F.to_json(F.struct("*")).alias("document"))
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(f"{path}/{name}")
+        rows.append((name, f"{path}/{name}", seen.get["n"]))
+    listed = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(p).alias("path"), F.lit(k).alias("rows")) for n, p, k in rows])
+    document = spark.range(1).select(F.struct(*[F.lit(v).alias(k) for k, v in meta.items()]).alias("metadata"), listed.alias("parts"))
+    return document.select(F.to_json(F.struct("*")).alias("document"))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -166,8 +247,21 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def describe_tables(tables: dict[str, DataFrame]) -> DataFrame:
-    """Column names and types of tables, with their keys."""
-    spark = next(iter(tables.values())).sparkSession
-    rows = [(name, i, f.name, f.dataType.simpleString(), f.name in CATALOGUE.get(name, TableSpec(name, ())).key) for name, df in tables.items() for i, f in enumerate(df.schema)]
-    return spark.createDataFrame(rows, "table_name string, position int, column_name string, type string, is_key boolean")
+def describe_tables(tables: dict[str, DataFrame], catalogue: dict[str, TableSpec] = CATALOGUE) -> DataFrame:
+    """One row a column: its place and type, whether it is part of the key or a partition, the table's time column and rows."""
+    spark, rows = next(iter(tables.values())).sparkSession, []
+    for name, df in tables.items():
+        spec = catalogue.get(name, TableSpec(name, ()))
+        rows += [(name, i + 1, f.name, f.dataType.simpleString(), f.name in spec.key, f.name in spec.partitions, f.name == spec.date_col) for i, f in enumerate(df.schema)]
+    listed = spark.createDataFrame(rows, "table_name string, position int, column_name string, type string, is_key boolean, is_partition boolean, is_time boolean")
+    return listed.join(row_counts(tables), "table_name")
+
+
+def build_all(spark: SparkSession, root: str, builders: dict[str, tuple[tuple[str, ...], Callable]]) -> list[str]:
+    """Write derived tables, each after those that it is made of: name -> (names it reads, function of their tables); the order taken."""
+    order = list(TopologicalSorter({name: needs for name, (needs, _) in builders.items()}).static_order())
+    for name in order:
+        if name in builders:
+            needs, build = builders[name]
+            build(*[read_table(spark, root, n) for n in needs]).write.mode("overwrite").parquet(f"{root}/{name}")
+    return order

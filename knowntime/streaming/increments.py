@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -27,11 +27,11 @@ def deduplicated(df: DataFrame, time: str, key: list[str], overlap: str = "1 day
     return df.withWatermark(time, overlap).dropDuplicatesWithinWatermark(key)
 
 
-def weekly_bars(df: DataFrame, by: str, time: str, price: str, volume: str, late: str = "1 day") -> DataFrame:
-    """Bars of Monday weeks that are emitted once the watermark has passed them."""
-    week = F.window(time, "1 week", startTime="4 days")
+def weekly_bars(df: DataFrame, by: str, time: str, price: str, volume: str, ties: list[str] = (), late: str = "1 day") -> DataFrame:
+    """Bars of Monday weeks that are emitted once the watermark has passed them; ``ties`` order rows of one time."""
+    week, at = F.window(time, "1 week", startTime="4 days"), F.struct(time, *ties)
     out = df.withWatermark(time, late).groupBy(by, week.alias("w")).agg(
-        F.min_by(price, time).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), F.max_by(price, time).alias("close"), F.sum(volume).alias("volume"))
+        F.min_by(price, at).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), F.max_by(price, at).alias("close"), F.sum(volume).alias("volume"))
     return out.select(by, F.col("w.start").cast("date").alias("period"), "open", "high", "low", "close", "volume")
 
 
@@ -49,6 +49,17 @@ def with_history(batch: DataFrame, history: DataFrame, keys: list[str], time: st
     return compute(both).where("_batch").drop("_batch")
 
 
-def high_water(df: DataFrame, by: str, time: str) -> DataFrame:
-    """The latest time of each key: where its next slice begins."""
-    return df.groupBy(by).agg(F.max(time).alias("high_water"))
+def high_water(df: DataFrame, by: str, time: str, keys: DataFrame | None = None, job: str = "default", start: str = "2009-12-31") -> DataFrame:
+    """(job, key, high_water): where the next slice of each key begins; keys without rows begin at ``start``."""
+    own = df.groupBy(by).agg(F.max(time).alias("high_water"))
+    if keys is not None:
+        own = keys.select(by).distinct().join(own, by, "left").withColumn("high_water", F.coalesce("high_water", F.lit(start).cast(df.schema[time].dataType)))
+    return own.select(F.lit(job).alias("job"), by, "high_water")
+
+
+def heartbeat(df: DataFrame, time: str, rows: int = 7) -> DataFrame:
+    """Rows that arrived each day, and the mean of the days before."""
+    daily = df.groupBy(F.col(time).cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    # One row a day: a calendar fits one task.
+    before = Window.partitionBy(F.lit(0)).orderBy("day").rowsBetween(-rows, -1)
+    return daily.withColumn("usual", F.avg("n").over(before))

@@ -1,6 +1,7 @@
 """Edge semantics on a few rows; expected results worked by hand."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -178,7 +179,7 @@ def test_parsers(spark, tmp_path):
     for name, ns in (("a", ""), ("b", ' xmlns="http://example.org/x"')):
         (tmp_path / f"{name}.xml").write_text(f"""<informationTable{ns}><infoTable><nameOfIssuer>X</nameOfIssuer><cusip>1</cusip><value>1,000</value><shrsOrPrnAmt><sshPrnamt>5</sshPrnamt><sshPrnamtType>SH</sshPrnamtType></shrsOrPrnAmt><investmentDiscretion>SOLE</investmentDiscretion></infoTable><infoTable><nameOfIssuer>Y</nameOfIssuer><cusip></cusip><value>2</value></infoTable></informationTable>""")
     a, b = ([tuple(r) for r in parsers.parse_infotable(spark, f"{tmp_path}/{n}.xml").collect()] for n in "ab")
-    assert a == b == [("X", "1", 1000, 5, "SH", "SOLE")]
+    assert a == b == [("X", "1", 1000, 5, "SH", "SOLE", None)]
     (tmp_path / "s.csv").write_text("DATE,V\n2020-01-01,1.5\n2020-02-01,.\n1980-01-01,3\n")
     got = parsers.load_series_csv(spark, f"{tmp_path}/s.csv", "X", {"X": 10}, "2020-01-05").collect()
     assert [(r.event, r.value, r.known) for r in got] == [(D(2020, 1, 1), 1.5, D(2020, 1, 5))]
@@ -206,3 +207,41 @@ def test_quality_summary(spark):
     assert {r.rule: r.status for r in out.collect()} == {"positive": "FAIL", "warned": "WARN", "rows": "PASS", "in_range": "PASS"}
     assert Q.unique_key("k", df, ["k"]).first().status == "FAIL"
     assert {r.status: r.rules for r in Q.summary([out]).collect()} == {"FAIL": 1, "WARN": 1, "PASS": 2}
+
+
+def test_asof_in_buckets_is_the_plain_one(spark):
+    rng = random.Random(3)
+    left = frame(spark, [(k, i, D(2020, 1, 1) + dt.timedelta(rng.randrange(400))) for i, k in enumerate(rng.choices([1, 2, None], k=200))], "k int, i int, t date")
+    a = frame(spark, [(rng.choice([1, 2]), D(2020, 1, 1) + dt.timedelta(rng.randrange(400)), rng.choice([None, j])) for j in range(60)], "k int, r date, x int")
+    b = frame(spark, [(rng.choice([1, 2]), D(2020, 1, 1) + dt.timedelta(rng.randrange(400)), j) for j in range(9)], "k int, s date, y int")
+    sources = [asof.Source(a, "r", ("x",), ("x",)), asof.Source(b, "s", ("y",), ("y",))]
+    for direction in ("backward", "forward"):
+        want = asof.asof_many(left, sources, ["k"], "t", direction).where("k is not null")
+        got = asof.asof_many(left, sources, ["k"], "t", direction, bucket_days=20)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_upsert_moves_keys_and_drops_empty_partitions(spark, tmp_path):
+    root, spec = f"file://{tmp_path}", store.TableSpec("t", ("k",), ("year",), "day", ("day",))
+    rows = [(1, D(2020, 5, 1), "a"), (2, D(2020, 6, 1), "b"), (None, D(2021, 1, 1), "c"), (3, D(2022, 1, 1), "d")]
+    assert store.upsert(frame(spark, rows, "k int, day date, v string"), root, spec) == 4
+    assert store.upsert(frame(spark, [(3, D(2021, 2, 1), "moved"), (None, D(2021, 3, 1), "null"), (4, D(2023, 1, 1), "new")], "k int, day date, v string"), root, spec) == 1
+    got = {(r.k, r.v, r.year) for r in store.read_table(spark, root, "t").collect()}
+    assert got == {(1, "a", 2020), (2, "b", 2020), (None, "null", 2021), (3, "moved", 2021), (4, "new", 2023)}
+    assert not (tmp_path / "t" / "year=2022").exists() and not [p for p in tmp_path.iterdir() if p.name.startswith(".t-") and not p.name.endswith(".crc")]
+
+
+def test_averages_across_blocks(spark):
+    values = [100 + 7 * ((i * 37) % 11) for i in range(1200)]
+    df = frame(spark, [("a", i, float(v) if i % 50 else None) for i, v in enumerate(values)], "k string, t int, v double")
+    for n, alpha in ((9, 0.2), (14, 1 / 14), (26, 2 / 27)):
+        state, seen, want = None, [], []
+        for i, v in enumerate(values):
+            if i % 50 == 0:
+                want.append(None)
+                continue
+            seen.append(v)
+            state = sum(seen) / n if len(seen) == n else state * (1 - alpha) + v * alpha if state is not None else None
+            want.append(state)
+        got = [r.e for r in indicators.exponential(df, "v", "k", "t", n, alpha, "e").orderBy("t").collect()]
+        assert all((a is None and b is None) or abs(a - b) < 1e-9 * abs(b) for a, b in zip(got, want))
