@@ -15,7 +15,8 @@ blocks; only their summaries meet, by file.
 Edge cases: an empty file has no documents; tokens after the last mark form a
 document with ``complete`` false; neighbouring marks are documents of length 0.
 A null text has no tokens and still ends with a mark. A file whose size is no
-multiple of four bytes raises an error.
+multiple of four bytes raises an error. A file gets its name when it is complete, so what
+a killed task leaves is never read.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .staging import shared_dir, stage
+from .staging import new_path, stage, tidy
 from .vectortext import slabs, words
 
 EOD = 0
@@ -45,6 +46,11 @@ def _writer(folder: str, tokenize, file_tokens: int):
 
         store, root = fs.FileSystem.from_uri(folder)
         out, name, held, at = None, None, 0, 0
+
+        def close():
+            out.close()
+            store.move(f"{root}/{name}.part", f"{root}/{name}")
+
         for batch in batches:
             ids = batch.column(0)
             for a, b, texts in slabs(batch.column(1)):
@@ -52,16 +58,16 @@ def _writer(folder: str, tokenize, file_tokens: int):
                 marked = np.insert(tokens, np.cumsum(counts), np.uint32(EOD)).astype("<u4")
                 if out is None or held > file_tokens:
                     if out is not None:
-                        out.close()
+                        close()
                     # A name of its own for every attempt: only the rows of the attempt that counts name its files.
                     name, held, at = f"{uuid.uuid4().hex}.tokens", 0, 0
-                    out = store.open_output_stream(f"{root}/{name}")
+                    out = store.open_output_stream(f"{root}/{name}.part")
                 out.write(marked.tobytes())
                 held += len(marked)
                 yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array([name] * (b - a)), pa.array(np.arange(at, at + b - a), pa.int64())], ["id", "file", "ordinal"])
                 at += b - a
         if out is not None:
-            out.close()
+            close()
 
     return run
 
@@ -119,9 +125,11 @@ def count_tokens(spark: SparkSession, folder: str, block: int = 1 << 16, eod: in
     return ended.unionByName(torn)
 
 
+@tidy
 def document_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(id, n_tokens) of every document, by way of token files in the shared folder."""
-    folder = f"{shared_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
+    folder = new_path(docs.sparkSession, "tokens")
     manifest = write_token_files(docs, folder, id_col=id_col, text_col=text_col, **options)
+    # Files of attempts that do not count are in no row of the manifest.
     counted = count_tokens(docs.sparkSession, folder)
     return manifest.join(counted, ["file", "ordinal"]).select(id_col, "n_tokens")

@@ -33,3 +33,9 @@ def test_documents(spark):
     got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens) for r in token_files.document_tokens(df, file_tokens=100).collect())
     assert got == sorted((-1 if i is None else i, len((t or "").split())) for i, t, _ in rows)
     assert token_files.document_tokens(df.limit(0)).count() == 0
+
+
+def test_what_a_killed_task_leaves_is_not_read(spark, tmp_path):
+    (tmp_path / "a.tokens").write_bytes(np.array([4, 4, 0], "<u4").tobytes())
+    (tmp_path / "b.tokens.part").write_bytes(b"12345")
+    assert [r.n_tokens for r in token_files.count_tokens(spark, f"file://{tmp_path}").collect()] == [2]
