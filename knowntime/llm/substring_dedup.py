@@ -8,7 +8,7 @@ The work is done in two passes so that unrepeated text never leaves its task.
 Two equal windows have the same smallest hash among their ``size // 2``-grams,
 their anchor. Pass one counts anchors by document: only a window whose anchor
 is in two documents can repeat, so nothing is lost. Pass two hashes every window
-over such anchors with two independent hashes and finds the smallest
+over such anchors with two hashes, over words hashed in two independent ways, and finds the smallest
 document of each hash (96 bits). Anchors and windows are sent as numbers, never as text.
 
 Scale: about 2 in ``size // 2`` words make an anchor row. Anchors in over
@@ -32,10 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .staging import stage
-from .vectortext import grams, mix, slabs, sliding_min, words
+from .staging import stage, tidy
+from .vectortext import grams, rehash, slabs, sliding_min, words
 
-SECOND = np.uint64(0xD1B54A32D192ED03)
+#: An odd base for the second hash of a word.
+SECOND = 0xD1B54A32D192ED03
 
 
 def _anchors(w, size: int):
@@ -76,7 +77,7 @@ def _emit_windows(size: int):
                     s = slice(bounds[d], bounds[d + 1])
                     keep[s] = np.isin(anchor[s], listed[a + d].values.to_numpy().view(np.uint64))
                 at, doc = at[keep], doc[keep]
-                h1, h2 = grams(w.hash, size)[at], grams(mix(w.hash ^ SECOND), size)[at]
+                h1, h2 = grams(w.hash, size)[at], grams(rehash(w, SECOND), size)[at]
                 # One row for a window and document, however often it repeats there.
                 order = np.lexsort((at, h1, doc))
                 at, doc, h1, h2 = at[order], doc[order], h1[order], h2[order]
@@ -125,6 +126,7 @@ def _cut(size: int):
     return run
 
 
+@tidy
 def repeated_windows(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text_col: str = "text", heavy: int = 2000) -> DataFrame:
     """(id, n_words, n_removed, spans, kept_text, kept_sha256) of every document.
 

@@ -67,6 +67,13 @@ def words(texts: list[bytes], separator: np.ndarray = SEPARATOR) -> Words:
     return Words(joined, start, end, h, doc, first)
 
 
+def rehash(w: Words, base: int) -> np.ndarray:
+    """Hashes of the same words by a polynomial over another base, independent of ``w.hash``."""
+    pw, inverse = powers(len(w.data) + 1, base)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((w.data.astype(np.uint64) + np.uint64(1)) * pw[:-1])))
+    return mix((total[w.end] - total[w.start]) * inverse[w.start] + (w.end - w.start).astype(np.uint64))
+
+
 def grams(h: np.ndarray, size: int) -> np.ndarray:
     """Rabin-Karp hash of every ``size`` consecutive hashes."""
     n = len(h) - size + 1

@@ -58,3 +58,12 @@ def test_words_and_hashes():
     g = vectortext.grams(vectortext.words([b"a b c a b c"]).hash, 3)
     assert g[0] == g[3] and len(set(g.tolist())) == 3
     assert vectortext.sliding_min(g, 2).tolist() == [min(g[i : i + 2]) for i in range(3)]
+
+
+def test_two_hashes_of_a_word_are_independent():
+    from knowntime.llm.vectortext import rehash, words
+
+    w = words([b"one two three one", b"\xc3\xa9t\xc3\xa9 one"])
+    second = rehash(w, substring_dedup.SECOND)
+    assert len(set(second.tolist())) == len(set(w.hash.tolist())) == 4 and not set(second.tolist()) & set(w.hash.tolist())
+    assert second[0] == second[3] == second[5]
