@@ -16,7 +16,8 @@ the level at which min(cap, level * weight) adds up to the total.
 Scale: blocks hold about ``block`` documents of one source, so a source with a
 third of all rows is many blocks; each round keeps two rows of a block. Draws
 depend on (seed, source, block) and documents are ordered by a hash and their id,
-so reruns agree. Sources are one row each.
+so reruns agree. Sources are one narrow row each; only to set the level do these rows meet in
+one task. Documents meet their source's row by :func:`attach`, so that sources may be many.
 
 Edge cases: a null text has size 0; documents of size 0 are taken 0 times and a
 source without words has target 0. A null source is one source, last in order.
@@ -33,14 +34,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .skew import attach
 from .staging import numbered, stage, tidy
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def source_targets(sized: DataFrame, weights: list[float], share: float, most: float) -> DataFrame:
-    """(source, source_size, target): one row a source."""
-    sums = stage(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
+    """(source, source_size, target, rows): one row a source."""
+    sums = stage(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows")), "sources")
     order = Window.orderBy(F.col("source").asc_nulls_last())
     cycle = F.array(*[F.lit(float(w)) for w in weights])
     by = sums.withColumn("w", F.get(cycle, (F.row_number().over(order) - 1) % len(weights))).withColumn("cap", F.col("source_size") * float(most))
@@ -54,7 +56,12 @@ def source_targets(sized: DataFrame, weights: list[float], share: float, most: f
     first = F.min(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.struct("nth", "level"))).over(Window.partitionBy())
     by = by.withColumn("level", first["level"])
     target = F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("level") * F.col("w")))
-    return stage(by.select("source", "source_size", target.alias("target")), "targets")
+    return stage(by.select("source", "source_size", target.alias("target"), "rows"), "targets")
+
+
+def _of_source():
+    """A source as a key that is never null."""
+    return F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name"))
 
 
 def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -128,7 +135,7 @@ def mix_sources(
     rows = stage(rows, "sizes")
     targets = source_targets(rows, list(weights), share, most)
     rate = F.when(F.col("size") == 0, 0.0).otherwise(F.least(F.lit(float(most)), F.col("target") / F.col("source_size")))
-    joined = rows.join(F.broadcast(targets.withColumnRenamed("source", "_source")), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    joined = attach(rows.withColumn("s", _of_source()), targets.withColumn("s", _of_source()).drop("source"), "s", "rows", rows.count()).drop("rows")
     joined = joined.withColumn("rate", rate).withColumn("whole", F.floor("rate")).withColumn("p", F.col("rate") - F.col("whole"))
 
     # A block of a source: its rows are dealt by their hash.
@@ -137,13 +144,12 @@ def mix_sources(
     step = 0
     while True:
         counts = open_.groupBy("source").agg(F.count(F.lit(1)).alias("_rows"))
-        counts = stage(counts.select(F.col("source").alias("_source"), F.ceil(F.col("_rows") / block).cast("long").alias("_blocks")), "blocks")
-        most_blocks = counts.agg(F.max("_blocks")).first()[0]
+        counts = stage(counts.select(_of_source().alias("s"), "_rows", F.ceil(F.col("_rows") / block).cast("long").alias("_blocks")), "blocks")
+        most_blocks, left = counts.agg(F.max("_blocks"), F.sum("_rows")).first()
         if most_blocks is None:
             break
         last = most_blocks == 1
-        dealt = open_.join(F.broadcast(counts), F.col("source").eqNullSafe(F.col("_source")))
-        dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit(step), "place"), "_blocks")).drop("_source", "_blocks")
+        dealt = attach(open_, counts, "s", "_rows", left).withColumn("block", F.pmod(F.xxhash64(F.lit(step), "place"), "_blocks"))
         moved = stage(dealt.select(*columns, "block").groupBy("source", "block").applyInPandas(_round(seed + step, last), schema).select(*columns), "moved")
         parts.append(moved.where("p = 0 or p = 1"))
         open_, step = moved.where("p > 0 and p < 1"), step + 1
