@@ -3,7 +3,8 @@
 The shingle set of a text is the set of hashes of its word shingles (A-Z in lower
 case). Texts of equal sets are one node. SimHash adds up, for each of 512 bits, +1 or
 -1 over the hashes of the set; the sums of two sets of similarity s correlate by
-2s / (1 + s). A key is made of the most decided bits: of a few drawn groups of the 512
+2s / (1 + s). A Hadamard transform turns the sums, which keeps that and breaks the ties of
+short texts. A key is made of the most decided sums: of a few drawn groups of the 512
 each gives the place of its largest sum and the sign of it, which near copies share far
 oftener than as many signs alone. Two nodes are candidates if one of their ``bands`` keys
 agrees. The length of a key is about log2 of the number of nodes, and the number
@@ -11,7 +12,8 @@ of keys follows from it and from ``recall``. Candidates link if the Jaccard simi
 sets is at least ``similarity``; 64 further bits and the sizes of the sets rule most
 others out before.
 
-Scale: in each bucket all members are compared with one of them; only where a
+Scale: in each bucket all members are compared with one of them, another one in every
+bucket that the same nodes share; only where a
 bucket still holds several components after that are its remaining pairs
 compared, of nodes in different components. So a large group of near copies costs
 a row or two a member, and no pair of candidates is left out. Buckets meet in a window by
@@ -44,8 +46,7 @@ DRAWN = 8
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float32)
 _SALT = np.arange(1, DRAWN + 2, dtype=np.uint64)
 _PLACE = np.arange(0, 256 * 8 * (DRAWN + 1), 256)
-#: An order of nodes, which names one member of a bucket.
-_ORDER = 0x2545F4914F6CDD1D
+_FLIP = np.where(np.random.default_rng(7).random(DRAWN * 64) < 0.5, np.float32(-1), np.float32(1))
 #: Keys that the sketch names, its counters, and the members from which on a key is aggregated apart.
 FREQUENT, TRACKED, MANY = 1000, 10_000, 10_000
 
@@ -67,6 +68,16 @@ def sums(hashes: np.ndarray) -> np.ndarray:
     return ones.ravel() * 2 - len(hashes)
 
 
+def rotated(total: np.ndarray) -> np.ndarray:
+    """The sums (rows by 64 * DRAWN) with random signs under a Hadamard transform."""
+    x, h = total * _FLIP, 1
+    while h < x.shape[1]:
+        pair = x.reshape(len(x), -1, 2, h)
+        x = np.stack((pair[:, :, 0] + pair[:, :, 1], pair[:, :, 0] - pair[:, :, 1]), 2).reshape(len(x), -1)
+        h *= 2
+    return x
+
+
 def agreement(size: int, similarity: float, trials: int = 4000) -> float:
     """How often two texts share the place and sign of the largest of ``size`` sums."""
     drawn, rho = np.random.default_rng(3), 2 * similarity / (1 + similarity)
@@ -110,7 +121,7 @@ def _nodes(shingle: int, sizes: list[int], bands: int):
                 sets = shingle_sets(texts, shingle)
                 total = np.stack([sums(s) for s in sets])
                 sieve = np.packbits(total[:, DRAWN * 64 :] > 0, axis=1).view(np.int64).ravel()
-                made = keys(total[:, : DRAWN * 64], sizes, bands)
+                made = keys(rotated(total[:, : DRAWN * 64]), sizes, bands)
                 listed = pa.ListArray.from_arrays(pa.array(np.arange(0, made.size + 1, bands), pa.int32()), pa.array(made.ravel()))
                 size = pa.array([len(s) for s in sets], pa.int32())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _signed(sets), size, pa.array(sieve), listed], ["row", "node", "size", "sieve", "keys"])
@@ -155,7 +166,7 @@ def _pair(df: DataFrame) -> DataFrame:
 
 def _buckets(put: DataFrame) -> DataFrame:
     """(key, node, size, sieve, n, lead) of the keys that several nodes share; ``lead`` is one of them."""
-    lead = F.struct(F.col("node").bitwiseXOR(F.lit(_ORDER)).alias("order"), "size", "sieve")
+    lead = F.struct(F.xxhash64("key", "node").alias("order"), "node", "size", "sieve")
     top = put.agg(F.call_function("approx_top_k", "key", F.lit(FREQUENT), F.lit(TRACKED)).alias("top")).select(F.explode("top").alias("t"))
     hot = F.broadcast(stage(top.where(F.col("t.count") > MANY).select(F.col("t.item").alias("key")), "hot"))
     by = Window.partitionBy("key")
@@ -177,7 +188,9 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
     distinct = firsts.count()
     # Equal sets have equal keys: the first row's stand for all.
     leads = firsts.select("node", F.col("first.row").alias("row"))
-    nodes = made.join(leads.select("row"), "row", "left_semi").where("size > 0")
+    # Of two different sets of n and more shingles at most n / (n + 1) is shared.
+    least = math.ceil(similarity / (1 - similarity) - 1e-9)
+    nodes = made.join(leads.select("row"), "row", "left_semi").where(F.col("size") >= least)
     put = nodes.select("node", "size", "sieve", F.posexplode("keys").alias("band", "key"))
     put = put.withColumn("key", F.shiftleft(F.col("band").cast("long"), 32).bitwiseOR(F.col("key").cast("long"))).drop("band")
     shared, shared_path = stage_at(_buckets(put), "shared")
@@ -200,7 +213,7 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
         return found
 
     # All members of a bucket against one of them.
-    stars = shared.select("node", "size", "sieve", F.col("lead.order").bitwiseXOR(F.lit(_ORDER)).alias("node2"), F.col("lead.size").alias("size2"), F.col("lead.sieve").alias("sieve2"))
+    stars = shared.select("node", "size", "sieve", F.col("lead.node").alias("node2"), F.col("lead.size").alias("size2"), F.col("lead.sieve").alias("sieve2"))
     label = stage(components(confirmed(_pair(stars.where("node <> node2").where(possible)))), "label")
 
     # What is left: pairs of nodes of one bucket in different components.
