@@ -221,10 +221,13 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
     open_ = open_.join(label.withColumnRenamed("a", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_, open_path = stage_at(open_, "open")
     drop(spark, shared_path)
-    parts = open_.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"))
+    parts = open_.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"), F.min("size").alias("low"), F.max("size").alias("high"), F.min("sieve").alias("sieve"))
     mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("key")
     parts = stage(parts.join(mixed, "key", "left_semi"), "parts")
-    ways = parts.alias("x").join(parts.alias("y"), "key").where("x.component < y.component").select("key", F.col("x.component").alias("component"), F.col("y.component").alias("component2"))
+    # Components whose sizes exclude any link do not meet, nor do single nodes whose sieves do.
+    near = (F.col("x.high") >= F.lit(similarity) * F.col("y.low") - 1e-6) & (F.col("y.high") >= F.lit(similarity) * F.col("x.low") - 1e-6)
+    near &= (F.col("x.members") > 1) | (F.col("y.members") > 1) | (F.bit_count(F.col("x.sieve").bitwiseXOR(F.col("y.sieve"))) <= most)
+    ways = parts.alias("x").join(parts.alias("y"), "key").where("x.component < y.component").where(near).select("key", F.col("x.component").alias("component"), F.col("y.component").alias("component2"))
     other = open_.select("key", F.col("component").alias("component2"), F.col("node").alias("node2"), F.col("size").alias("size2"), F.col("sieve").alias("sieve2"))
     rest = open_.join(ways, ["key", "component"]).join(other, ["key", "component2"]).where(possible)
     late = confirmed(_pair(rest))
