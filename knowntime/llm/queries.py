@@ -15,6 +15,7 @@ NAMES = [
     "op9_exact_dedup",
     "op10_lm_scoring",
     "op6_decontaminate",
+    "op11_sentencepiece",
 ]
 
 
