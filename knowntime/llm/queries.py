@@ -16,6 +16,7 @@ NAMES = [
     "op10_lm_scoring",
     "op6_decontaminate",
     "op11_sentencepiece",
+    "op12_periodic_runs",
 ]
 
 
