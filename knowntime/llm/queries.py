@@ -17,6 +17,7 @@ NAMES = [
     "op6_decontaminate",
     "op11_sentencepiece",
     "op12_periodic_runs",
+    "op13_whitening",
 ]
 
 
