@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from knowntime.llm import decontaminate, exact_dedup, line_dedup
 
 
@@ -68,6 +70,34 @@ def test_decontaminate(spark):
     assert decontaminate.contaminated_words(d, b.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_many_fingerprints_of_long_texts(spark):
+    """Without any broadcast a long text is shuffled in proportion to its words, and every row has its own verdict."""
+    rng = random.Random(6)
+    vocab = [f"w{i}" for i in range(5000)]
+    texts = [" ".join(rng.choices(vocab, k=n)) for n in (1000, 100_000, 20, 60)]
+    items = [(i, " ".join(texts[1].split()[a : a + 14])) for i, a in enumerate((0, 50_000, 99_986))] + [(9, texts[2])]
+    rows = [(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[3]), (4, texts[2]), (4, texts[2]), (5, None)]
+    df, b = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    # Names that would clash with the columns inside.
+    df = df.withColumns({c: F.lit("own") for c in ("id", "own", "start", "fp", "at", "window")})
+    shuffled = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    before = {}
+    for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        before[c] = spark.conf.get(c, None)
+        spark.conf.set(c, "-1")
+    try:
+        start = shuffled()
+        got = [(r.doc_id, r.n_words, r.n_hit, r["items"]) for r in decontaminate.contaminated_words(df, b, max_broadcast=0).collect()]
+        moved = shuffled() - start
+    finally:
+        for c, v in before.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+    want = [(1, 1000, 0, []), (1, 100_000, 42, ["0", "1", "2"]), (None, 20, 20, ["9"]), (None, 60, 0, []), (4, 20, 20, ["9"]), (4, 20, 20, ["9"]), (5, 0, 0, [])]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    # 100,000 windows of about 30 bytes, and the text once.
+    assert moved < 12 << 20
+
+
 def test_exact_rows_that_share_an_id(spark):
     rows = [(1, "same", "a"), (5, "same", "b"), (5, "unlike", "c"), (None, "same", "d"), (None, "other", "e"), (7, "twice", "f"), (7, "twice", "f")]
     df = spark.createDataFrame(rows, "doc_id long, text string, _gone string")
