@@ -5,31 +5,33 @@ sequence of pieces is what merging a text ends with exactly if merging any two n
 by themselves ends with these two: the first merge across a border would have happened there
 too. So the encoder walks from the left and takes the longest piece that starts where it
 stands, found by an Aho-Corasick automaton, and is compatible with the piece before, which is
-tried by merging the two anew and remembered. If none fits, the position is marked in a
-bitfield as failed and the last piece gives way to the next shorter one. The pieces up
-to a position are determined by it, so no position fails twice.
+tried by merging the two anew and remembered. If it does not fit, the next shorter piece that begins
+it is tried; if none does, the position is marked in a bitfield as failed and the last piece gives way to the next shorter
+one. The pieces up to a position are determined by it, so no position fails twice.
 
 Characters that are in no piece are never merged; they end a search and become their UTF-8
 bytes. Nor is anything merged across two neighbours that are together in no piece. If that holds,
 as is checked, wherever letters meet other characters or a run of spaces begins, a text is
-encoded by the stretches between, and a bounded table remembers those met before. Matches are searched in blocks, so
-that a text without spaces needs no more memory than its ids.
+encoded by the stretches between, and a bounded table remembers those met before.
 
 Scale: one pass over the rows, without a shuffle; the vocabulary goes to the tasks as a
 broadcast of its file, whose size is the vocabulary's.
 
 Edge cases: a null text is an empty one; an empty text has no pieces (an end id only).
 Rows are encoded one by one, so repeated rows, null ids and ties need no rule; an empty
-table gives an empty one. Other columns are not read. Ids outside the vocabulary are an error.
+table gives an empty one. Other columns are not read. Ids outside the vocabulary are an error in decoding.
 """
 
 from __future__ import annotations
 
 import codecs
+import itertools
 import re
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +41,8 @@ from .vectortext import slabs
 
 #: How SentencePiece writes a space, and what it decodes its unknown piece to.
 SPACE, UNKNOWN = "▁", " ⁇ "
-#: Characters whose matches are searched at once, and remembered stretches or pairs at most.
-BLOCK, REMEMBERED = 4096, 500_000
+#: Remembered stretches of either generation, and remembered pairs, at most.
+REMEMBERED, PAIRS = 400_000, 1_000_000
 NEVER = float("-inf")
 LETTER = re.compile(r"[^\W\d_]")
 _loaded: dict[int, Codec] = {}
@@ -79,13 +81,31 @@ class Codec:
         self.end = spec.trainer_spec.eos_id
         self.surface = ["" if p.type == p.CONTROL else UNKNOWN if p.type == p.UNKNOWN else p.piece.replace(SPACE, " ") for p in spec.pieces]
         self.stretches = _cut({p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)})
-        # Pieces, and characters that occur in pieces only.
-        self.automaton, self.longest = ahocorasick.Automaton(), max(map(len, self.pieces))
-        for token in {*self.pieces, *"".join(self.pieces)}:
-            self.automaton.add_word(token, len(token))
+        # Tokens: pieces, and characters that occur in pieces only.
+        self.text = sorted({*self.pieces, *"".join(self.pieces)})
+        token = {t: i for i, t in enumerate(self.text)}
+        self.size, self.longest = [len(t) for t in self.text], max(map(len, self.text))
+        self.ids = [[self.pieces[t]] if t in self.pieces else [self.bytes[b] for b in t.encode()] for t in self.text]
+        # Of every beginning of a token the longest token that begins it, and of every token the next shorter one.
+        self.begins: dict[str, int] = {}
+        self.automaton = ahocorasick.Automaton()
+        for t, i in token.items():
+            self.automaton.add_word(t, i)
+            at = -1
+            for n in range(1, len(t) + 1):
+                at = token.get(t[:n], at)
+                self.begins[t[:n]] = at
+        self.shorter = [self.begins.get(t[:-1], -1) for t in self.text]
         self.automaton.make_automaton()
         self.met: dict[str, list[int]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.old: dict[str, list[int]] = {}
+        self.pairs: dict[int, bool] = {}
+        # The bytes of all pieces, for decoding.
+        written = [self.value[i] if i in self.value else t.encode() for i, t in enumerate(self.surface)]
+        self.blob = np.frombuffer(b"".join(written), np.uint8)
+        self.width = np.array([len(w) for w in written])
+        self.begin = np.concatenate(([0], np.cumsum(self.width)[:-1]))
+        self.spaced = np.array([t.startswith(" ") and t != UNKNOWN and i not in self.value for i, t in enumerate(self.surface)])
 
     def kept_apart(self, last: str, token: str) -> bool:
         """Whether merging ``last`` and ``token`` together, from single characters, ends with just these two."""
@@ -108,72 +128,75 @@ class Codec:
                 scores[i] = get(have[i] + have[i + 1], NEVER)
         return left <= 1 and right == 1
 
-    def compatible(self, last: str, token: str) -> bool:
-        if len(self.pairs) >= REMEMBERED:
+    def compatible(self, last: int, token: int) -> bool:
+        """Try a pair of tokens and remember it; ``last`` is -1 where nothing is before."""
+        if len(self.pairs) >= PAIRS:
             self.pairs.clear()
-        found = self.pairs[last, token] = self.kept_apart(last, token)
+        found = self.pairs[last * len(self.text) + token] = self.kept_apart(self.text[last] if last >= 0 else "", self.text[token])
         return found
 
-    def _matches(self, text: str, begin: int) -> list[list[int]]:
-        """For each position of a block the lengths of the tokens that start there, ascending."""
-        stop = min(len(text), begin + BLOCK)
-        found: list[list[int]] = [[] for _ in range(stop - begin)]
-        for at, length in self.automaton.iter(text, begin, min(len(text), stop + self.longest - 1)):
-            start = at - length + 1
-            if start < stop:
-                found[start - begin].append(length)
-        return found
+    def tokens(self, text: str) -> list[int]:
+        """What merging ``text`` ends with, by backtracking; -1 for a character of no piece."""
+        # About half the time the longest matches one after the other, as the automaton finds them, are it.
+        out = [token for _, token in self.automaton.iter_long(text)]
+        if sum(map(self.size.__getitem__, out)) != len(text):
+            return self._search(text, [], -1)
+        known, tokens, last = self.pairs.get, len(self.text), -1
+        for i, token in enumerate(out):
+            fits = known(last * tokens + token)
+            if not fits and (fits is not None or not self.compatible(last, token)):
+                return self._search(text, out[:i], token)
+            last = token
+        return out
 
-    def tokens(self, text: str) -> list[str]:
-        """What merging ``text`` ends with, by backtracking."""
-        out: list[str] = []
-        blocks: dict[int, list[list[int]]] = {}
-        pos, n, failed, known = 0, len(text), bytearray(len(text) // 8 + 1), self.pairs.get
-        # Where the search that goes on now began: behind a character of no piece. ``last`` is the piece before, ``below`` what the next must be shorter than.
-        origin, last, below = 0, "", n + 1
-        block, begin, stop = self._matches(text, 0), 0, BLOCK
-        blocks[0] = block
+    def _search(self, text: str, out: list[int], token: int) -> list[int]:
+        """Go on from ``out``; ``token`` is the longest match there, -1 if it is yet to be found."""
+        size, shorter, begins, prefix, longest = self.size, self.shorter, self.begins, self.automaton.longest_prefix, self.longest
+        known, tokens, n, failed = self.pairs.get, len(self.text), len(text), 0 if len(text) < 64 else bytearray(len(text) // 8 + 1)
+        pos = sum(map(size.__getitem__, out))
+        # Behind a character of no piece a search of its own begins.
+        origin = 0
         while pos < n:
-            if not begin <= pos < stop:
-                begin = pos - pos % BLOCK
-                stop = begin + BLOCK
-                if begin not in blocks:
-                    if len(blocks) >= 8:
-                        blocks.clear()
-                    blocks[begin] = self._matches(text, begin)
-                block = blocks[begin]
-            lengths = block[pos - begin]
-            if not lengths:
-                out.append(text[pos])
-                pos = origin = pos + 1
-                last, below = "", n + 1
-                continue
-            for length in reversed(lengths):
-                end = pos + length
-                if length >= below or failed[end >> 3] >> (end & 7) & 1:
+            if token < 0:
+                ahead = text[pos : pos + longest]
+                token = begins.get(ahead[: prefix(ahead)], -1)
+                if token < 0:
+                    out.append(-1)
+                    pos = origin = pos + 1
                     continue
-                token = text[pos:end]
-                fits = known((last, token))
-                if fits or (fits is None and self.compatible(last, token)):
-                    out.append(token)
-                    pos, last, below = end, token, n + 1
-                    break
+            last = out[-1] if pos > origin else -1
+            while token >= 0:
+                end = pos + size[token]
+                # The bitfield of a short text is one number.
+                if not (failed >> end if n < 64 else failed[end >> 3] >> (end & 7)) & 1:
+                    fits = known(last * tokens + token)
+                    if fits or (fits is None and self.compatible(last, token)):
+                        break
+                token = shorter[token]
+            if token >= 0:
+                out.append(token)
+                pos, token = end, -1
+            elif pos == origin:
+                raise ValueError("the vocabulary has no encoding of this text")
             else:
-                if pos == origin:
-                    raise ValueError("the vocabulary has no encoding of this text")
-                failed[pos >> 3] |= 1 << (pos & 7)
-                below = len(out.pop())
-                pos -= below
-                last = out[-1] if pos > origin else ""
+                if n < 64:
+                    failed |= 1 << pos
+                else:
+                    failed[pos >> 3] |= 1 << (pos & 7)
+                token = out.pop()
+                pos -= size[token]
         return out
 
     def _stretch(self, text: str) -> list[int]:
         ids: list[int] = []
+        pos = 0
         for token in self.tokens(text):
-            if token in self.pieces:
-                ids.append(self.pieces[token])
+            if token >= 0:
+                ids += self.ids[token]
+                pos += self.size[token]
             else:
-                ids += [self.bytes[b] for b in token.encode()]
+                ids += [self.bytes[b] for b in text[pos].encode()]
+                pos += 1
         return ids
 
     def encode(self, text: str, end: bool = False) -> list[int]:
@@ -184,10 +207,11 @@ class Codec:
             for part in self.stretches.findall(text) if self.stretches else [text]:
                 found = met.get(part)
                 if found is None:
-                    found = self._stretch(part)
+                    found = self.old.get(part) or self._stretch(part)
                     if len(part) <= 64:
                         if len(met) >= REMEMBERED:
-                            met.clear()
+                            self.old, self.met = met, {}
+                            met = self.met
                         met[part] = found
                 ids += found
         return [*ids, self.end] if end else ids
@@ -212,6 +236,24 @@ class Codec:
         strip = self.prefix and first is not None and first not in self.value and self.surface[first].startswith(" ") and self.surface[first] != UNKNOWN
         return text[1:] if strip else text
 
+    def decode_all(self, ends: np.ndarray, ids: np.ndarray) -> list[str]:
+        """The texts of many lists of ids, that end at ``ends``."""
+        if len(ids) and not 0 <= ids.min() <= ids.max() < len(self.width):
+            raise IndexError("an id is not in the vocabulary")
+        width = self.width[ids]
+        stop = np.concatenate(([0], np.cumsum(width)))
+        data = self.blob[np.repeat(self.begin[ids] - stop[:-1], width) + np.arange(stop[-1])].tobytes()
+        out = []
+        for a, b in zip(ends[:-1], ends[1:]):
+            first = a
+            while first < b and ids[first] in self.control:
+                first += 1
+            try:
+                out.append(data[stop[a] + bool(self.prefix and first < b and self.spaced[ids[first]]) : stop[b]].decode())
+            except UnicodeDecodeError:
+                out.append(self.decode(ids[a:b].tolist()))
+        return out
+
 
 def _codec(model: bytes) -> Codec:
     """One a worker, kept from task to task."""
@@ -228,10 +270,9 @@ def model_bytes(path: str) -> bytes:
 
 
 def _lists(lists: list[list[int]]) -> pa.Array:
-    ends = [0]
-    for ids in lists:
-        ends.append(ends[-1] + len(ids))
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array([i for ids in lists for i in ids], pa.int32()))
+    ends = np.concatenate(([0], np.cumsum([len(ids) for ids in lists])))
+    flat = np.fromiter(itertools.chain.from_iterable(lists), np.int32, ends[-1])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, model: str, end: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -257,7 +298,8 @@ def decoded(spark: SparkSession, rows: DataFrame, model: str, id_col: str = "doc
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [codec.decode(ids or []) for ids in part.column(1).to_pylist()]
+                count = pc.fill_null(pc.list_value_length(part.column(1)), 0).to_numpy(zero_copy_only=False)
+                texts = codec.decode_all(np.concatenate(([0], np.cumsum(count))), part.column(1).flatten().to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["id", "ids", "text"])
 
     made = rows.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
