@@ -104,3 +104,9 @@ def same_rows(name: str, before: DataFrame, after: DataFrame) -> DataFrame:
     a = before.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     b = after.select(*columns).groupBy(*columns).agg((-F.count(F.lit(1))).alias("_n"))
     return check(a.unionByName(b).groupBy(*columns).agg(F.sum("_n").alias("_n")), [(name, F.sum(F.abs("_n")), False)])
+
+
+def quarantined(name: str, bad: DataFrame, like: str | None = None, warn: bool = False) -> DataFrame:
+    """Rows of a quarantine (row, reason, n), of all reasons or of those that begin with ``like``."""
+    rows = bad if like is None else bad.where(F.col("reason").startswith(like))
+    return check(rows, [(name, F.coalesce(F.sum("n"), F.lit(0)), warn)])

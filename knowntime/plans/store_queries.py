@@ -88,6 +88,81 @@ def a20_moved(spark, sf):
     return store.read_table(spark, root, "lines").select("l_orderkey", "l_linenumber", "l_extendedprice", F.col("year").cast("long").alias("year"))
 
 
+ODD_CODES = ["A/B", "^VIX", "007", "7", "50%", "x y", "{k}=[1]*", "É", "", None]
+
+
+def _odd(key):
+    """A text for every row that no folder's name can hold as it is."""
+    return F.get(F.array(*[F.lit(c).cast("string") for c in ODD_CODES]), (key % len(ODD_CODES)).cast("int"))
+
+
+@query("a20_upsert_text", """
+WITH c AS (SELECT ['A/B', '^VIX', '007', '7', '50%', 'x y', '{k}=[1]*', 'É', NULL, NULL] AS codes),
+m AS (SELECT o_orderkey, codes[1 + o_orderkey % 10] AS code, o_orderdate::DATE AS day, o_totalprice, 0 AS wave FROM orders, c
+      UNION ALL SELECT o_orderkey, codes[1 + (o_orderkey + 3) % 10], o_orderdate::DATE + 40, o_totalprice * 2, 1 FROM orders, c WHERE o_orderkey % 3 = 1)
+SELECT o_orderkey, code, strftime(day, '%Y-01-01') AS since, o_totalprice FROM m QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY wave DESC) = 1""")
+def a20_text(spark, sf):
+    """Partitions of texts that folders write in another way, of nulls and of dates; a second batch moves a third of the rows, a third one comes twice."""
+    spec = store.TableSpec("coded", ("o_orderkey",), ("code", "since"), "day", ("day",))
+    root, key = shared(spark), F.col("o_orderkey")
+    rows = table(spark, sf, "orders").select("o_orderkey", _odd(key).alias("code"), F.col("o_orderdate").cast("date").alias("day"), "o_totalprice")
+    moved = rows.where("o_orderkey % 3 = 1").withColumns({"code": _odd(key + 3), "day": F.date_add("day", 40), "o_totalprice": F.col("o_totalprice") * 2})
+    for batch in (rows, moved, moved):
+        store.upsert(batch.withColumn("since", F.trunc("day", "year")), root, spec)
+    return store.read_table(spark, root, "coded").select("o_orderkey", "code", "since", "o_totalprice")
+
+
+@query("a1_drifted_types", """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL WHEN o_orderkey % 3 = 0 THEN o_custkey * 1.0 ELSE o_custkey + 0.5 END::DOUBLE AS amount, CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus END AS status, (o_orderkey % 3)::VARCHAR AS batch FROM orders""")
+def a1_drift(spark, sf):
+    """Files in which a number is whole, or not, or missing, and one that is no table, read in the tolerant mode."""
+    root, o = shared(spark), table(spark, sf, "orders")
+    batches = [
+        o.select(F.col("o_orderkey").cast("int").alias("o_orderkey"), F.col("o_custkey").cast("int").alias("amount")), o.select("o_orderkey", (F.col("o_custkey") + 0.5).cast("double").alias("amount"), F.col("o_orderstatus").alias("status")), o.select("o_orderkey")]
+    for i, batch in enumerate(batches):
+        batch.where(F.col("o_orderkey") % 3 == i).write.parquet(f"{root}/drift/batch={i}")
+    o.limit(1).select(F.lit("x").alias("value")).coalesce(1).write.text(f"{root}/drift/batch=3")
+    return store.read_table(spark, root, "drift", tolerant=True).select("o_orderkey", "amount", "status", "batch")
+
+
+@query("jc_landing", """
+WITH e AS (SELECT *, CASE WHEN event_id % 11 = 0 THEN 'ts: no timestamp' WHEN event_id % 13 = 0 THEN 'value: no double; user_id: missing' WHEN event_id % 17 = 0 THEN 'no JSON object' END AS reason FROM events)
+SELECT coalesce(reason, 'landed') AS reason, count(*) AS n, CASE WHEN reason IS NULL THEN round(sum(value), 3) END AS total FROM e GROUP BY reason
+UNION ALL SELECT 'rule all_landed: FAIL', count(reason), NULL FROM e UNION ALL SELECT 'rule dates: WARN', count(*) FILTER (WHERE reason LIKE 'ts:%'), NULL FROM e""")
+def jc(spark, sf):
+    """Events as lines of JSON, some of which do not fit the table's schema; landed twice, counted once."""
+    spec = store.TableSpec("events", ("event_id", "user_id"), (), "ts", ("ts",), schema="event_id long, user_id long, ts timestamp, event_type string, value double")
+    i = F.col("event_id")
+    date, bad = i % 11 == 0, (i % 13 == 0) & (i % 11 != 0)
+    line = F.to_json(F.struct("event_id", F.when(~bad, F.col("user_id")).alias("user_id"), F.when(date, "soon").otherwise(F.col("ts").cast("string")).alias("ts"), "event_type", F.when(bad, "n/a").otherwise(F.col("value").cast("string")).alias("value"), F.lit(1).alias("more")))
+    cut = (i % 17 == 0) & ~date & ~bad
+    lines = table(spark, sf, "events").select(F.when(cut, F.concat(i.cast("string"), F.lit(" {"))).otherwise(line).alias("value"))
+    root = shared(spark)
+    for _ in range(2):
+        store.land(lines, root, spec)
+    kept, gone = store.read_table(spark, root, "events"), store.read_table(spark, root, "events_quarantine")
+    out = kept.agg(F.lit("landed").alias("reason"), F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 3).alias("total"))
+    out = out.unionByName(gone.groupBy("reason").agg(F.sum("n").alias("n"), F.lit(None).cast("double").alias("total")))
+    for found in (Q.quarantined("all_landed", gone), Q.quarantined("dates", gone, "ts:", True)):
+        out = out.unionByName(found.select(F.concat(F.lit("rule "), "rule", F.lit(": "), "status").alias("reason"), F.col("bad").alias("n"), F.lit(None).cast("double").alias("total")))
+    return out
+
+
+@query("i7_hot_and_cold", """SELECT o_orderkey, o_totalprice * CASE WHEN o_orderkey % 50 = 0 AND o_orderdate < TIMESTAMP '1996-01-01' THEN 2 ELSE 1 END AS o_totalprice,
+CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' AND o_orderkey % 50 <> 0 THEN 'cold' ELSE 'hot' END AS lies FROM orders""")
+def i7(spark, sf):
+    """Orders archived twice; some corrections of archived rows come late and stand before them."""
+    spec = store.TableSpec("orders", ("o_orderkey",), ("year", "month"), "o_orderdate", ("o_orderdate",))
+    root = shared(spark)
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    store.upsert(rows, f"{root}/hot", spec)
+    for _ in range(2):
+        store.archive(spark, f"{root}/hot", f"{root}/cold", spec, "1996-01-01")
+    store.upsert(rows.where("o_orderkey % 50 = 0 and o_orderdate < '1996-01-01'").withColumn("o_totalprice", F.col("o_totalprice") * 2), f"{root}/hot", spec)
+    hot = store.read_table(spark, f"{root}/hot", "orders").select("o_orderkey", F.lit("hot").alias("lies"))
+    both = store.read_hot_and_cold(spark, f"{root}/hot", f"{root}/cold", spec)
+    return both.join(hot, "o_orderkey", "left").select("o_orderkey", "o_totalprice", F.coalesce("lies", F.lit("cold")).alias("lies"))
+
+
 @query("a21_upsert_columns", """
 WITH a AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0), b AS (SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_orderkey % 2 = 0)
 SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN a.o_orderkey IS NULL THEN b.o_orderstatus ELSE a.o_orderstatus END AS o_orderstatus, CASE WHEN b.o_orderkey IS NOT NULL THEN b.o_totalprice ELSE a.o_totalprice END AS o_totalprice FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey""")

@@ -2,19 +2,30 @@
 
 Every table has a specification. An upsert reads only the partitions that the new
 rows touch, and those that hold older rows of their keys, keeps the newest version of
-each key and rewrites those partitions: written aside first, then put in place.
+each key and rewrites those partitions: written aside first, with a list of the folders to
+swap, then put in place. A run that was killed in between is finished by :func:`recover`.
+
+Folders are taken from the listings of what was written, never made up from values, so a
+partition value may be any text. What a partition column is read as is said by the caller; by
+default years are numbers and everything else is text, as "007" is no number.
 """
 
 from __future__ import annotations
 
+import urllib.parse
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 from graphlib import TopologicalSorter
 
+import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from knowntime.functions.scalars import clean_columns, market_close_utc
 
@@ -27,6 +38,8 @@ class TableSpec:
     date_col: str = "event_timestamp"
     version: tuple[str, ...] = ("ingestion_timestamp",)
     notes: str = field(default="", compare=False)
+    #: Columns and types that landed rows must have, as DDL; empty if they are taken as they come.
+    schema: str = ""
 
 
 #: Keys and partitions of the market-data tables.
@@ -61,11 +74,93 @@ def normalise_types(df: DataFrame, times: list[str] = (), dates: list[str] = ())
     return out.withColumns({c: F.to_date(F.try_to_timestamp(F.col(c).cast("string"))) for c in dates if c in df.columns})
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    out = spark.read.option("mergeSchema", True).parquet(f"{root}/{name}")
-    # Two digits, as a partition of year and month was written; Spark reads a number out of the folder's name.
-    kinds = dict(out.dtypes)
-    return out.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0")) if "year" in kinds and kinds.get("month") == "int" else out
+#: From the narrowest to the widest; the types of one line hold those before them.
+WIDENINGS = ((T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.DoubleType()), (T.FloatType(), T.DoubleType()), (T.DateType(), T.TimestampNTZType(), T.TimestampType()))
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds values of both; text holds everything."""
+    if a == b:
+        return a
+    for line in WIDENINGS:
+        if a in line and b in line:
+            return max(a, b, key=line.index)
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        return T.DecimalType(min(38, scale + max(a.precision - a.scale, b.precision - b.scale)), scale)
+    numbers = (T.NumericType,)
+    if isinstance(a, numbers) and isinstance(b, numbers):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def _footer(batches):
+    """(path, kind): the schema in a file's footer as text, null if it cannot be read."""
+    for batch in batches:
+        kinds = []
+        for path in batch.column(0).to_pylist():
+            try:
+                system, at = pyarrow.fs.FileSystem.from_uri(urllib.parse.quote(path, safe=":/@+~"))
+                with system.open_input_file(at) as file:
+                    kinds.append(pq.read_schema(file).remove_metadata().to_string())
+            except (pa.ArrowInvalid, OSError):
+                kinds.append(None)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kinds, pa.string())], ["path", "kind"])
+
+
+def file_kinds(spark: SparkSession, path: str) -> DataFrame:
+    """(kind, paths): the data files under ``path`` by the schema in their footers, which tasks read; null for unreadable ones."""
+    return files_of(spark, path).select("path").repartition("path").mapInArrow(_footer, "path string, kind string").groupBy("kind").agg(F.array_sort(F.collect_list("path")).alias("paths"))
+
+
+def _partitions(file: str) -> list[str]:
+    """Names of the partition folders above a file."""
+    names = []
+    for folder in reversed(file.split("/")[:-1]):
+        if "=" not in folder:
+            break
+        names.insert(0, folder.split("=", 1)[0])
+    return names
+
+
+def _drifted(spark: SparkSession, path: str, places: list[str], parts: T.StructType, tolerant: bool) -> DataFrame:
+    """Files of different types: each kind of file is read by its own schema, cast to the widest one, and put together by name."""
+    kinds = [r for place in places for r in file_kinds(spark, place).collect()]
+    if not tolerant and (bad := [p for r in kinds if r.kind is None for p in r.paths]):
+        raise OSError(f"no Parquet files: {bad[:3]}")
+    groups = [(r.paths, T.StructType([f for f in spark.read.parquet(r.paths[0]).schema if f.name not in parts.names])) for r in kinds if r.kind is not None]
+    widest: dict[str, T.DataType] = {}
+    for _, schema in groups:
+        for f in schema:
+            widest[f.name] = wider(widest.get(f.name, f.dataType), f.dataType)
+    read = [spark.read.schema(T.StructType([*schema, *parts])).option("basePath", path).parquet(*paths).select(*[F.col(f"`{f.name}`").cast(widest[f.name]).alias(f.name) for f in schema], *parts.names) for paths, schema in groups]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), read).select(*widest, *parts.names)
+
+
+def _read(spark: SparkSession, path: str, places: list[str], types: dict[str, T.DataType], tolerant: bool) -> DataFrame:
+    reader = spark.read.option("basePath", path).option("ignoreCorruptFiles", tolerant)
+    try:
+        found = reader.option("mergeSchema", True).parquet(*places)
+        file = next(iter(found.inputFiles()), "")
+    except Py4JJavaError as e:
+        if "CANNOT_MERGE" not in str(e):
+            raise
+        found, file = None, files_of(spark, places[0]).first().path
+    named = _partitions(file)
+    parts = T.StructType([T.StructField(c, types.get(c, T.IntegerType() if c == "year" else T.StringType())) for c in named])
+    if found is None:
+        return _drifted(spark, path, places, parts, tolerant)
+    return reader.schema(T.StructType([*[f for f in found.schema if f.name not in named], *parts])).parquet(*places)
+
+
+def read_table(spark: SparkSession, root: str, name: str, types: dict[str, T.DataType] | None = None, tolerant: bool = False) -> DataFrame:
+    """A partitioned table, its files put together by column name.
+
+    ``types`` are those of partition columns; without one a year is a number and all else is text.
+    Columns whose types differ between files get the widest; with ``tolerant`` files that are no
+    Parquet are left out, else they are an error.
+    """
+    return _read(spark, f"{root}/{name}", [f"{root}/{name}"], types or {}, tolerant)
 
 
 def read_tolerant(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -122,76 +217,183 @@ def newest(df: DataFrame, key: list[str], version: list[Column]) -> DataFrame:
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return fs.exists(p)
 
 
 def _move(spark: SparkSession, source: str, target: str) -> None:
-    jvm = spark.sparkContext._jvm
-    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
-    fs = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    a, fs = _fs(spark, source)
+    b, _ = _fs(spark, target)
     fs.mkdirs(b.getParent())
     if not fs.rename(a, b):
         raise OSError(f"{source} could not be moved to {target}")
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
 
 
-def _folder(row, partitions: tuple[str, ...]) -> str:
-    """A partition's folder; partition values are numbers or plain codes."""
-    return "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in partitions)
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders below ``path`` that hold files, relative to it; "" for itself."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    base, found, it = fs.makeQualified(p).toString(), set(), fs.listFiles(p, True)
+    while it.hasNext():
+        file = it.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            found.add(file.getParent().toString()[len(base) :].strip("/"))
+    return sorted(found)
 
 
 def _same(left: str, right: str, columns) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
 
 
-def upsert(new: DataFrame, root: str, spec: TableSpec) -> int:
+def _swap(spark: SparkSession, path: str, aside: str, folders: list[tuple[str, bool]]) -> None:
+    """Put each folder of ``aside/new`` in the place of the table's; may be begun anew at any point.
+
+    ``folders`` has (folder, whether it has new rows); one without is gone.
+    """
+    for folder, filled in folders:
+        at, old, new = (f"{top}/{folder}".rstrip("/") for top in (path, f"{aside}/old", f"{aside}/new"))
+        if filled and not exists(spark, new):
+            continue
+        if exists(spark, at) and not exists(spark, old):
+            _move(spark, at, old)
+        if filled:
+            _move(spark, new, at)
+    _delete(spark, aside)
+
+
+def recover(spark: SparkSession, root: str, name: str) -> int:
+    """Finish the swaps of runs that were killed once all was written, forget the others; how many were finished."""
+    p, fs = _fs(spark, root)
+    done = 0
+    for status in fs.listStatus(p) if fs.exists(p) else []:
+        if status.getPath().getName().startswith(f".{name}-"):
+            aside = f"{root}/{status.getPath().getName()}"
+            if exists(spark, f"{aside}/plan/_SUCCESS"):
+                _swap(spark, f"{root}/{name}", aside, [(r.folder, r.filled) for r in spark.read.schema("folder string, filled boolean").json(f"{aside}/plan").collect()])
+                done += 1
+            else:
+                _delete(spark, aside)
+    return done
+
+
+def _replace(rows: DataFrame, root: str, spec: TableSpec, aside: str, touched: list[str], **counted: Column) -> dict:
+    """Write ``rows`` aside and swap them for the ``touched`` folders; ``counted`` are sums over the rows."""
+    spark, parts, seen = rows.sparkSession, spec.partitions, Observation()
+    out = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in counted.items()]).drop("_new", "_old").sortWithinPartitions(*spec.key)
+    (out.write.partitionBy(*parts) if parts else out.write).parquet(f"{aside}/new")
+    written = spark.read.schema("`_none` int").parquet(f"{aside}/new").count()
+    if written != seen.get["rows"]:
+        _delete(spark, aside)
+        raise OSError(f"{written} of {seen.get['rows']} rows were written; the table is as it was")
+    filled = _folders(spark, f"{aside}/new")
+    # The list is complete or it is not there: from here on a run that ends is finished by the next.
+    plan = [(f, f in filled) for f in sorted({*touched, *filled})]
+    spark.createDataFrame(plan, "folder string, filled boolean").coalesce(1).write.json(f"{aside}/plan")
+    _swap(spark, f"{root}/{spec.name}", aside, plan)
+    return seen.get
+
+
+def _located(old: DataFrame) -> DataFrame:
+    return old.withColumn("_file", F.input_file_name())
+
+
+def _folders_of(spark: SparkSession, path: str, located: DataFrame) -> list[str]:
+    """The folders of a table that rows with their ``_file`` lie in."""
+    jvm, (p, fs) = spark.sparkContext._jvm, _fs(spark, path)
+    base = fs.makeQualified(p).toString()
+    found = located.select(F.regexp_replace("_file", "/[^/]*$", "").alias("f")).distinct().collect()
+    # Names of files are addresses: Path takes their escapes back.
+    return [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(r.f)).toUri().getPath()[len(jvm.org.apache.hadoop.fs.Path(base).toUri().getPath()) :].strip("/") for r in found]
+
+
+def upsert(new: DataFrame, root: str, spec: TableSpec, delete_col: str | None = None) -> int:
     """Merge ``new`` into a table; returns how many keys it did not hold before.
 
     A new row replaces an old one of its key, in whatever partition that is; of new
-    rows of one key the last by ``version`` counts. The merged partitions are written
-    aside in one pass, which counts the new keys too, and then take the place of the old
-    ones. A run that ends in between leaves the old partitions or the new ones in
-    ``.{name}-*`` beside the table. Keep a single writer a table.
+    rows of one key the last by ``version`` counts. Rows whose ``delete_col`` is true remove their key. The new rows are
+    staged once. The merged partitions are written aside in one pass, which counts too, and swapped in
+    once as many rows are there as were written; a run killed before leaves the table as it was, one killed later
+    is finished by the next upsert or :func:`recover`. In partition columns an empty text is a null, as Spark writes it. Keep a single writer a table.
     """
     spark, path, parts = new.sparkSession, f"{root}/{spec.name}", spec.partitions
     key, version = list(spec.key), [F.col(v).desc_nulls_last() for v in spec.version]
+    recover(spark, root, spec.name)
     if parts and parts[-1] in ("year", "month") and "year" not in new.columns:
         new = with_partition_cols(new, spec.date_col, "month" in parts)
-    new = newest(new, key, version).withColumn("_new", F.lit(1))
+    new = new.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in parts if isinstance(new.schema[c].dataType, T.StringType)})
+    aside = f"{root}/.{spec.name}-{uuid.uuid4().hex}"
+    new.transform(newest, key, version).write.parquet(f"{aside}/in")
+    new = spark.read.schema(new.schema).parquet(f"{aside}/in").withColumn("_new", F.lit(1))
     merged, touched = new.withColumn("_old", F.lit(0)), []
     if exists(spark, path):
-        old = read_table(spark, root, spec.name)
+        types = {c: new.schema[c].dataType for c in parts}
+        old = read_table(spark, root, spec.name, types)
         if parts:
-            here = new.select(*parts)
+            located = _located(old.select(*dict.fromkeys([*key, *parts])))
+            here = located.alias("o").join(new.select(*parts).distinct().alias("n"), _same("o", "n", parts), "left_semi")
             if not set(parts) <= set(key):
                 # Old rows of these keys may lie in other partitions: keys and folders of the whole table, nothing else, are read.
-                moved = old.select(*dict.fromkeys([*key, *parts])).alias("o").join(new.select(*key).alias("n"), _same("o", "n", key), "left_semi")
-                here = here.unionByName(moved.select(*parts))
-            touched = here.distinct().collect()
-            old = old.where(reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(r[c])) for c in parts]) for r in touched], F.lit(False)))
+                here = here.unionByName(located.alias("o").join(new.select(*key).alias("n"), _same("o", "n", key), "left_semi"))
+            touched = _folders_of(spark, path, here)
+            old = _read(spark, path, [f"{path}/{f}" for f in touched], types, False) if touched else old.limit(0)
+        else:
+            touched = [""]
         both = old.withColumn("_new", F.lit(0)).unionByName(new, allowMissingColumns=True)
         n_old = F.count_if(F.col("_new") == 0).over(Window.partitionBy(*key))
         merged = newest(both.withColumn("_old", n_old), key, [F.col("_new").desc(), *version])
-    elif parts:
-        touched = new.select(*parts).distinct().collect()
-    seen, aside = Observation(), f"{root}/.{spec.name}-{uuid.uuid4().hex}"
-    out = merged.observe(seen, F.count_if((F.col("_new") == 1) & (F.col("_old") == 0)).alias("added")).drop("_new", "_old").sortWithinPartitions(*key)
-    (out.write.partitionBy(*parts) if parts else out.write).parquet(f"{aside}/new")
-    for folder in [_folder(r, parts) for r in touched] if parts else [""]:
-        at = f"{path}/{folder}".rstrip("/")
-        if exists(spark, at):
-            _move(spark, at, f"{aside}/old/{folder}".rstrip("/"))
-        # A partition whose rows have all moved away is gone.
-        if exists(spark, f"{aside}/new/{folder}".rstrip("/")):
-            _move(spark, f"{aside}/new/{folder}".rstrip("/"), at)
+    if delete_col:
+        merged = merged.where(~F.coalesce(delete_col, F.lit(False))).drop(delete_col)
+    return _replace(merged, root, spec, aside, touched, added=F.count_if((F.col("_new") == 1) & (F.col("_old") == 0)))["added"]
+
+
+def landed(raw: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows in the types of ``spec.schema``, with ``_raw``, the row as JSON, and ``_why``, null if all of it is well.
+
+    A blank is a null. A value that its type cannot hold and a missing part of the key are reasons; columns that the
+    schema does not name are left out. Raw rows of one column ``value`` are lines of JSON.
+    """
+    schema, lines = T.StructType.fromDDL(spec.schema), raw.columns == ["value"]
+    if lines:
+        raw = raw.withColumn("_m", F.from_json("value", "map<string,string>"))
+    text = {f.name: F.col("_m")[f.name] if lines else F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None).cast("string") for f in schema}
+    text = {c: F.when(F.trim(v.cast("string")) != "", v) for c, v in text.items()}
+    cast = {f.name: text[f.name].try_cast(f.dataType) for f in schema}
+    why = [F.when(text[f.name].isNotNull() & cast[f.name].isNull(), f"{f.name}: no {f.dataType.simpleString()}") for f in schema]
+    why += [F.when(text[k].isNull(), f"{k}: missing") for k in spec.key]
+    found = F.concat_ws("; ", *why)
+    found = F.when(F.col("_m").isNull(), "no JSON object").otherwise(found) if lines else found
+    row = F.col("value") if lines else F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns]))
+    return raw.select(*[c.alias(n) for n, c in cast.items()], row.alias("_raw"), F.nullif(found, F.lit("")).alias("_why"))
+
+
+def land(raw: DataFrame, root: str, spec: TableSpec) -> tuple[int, int]:
+    """Merge the rows that fit the schema, keep the others in ``{name}_quarantine`` (row, reason, n); how many keys were new and how many rows did not fit.
+
+    Landing the same rows again changes neither table.
+    """
+    spark, aside = raw.sparkSession, f"{root}/.landing-{uuid.uuid4().hex}"
+    rows = landed(raw, spec)
+    rows.write.parquet(aside)
+    rows = spark.read.schema(rows.schema).parquet(aside)
+    bad = rows.where("_why is not null").groupBy(F.col("_raw").alias("row"), F.col("_why").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    seen = bad.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if seen:
+        upsert(bad, root, TableSpec(f"{spec.name}_quarantine", ("row", "reason"), version=("n",)))
+    added = upsert(rows.where("_why is null").drop("_raw", "_why"), root, spec)
     _delete(spark, aside)
-    return seen.get["added"]
+    return added, seen
 
 
 def upsert_columns(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -230,6 +432,35 @@ def export_archive(df: DataFrame, root: str, name: str, date_col: str, cutoff: s
     return seen.get["n"]
 
 
+def archive(spark: SparkSession, hot: str, cold: str, spec: TableSpec, cutoff: str) -> int:
+    """Move the rows before ``cutoff`` from the table under ``hot`` to that under ``cold``; how many.
+
+    They leave the hot table only once the cold one has them, which is compared by number and content.
+    Doing it again, or after it was stopped anywhere, moves what is left.
+    """
+    old = read_table(spark, hot, spec.name).where(F.col(spec.date_col) < F.lit(cutoff))
+    columns = [c for c in old.columns if c not in spec.partitions]
+    content = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*sorted(columns)).cast("decimal(38,0)")).alias("h")]
+    there = old.agg(*content).first()
+    if not there.n:
+        return 0
+    upsert(old, cold, spec)
+    moved = read_table(spark, cold, spec.name).alias("c").join(old.select(*spec.key).alias("o"), _same("c", "o", spec.key), "left_semi")
+    if moved.agg(*content).first() != there:
+        raise OSError(f"{spec.name} differs between {hot} and {cold}; nothing was dropped")
+    upsert(old.withColumn("_gone", F.lit(True)), hot, spec, delete_col="_gone")
+    return there.n
+
+
+def read_hot_and_cold(spark: SparkSession, hot: str, cold: str, spec: TableSpec) -> DataFrame:
+    """Both parts of a table as one, a hot row before a cold one of its key; filters on partitions prune either side."""
+    now = read_table(spark, hot, spec.name)
+    if not exists(spark, f"{cold}/{spec.name}"):
+        return now
+    then = read_table(spark, cold, spec.name).alias("c").join(now.select(*spec.key).alias("h"), _same("c", "h", spec.key), "left_anti")
+    return now.unionByName(then, allowMissingColumns=True)
+
+
 def report_document(meta: dict, parts: dict[str, DataFrame], path: str, spark: SparkSession) -> DataFrame:
     """A report: every part as JSON lines under ``path``, and one document with the metadata and each part's place and rows."""
     rows = []
