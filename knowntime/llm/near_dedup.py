@@ -15,8 +15,10 @@ others out before.
 Scale: in each bucket all members are compared with one of them, another one in every
 bucket that the same nodes share; only where a
 bucket still holds several components after that are its remaining pairs
-compared, of nodes in different components. So a large group of near copies costs
-a row or two a member, and no pair of candidates is left out. Buckets meet in a window by
+compared, of nodes in different components. Where one of two components is large, its members
+are dealt into blocks and every node of the other meets each block in a task, which finds
+the links without a row for a pair. So a large group of near copies costs
+a few rows a member, and no pair of candidates is left out. Buckets meet in a window by
 key; the keys that a sketch of frequent items names are aggregated and broadcast instead.
 Keys a node: 69 at 2 * 10**5 nodes, 147 at 10**7, 538 at 10**10.
 
@@ -49,6 +51,8 @@ _PLACE = np.arange(0, 256 * 8 * (DRAWN + 1), 256)
 _FLIP = np.where(np.random.default_rng(7).random(DRAWN * 64) < 0.5, np.float32(-1), np.float32(1))
 #: Keys that the sketch names, its counters, and the members from which on a key is aggregated apart.
 FREQUENT, TRACKED, MANY = 1000, 10_000, 10_000
+#: Members from which on a component is met in blocks; members of a block, nodes that meet one in a task, and bytes of either side's sets.
+LARGE, BLOCK, ASKING, SIDE_BYTES = 64, 256, 1024, 16 << 20
 
 
 def shingle_sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
@@ -154,6 +158,60 @@ def _confirm(similarity: float):
     return run
 
 
+def _meet(similarity: float):
+    """(a, b): for every asking set one set of the block that it links to, if there is any."""
+
+    def run(block: pa.Table, asking: pa.Table) -> pa.Table:
+        a, b = [], []
+        if block.num_rows and asking.num_rows:
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in block.column("of_shingles")]
+            size = np.array([len(x) for x in sets])
+            hashes, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+            order = np.argsort(hashes, kind="stable")
+            hashes, owner, names = hashes[order], owner[order], block.column("of_node").to_numpy()
+            for node, x in zip(asking.column("by_node").to_pylist(), asking.column("by_shingles")):
+                x = np.frombuffer(x.as_buffer(), np.uint64)
+                low = np.searchsorted(hashes, x, "left")
+                width = np.searchsorted(hashes, x, "right") - low
+                ends = np.cumsum(width)
+                both = np.bincount(owner[np.repeat(low - ends + width, width) + np.arange(ends[-1] if len(ends) else 0)], minlength=len(sets))
+                hit = np.flatnonzero(both / (size + len(x) - both) >= similarity)
+                if len(hit):
+                    a.append(node)
+                    b.append(int(names[hit[0]]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _in_blocks(ways: DataFrame, label: DataFrame, sizes: DataFrame, sets_of, similarity: float) -> DataFrame:
+    """Links (a, b) between components of ``ways`` (asking, target), found by blocks of each target's members.
+
+    ``label`` has (a, component) of the nodes that are linked; others are a component of their own. ``sizes`` has
+    the size of every node's set.
+    """
+    members = ways.select("target").distinct().join(label.select(F.col("component").alias("target"), F.col("a").alias("node")), "target")
+    asking = ways.join(label.select(F.col("component").alias("asking"), F.col("a").alias("node")), "asking", "left").select("target", F.coalesce("node", "asking").alias("node"))
+    members, asking = (stage(df.join(sizes, "node"), "met") for df in (members, asking))
+
+    def parts(df, most, name):
+        pieces = F.greatest(F.ceil(F.count(F.lit(1)) / most), F.ceil(F.sum("size") * 8 / SIDE_BYTES)).cast("int")
+        return df.groupBy("target").agg(pieces.alias(name))
+
+    dealt = stage(parts(members, BLOCK, "blocks").join(parts(asking, ASKING, "chunks"), "target"), "dealt")
+    sets, at_sets = sets_of(members.select("node").union(asking.select("node")).distinct())
+    own = lambda n: F.pmod(F.xxhash64(F.lit("part"), "node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = members.join(dealt, "target").select("target", "node", own("blocks").alias("block"), "chunks").select("*", every("chunks").alias("chunk"))
+    right = asking.join(dealt, "target").select("target", "node", own("chunks").alias("chunk"), "blocks").select("*", every("blocks").alias("block"))
+    # Columns of their own on either side, though both read the same sets.
+    left, right = (df.join(sets, "node").select(*[F.col(c).alias(f"{side}_{c}") for c in ("target", "block", "chunk", "node", "shingles")]) for side, df in (("of", left), ("by", right)))
+    left, right = (df.groupBy(*df.columns[:3]) for df in (left, right))
+    found = stage(left.cogroup(right).applyInArrow(_meet(similarity), "a long, b long"), "found")
+    drop(ways.sparkSession, at_sets)
+    return found
+
+
 def _possible(similarity: float, most: int):
     """Condition on (size, sieve) and (size2, sieve2)."""
     sizes = F.least("size", "size2") >= F.lit(similarity) * F.greatest("size", "size2") - 1e-6
@@ -194,18 +252,20 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
     put = nodes.select("node", "size", "sieve", F.posexplode("keys").alias("band", "key"))
     put = put.withColumn("key", F.shiftleft(F.col("band").cast("long"), 32).bitwiseOR(F.col("key").cast("long"))).drop("band")
     shared, shared_path = stage_at(_buckets(put), "shared")
-    rows_of = stage(made.select("row", "node"), "nodes")
+    rows_of = stage(made.select("row", "node", "size"), "nodes")
     drop(spark, made_path)
     # Four deviations above the mean of the 64 sieve bits at this similarity.
     differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
     most = math.ceil(64 * differ + 4 * math.sqrt(64 * differ * (1 - differ)))
     possible = _possible(similarity, most)
 
+    def sets_of(wanted):
+        texts = rows.select("row", "text").join(wanted.join(leads, "node"), "row").select("node", "text")
+        return stage_at(texts.mapInArrow(_sets(shingle), "node long, shingles binary"), "sets")
+
     def confirmed(pairs):
         pairs, at_pairs = stage_at(pairs, "candidates")
-        need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(leads, "node")
-        texts = rows.select("row", "text").join(need, "row").select("node", "text")
-        sets, at_sets = stage_at(texts.mapInArrow(_sets(shingle), "node long, shingles binary"), "sets")
+        sets, at_sets = sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
         left, right = (sets.select(F.col("node").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
         found = stage(both.mapInArrow(_confirm(similarity), "a long, b long"), "confirmed")
@@ -228,17 +288,27 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
     near = (F.col("x.high") >= F.lit(similarity) * F.col("y.low") - 1e-6) & (F.col("y.high") >= F.lit(similarity) * F.col("x.low") - 1e-6)
     near &= (F.col("x.members") > 1) | (F.col("y.members") > 1) | (F.bit_count(F.col("x.sieve").bitwiseXOR(F.col("y.sieve"))) <= most)
     ways = parts.alias("x").join(parts.alias("y"), "key").where("x.component < y.component").where(near).select("key", F.col("x.component").alias("component"), F.col("y.component").alias("component2"))
+    ways = stage(ways, "ways")
+    # Components of one bucket after the other by their members in all; only the large ones need to be listed.
+    large = label.groupBy("component").agg(F.count(F.lit(1)).alias("total")).where(F.col("total") >= LARGE)
+    large = stage(large, "large")
+    known = ways.join(large.select("component", F.col("total").alias("one")), "component", "left").join(large.select(F.col("component").alias("component2"), F.col("total").alias("two")), "component2", "left")
+    known = known.select("key", "component", "component2", F.coalesce("one", F.lit(0)).alias("one"), F.coalesce("two", F.lit(0)).alias("two"))
+    second = F.col("two") > F.col("one")
+    blocks = known.where("one + two > 0").select(F.when(second, F.col("component")).otherwise(F.col("component2")).alias("asking"), F.when(second, F.col("component2")).otherwise(F.col("component")).alias("target")).distinct()
+    met = _in_blocks(blocks, label, rows_of.select("node", "size").distinct(), sets_of, similarity)
+    ways = known.where("one + two = 0").select("key", "component", "component2")
     other = open_.select("key", F.col("component").alias("component2"), F.col("node").alias("node2"), F.col("size").alias("size2"), F.col("sieve").alias("sieve2"))
     rest = open_.join(ways, ["key", "component"]).join(other, ["key", "component2"]).where(possible)
     late = confirmed(_pair(rest))
     drop(spark, open_path)
 
-    label = components(label.select("a", F.col("component").alias("b")).unionByName(late))
+    label = components(label.select("a", F.col("component").alias("b")).unionByName(late).unionByName(met))
     named = firsts.join(label.withColumnRenamed("a", "node"), "node", "left").select("node", "n", "first", F.coalesce("component", "node").alias("component"))
     named = stage(named, "labelled")
     heads = named.groupBy("component").agg(F.min("first").alias("head"), F.count(F.lit(1)).alias("members"))
     named = attach(named, stage(heads, "heads"), "component", "members", distinct).select("node", "n", F.col("head.row").alias("keep"))
-    return attach(rows_of, stage(named, "named"), "node", "n", total_rows).select("row", "keep")
+    return attach(rows_of.select("row", "node"), stage(named, "named"), "node", "n", total_rows).select("row", "keep")
 
 
 @tidy

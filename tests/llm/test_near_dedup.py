@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from knowntime.llm import near_dedup
@@ -55,7 +56,11 @@ def corpus():
     return [" ".join(t) for t in texts] + [None, "", " \n", "one", "One", "a b", "a  B"]
 
 
-def test_same_as_all_pairs(spark):
+@pytest.mark.parametrize("limits", [None, (3, 4, 5)])
+def test_same_as_all_pairs(spark, monkeypatch, limits):
+    """Also with components met in blocks from three members on."""
+    for name, value in zip(("LARGE", "BLOCK", "ASKING"), limits or ()):
+        monkeypatch.setattr(near_dedup, name, value)
     rows = [(i * 7 % 1009, t) for i, t in enumerate(corpus())]
     df = spark.createDataFrame([(i, t, p) for p, (i, t) in enumerate(rows)], "doc_id long, text string, place int")
     want, got = set(kept(rows, 0.8)), {r.place for r in near_dedup.drop_similar(df, 0.8).collect()}
@@ -64,6 +69,22 @@ def test_same_as_all_pairs(spark):
     assert want <= got and len(got - want) <= 2
 
 
+def test_recall_of_pairs_near_the_limit(spark):
+    """A thousand pairs of a similarity of 0.8 to 0.83, each apart from all other texts."""
+    rng, rows = random.Random(9), []
+    while len(rows) < 2000:
+        base = [str(rng.getrandbits(40)) for _ in range(rng.randint(60, 150))]
+        other = list(base)
+        for at in rng.sample(range(len(base)), max(1, round(len(base) * 0.0235))):
+            other[at] = "changed"
+        a, b = " ".join(base), " ".join(other)
+        if 0.8 <= len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b)) <= 0.83:
+            rows += [(len(rows), a), (len(rows) + 1, b)]
+    kept_ids = {r.doc_id for r in near_dedup.drop_similar(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id").collect()}
+    assert all(i in kept_ids for i in range(0, 2000, 2))
+    assert sum(i not in kept_ids for i in range(1, 2000, 2)) >= 970
+
+
 def test_each_row_is_decided_once(spark):
     text = "a b c d e f g h"
     rows = [(7, text), (7, text), (None, text), (7, "an other text of some more words"), (None, "k l m n o p"), (None, "k l m n o p"), (None, "q r s t u v")]
