@@ -106,6 +106,61 @@ def panel_latest(panel: DataFrame, by: list[str], order: list[Column]) -> DataFr
     return dedup_latest(panel, ["as_of", *by], order)
 
 
+def as_ofs_within(spans: DataFrame, dates: DataFrame, start: str, end: str, bucket_days: int | None = None) -> DataFrame:
+    """Each span [start, end) with every ``as_of`` of ``dates`` in it; a null end is open, a null start no span.
+
+    Both sides carry a bucket of the calendar, about eight dates wide, so the join is an equi-join and what a span is cut
+    into grows with its dates. Only the calendar's two ends are collected.
+    """
+    first, last, n = dates.agg(F.min("as_of"), F.max("as_of"), F.count(F.lit(1))).first()
+    if not n:
+        return spans.join(dates.limit(0), F.lit(False)).select(*spans.columns, "as_of")
+    size = bucket_days or max(1, ((last - first).days + 1) * 8 // n)
+
+    def bucket(c):
+        return F.floor(F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")) / size)
+
+    low = F.greatest(bucket(F.col(start)), bucket(F.lit(first)))
+    high = F.least(F.coalesce(bucket(F.col(end)), bucket(F.lit(last))), bucket(F.lit(last)))
+    left = spans.withColumn("_bucket", F.explode(F.when(low <= high, F.sequence(low, high))))
+    at = F.col("as_of").cast("timestamp_ntz")
+    fits = (F.col(start) <= at) & (F.col(end).isNull() | (F.col(end) > at))
+    return left.join(dates.withColumn("_bucket", bucket(F.col("as_of"))), "_bucket").where(fits).select(*spans.columns, "as_of")
+
+
+def valid_spans(facts: DataFrame, by: list[str], order: list[str], known: str, event: str | None = None, lookback_days: int | None = None) -> DataFrame:
+    """Facts with (``since``, ``until``): the time in which each is the greatest by ``order`` of its key's known ones.
+
+    One that is known after a greater one is never it and is left out. With a lookback, which ``order`` must then begin
+    with the time of, a fact ends that many days after its event; those before it have ended by then.
+    """
+    if lookback_days is not None and order[0] != event:
+        raise ValueError("with a lookback the newest event must count first")
+    since = F.col(known) if event is None else F.greatest(F.col(known).cast("timestamp_ntz"), F.col(event).cast("timestamp_ntz"))
+    w = Window.partitionBy(*by).orderBy("since", *order)
+    at = F.struct(*order)
+    # What has no knowledge time is never known.
+    best = facts.where(F.col(known).isNotNull()).withColumn("since", since).withColumn("_before", F.max(at).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    best = best.where(F.col("_before").isNull() | (at >= F.col("_before"))).drop("_before")
+    best = best.withColumn("until", F.lead("since").over(w))
+    if lookback_days is not None:
+        best = best.withColumn("until", F.least("until", F.col(event).cast("timestamp_ntz") + F.expr(f"INTERVAL {int(lookback_days)} DAYS 0.000001 SECONDS")))
+    return best.where("until is null or until > since")
+
+
+def panel_at(facts: DataFrame, dates: DataFrame, by: list[str], order: list[str], known: str, event: str | None = None, lookback_days: int | None = None) -> DataFrame:
+    """Every key's newest known fact at every ``as_of``: at most a row a key and date, however many facts there are."""
+    return as_ofs_within(valid_spans(facts, by, order, known, event, lookback_days), dates, "since", "until").drop("since", "until")
+
+
+def members_panel(intervals: DataFrame, dates: DataFrame, keys: list[str], known: str | None = None) -> DataFrame:
+    """(as_of, keys) of the members at every date; with ``known`` only of additions that were public by then."""
+    public = F.greatest(F.col("start").cast("timestamp_ntz"), F.col(known).cast("timestamp_ntz")) if known else F.col("start")
+    # ``greatest`` passes nulls over: what has no start, or is not known, is no member.
+    spans = intervals.where(F.col("start").isNotNull() & (F.col(known).isNotNull() if known else F.lit(True))).withColumn("start", public)
+    return as_ofs_within(spans.select(*keys, "start", "end"), dates, "start", "end").select("as_of", *keys).distinct()
+
+
 def leaks(panel: DataFrame, known: str) -> DataFrame:
     """Rows of a panel that were not known at their as_of; there must be none."""
     return panel.where(F.col(known) > F.col("as_of").cast("timestamp_ntz"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from knowntime.operators import pit
@@ -28,7 +30,7 @@ def snapshot(
     if macro is not None:
         out["macro"] = pit.latest_revision(macro, as_of, ["code", "event"])
     for name, df in (events or {}).items():
-        out[name] = pit.in_lookback(df, as_of, days, "known").orderBy(F.col("known").desc())
+        out[name] = pit.in_lookback(df, as_of, days, "known")
     if meetings is not None:
         out["meetings"] = pit.known_at(meetings, as_of).orderBy(F.col("event").desc()).limit(last_meetings)
     if members is not None:
@@ -67,6 +69,73 @@ def flat_features(parts: dict[str, DataFrame], as_of: str, filing_columns: list[
     return out
 
 
+def _as_map(columns: dict):
+    return F.map_from_arrays(F.array(*[F.lit(n) for n in columns]), F.array(*[c.cast("double") for c in columns.values()]))
+
+
+def _in_window(rows: DataFrame, dates: DataFrame, by: list[str], time: str, known: str, days: int, sums: dict[str, str], last: list[str]) -> DataFrame:
+    """(as_of, by, n, sums, last): number and sums of each key's rows in the ``days`` before every date, and columns of the last of them.
+
+    Running totals, of which that of the date less that of the window's beginning counts: each row stands for one span of dates
+    either way, so no row meets every date of its window. Rows are known in the order of ``time``, and within ``days`` of it.
+    """
+    w = Window.partitionBy(*by).orderBy(time, known)
+    total = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = rows.where(F.col(time).isNotNull() & F.col(known).isNotNull()).select(*by, F.col(time).cast("timestamp_ntz").alias("_t"), F.col(known).cast("timestamp_ntz").alias("_k"), F.count(F.lit(1)).over(total).alias("n"), *[F.sum(c).over(total).alias(name) for name, c in sums.items()], *last, F.lead(time).over(w).cast("timestamp_ntz").alias("_t2"), F.lead(known).over(w).cast("timestamp_ntz").alias("_k2"))
+    past = F.expr(f"INTERVAL {int(days)} DAYS 0.000001 SECONDS")
+    names = ["n", *sums]
+    now = F.struct(F.lit(1).alias("sign"), F.col("_k").alias("since"), F.col("_k2").alias("until"))
+    then = F.struct(F.lit(-1).alias("sign"), (F.col("_t") + past).alias("since"), (F.col("_t2") + past).alias("until"))
+    spans = run.select("*", F.inline(F.array(now, then))).where("until is null or until > since")
+    met = pit.as_ofs_within(spans.select(*by, "sign", "since", "until", *names, *last), dates, "since", "until")
+    end = F.col("sign") == 1
+    both = met.groupBy("as_of", *by).agg(*[F.sum(F.col("sign") * F.col(c)).alias(c) for c in names], *[F.max(F.when(end, F.col(c))).alias(c) for c in last])
+    return both.where("n > 0")
+
+
+def flat_calendar(
+    dates: DataFrame, members: DataFrame, days: int, bars: DataFrame | None = None, indicators: DataFrame | None = None, filings: DataFrame | None = None, macro: DataFrame | None = None,
+    events: dict[str, DataFrame] | None = None, filing_columns: list[str] = (), indicator_columns: list[str] = (), known: str | None = None,
+) -> DataFrame:
+    """:func:`flat_features` of :func:`snapshot` for every ``as_of`` of ``dates`` in one plan: a row a date and member.
+
+    ``members`` are intervals (ticker, start, end). Every part becomes spans of time in which a fact stands, so it
+    gives at most a row a key and date. A macro revision without a value counts as none.
+    """
+    out = pit.members_panel(members, dates, ["ticker"], known)
+    parts = []
+    if bars is not None:
+        p = _in_window(bars, dates, ["ticker"], "event", "known", days, {"volume": "volume"}, ["close"])
+        parts.append(p.select("as_of", "ticker", _as_map({"price": F.col("close"), "bars": F.col("n"), "volume": F.col("volume")}).alias("prices")))
+    if indicators is not None:
+        p = pit.panel_at(indicators.select("ticker", "event", "known", *indicator_columns), dates, ["ticker"], ["event"], "known", "event", days)
+        parts.append(p.select("as_of", "ticker", _as_map({c: F.col(c) for c in indicator_columns}).alias("indicators")))
+    if filings is not None:
+        p = pit.panel_at(filings.select("ticker", "period_end", "known", *filing_columns), dates, ["ticker"], ["known", "period_end"], "known")
+        parts.append(p.select("as_of", "ticker", _as_map({c: F.col(c) for c in filing_columns}).alias("filing")))
+    if events:
+        told = reduce(DataFrame.unionByName, [df.select("ticker", F.lit(name).alias("kind"), "known") for name, df in events.items()])
+        n = _in_window(told, dates, ["ticker", "kind"], "known", "known", days, {}, [])
+        n = n.groupBy("as_of", "ticker").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", F.col("n").cast("double"))))).alias("events"))
+        parts.append(n)
+    for part in parts:
+        out = out.join(part, ["as_of", "ticker"], "left")
+    if macro is not None:
+        p = pit.panel_at(macro.where("value is not null").select("code", "event", "revision", "known", "value"), dates, ["code"], ["event", "revision"], "known", "event")
+        # A row a date, as wide as there are series.
+        p = p.groupBy("as_of").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("code", "value")))).alias("macro"))
+        out = out.join(p, "as_of", "left")
+    return out
+
+
+def nested_calendar(flat: DataFrame, per_row: int = 1000) -> DataFrame:
+    """(as_of, block, tickers): a map from ticker to its features, in blocks of about ``per_row`` tickers, as a model's loader reads them."""
+    tickers = flat.select("ticker").distinct().count()
+    block = F.pmod(F.xxhash64("ticker"), F.lit(max(1, -(-tickers // per_row)))).alias("block")
+    features = F.struct(*[c for c in flat.columns if c not in ("as_of", "ticker")])
+    return flat.groupBy("as_of", block).agg(F.map_from_entries(F.collect_list(F.struct("ticker", features))).alias("tickers"))
+
+
 def macro_table(releases: DataFrame, derived: dict[str, str], rows: int = 12) -> DataFrame:
     """Series with their revisions, and for each code in ``derived`` a series of the name it maps to: the change in percent on ``rows`` observations before.
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from knowntime.operators import asof, pit
 from knowntime.operators.indicators import sma
-from knowntime.operators.snapshot import flat_features, macro_table, snapshot
+from knowntime.operators.snapshot import flat_calendar, flat_features, macro_table, nested_calendar, snapshot
 from knowntime.plans.proxies import BARS, FACTS, FIN, MEMBER, VINTAGES, bars, facts, financials, membership, table, vintages
 from knowntime.plans.registry import query
 
@@ -164,6 +164,14 @@ def c6(spark, sf):
     return pit.members_at(known, "2024-01-15", "known").select("index_name", "ticker")
 
 
+@query("c6_members_panel", f"""WITH {INTERVALS}, days AS (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-02-10', INTERVAL 1 DAY))::DATE AS as_of)
+SELECT DISTINCT as_of, index_name, ticker FROM days JOIN iv ON start <= as_of AND ("end" IS NULL OR "end" > as_of) AND start + INTERVAL 2 DAY <= as_of""")
+def c6_panel(spark, sf):
+    """Members at every day of a calendar, of additions that are public two days later."""
+    known = _intervals(spark, sf).withColumn("known", F.col("start") + F.expr("INTERVAL 2 DAYS"))
+    return pit.members_panel(known, pit.calendar(spark, "2024-01-01", "2024-02-10", "1 DAY"), ["index_name", "ticker"], "known")
+
+
 @query("d23_membership_counts", f"WITH {MEMBER} SELECT index_name, count(*) FILTER (WHERE action = 'added') AS added, count(*) FILTER (WHERE action = 'removed') AS removed, count(DISTINCT ticker) AS tickers FROM member GROUP BY 1")
 def d23(spark, sf):
     return pit.membership_counts(membership(spark, sf))
@@ -247,6 +255,55 @@ def f13(spark, sf):
                        F.round(of("filing", "revenue"), 4).alias("revenue"), of("events", "insider").alias("insider"), of("events", "congress").alias("congress"), of("macro", "O").alias("macro_o"))
 
 
+CALENDAR_SQL = f"""WITH {BARS}, {FIN}, {MACRO}, days AS (SELECT unnest(generate_series(DATE '1993-01-15', DATE '1999-01-15', INTERVAL 2 MONTH))::DATE AS as_of),
+own AS (SELECT s_suppkey AS ticker, DATE '1992-01-01' + (s_suppkey * 37 % 1500)::INT AS start, CASE WHEN s_suppkey % 3 = 0 THEN DATE '1992-01-01' + (s_suppkey * 37 % 1500)::INT + 900 END AS "end" FROM supplier),
+p AS (SELECT as_of, ticker, arg_max(close, event) AS price, count(*) AS bars, sum(volume) AS volume FROM days JOIN bars ON event BETWEEN as_of - 90 AND as_of AND known <= as_of::TIMESTAMP GROUP BY ALL),
+s AS (SELECT ticker, event, known, CASE WHEN count(*) OVER w = 20 THEN avg(close) OVER w END AS sma FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY event ROWS 19 PRECEDING)),
+i AS (SELECT as_of, ticker, arg_max(sma, event) AS sma_20 FROM days JOIN s ON event BETWEEN as_of - 90 AND as_of AND known <= as_of::TIMESTAMP GROUP BY ALL),
+l AS (SELECT as_of, fin.* FROM days JOIN fin ON known <= as_of QUALIFY row_number() OVER (PARTITION BY as_of, ticker ORDER BY known DESC, period_end DESC) = 1),
+e AS (SELECT as_of, l_suppkey AS ticker, count(*) FILTER (WHERE l_returnflag = 'R' AND l_shipdate::DATE + 2 BETWEEN as_of - 90 AND as_of) AS insider, count(*) FILTER (WHERE l_returnflag = 'A' AND l_shipdate::DATE + 30 BETWEEN as_of - 90 AND as_of) AS congress
+  FROM days JOIN lineitem ON l_shipdate::DATE BETWEEN as_of - 130 AND as_of GROUP BY ALL),
+n AS (SELECT *, row_number() OVER (PARTITION BY code, event ORDER BY known, value) - 1 AS revision FROM rel),
+m AS (SELECT as_of, arg_max(value, (event, revision)) AS macro_o FROM days JOIN n ON known <= as_of AND event <= as_of WHERE code = 'O' GROUP BY 1)
+SELECT as_of, own.ticker, round(p.price, 8) AS price, p.bars::DOUBLE AS bars, p.volume, round(i.sma_20, 4) AS sma_20, round(l.revenue, 4) AS revenue, nullif(e.insider, 0)::DOUBLE AS insider, nullif(e.congress, 0)::DOUBLE AS congress, m.macro_o
+FROM days JOIN own ON start <= as_of AND ("end" IS NULL OR "end" > as_of) LEFT JOIN p USING (as_of, ticker) LEFT JOIN i USING (as_of, ticker) LEFT JOIN l USING (as_of, ticker) LEFT JOIN e USING (as_of, ticker) LEFT JOIN m USING (as_of)"""
+
+
+def _calendar(spark, sf):
+    b, lines = bars(spark, sf), table(spark, sf, "lineitem")
+
+    def told(flag, days):
+        return lines.where(F.col("l_returnflag") == flag).select(F.col("l_suppkey").alias("ticker"), F.date_add(F.col("l_shipdate").cast("date"), days).alias("known"))
+
+    begins = F.date_add(F.lit("1992-01-01").cast("date"), (F.col("s_suppkey") * 37 % 1500).cast("int"))
+    members = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("ticker"), begins.alias("start"), F.when(F.col("s_suppkey") % 3 == 0, F.date_add(begins, 900)).alias("end"))
+    averages = b.select("ticker", "event", "known", sma(F.col("close"), "ticker", "event", 20).alias("sma_20"))
+    numbered = pit.number_revisions(releases(spark, sf), ["code", "event"], ["known", "value"])
+    dates = pit.calendar(spark, "1993-01-15", "1999-01-15", "2 MONTH")
+    return flat_calendar(dates, members, 90, b, averages, financials(spark, sf), numbered, {"insider": told("R", 2), "congress": told("A", 30)}, ["revenue"], ["sma_20"])
+
+
+def _named(flat):
+    def of(column, name):
+        return F.try_element_at(column, F.lit(name))
+
+    return flat.select("as_of", "ticker", F.round(of("prices", "price"), 8).alias("price"), of("prices", "bars").alias("bars"), of("prices", "volume").alias("volume"), F.round(of("indicators", "sma_20"), 4).alias("sma_20"),
+                       F.round(of("filing", "revenue"), 4).alias("revenue"), of("events", "insider").alias("insider"), of("events", "congress").alias("congress"), of("macro", "O").alias("macro_o"))
+
+
+@query("f13_calendar", CALENDAR_SQL)
+def f13_calendar(spark, sf):
+    """Every part of a snapshot for a whole calendar in one plan."""
+    return _named(_calendar(spark, sf))
+
+
+@query("jd_nested_export", CALENDAR_SQL)
+def jd(spark, sf):
+    """The export by date and block of tickers, taken apart again."""
+    nested = nested_calendar(_calendar(spark, sf), 40)
+    return _named(nested.select("as_of", F.explode("tickers").alias("ticker", "f")).select("as_of", "ticker", "f.*"))
+
+
 @query("f13_meetings", "SELECT DISTINCT o_orderdate::DATE AS event FROM orders WHERE o_totalprice > 300000 AND o_orderdate <= TIMESTAMP '1998-06-30' ORDER BY event DESC LIMIT 8")
 def f13_meetings(spark, sf):
     day = F.col("o_orderdate").cast("date")
@@ -259,5 +316,4 @@ p AS (SELECT as_of, user_id, value, event, event_id FROM days JOIN facts ON even
 SELECT as_of, user_id, event_id, value FROM p QUALIFY row_number() OVER (PARTITION BY as_of, user_id ORDER BY event DESC, event_id DESC) = 1""")
 def c9_latest(spark, sf):
     days = pit.calendar(spark, "2024-01-05", "2024-01-30", "5 DAY")
-    panel = pit.pit_panel(facts(spark, sf), days, "user_id", "event", "known", 12)
-    return pit.panel_latest(panel, ["user_id"], [F.col("event").desc(), F.col("event_id").desc()]).select("as_of", "user_id", "event_id", "value")
+    return pit.panel_at(facts(spark, sf), days, ["user_id"], ["event", "event_id"], "known", "event", 12).select("as_of", "user_id", "event_id", "value")

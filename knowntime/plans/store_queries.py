@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from knowntime.operators import quality as Q
 from knowntime.operators.portfolio import missing_prices
 from knowntime.operators.windows import over, yoy_change
-from knowntime.plans.proxies import BARS, VINTAGES, bars, table, vintages
+from knowntime.plans.proxies import BARS, FACTS, VINTAGES, bars, facts, table, vintages
 from knowntime.plans.registry import query
 from knowntime.sources import parsers, store
 from knowntime.streaming import increments
@@ -286,6 +286,58 @@ def i1(spark, sf):
     return increments.high_water(table(spark, sf, "events"), "user_id", "ts", keys, "bars")
 
 
+@query("i1_marks", """SELECT o_custkey AS key, count(*) AS n, max(o_orderdate) AS high_water FROM orders GROUP BY 1""")
+def i1_marks(spark, sf):
+    """Orders in three increments, the second of which ends between its write and its marks; nothing is lost or counted twice."""
+    root, spec = shared(spark), store.TableSpec("orders", ("o_orderkey",), ("year",), "o_orderdate", ("o_orderdate",))
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+
+    def write(batch, ends=False):
+        store.upsert(batch, root, spec)
+        if ends:
+            raise InterruptedError
+
+    for until, ends in (("1994-06-01", False), ("1996-06-01", True), ("1996-06-01", False), ("9999-01-01", False), ("9999-01-01", False)):
+        try:
+            increments.increment(rows.where(F.col("o_orderdate") < until), root, "orders", "o_custkey", "o_orderdate", lambda batch, ends=ends: write(batch, ends), "1970-01-01")
+        except InterruptedError:
+            pass
+    n = store.read_table(spark, root, "orders").groupBy(F.col("o_custkey").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    return n.join(increments.marks(spark, root, "orders").withColumn("key", F.col("key").cast("long")), "key")
+
+
+@query("i3_i4_corrected_bars", """WITH e AS (SELECT event_id, user_id, ts, value FROM events), m AS (SELECT *, 0 AS wave FROM e WHERE event_id % 4 <> 1 UNION ALL SELECT *, 1 FROM e WHERE event_id % 4 = 1 UNION ALL SELECT event_id, user_id, ts - INTERVAL 9 DAY, value * 10, 2 FROM e WHERE event_id % 5 = 0),
+l AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY wave DESC) = 1), w AS (SELECT *, date_trunc('week', ts)::DATE AS period FROM l)
+SELECT user_id, period, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close, round(sum(value), 4) AS volume FROM w GROUP BY 1, 2""")
+def i3_i4(spark, sf):
+    """Weekly bars that follow rows which come late by any time and corrections that move to another week; three batches."""
+    root, e = shared(spark), table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    raw, derived = store.TableSpec("raw", ("event_id",), ("year",), "ts", ("ts",)), store.TableSpec("bars", ("user_id", "period"), ("year",), "period", ("volume",))
+    at = F.struct("ts", "event_id")
+
+    def bars_of(rows):
+        return rows.groupBy("user_id", "period").agg(F.min_by("value", at).alias("open"), F.max("value").alias("high"), F.min("value").alias("low"), F.max_by("value", at).alias("close"), F.sum("value").alias("volume"))
+
+    def write(batch, n):
+        increments.refresh_buckets(batch, root, raw, derived, ["user_id"], F.to_date(F.date_trunc("week", "ts")), bars_of)
+
+    for batch in (e.where("event_id % 4 <> 1"), e.where("event_id % 4 = 1"), e.where("event_id % 5 = 0").withColumns({"ts": F.col("ts") - F.expr("INTERVAL 9 DAYS"), "value": F.col("value") * 10})):
+        batch.write.mode("append").parquet(f"{root}/in")
+        increments.run_available(increments.stream(spark, f"{root}/in", "ts"), write, f"{root}/marks")
+    return store.read_table(spark, root, "bars").drop("year").withColumn("volume", F.round("volume", 4))
+
+
+@query("i9_stream_heartbeat", f"""WITH {FACTS} SELECT event_id % 3 AS batch, count(*) AS rows, max(date_diff('day', event::DATE, known::DATE))::INT AS largest_lag FROM facts GROUP BY 1""")
+def i9_stream(spark, sf):
+    """Rows and largest lag of every batch of a stream, observed while it is written."""
+    root, f = shared(spark), facts(spark, sf).select("event_id", "event", "known")
+    write = increments.with_heartbeat(lambda batch, n: batch.write.mode("append").parquet(f"{root}/out"), root, "facts", F.datediff(F.col("known"), F.col("event")))
+    for part in range(3):
+        f.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/in")
+        increments.run_available(increments.stream(spark, f"{root}/in", "event"), write, f"{root}/marks")
+    return store.read_table(spark, root, "heartbeats").select("batch", "rows", "largest_lag")
+
+
 @query("i3_stream_upsert", """WITH a AS (SELECT user_id, event_type, value, ts, event_id FROM events UNION ALL SELECT user_id, event_type, value * 10, ts + INTERVAL 40 DAY, event_id FROM events WHERE event_id % 5 = 0)
 SELECT user_id, event_type, value, strftime(ts, '%m') AS month FROM a QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
 def i3(spark, sf):

@@ -235,7 +235,7 @@ def _move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be moved to {target}")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     fs.delete(p, True)
 
@@ -253,7 +253,7 @@ def _folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(found)
 
 
-def _same(left: str, right: str, columns) -> Column:
+def same(left: str, right: str, columns) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
 
 
@@ -270,7 +270,7 @@ def _swap(spark: SparkSession, path: str, aside: str, folders: list[tuple[str, b
             _move(spark, at, old)
         if filled:
             _move(spark, new, at)
-    _delete(spark, aside)
+    remove(spark, aside)
 
 
 def recover(spark: SparkSession, root: str, name: str) -> int:
@@ -284,7 +284,7 @@ def recover(spark: SparkSession, root: str, name: str) -> int:
                 _swap(spark, f"{root}/{name}", aside, [(r.folder, r.filled) for r in spark.read.schema("folder string, filled boolean").json(f"{aside}/plan").collect()])
                 done += 1
             else:
-                _delete(spark, aside)
+                remove(spark, aside)
     return done
 
 
@@ -295,7 +295,7 @@ def _replace(rows: DataFrame, root: str, spec: TableSpec, aside: str, touched: l
     (out.write.partitionBy(*parts) if parts else out.write).parquet(f"{aside}/new")
     written = spark.read.schema("`_none` int").parquet(f"{aside}/new").count()
     if written != seen.get["rows"]:
-        _delete(spark, aside)
+        remove(spark, aside)
         raise OSError(f"{written} of {seen.get['rows']} rows were written; the table is as it was")
     filled = _folders(spark, f"{aside}/new")
     # The list is complete or it is not there: from here on a run that ends is finished by the next.
@@ -342,10 +342,10 @@ def upsert(new: DataFrame, root: str, spec: TableSpec, delete_col: str | None =
         old = read_table(spark, root, spec.name, types)
         if parts:
             located = _located(old.select(*dict.fromkeys([*key, *parts])))
-            here = located.alias("o").join(new.select(*parts).distinct().alias("n"), _same("o", "n", parts), "left_semi")
+            here = located.alias("o").join(new.select(*parts).distinct().alias("n"), same("o", "n", parts), "left_semi")
             if not set(parts) <= set(key):
                 # Old rows of these keys may lie in other partitions: keys and folders of the whole table, nothing else, are read.
-                here = here.unionByName(located.alias("o").join(new.select(*key).alias("n"), _same("o", "n", key), "left_semi"))
+                here = here.unionByName(located.alias("o").join(new.select(*key).alias("n"), same("o", "n", key), "left_semi"))
             touched = _folders_of(spark, path, here)
             old = _read(spark, path, [f"{path}/{f}" for f in touched], types, False) if touched else old.limit(0)
         else:
@@ -383,7 +383,7 @@ def land(raw: DataFrame, root: str, spec: TableSpec) -> tuple[int, int]:
 
     Landing the same rows again changes neither table.
     """
-    spark, aside = raw.sparkSession, f"{root}/.landing-{uuid.uuid4().hex}"
+    spark, aside = raw.sparkSession, f"{root}/_in-{uuid.uuid4().hex}"
     rows = landed(raw, spec)
     rows.write.parquet(aside)
     rows = spark.read.schema(rows.schema).parquet(aside)
@@ -392,7 +392,7 @@ def land(raw: DataFrame, root: str, spec: TableSpec) -> tuple[int, int]:
     if seen:
         upsert(bad, root, TableSpec(f"{spec.name}_quarantine", ("row", "reason"), version=("n",)))
     added = upsert(rows.where("_why is null").drop("_raw", "_why"), root, spec)
-    _delete(spark, aside)
+    remove(spark, aside)
     return added, seen
 
 
@@ -401,7 +401,7 @@ def upsert_columns(old: DataFrame, new: DataFrame, keys: list[str], columns: lis
     rest = [c for c in old.columns if c not in keys]
     a = old.select(*keys, F.struct(*rest).alias("_a"))
     b = new.select(*keys, F.struct(*rest).alias("_b"))
-    both = a.alias("l").join(b.alias("r"), _same("l", "r", keys), "full")
+    both = a.alias("l").join(b.alias("r"), same("l", "r", keys), "full")
     both = both.select(*[F.coalesce(F.col(f"l.{k}"), F.col(f"r.{k}")).alias(k) for k in keys], "_a", "_b")
     pick = [F.when(F.col("_a").isNull() | (F.col("_b").isNotNull() & F.lit(c in columns)), F.col(f"_b.{c}")).otherwise(F.col(f"_a.{c}")).alias(c) for c in rest]
     return both.select(*keys, *pick)
@@ -445,7 +445,7 @@ def archive(spark: SparkSession, hot: str, cold: str, spec: TableSpec, cutoff: s
     if not there.n:
         return 0
     upsert(old, cold, spec)
-    moved = read_table(spark, cold, spec.name).alias("c").join(old.select(*spec.key).alias("o"), _same("c", "o", spec.key), "left_semi")
+    moved = read_table(spark, cold, spec.name).alias("c").join(old.select(*spec.key).alias("o"), same("c", "o", spec.key), "left_semi")
     if moved.agg(*content).first() != there:
         raise OSError(f"{spec.name} differs between {hot} and {cold}; nothing was dropped")
     upsert(old.withColumn("_gone", F.lit(True)), hot, spec, delete_col="_gone")
@@ -457,7 +457,7 @@ def read_hot_and_cold(spark: SparkSession, hot: str, cold: str, spec: TableSpec)
     now = read_table(spark, hot, spec.name)
     if not exists(spark, f"{cold}/{spec.name}"):
         return now
-    then = read_table(spark, cold, spec.name).alias("c").join(now.select(*spec.key).alias("h"), _same("c", "h", spec.key), "left_anti")
+    then = read_table(spark, cold, spec.name).alias("c").join(now.select(*spec.key).alias("h"), same("c", "h", spec.key), "left_anti")
     return now.unionByName(then, allowMissingColumns=True)
 
 
