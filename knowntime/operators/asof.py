@@ -66,23 +66,39 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     return asof_many(left, [Source(right, right_on, tuple(columns), tuple(tiebreak or ()))], by, left_on, direction, tolerance_days, bucket_days)
 
 
-def price_on(requests: DataFrame, prices: DataFrame, by: str, request_date: str, price_date: str, price: str, out: str) -> DataFrame:
+#: Rows of one key that a task may sort by itself.
+MOST_OF_A_KEY = 2_000_000
+
+
+def bucket_days_for(rows: DataFrame, by: str, time: str, most: int = MOST_OF_A_KEY) -> int | None:
+    """Days that a bucket of an as-of join should span so that none has far more than ``most`` rows; None if no key has as many.
+
+    One aggregation of the key and time columns; a single row comes back.
+    """
+    own = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"), (F.datediff(F.max(time), F.min(time)) + 1).alias("days"))
+    n, days = own.agg(F.max("n"), F.max_by("days", "n")).first()
+    return max(1, days * most // n) if n and n > most else None
+
+
+def price_on(requests: DataFrame, prices: DataFrame, by: str, request_date: str, price_date: str, price: str, out: str, bucket_days: int | None = None) -> DataFrame:
     """All requested closes at once: the last one on or before each date."""
     named = prices.select(by, F.col(price_date).alias("_pd"), F.col(price).alias(out))
-    return asof_join(requests, named, [by], request_date, "_pd", [out])
+    return asof_join(requests, named, [by], request_date, "_pd", [out], bucket_days=bucket_days)
 
 
-def evaluate_trades(trades: DataFrame, bars: DataFrame, mode: str = "asof", known: str = "known") -> DataFrame:
+def evaluate_trades(trades: DataFrame, bars: DataFrame, mode: str = "asof", known: str = "known", most: int = MOST_OF_A_KEY) -> DataFrame:
     """Profit of (ticker, direction, entry_date, exit_date) trades.
 
     ``asof``: the last close at or before each date. ``strict``: the first bar on
     or after the date that was known on that date. An unpriced trade keeps a row
     with the outcome ERROR.
     """
+    days = bucket_days_for(bars, "ticker", "event", most)
+
     def priced(df, date, out):
         if mode == "asof":
-            return price_on(df, bars, "ticker", date, "event", "close", out)
-        found = asof_join(df, bars.select("ticker", "event", F.col(known).alias("_known"), F.col("close").alias(out)), ["ticker"], date, "event", [out, "_known"], "forward")
+            return price_on(df, bars, "ticker", date, "event", "close", out, days)
+        found = asof_join(df, bars.select("ticker", "event", F.col(known).alias("_known"), F.col("close").alias(out)), ["ticker"], date, "event", [out, "_known"], "forward", bucket_days=days)
         return found.withColumn(out, F.when(F.col("_known") <= F.col(date).cast("timestamp_ntz"), F.col(out))).drop("_known")
 
     both = priced(priced(trades, "entry_date", "entry_price"), "exit_date", "exit_price")

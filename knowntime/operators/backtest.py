@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from knowntime.functions.scalars import safe_div
-from knowntime.operators.asof import asof_join, evaluate_trades
+from knowntime.operators.asof import asof_join, bucket_days_for, evaluate_trades
 from knowntime.operators.windows import over
 
 
@@ -36,7 +36,7 @@ def momentum_panel(bars: DataFrame, dates: DataFrame, rows: int = 12) -> DataFra
     # The calendar is one array of dates, exploded for each ticker.
     days = dates.agg(F.array_sort(F.collect_set("as_of")).alias("_days"))
     grid = bars.select("ticker", F.lit(1).alias("_one")).distinct().join(F.broadcast(days.withColumn("_one", F.lit(1))), "_one").select("ticker", F.explode("_days").alias("as_of"))
-    return asof_join(grid, metric, ["ticker"], "as_of", "bar", ["momentum"])
+    return asof_join(grid, metric, ["ticker"], "as_of", "bar", ["momentum"], bucket_days=bucket_days_for(bars, "ticker", "event"))
 
 
 def backtest_summary(trades: DataFrame) -> DataFrame:

@@ -45,37 +45,44 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def _moments(a: pd.DataFrame) -> pd.DataFrame:
-    """Sums of products of all pairs of one block pair and span of dates, by matrix products."""
-    left, right = (a[a["side"] == side] for side in (0, 1))
+    """Sums of products of all pairs (a <= b) of one block pair and span of dates, by matrix products."""
     days, day = np.unique(a["at"], return_inverse=True)
     made = []
-    for rows, at in ((left, day[(a["side"] == 0).to_numpy()]), (right, day[(a["side"] == 1).to_numpy()])):
-        names, name = np.unique(rows["name"], return_inverse=True)
+    own = bool(a["own"].iloc[0])
+    for side in (0, 0) if own else (0, 1):
+        mine = (a["side"] == side).to_numpy()
+        names, name = np.unique(a["name"][mine], return_inverse=True)
         x, seen = np.zeros((len(days), len(names))), np.zeros((len(days), len(names)))
-        x[at, name], seen[at, name] = rows["x"], 1.0
+        x[day[mine], name], seen[day[mine], name] = a["x"][mine], 1.0
         made.append((names, x, seen))
     (an, x, sx), (bn, y, sy) = made
     n = sx.T @ sy
-    i, j = np.nonzero((n > 0) & (an[:, None] <= bn[None, :]))
+    i, j = np.nonzero((n > 0) & (an[:, None] <= bn[None, :]) if own else n > 0)
     parts = {"n": n, "sx": x.T @ sy, "sy": sx.T @ y, "sxx": (x * x).T @ sy, "syy": sx.T @ (y * y), "sxy": x.T @ y}
-    return pd.DataFrame({"a": an[i], "b": bn[j], **{k: v[i, j] for k, v in parts.items()}})
+    found = {k: v[i, j] for k, v in parts.items()}
+    # Blocks are in no order of names: of a pair the smaller name comes first.
+    turn = an[i] > bn[j]
+    for one, two in (("sx", "sy"), ("sxx", "syy")):
+        found[one], found[two] = np.where(turn, found[two], found[one]), np.where(turn, found[one], found[two])
+    return pd.DataFrame({"a": np.where(turn, bn[j], an[i]), "b": np.where(turn, an[i], bn[j]), **found})
 
 
-def correlation_matrix(returns: DataFrame, by: str = "ticker", at: str = "event", value: str = "ret", blocks: int = 16, span_days: int = 512) -> DataFrame:
+def correlation_matrix(returns: DataFrame, by: str = "ticker", at: str = "event", value: str = "ret", block_size: int = 256, span_days: int = 512) -> DataFrame:
     """Pearson correlation of each pair (a <= b) over the dates that both have.
 
-    Tickers are dealt into blocks and dates into spans. A pair of blocks over a span is one
-    matrix product, which gives one row of moments a pair of tickers instead of one a date;
+    Tickers are dealt into blocks of about ``block_size``, as many as there need to be, and dates into spans. A pair of blocks, each
+    pair once, over a span is one matrix product, which gives one row of moments a pair of tickers instead of one a date;
     moments add up over the spans. Values are moved to a mean of 0 first, for precision.
     """
+    blocks = max(1, -(-returns.select(by).distinct().count() // block_size))
     mean = F.avg(value).over(Window.partitionBy(by))
     rows = returns.where(F.col(value).isNotNull()).select(F.col(by).alias("name"), F.datediff(F.col(at).cast("date"), F.lit("1970-01-01").cast("date")).alias("at"), (F.col(value) - mean).alias("x"))
     rows = rows.withColumns({"block": F.pmod(F.xxhash64("name"), F.lit(blocks)).cast("int"), "span": F.floor(F.col("at") / span_days)})
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = rows.select("*", F.lit(0).alias("side"), other.alias("other")).withColumn("pair", F.col("block") * blocks + F.col("other"))
-    right = rows.select("*", F.lit(1).alias("side"), other.alias("other")).withColumn("pair", F.col("other") * blocks + F.col("block"))
+    # A row goes once to each other block: as the first side to those behind its own, as the second to those before.
+    both = rows.select("*", other.alias("other")).withColumns({"pair": F.least("block", "other") * blocks + F.greatest("block", "other"), "side": (F.col("block") > F.col("other")).cast("int"), "own": F.col("block") == F.col("other")})
     kind = rows.schema["name"].dataType.simpleString()
-    sums = left.unionByName(right).select("pair", "span", "side", "name", "at", "x").groupBy("pair", "span").applyInPandas(_moments, f"a {kind}, b {kind}, n double, sx double, sy double, sxx double, syy double, sxy double")
+    sums = both.select("pair", "span", "own", "side", "name", "at", "x").groupBy("pair", "span").applyInPandas(_moments, f"a {kind}, b {kind}, n double, sx double, sy double, sxx double, syy double, sxy double")
     total = sums.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     top = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
     under = (F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")) * (F.col("n") * F.col("syy") - F.col("sy") * F.col("sy"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from knowntime.functions.scalars import clamp_knowledge, derive_ratios, null_implausible, safe_div, statutory_tax
-from knowntime.operators.asof import Source, asof_join, asof_many
+from knowntime.operators.asof import Source, asof_join, asof_many, bucket_days_for
 from knowntime.operators.pit import dedup_latest
 from knowntime.operators.windows import cagr, growth_streak, over, prior_mean, trailing_sum
 
@@ -102,7 +102,7 @@ def valuations(bars: DataFrame, filings: DataFrame, min_bars: int = 5) -> DataFr
     every_eps = ttm_eps(quarterly.unionByName(implied_q4_eps(filings).select("ticker", "period_end", "known", "eps", "form")))
     sources = [Source(timed(every_eps), "_k", ("ttm_eps",)), Source(sheet, "_k", SHEET, ("period_end",)), Source(annual, "_k", tuple(f"year_{c}" for c in year), ("period_end",))]
     sources += [Source(timed(ttm_flow(filings, c)), "_k", (f"ttm_{c}",)) for c in FLOWS]
-    out = asof_many(base, sources, ["ticker"], "known")
+    out = asof_many(base, sources, ["ticker"], "known", bucket_days=bucket_days_for(bars, "ticker", "event"))
     out = out.withColumnsRenamed({"shares": "shares_outstanding"}).withColumns({c: F.coalesce(f"ttm_{c}", f"year_{c}") for c in FLOWS})
     shares, close = F.col("shares_outstanding"), F.col("close")
     earned = F.coalesce("year_operating_income", F.lit(0.0)) + F.coalesce("year_depreciation", F.lit(0.0))
@@ -151,7 +151,7 @@ def quality_table(filings: DataFrame, bars: DataFrame, least: float = 1e6) -> Da
     k = k.withColumn("buyback_yield", safe_div(before - F.col("shares"), before, -0.5, 0.5))
     k = k.withColumn("_rose", (F.col("net_income") > F.lag("net_income").over(w)).cast("double"))
     k = k.withColumn("earnings_consistency_5y", F.avg("_rose").over(w.rowsBetween(-4, 0))).drop("_rose", "_eps")
-    priced = asof_join(k, bars.select("ticker", "event", "close"), ["ticker"], "known", "event", ["close"])
+    priced = asof_join(k, bars.select("ticker", "event", "close"), ["ticker"], "known", "event", ["close"], bucket_days=bucket_days_for(bars, "ticker", "event"))
     return priced.withColumn("fcf_yield_filing", safe_div(F.col("fcf"), F.col("close") * F.col("shares"), -1, 1))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from knowntime.functions.scalars import safe_div
-from knowntime.operators.asof import price_on, vs_benchmark
+from knowntime.operators.asof import bucket_days_for, price_on, vs_benchmark
 from knowntime.operators.windows import max_drawdown, over
 
 
@@ -82,13 +82,13 @@ def holding_runs(history: DataFrame, today: str) -> DataFrame:
 
 def priced_spans(df: DataFrame, prices: DataFrame, bench, first: str, last: str) -> DataFrame:
     """Rows (cusip, two dates) with both prices, the return, the benchmark's and the excess over it."""
-    p = df.withColumn("ticker", F.col("cusip"))
+    p, days = df.withColumn("ticker", F.col("cusip")), bucket_days_for(prices, "ticker", "event")
     for when, out in ((first, "entry_price"), (last, "exit_price")):
-        p = price_on(p, prices, "ticker", when, "event", "close", out)
+        p = price_on(p, prices, "ticker", when, "event", "close", out, days)
     # One row a pair of dates, however many positions share it.
     marks = df.select(first, last).distinct().withColumn("ticker", F.lit(bench))
     for when, out in ((first, "_b0"), (last, "_b1")):
-        marks = price_on(marks, prices.where(F.col("ticker") == bench), "ticker", when, "event", "close", out)
+        marks = price_on(marks, prices.where(F.col("ticker") == bench), "ticker", when, "event", "close", out, days)
     p = p.join(marks.drop("ticker"), [first, last])
     r, b = safe_div(F.col("exit_price"), F.col("entry_price")) - 1, safe_div(F.col("_b1"), F.col("_b0")) - 1
     return p.withColumns({"ret": r, "bench": b}).withColumn("alpha", vs_benchmark(F.col("ret"), F.col("bench"))).drop("_b0", "_b1", "ticker")

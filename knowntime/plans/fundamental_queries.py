@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from knowntime.operators import fundamentals as X
-from knowntime.plans.proxies import BARS, FIN, bars, financials, table
+from knowntime.plans.proxies import BARS, FIN, bars, financials, table, stored
 from knowntime.plans.registry import query
 
 IMPLIED_EPS = """near AS (SELECT a.ticker, a.period_end, a.known, a.eps, q.eps AS q_eps, row_number() OVER (PARTITION BY a.ticker, a.period_end ORDER BY q.period_end DESC) AS r
@@ -85,7 +85,7 @@ SELECT ticker, event, round(close, 8) AS close, cap AS market_cap, round(ev + 1e
   round(CASE WHEN flow / shares / close BETWEEN -0.5 AND 0.5 THEN flow / shares / close END, 6) AS fcf_yield, round(CASE WHEN ttm_dividends / close BETWEEN 0 AND 0.5 THEN ttm_dividends / close END, 6) AS dividend_yield FROM v""")
 def f1(spark, sf):
     """Both sides round a little above a tie, which sums in another order would hit from either side."""
-    v = X.valuations(bars(spark, sf), financials(spark, sf))
+    v = X.valuations(stored(bars(spark, sf)), stored(financials(spark, sf)))
     four = ("ttm_eps", "book_value_per_share", "revenue_per_share", "fcf_per_share", "revenue", "fcf", "ebitda", "pe_ttm", "pb", "ps")
     return v.select("ticker", "event", F.round("close", 8).alias("close"), "shares_outstanding", "market_cap", F.round(F.col("enterprise_value") + 1e-7, 4).alias("enterprise_value"), *[F.round(F.col(c) + 1e-7, 4).alias(c) for c in four], *[F.round(c, 6).alias(c) for c in ("ev_ebitda", "fcf_yield", "dividend_yield")])
 
@@ -98,7 +98,7 @@ SELECT ticker, year, round(dps, 6) AS annual_dps, round(g1, 6) AS dps_growth_1y,
        round(CASE WHEN eps <> 0 AND dps / eps BETWEEN 0 AND 2 THEN dps / eps END, 6) AS payout_ratio, (dps > 0)::INT AS is_payer FROM g LEFT JOIN e USING (ticker, year)""")
 def f2(spark, sf):
     exact = bars(spark, sf).withColumn("dividends", F.col("dividends").cast("decimal(18,4)"))
-    d = X.dividend_table(exact, financials(spark, sf), min_bars=40)
+    d = X.dividend_table(exact, stored(financials(spark, sf)), min_bars=40)
     return d.select("ticker", "year", *[F.round(c, 6).alias(c) for c in ("annual_dps", "dps_growth_1y", "dps_growth_3y", "dps_growth_5y", "payout_ratio")], F.col("consecutive_growth").cast("long").alias("consecutive_growth"), "is_payer").withColumn("year", F.col("year").cast("long"))
 
 
@@ -116,6 +116,6 @@ SELECT ticker, period_end, {grown('revenue', 'r1', 1)} AS revenue_cagr_1y, {grow
   round(gm, 6) AS gross_margin, round(gm3, 6) AS gross_margin_3y_avg, round(gm - gm3, 6) AS gross_margin_trend, round(CASE WHEN (s0 - shares) / s0 BETWEEN -0.5 AND 0.5 THEN (s0 - shares) / s0 END, 6) AS buyback_yield, round(consistency, 6) AS earnings_consistency_5y,
   round(CASE WHEN fcf / (close * shares) BETWEEN -1 AND 1 THEN fcf / (close * shares) END, 6) AS fcf_yield_filing FROM p""")
 def f3(spark, sf):
-    q = X.quality_table(financials(spark, sf), bars(spark, sf))
+    q = X.quality_table(stored(financials(spark, sf)), stored(bars(spark, sf)))
     six = ("revenue_cagr_1y", "revenue_cagr_3y", "revenue_cagr_5y", "eps_cagr_1y", "eps_cagr_3y", "roic", "net_debt_ebitda", "gross_margin", "gross_margin_3y_avg", "gross_margin_trend", "buyback_yield", "earnings_consistency_5y", "fcf_yield_filing")
     return q.select("ticker", "period_end", *[F.round(c, 6).alias(c) for c in six])

@@ -5,14 +5,14 @@ from pyspark.sql import functions as F
 from knowntime.operators import asof, pit
 from knowntime.operators.indicators import sma
 from knowntime.operators.snapshot import flat_calendar, flat_features, macro_table, nested_calendar, snapshot
-from knowntime.plans.proxies import BARS, FACTS, FIN, MEMBER, VINTAGES, bars, facts, financials, membership, table, vintages
+from knowntime.plans.proxies import BARS, FACTS, FIN, MEMBER, VINTAGES, bars, facts, financials, membership, stored, table, vintages
 from knowntime.plans.registry import query
 
 AS_OF = "2024-01-20"
 
 
 TRADES = """trades AS (SELECT DISTINCT o_orderkey AS order_id, l_suppkey AS ticker, CASE WHEN o_orderkey % 2 = 0 THEN 'LONG' ELSE 'SHORT' END AS direction, o_orderdate::DATE AS entry_date, o_orderdate::DATE + 30 AS exit_date
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F')"""
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
 @query("b1_known_at", f"WITH {FACTS} SELECT event_id, event, known FROM facts WHERE known <= TIMESTAMP '{AS_OF}'")
@@ -82,7 +82,7 @@ def c2(spark, sf):
 
 
 def _trades(spark, sf):
-    o = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("entry_date"), F.when(F.col("o_orderkey") % 2 == 0, "LONG").otherwise("SHORT").alias("direction"))
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("entry_date"), F.when(F.col("o_orderkey") % 2 == 0, "LONG").otherwise("SHORT").alias("direction"))
     return table(spark, sf, "lineitem").join(o, "l_orderkey").select(F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("ticker"), "direction", "entry_date", F.date_add("entry_date", 30).alias("exit_date")).distinct()
 
 
@@ -235,7 +235,7 @@ SELECT s_suppkey AS ticker, round(p.price, 8) AS price, p.bars::DOUBLE AS bars,
 FROM supplier LEFT JOIN p ON p.ticker = s_suppkey LEFT JOIN i ON i.ticker = s_suppkey LEFT JOIN l ON l.ticker = s_suppkey LEFT JOIN e ON e.ticker = s_suppkey""")
 def f13(spark, sf):
     """Everything that was public on one day, flat: one row a member with its parts as maps."""
-    b, lines = bars(spark, sf), table(spark, sf, "lineitem")
+    b, lines = stored(bars(spark, sf)), table(spark, sf, "lineitem")
 
     def told(flag, days):
         day = F.col("l_shipdate").cast("date")
@@ -270,7 +270,7 @@ FROM days JOIN own ON start <= as_of AND ("end" IS NULL OR "end" > as_of) LEFT J
 
 
 def _calendar(spark, sf):
-    b, lines = bars(spark, sf), table(spark, sf, "lineitem")
+    b, lines = stored(bars(spark, sf)), table(spark, sf, "lineitem")
 
     def told(flag, days):
         return lines.where(F.col("l_returnflag") == flag).select(F.col("l_suppkey").alias("ticker"), F.date_add(F.col("l_shipdate").cast("date"), days).alias("known"))

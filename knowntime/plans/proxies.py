@@ -5,6 +5,8 @@ A supplier stands for a ticker and a ship date for a bar date; see the README.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,25 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def shared(spark) -> str:
+    """A new folder that driver and executors share; on one machine a temporary one where none is set."""
+    sc = spark.sparkContext
+    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not found:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = f"file:///tmp/spark-{uuid.uuid4().hex}"
+        sc.setCheckpointDir(found)
+    return f"{found.rstrip('/')}/store-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """A relation that operators read several times, as the table that it would be."""
+    path = shared(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bars(spark, sf) -> DataFrame:
     """(ticker, event date, open, high, low, close, volume, dividends, known)."""
     at = F.struct("l_orderkey", "l_linenumber", "l_partkey")
@@ -92,13 +113,13 @@ FACTS = """facts AS (
 
 
 def membership(spark, sf) -> DataFrame:
-    e = table(spark, sf, "events").where("event_type in ('signup', 'error')")
-    return e.select((F.col("user_id") % 2).alias("index_name"), F.col("user_id").alias("ticker"), F.when(F.col("event_type") == "signup", "added").otherwise("removed").alias("action"), F.col("ts").alias("day"), "event_id")
+    e = table(spark, sf, "events")
+    return e.select((F.col("user_id") % 2).alias("index_name"), F.col("user_id").alias("ticker"), F.when(F.col("event_type").isin("signup", "view"), "added").otherwise("removed").alias("action"), F.col("ts").alias("day"), "event_id")
 
 
 MEMBER = """member AS (
-  SELECT user_id % 2 AS index_name, user_id AS ticker, CASE event_type WHEN 'signup' THEN 'added' ELSE 'removed' END AS action, ts AS day, event_id
-  FROM events WHERE event_type IN ('signup', 'error'))"""
+  SELECT user_id % 2 AS index_name, user_id AS ticker, CASE WHEN event_type IN ('signup', 'view') THEN 'added' ELSE 'removed' END AS action, ts AS day, event_id
+  FROM events)"""
 
 
 def holdings(spark, sf) -> DataFrame:

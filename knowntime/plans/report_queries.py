@@ -2,14 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from knowntime.functions.scalars import cap_bucket
-from knowntime.operators import pit
 from knowntime.operators import quality as Q
 from knowntime.operators.bars import pivot_long
-from knowntime.operators.windows import over, pct_change, window_return
-from knowntime.plans.proxies import BARS, HOLD, bars, holdings, table
+from knowntime.operators.reports import institutional_holdings, newest_settlements, sectors, short_interest, snapshot_report
+from knowntime.plans.proxies import BARS, HOLD, bars, holdings, shared, stored, table
 from knowntime.plans.registry import query
-from knowntime.plans.store_queries import shared
 from knowntime.sources import store
 from knowntime.streaming import increments
 
@@ -22,34 +19,51 @@ def d5(spark, sf):
     return pivot_long(e, "user_id", "event_type", "value", KINDS, "order")
 
 
-@query("f14_snapshot_report", f"""WITH {BARS}, k AS (SELECT * FROM bars WHERE event BETWEEN DATE '1998-06-30' - 252 AND DATE '1998-06-30' AND known <= TIMESTAMP '1998-06-30')
-SELECT ticker, arg_max(close, event) AS latest, round(arg_max(close, event) / arg_min(close, event) - 1, 6) AS window_return, count(*) AS bars FROM k GROUP BY 1 HAVING count(*) > 10""")
+@query("f14_snapshot_report", f"""WITH {BARS}, k AS (SELECT * FROM bars WHERE event BETWEEN DATE '1998-06-30' - 252 AND DATE '1998-06-30' AND known <= TIMESTAMP '1998-06-30'),
+o AS (SELECT ticker, arg_max(close, event) AS last, arg_min(close, event) AS first, count(*) AS n FROM k GROUP BY 1),
+m AS (SELECT o_orderpriority AS name, arg_max(o_totalprice, (o_orderdate::DATE, o_orderdate::DATE + (o_orderkey % 5)::INT, o_totalprice)) AS value FROM orders WHERE o_orderdate::DATE + (o_orderkey % 5)::INT <= DATE '1998-06-30' GROUP BY 1),
+i AS (SELECT ticker, event, CASE WHEN volume > 30 THEN high END AS top, low FROM bars WHERE event <= DATE '1998-06-30' AND known <= TIMESTAMP '1998-06-30' AND ticker IN (SELECT ticker FROM bars WHERE event <= DATE '1998-06-30' AND known <= TIMESTAMP '1998-06-30' GROUP BY 1 ORDER BY 1 LIMIT 3))
+SELECT 'price' AS part, ticker::VARCHAR AS name, 'close' AS field, round(last, 2) AS value FROM o UNION ALL SELECT 'return', ticker::VARCHAR, 'pct', round((last / first - 1) * 100, 2) FROM o WHERE n > 10 UNION ALL SELECT 'macro', name, 'value', round(value, 4) FROM m
+UNION ALL SELECT 'indicator', ticker::VARCHAR, 'top', round(arg_max(top, event) FILTER (WHERE top IS NOT NULL), 4) FROM i GROUP BY ticker HAVING count(top) > 0 UNION ALL SELECT 'indicator', ticker::VARCHAR, 'low', round(arg_max(low, event), 4) FROM i GROUP BY ticker""")
 def f14(spark, sf):
-    k = pit.in_lookback(pit.known_at(bars(spark, sf), "1998-06-30"), "1998-06-30", 252)
-    last, first = F.max_by("close", "event"), F.min_by("close", "event")
-    return k.groupBy("ticker").agg(last.alias("latest"), F.round(last / first - 1, 6).alias("window_return"), F.count(F.lit(1)).alias("bars")).where("bars > 10")
+    b, day = stored(bars(spark, sf)), F.col("o_orderdate").cast("date")
+    # Of releases of one day the largest counts, on both sides.
+    macro = table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("code"), day.alias("event"), F.date_add(day, (F.col("o_orderkey") % 5).cast("int")).alias("known")).agg(F.max("o_totalprice").alias("value"))
+    indicators = b.select("ticker", "event", "known", F.when(F.col("volume") > 30, F.col("high")).alias("top"), "low")
+    return snapshot_report("1998-06-30", b, indicators, macro, ["top", "low"])
 
 
-@query("f17_sectors", """SELECT s_suppkey AS ticker, n_name AS sector, r_name AS country, CASE WHEN s_acctbal * 5e7 > 200e9 THEN 'mega' WHEN s_acctbal * 5e7 > 10e9 THEN 'large' WHEN s_acctbal * 5e7 > 2e9 THEN 'mid' ELSE 'small' END AS cap
+@query("f17_sectors", """SELECT s_suppkey AS ticker, n_name AS sector, '' AS industry, '' AS gics_sub_industry, r_name AS country, coalesce(CASE WHEN s_suppkey % 3 > 0 THEN s_name END, '') AS exchange,
+CASE WHEN s_suppkey % 7 = 0 THEN 'small' WHEN s_acctbal * 5e7 > 200e9 THEN 'mega' WHEN s_acctbal * 5e7 > 10e9 THEN 'large' WHEN s_acctbal * 5e7 > 2e9 THEN 'mid' ELSE 'small' END AS market_cap_category, DATE '2024-01-01' AS knowledge_timestamp
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def f17(spark, sf):
     s, n, r = (table(spark, sf, t) for t in ("supplier", "nation", "region"))
     joined = s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-    return joined.select(F.col("s_suppkey").alias("ticker"), F.col("n_name").alias("sector"), F.col("r_name").alias("country"), cap_bucket(F.col("s_acctbal") * 5e7).alias("cap"))
+    profile = joined.select(F.col("s_suppkey").alias("ticker"), F.col("n_name").alias("sector"), F.col("r_name").alias("country"), F.when(F.col("s_suppkey") % 3 > 0, F.col("s_name")).alias("exchange"), F.when(F.col("s_suppkey") % 7 > 0, F.col("s_acctbal") * 5e7).alias("marketCap"))
+    return sectors(profile, F.lit("2024-01-01").cast("date"))
 
 
-@query("f18_short_interest", f"""WITH {BARS}, m AS (SELECT ticker, last_day(event) AS settlement, sum(volume) AS shares_short FROM bars GROUP BY 1, 2)
-SELECT ticker, settlement, shares_short, row_number() OVER (PARTITION BY ticker ORDER BY settlement DESC) AS nth FROM m QUALIFY nth <= 2""")
+@query("f18_short_interest", """WITH p AS (SELECT o_orderkey AS ticker, CASE WHEN o_orderkey % 5 > 0 THEN nullif(o_custkey, 0) END AS now, o_orderdate::DATE AS day, o_orderkey % 3 / 2.0 AS ratio, nullif(o_custkey * 10, 0) AS float_shares FROM orders)
+SELECT ticker, day AS settlement_date, now AS shares_short, nullif(ratio, 0)::DOUBLE AS days_to_cover, nullif(ratio, 0)::DOUBLE / 8 AS short_pct_float, float_shares, 'current' AS source, DATE '2024-01-01' AS knowledge_timestamp FROM p WHERE now IS NOT NULL
+UNION ALL SELECT ticker, day - 30, ticker, NULL, NULL, float_shares, 'prior', DATE '2024-01-01' FROM p WHERE ticker % 2 = 0 AND ticker > 0""")
 def f18(spark, sf):
-    m = bars(spark, sf).groupBy("ticker", F.last_day("event").alias("settlement")).agg(F.sum("volume").alias("shares_short"))
-    nth = F.row_number().over(over("ticker", [F.col("settlement").desc()])).cast("long")
-    return m.withColumn("nth", nth).where("nth <= 2")
+    o, at = table(spark, sf, "orders"), F.unix_date(F.col("o_orderdate").cast("date")).cast("long") * 86400
+    ratio = F.col("o_orderkey") % 3 / 2
+    profile = o.select(F.col("o_orderkey").alias("ticker"), F.when(F.col("o_orderkey") % 5 > 0, F.col("o_custkey")).alias("sharesShort"), at.alias("dateShortInterest"), ratio.alias("shortRatio"), (ratio / 8).alias("shortPercentOfFloat"), (F.col("o_custkey") * 10).alias("floatShares"),
+                       F.col("o_orderkey").alias("sharesShortPriorMonth"), F.when(F.col("o_orderkey") % 2 == 0, at - 30 * 86400).alias("sharesShortPreviousMonthDate"))
+    return short_interest(profile, F.lit("2024-01-01").cast("date"))
+
+
+@query("f18_settlements", f"""WITH {BARS}, m AS (SELECT ticker, last_day(event) AS settlement, sum(volume) AS shares_short FROM bars GROUP BY 1, 2)
+SELECT ticker, settlement, shares_short, row_number() OVER (PARTITION BY ticker ORDER BY settlement DESC) AS nth FROM m QUALIFY nth <= 2""")
+def f18_settlements(spark, sf):
+    return newest_settlements(bars(spark, sf).groupBy("ticker", F.last_day("event").alias("settlement")).agg(F.sum("volume").alias("shares_short")))
 
 
-@query("f19_institutional_holdings", f"""WITH {HOLD} SELECT manager, cusip, period, shares FROM hold WHERE period + 45 <= DATE '1999-06-30' QUALIFY row_number() OVER (PARTITION BY manager, cusip ORDER BY period DESC) = 1""")
+@query("f19_institutional_holdings", f"""WITH {HOLD}, k AS (SELECT * FROM hold WHERE period + 45 <= DATE '1999-06-30') SELECT manager, cusip, period, shares FROM k WHERE (manager, period) IN (SELECT (manager, max(period)) FROM k GROUP BY manager)""")
 def f19(spark, sf):
     h = holdings(spark, sf).withColumn("known", F.date_add("period", 45))
-    return pit.dedup_latest(pit.known_at(h, "1999-06-30"), ["manager", "cusip"], [F.col("period").desc()]).select("manager", "cusip", "period", "shares")
+    return institutional_holdings(h, "1999-06-30").select("manager", "cusip", "period", "shares")
 
 
 @query("k17_summary", f"""WITH {BARS}, r AS (SELECT count(*) FILTER (WHERE high < low) AS bad, 'FAIL' AS level FROM bars UNION ALL SELECT count(*) FILTER (WHERE volume > 50), 'WARN' FROM bars UNION ALL SELECT count(*) FILTER (WHERE close > 5000), 'FAIL' FROM bars)

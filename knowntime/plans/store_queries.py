@@ -1,30 +1,17 @@
 """Tables, sources, rules and increments over the driver tables."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from knowntime.operators import quality as Q
 from knowntime.operators.portfolio import missing_prices
+from knowntime.operators.reports import universe, with_unrevised
 from knowntime.operators.windows import over, yoy_change
-from knowntime.plans.proxies import BARS, FACTS, VINTAGES, bars, facts, table, vintages
+from knowntime.plans.proxies import BARS, FACTS, VINTAGES, bars, facts, shared, table, vintages
 from knowntime.plans.registry import query
 from knowntime.sources import parsers, store
 from knowntime.streaming import increments
 
 
-def shared(spark) -> str:
-    """A new folder that driver and executors share; on one machine a temporary one where none is set."""
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not found:
-        if sc.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        found = f"file:///tmp/spark-{uuid.uuid4().hex}"
-        sc.setCheckpointDir(found)
-    return f"{found.rstrip('/')}/store-{uuid.uuid4().hex}"
-
-
 def _ohlcv(spark, sf):
     return bars(spark, sf).select(
         F.col("event").cast("timestamp_ntz").alias("event_timestamp"), "ticker", F.lit("1D").alias("frequency"), "open", "high", "low", "close", F.col("close").alias("adj_close"), "volume",
@@ -206,11 +193,26 @@ def c12(spark, sf):
 @query("f16_universe", """SELECT ticker, idx AS index_name FROM (SELECT c_custkey AS ticker, 'A' AS idx, 0 AS p FROM customer WHERE c_acctbal > 0 UNION ALL SELECT o_custkey, 'B', 1 FROM orders WHERE o_totalprice > 100000)
 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY p) = 1""")
 def f16(spark, sf):
-    from knowntime.operators.pit import dedup_latest
-
-    a = table(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("ticker"), F.lit("A").alias("index_name"), F.lit(0).alias("p"))
-    b = table(spark, sf, "orders").where("o_totalprice > 100000").select(F.col("o_custkey").alias("ticker"), F.lit("B").alias("index_name"), F.lit(1).alias("p")).distinct()
-    return dedup_latest(a.unionByName(b), ["ticker"], [F.col("p")]).drop("p")
+    a = table(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("ticker"))
+    b = table(spark, sf, "orders").where("o_totalprice > 100000").select(F.col("o_custkey").alias("ticker"))
+    return universe({"A": a, "B": b}, b.select("ticker", F.lit("old").alias("index_name")), ["1"])
+
+
+@query("f16_stored_universe", "SELECT DISTINCT o_custkey AS ticker, 'old' AS index_name FROM orders WHERE (SELECT count(*) FROM customer WHERE c_acctbal > 1e9) = 0")
+def f16_stored(spark, sf):
+    """No index has a member: the stored copy counts."""
+    none = table(spark, sf, "customer").where("c_acctbal > 1e9").select(F.col("c_custkey").alias("ticker"))
+    kept = table(spark, sf, "orders").select(F.col("o_custkey").alias("ticker"), F.lit("old").alias("index_name"))
+    return universe({"A": none, "B": none}, kept, ["1"])
+
+
+@query("a8_without_vintages", f"""WITH {VINTAGES}, r AS (SELECT code, event, known, value, row_number() OVER (PARTITION BY code, event ORDER BY known, part, value) - 1 AS revision FROM vintages WHERE code % 3 <> 0)
+SELECT code, event, known, value, revision::INT AS revision FROM r UNION ALL SELECT o_orderkey, o_orderdate::DATE, o_orderdate::DATE, o_totalprice, 0 FROM orders WHERE o_orderkey NOT IN (SELECT code FROM r)""")
+def a8_latest(spark, sf):
+    """Series without releases have their latest value, as revision 0."""
+    told = parsers.load_series_vintages(vintages(spark, sf).where("code % 3 <> 0"), ["code", "event"], ["known", "part", "value"])
+    day = F.col("o_orderdate").cast("date")
+    return with_unrevised(told, table(spark, sf, "orders").select(F.col("o_orderkey").alias("code"), day.alias("event"), F.col("o_totalprice").alias("value")))
 
 
 @query("k_rules", f"""WITH {BARS}, r AS (
