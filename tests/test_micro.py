@@ -243,5 +243,5 @@ def test_averages_across_blocks(spark):
             seen.append(v)
             state = sum(seen) / n if len(seen) == n else state * (1 - alpha) + v * alpha if state is not None else None
             want.append(state)
-        got = [r.e for r in indicators.exponential(df, "v", "k", "t", n, alpha, "e").orderBy("t").collect()]
+        got = [r.e for r in indicators.exponentials(df, "k", "t", {"e": ("v", n, alpha)}).orderBy("t").collect()]
         assert all((a is None and b is None) or abs(a - b) < 1e-9 * abs(b) for a, b in zip(got, want))
