@@ -119,6 +119,21 @@ def k11(spark, sf):
         F.count_if(F.col("shown").isNotNull() & (late | F.col("told").isNull())).alias("leaks"))
 
 
+@query("k11_panel_leaks", f"""WITH {FACTS}, days AS (SELECT unnest(generate_series(DATE '2024-01-05', DATE '2024-01-25', INTERVAL 5 DAY))::DATE AS as_of)
+SELECT 'newest' AS panel, count(DISTINCT (as_of, user_id)) AS n_rows, 0::BIGINT AS leaks FROM days JOIN facts ON event <= as_of AND event >= as_of - INTERVAL 12 DAY AND known <= as_of
+UNION ALL SELECT 'by event', count(*), count(*) FILTER (WHERE known > as_of) FROM days JOIN facts ON event <= as_of AND event >= as_of - INTERVAL 12 DAY""")
+def k11_panel(spark, sf):
+    """The check for leaks on a panel of what was known, where it finds none, and on one that goes by the time of the event, where it does."""
+    days, f = pit.calendar(spark, "2024-01-05", "2024-01-25", "5 DAY"), facts(spark, sf)
+    newest = pit.panel_at(f, days, ["user_id"], ["event", "event_id"], "known", "event", 12).select("as_of", F.col("known").alias("told"))
+    by_event = pit.pit_panel(f.withColumn("told", F.col("known")).withColumn("known", F.col("event")), days, "user_id", "event", "known", 12).select("as_of", "told")
+    out = []
+    for name, panel in (("newest", newest), ("by event", by_event)):
+        n = panel.agg(F.lit(name).alias("panel"), F.count(F.lit(1)).alias("n_rows"))
+        out.append(n.join(pit.leaks(panel, "told").agg(F.lit(name).alias("panel"), F.count(F.lit(1)).alias("leaks")), "panel"))
+    return out[0].unionByName(out[1])
+
+
 @query("e1_latest_filing", f"""WITH {FIN} SELECT ticker, form, period_end, known, round(revenue, 4) AS revenue FROM fin WHERE known <= DATE '1999-06-30'
 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY known DESC, period_end DESC) = 1""")
 def e1(spark, sf):

@@ -73,6 +73,7 @@ def a9(spark, sf):
     return parsers.explode_submissions(raw, ["10-K", "10-Q"], "1994-01-01", "1997-12-31").select("cik", "year", "form", "filing_date", F.col("accessionNumber").alias("accession"), "items")
 
 
+#: Tags of filings by metric, the first one first.
 TAGS = {
     "revenue": ["Revenues", "SalesRevenueNet"], "net_income": ["NetIncomeLoss"], "gross_profit": ["GrossProfit"], "operating_cf": ["NetCashProvidedByOperatingActivities"],
     "capex": ["PaymentsToAcquireProperty"], "total_equity": ["StockholdersEquity"], "lt_debt": ["LongTermDebt"],
@@ -123,15 +124,15 @@ def a10(spark, sf):
     return o.groupBy("ticker").agg(F.count(F.lit(1)).alias("observations"), F.sum((F.datediff("end", "start") == 180).cast("long")).alias("half_years"), F.max("filed").alias("filed"), F.round(F.sum("val"), 2).alias("total"))
 
 
-@query("a11_facts_by_accession", f"""WITH {OBSERVED}, a AS (SELECT ticker, year, period_end, form, filed, metric, arg_max(val, (-priority, filed)) AS val FROM obs WHERE metric <> 'eps' AND days <> 180 GROUP BY ALL)
-SELECT ticker, period_end::VARCHAR || '-' || form AS filing, count(*) AS n_metrics, round(max(val) FILTER (WHERE metric = 'net_income'), 6) AS net_income, round(max(val) FILTER (WHERE metric = 'gross_profit'), 6) AS gross_profit
-FROM a WHERE metric <> 'revenue' GROUP BY 1, 2""")
+@query("a11_facts_by_accession", f"""WITH {OBSERVED}, a AS (SELECT ticker, period_end, form, metric, arg_max(val, (-priority, filed)) AS val FROM obs WHERE metric <> 'eps' AND days <> 180 GROUP BY ALL)
+SELECT ticker, period_end::VARCHAR || '-' || form AS filing, count(*) AS n_metrics, round(max(val) FILTER (WHERE metric = 'net_income'), 6) AS net_income, round(max(val) FILTER (WHERE metric = 'gross_profit'), 6) AS gross_profit, round(max(val) FILTER (WHERE metric = 'revenue'), 6) AS revenue
+FROM a GROUP BY 1, 2""")
 def a11(spark, sf):
-    o = parsers.explode_company_facts(company_facts(spark, sf)).where("datediff(end, start) <> 180")
-    wide = parsers.facts_by_accession(o, {m: t for m, t in TAGS.items() if m != "revenue"}, ["ticker"])
+    """A filing's revenue under two tags: the first counts, whichever was filed last."""
     part = F.split("accn", "-")
-    filing = F.concat_ws("-", F.slice(part, 2, F.size(part) - 2))
-    return wide.select("ticker", filing.alias("filing"), F.size("metrics").cast("long").alias("n_metrics"), *[F.round(F.try_element_at("metrics", F.lit(m)), 6).alias(m) for m in ("net_income", "gross_profit")])
+    o = parsers.explode_company_facts(company_facts(spark, sf)).where("datediff(end, start) <> 180").withColumn("accn", F.concat_ws("-", F.slice(part, 2, F.size(part) - 2)))
+    wide = parsers.facts_by_accession(o, TAGS, ["ticker"])
+    return wide.select("ticker", F.col("accn").alias("filing"), F.size("metrics").cast("long").alias("n_metrics"), *[F.round(F.try_element_at("metrics", F.lit(m)), 6).alias(m) for m in ("net_income", "gross_profit", "revenue")])
 
 
 @query("f4_financials", f"""WITH {OBSERVED}, p AS (SELECT * FROM obs WHERE metric <> 'eps' AND (metric IN ('total_equity', 'lt_debt') OR CASE base WHEN '10-Q' THEN days BETWEEN 60 AND 105 ELSE days BETWEEN 330 AND 400 END)),

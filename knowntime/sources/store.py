@@ -44,20 +44,20 @@ class TableSpec:
 
 #: Keys and partitions of the market-data tables.
 CATALOGUE = {s.name: s for s in (
-    TableSpec("ohlcv", ("event_timestamp", "ticker", "frequency"), ("year", "month")),
+    TableSpec("ohlcv", ("event_timestamp", "ticker", "frequency"), ("year", "month"), schema="event_timestamp timestamp_ntz, ticker string, frequency string, open double, high double, low double, close double, adj_close double, volume double, knowledge_timestamp timestamp_ntz, ingestion_timestamp timestamp_ntz, source string"),
     TableSpec("indicators", ("event_timestamp", "ticker"), ("year", "month")),
     TableSpec("valuations", ("event_timestamp", "ticker"), ("year", "month")),
-    TableSpec("macro", ("event_timestamp", "indicator_code", "revision_number"), ("indicator_code", "year")),
+    TableSpec("macro", ("event_timestamp", "indicator_code", "revision_number"), ("indicator_code", "year"), schema="event_timestamp timestamp_ntz, knowledge_timestamp timestamp_ntz, ingestion_timestamp timestamp_ntz, indicator_code string, series_name string, value double, unit string, frequency string, source string, revision_number int"),
     TableSpec("insider", ("ticker_queried", "trade_date", "insider_name", "trade_type", "qty"), ("year",), "trade_date"),
     TableSpec("earnings", ("ticker", "period_end", "form"), ("year",), "period_end"),
     TableSpec("financials", ("ticker", "period_end", "form"), ("year",), "period_end"),
     TableSpec("dividends", ("ticker", "year"), ("year",), "event_timestamp"),
     TableSpec("events_8k", ("ticker", "accession_number"), ("year",)),
     TableSpec("universe_history", ("ticker", "index_name", "action", "event_date"), ("year",), "event_date"),
-    TableSpec("short_interest", ("ticker", "settlement_date"), ("year",), "settlement_date"),
+    TableSpec("short_interest", ("ticker", "settlement_date"), ("year",), "settlement_date", schema="ticker string, settlement_date date, event_timestamp timestamp_ntz, knowledge_timestamp timestamp_ntz, ingestion_timestamp timestamp_ntz, shares_short long, days_to_cover double, short_pct_float double, float_shares long, source string"),
     TableSpec("quality_metrics", ("ticker", "period_end", "form"), ("year",), "period_end"),
     TableSpec("universe", ("ticker",)),
-    TableSpec("sectors", ("ticker",)),
+    TableSpec("sectors", ("ticker",), schema="ticker string, sector string, industry string, gics_sub_industry string, market_cap_category string, country string, exchange string, knowledge_timestamp timestamp_ntz, ingestion_timestamp timestamp_ntz, source string"),
 )}
 
 
