@@ -42,7 +42,7 @@ from .vectortext import slabs
 #: How SentencePiece writes a space, and what it decodes its unknown piece to.
 SPACE, UNKNOWN = "▁", " ⁇ "
 #: Remembered stretches of either generation, and remembered pairs, at most.
-REMEMBERED, PAIRS = 400_000, 1_000_000
+REMEMBERED, PAIRS = 200_000, 500_000
 NEVER = float("-inf")
 LETTER = re.compile(r"[^\W\d_]")
 _loaded: dict[int, Codec] = {}
