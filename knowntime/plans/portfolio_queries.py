@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from knowntime.operators import backtest as T
 from knowntime.operators import pit
 from knowntime.operators import portfolio as P
-from knowntime.plans.proxies import BARS, HOLD, TODAY, bars, holdings, table
+from knowntime.plans.proxies import BARS, HOLD, TODAY, bars, holdings, stored, table
 from knowntime.plans.registry import query
 from knowntime.plans.store_queries import shared
 
@@ -157,5 +157,5 @@ def e21(spark, sf):
 o AS (SELECT CASE direction WHEN 'SHORT' THEN p0 - p1 ELSE p1 - p0 END * 100 / p0 AS pnl FROM p)
 SELECT count(*) AS trades, round(avg((pnl > 0)::INT), 6) AS win_rate, round(sum(pnl), 3) AS total_pnl, round(avg(pnl), 5) AS avg_pnl, round(avg(pnl) FILTER (WHERE pnl > 0), 5) AS avg_gain, round(avg(pnl) FILTER (WHERE pnl <= 0), 5) AS avg_loss FROM o WHERE pnl IS NOT NULL""")
 def f15(spark, sf):
-    s = T.backtest_summary(T.backtest(bars(spark, sf), _dates(spark)))
+    s = T.backtest_summary(T.backtest(stored(bars(spark, sf)), _dates(spark)))
     return s.select("trades", F.round("win_rate", 6).alias("win_rate"), F.round("total_pnl", 3).alias("total_pnl"), *[F.round(c, 5).alias(c) for c in ("avg_pnl", "avg_gain", "avg_loss")])
