@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from knowntime.sources.store import broken_files
+
 
 def rule(name: str, bad: Column, warn: bool = False) -> tuple[str, Column, bool]:
     """No row may satisfy ``bad``."""
@@ -93,9 +95,8 @@ def spot_values(name: str, df: DataFrame, expected: DataFrame, keys: list[str],
 
 
 def unreadable_files(name: str, files: DataFrame, rows: DataFrame) -> DataFrame:
-    """Files (path) that gave no row of ``rows`` (_file): broken or empty ones, a warning each."""
-    seen = rows.select(F.col("_file").alias("path")).distinct()
-    return check(files.join(seen, "path", "left_anti"), [(name, F.count(F.lit(1)), True)])
+    """Files (path) that gave no row of ``rows`` (_file) though they are no tables without rows, a warning each."""
+    return check(broken_files(files, rows), [(name, F.count(F.lit(1)), True)])
 
 
 def same_rows(name: str, before: DataFrame, after: DataFrame) -> DataFrame:

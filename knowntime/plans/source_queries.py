@@ -20,7 +20,7 @@ def a2(spark, sf):
     o.write.parquet(f"{root}/mixed")
     o.limit(1).select(F.lit("not a table").alias("value")).coalesce(1).write.mode("append").text(f"{root}/mixed")
     rows = store.read_tolerant(spark, f"{root}/mixed", o.schema)
-    broken = store.files_of(spark, f"{root}/mixed").join(rows.select(F.col("_file").alias("path")).distinct(), "path", "left_anti").agg(F.count(F.lit(1)).alias("broken"))
+    broken = store.broken_files(store.files_of(spark, f"{root}/mixed"), rows).agg(F.count(F.lit(1)).alias("broken"))
     return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("o_orderkey").alias("keys")).join(F.broadcast(broken), F.lit(True))
 
 
