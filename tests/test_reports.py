@@ -75,3 +75,10 @@ def test_a_hot_key_is_cut_into_buckets(spark):
     for mode in ("asof", "strict"):
         one, many = (sorted(map(str, asof.evaluate_trades(trades, df, mode, most=most).select("ticker", "direction", "entry_date", "exit_date", "entry_price", "exit_price", "outcome").collect())) for most in (10**6, 20))
         assert one == many and len(one) == 60
+
+
+def test_moments_of_pairs_are_not_shuffled(spark):
+    rows = spark.range(40).selectExpr("cast(id % 4 as string) as ticker", "date_add(date'2020-01-01', cast(id div 4 as int)) as event", "rand(1) as ret")
+    plan = bars.correlation_matrix(rows, block_size=2)._jdf.queryExecution().executedPlan().toString()
+    # Nothing but the pairs' own task stands above the rows that were dealt to it.
+    assert "MapInArrow" in plan and "Exchange" not in plan.split("MapInArrow")[0] and "FlatMapGroups" not in plan
