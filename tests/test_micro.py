@@ -245,3 +245,20 @@ def test_averages_across_blocks(spark):
             want.append(state)
         got = [r.e for r in indicators.exponentials(df, "k", "t", {"e": ("v", n, alpha)}).orderBy("t").collect()]
         assert all((a is None and b is None) or abs(a - b) < 1e-9 * abs(b) for a, b in zip(got, want))
+
+
+def test_large_tables_are_dealt_over_more_tasks(spark, monkeypatch):
+    from knowntime.operators import windows
+    from knowntime.plans import proxies, registry
+
+    df, parts = spark.range(100), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert windows.dealt(df, "id", 2_500_001).rdd.getNumPartitions() == 11
+    assert windows.dealt(df, ["id"], parts * windows.ROWS_OF_A_TASK) is df and windows.dealt(df, "id", None) is df
+    for name in ("e30_e34_averages", "k_rules"):
+        def rows():
+            return sorted(map(str, registry.queries()[name](spark, "/root/testdata/sf0.001").collect()))
+
+        plain = rows()
+        with monkeypatch.context() as m:
+            m.setattr(proxies, "dealt", lambda rows, by, n: windows.dealt(rows, by, n, most=500))
+            assert rows() == plain
