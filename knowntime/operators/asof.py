@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from knowntime.functions.scalars import safe_div
+from knowntime.operators.windows import dealt
 
 
 @dataclass(frozen=True)
@@ -20,14 +21,14 @@ class Source:
     tiebreak: tuple[str, ...] = ()
 
 
-def asof_many(left: DataFrame, sources: list[Source], by: list[str], left_on: str, direction: str = "backward", tolerance_days: int | None = None, bucket_days: int | None = None) -> DataFrame:
+def asof_many(left: DataFrame, sources: list[Source], by: list[str], left_on: str, direction: str = "backward", tolerance_days: int | None = None, bucket_days: int | None = None, rows: int | None = None) -> DataFrame:
     """Each left row with the last row at or before it of every source (``forward``: the first at or after).
 
     All sides are put in one relation, and one window carries the last row of each
     source along as one struct, so that a null cell of the matched row stays null.
     With ``bucket_days`` a key is cut into buckets of time, and the rows that a bucket
     starts with are carried over from the buckets before it: a key with a third of
-    all rows is then many groups.
+    all rows is then many groups. With ``rows``, those of all sides, these are dealt over as many tasks as they need.
     """
     back = direction == "backward"
     keep = [c for c in left.columns if c not in by]
@@ -48,6 +49,7 @@ def asof_many(left: DataFrame, sources: list[Source], by: list[str], left_on: st
         w = Window.partitionBy(*by).orderBy("_bucket" if back else F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
         carried = ends.select(*group, *[F.last(f"_end{i}", ignorenulls=True).over(w).alias(f"_carried{i}") for i in range(len(sources))])
         both = both.join(carried, group)
+    both = dealt(both, group, rows)
     w = Window.partitionBy(*group)
     w = w.orderBy("_t", "_side", *ties) if back else w.orderBy(F.col("_t").desc(), F.col("_side").desc(), *ties)
     w = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -61,9 +63,9 @@ def asof_many(left: DataFrame, sources: list[Source], by: list[str], left_on: st
     return hit.select(*by, *[F.col(f"_left.{c}").alias(c) for c in keep], *[F.col(f"_hit{i}.{c}").alias(c) for i, s in enumerate(sources) for c in s.columns])
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, columns: list[str], direction: str = "backward", tiebreak: list[str] | None = None, tolerance_days: int | None = None, bucket_days: int | None = None) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, columns: list[str], direction: str = "backward", tiebreak: list[str] | None = None, tolerance_days: int | None = None, bucket_days: int | None = None, rows: int | None = None) -> DataFrame:
     """:func:`asof_many` with one source; of right rows at the same time the last by ``tiebreak`` counts."""
-    return asof_many(left, [Source(right, right_on, tuple(columns), tuple(tiebreak or ()))], by, left_on, direction, tolerance_days, bucket_days)
+    return asof_many(left, [Source(right, right_on, tuple(columns), tuple(tiebreak or ()))], by, left_on, direction, tolerance_days, bucket_days, rows)
 
 
 #: Rows of one key that a task may sort by itself.
@@ -80,13 +82,13 @@ def bucket_days_for(rows: DataFrame, by: str, time: str, most: int = MOST_OF_A_K
     return max(1, days * most // n) if n and n > most else None
 
 
-def price_on(requests: DataFrame, prices: DataFrame, by: str, request_date: str, price_date: str, price: str, out: str, bucket_days: int | None = None) -> DataFrame:
+def price_on(requests: DataFrame, prices: DataFrame, by: str, request_date: str, price_date: str, price: str, out: str, bucket_days: int | None = None, rows: int | None = None) -> DataFrame:
     """All requested closes at once: the last one on or before each date."""
     named = prices.select(by, F.col(price_date).alias("_pd"), F.col(price).alias(out))
-    return asof_join(requests, named, [by], request_date, "_pd", [out], bucket_days=bucket_days)
+    return asof_join(requests, named, [by], request_date, "_pd", [out], bucket_days=bucket_days, rows=rows)
 
 
-def evaluate_trades(trades: DataFrame, bars: DataFrame, mode: str = "asof", known: str = "known", most: int = MOST_OF_A_KEY) -> DataFrame:
+def evaluate_trades(trades: DataFrame, bars: DataFrame, mode: str = "asof", known: str = "known", most: int = MOST_OF_A_KEY, rows: int | None = None) -> DataFrame:
     """Profit of (ticker, direction, entry_date, exit_date) trades.
 
     ``asof``: the last close at or before each date. ``strict``: the first bar on
@@ -97,8 +99,8 @@ def evaluate_trades(trades: DataFrame, bars: DataFrame, mode: str = "asof", know
 
     def priced(df, date, out):
         if mode == "asof":
-            return price_on(df, bars, "ticker", date, "event", "close", out, days)
-        found = asof_join(df, bars.select("ticker", "event", F.col(known).alias("_known"), F.col("close").alias(out)), ["ticker"], date, "event", [out, "_known"], "forward", bucket_days=days)
+            return price_on(df, bars, "ticker", date, "event", "close", out, days, rows)
+        found = asof_join(df, bars.select("ticker", "event", F.col(known).alias("_known"), F.col("close").alias(out)), ["ticker"], date, "event", [out, "_known"], "forward", bucket_days=days, rows=rows)
         return found.withColumn(out, F.when(F.col("_known") <= F.col(date).cast("timestamp_ntz"), F.col(out))).drop("_known")
 
     both = priced(priced(trades, "entry_date", "entry_price"), "exit_date", "exit_price")

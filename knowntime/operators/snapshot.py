@@ -128,9 +128,12 @@ def flat_calendar(
     return out
 
 
-def nested_calendar(flat: DataFrame, per_row: int = 1000) -> DataFrame:
-    """(as_of, block, tickers): a map from ticker to its features, in blocks of about ``per_row`` tickers, as a model's loader reads them."""
-    tickers = flat.select("ticker").distinct().count()
+def nested_calendar(flat: DataFrame, per_row: int = 1000, tickers: int | None = None) -> DataFrame:
+    """(as_of, block, tickers): a map from ticker to its features, in blocks of about ``per_row`` tickers, as a model's loader reads them.
+
+    ``tickers`` is how many there are; without it all of ``flat`` is computed once more to count them.
+    """
+    tickers = tickers or flat.select("ticker").distinct().count()
     block = F.pmod(F.xxhash64("ticker"), F.lit(max(1, -(-tickers // per_row)))).alias("block")
     features = F.struct(*[c for c in flat.columns if c not in ("as_of", "ticker")])
     return flat.groupBy("as_of", block).agg(F.map_from_entries(F.collect_list(F.struct("ticker", features))).alias("tickers"))

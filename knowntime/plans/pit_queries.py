@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from knowntime.operators import asof, pit
 from knowntime.operators.indicators import sma
 from knowntime.operators.snapshot import flat_calendar, flat_features, macro_table, nested_calendar, snapshot
-from knowntime.plans.proxies import BARS, FACTS, FIN, MEMBER, VINTAGES, bars, facts, financials, membership, table, vintages
+from knowntime.plans.proxies import BARS, FACTS, FIN, MEMBER, VINTAGES, bars, facts, financials, lines_by_order, membership, stored, table, vintages
 from knowntime.plans.registry import query
 
 AS_OF = "2024-01-20"
@@ -59,8 +59,9 @@ p AS (SELECT a.*, CASE WHEN b.known <= a.exit_date::TIMESTAMP THEN b.close END A
 SELECT order_id, ticker, direction, CASE WHEN gain IS NULL THEN 'ERROR' WHEN gain > 0 THEN 'GAIN' ELSE 'LOSS' END AS outcome FROM g""".replace("b.known", "(b.known - INTERVAL 16 HOUR)"))
 def c3_strict(spark, sf):
     """The first bar on or after the date, if it was known on that date; here bars are known at the start of their day."""
-    early = bars(spark, sf).withColumn("known", F.col("event").cast("timestamp_ntz"))
-    return asof.evaluate_trades(_trades(spark, sf), early, "strict").select("order_id", "ticker", "direction", "outcome")
+    early = stored(bars(spark, sf).select("ticker", "event", "close")).withColumn("known", F.col("event").cast("timestamp_ntz"))
+    trades = stored(_trades(spark, sf))
+    return asof.evaluate_trades(trades, early, "strict", rows=trades.count() + early.count()).select("order_id", "ticker", "direction", "outcome")
 
 
 @query("c1_asof_forward", """
@@ -83,14 +84,15 @@ def c2(spark, sf):
 
 def _trades(spark, sf):
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("entry_date"), F.when(F.col("o_orderkey") % 2 == 0, "LONG").otherwise("SHORT").alias("direction"))
-    return table(spark, sf, "lineitem").join(o, "l_orderkey").select(F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("ticker"), "direction", "entry_date", F.date_add("entry_date", 30).alias("exit_date")).distinct()
+    return lines_by_order(spark, sf).join(o, "l_orderkey").select(F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("ticker"), "direction", "entry_date", F.date_add("entry_date", 30).alias("exit_date")).distinct()
 
 
 @query("c3_evaluate_trades", f"""WITH {BARS}, {TRADES}, a AS (SELECT t.*, b.close AS p0 FROM trades t ASOF LEFT JOIN bars b ON t.ticker = b.ticker AND t.entry_date >= b.event),
 p AS (SELECT a.*, b.close AS p1, CASE direction WHEN 'SHORT' THEN p0 - b.close ELSE b.close - p0 END AS gain FROM a ASOF LEFT JOIN bars b ON a.ticker = b.ticker AND a.exit_date >= b.event)
 SELECT order_id, ticker, direction, round(gain, 8) AS pnl_per_share, round(gain * 100 / p0, 4) AS pnl_pct, CASE WHEN gain IS NULL THEN 'ERROR' WHEN gain > 0 THEN 'GAIN' ELSE 'LOSS' END AS outcome FROM p""")
 def c3(spark, sf):
-    done = asof.evaluate_trades(_trades(spark, sf), bars(spark, sf))
+    trades, b = stored(_trades(spark, sf)), stored(bars(spark, sf).select("ticker", "event", "close"))
+    done = asof.evaluate_trades(trades, b, rows=trades.count() + b.count())
     return done.select("order_id", "ticker", "direction", F.round("pnl_per_share", 8).alias("pnl_per_share"), F.round("pnl_pct", 4).alias("pnl_pct"), "outcome")
 
 
@@ -315,7 +317,7 @@ def f13_calendar(spark, sf):
 @query("jd_nested_export", CALENDAR_SQL)
 def jd(spark, sf):
     """The export by date and block of tickers, taken apart again."""
-    nested = nested_calendar(_calendar(spark, sf), 40)
+    nested = nested_calendar(_calendar(spark, sf), 40, table(spark, sf, "supplier").count())
     return _named(nested.select("as_of", F.explode("tickers").alias("ticker", "f")).select("as_of", "ticker", "f.*"))
 
 
