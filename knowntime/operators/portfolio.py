@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from knowntime.functions.scalars import safe_div
 from knowntime.operators.asof import bucket_days_for, price_on, vs_benchmark
-from knowntime.operators.windows import max_drawdown, over
+from knowntime.operators.windows import dealt, max_drawdown, over
+
+
+#: Parts that the rows of a key are ranked in first.
+PARTS_OF_A_KEY = 256
 
 
 def map_identifier(df: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
@@ -36,23 +40,32 @@ def best_and_worst(df: DataFrame, by: str, value: str, ties: list[str], n: int =
     """The n highest and the n lowest rows of each key, marked ``best`` or ``worst``."""
     rows = df.where(F.col(value).isNotNull())
     w = Window.partitionBy(by)
-    ranked = rows.withColumns({"_up": F.row_number().over(w.orderBy(F.col(value).desc(), *ties)), "_down": F.row_number().over(w.orderBy(F.col(value), *ties))})
+
+    def ranked(rows, w):
+        ranks = {"_up": w.orderBy(F.col(value).desc(), *ties), "_down": w.orderBy(F.col(value), *ties)}
+        return rows.withColumns({c: F.row_number().over(order) for c, order in ranks.items()})
+
+    # The ends of each key are among those of its parts, so no task ranks all rows of a key.
+    part = F.pmod(F.xxhash64(*ties), F.lit(PARTS_OF_A_KEY))
+    ends = ranked(rows.withColumn("_part", part), Window.partitionBy(by, "_part")).where((F.col("_up") <= n) | (F.col("_down") <= n))
+    ranked = ranked(ends.drop("_part", "_up", "_down"), w)
     side = F.explode(F.filter(F.array(F.when(F.col("_up") <= n, "best"), F.when(F.col("_down") <= n, "worst")), lambda x: x.isNotNull()))
     return ranked.withColumn("side", side).drop("_up", "_down")
 
 
-def portfolio_history(holdings: DataFrame, up: float = 1.05, down: float = 0.95) -> DataFrame:
+def portfolio_history(holdings: DataFrame, up: float = 1.05, down: float = 0.95, rows: int | None = None) -> DataFrame:
     """Positions with weight, change on the manager's last quarter, closed rows and quarters held.
 
     A position is new unless the manager held it in the quarter stored before. A
     position that is gone gets a row with no shares, ``closed``, in the next
-    stored quarter.
+    stored quarter. ``rows`` is the number of holdings, if known.
     """
-    periods = holdings.select("manager", "period").distinct()
+    # One row a manager and quarter: totals come from here, not from a window over all positions of a quarter.
+    periods = holdings.groupBy("manager", "period").agg(F.sum("value").alias("_total"))
     wp = over("manager", "period")
     periods = periods.withColumns({"ordinal": F.row_number().over(wp), "next_period": F.lead("period").over(wp)})
-    h = holdings.join(periods, ["manager", "period"])
-    total = F.sum("value").over(Window.partitionBy("manager", "period"))
+    h = dealt(holdings.join(periods, ["manager", "period"]), ["manager", "cusip"], rows)
+    total = F.col("_total")
     w = over(["manager", "cusip"], "ordinal")
     h = h.withColumns({"weight": F.when(total > 0, F.col("value") / total), "_prev": F.lag("shares").over(w), "_prev_ordinal": F.lag("ordinal").over(w), "_next_ordinal": F.lead("ordinal").over(w)})
     held = F.col("_prev_ordinal") == F.col("ordinal") - 1
@@ -80,11 +93,11 @@ def holding_runs(history: DataFrame, today: str) -> DataFrame:
     return runs.withColumns({"is_open": F.col("closed_on").isNull(), "exit": F.coalesce("closed_on", F.lit(today).cast("date"))}).drop("_run")
 
 
-def priced_spans(df: DataFrame, prices: DataFrame, bench, first: str, last: str) -> DataFrame:
-    """Rows (cusip, two dates) with both prices, the return, the benchmark's and the excess over it."""
+def priced_spans(df: DataFrame, prices: DataFrame, bench, first: str, last: str, rows: int | None = None) -> DataFrame:
+    """Rows (cusip, two dates) with both prices, the return, the benchmark's and the excess over it; ``rows`` is the number of both tables' rows, if known."""
     p, days = df.withColumn("ticker", F.col("cusip")), bucket_days_for(prices, "ticker", "event")
     for when, out in ((first, "entry_price"), (last, "exit_price")):
-        p = price_on(p, prices, "ticker", when, "event", "close", out, days)
+        p = price_on(p, prices, "ticker", when, "event", "close", out, days, rows)
     # One row a pair of dates, however many positions share it.
     marks = df.select(first, last).distinct().withColumn("ticker", F.lit(bench))
     for when, out in ((first, "_b0"), (last, "_b1")):
@@ -94,9 +107,9 @@ def priced_spans(df: DataFrame, prices: DataFrame, bench, first: str, last: str)
     return p.withColumns({"ret": r, "bench": b}).withColumn("alpha", vs_benchmark(F.col("ret"), F.col("bench"))).drop("_b0", "_b1", "ticker")
 
 
-def holding_returns(runs: DataFrame, prices: DataFrame, bench) -> DataFrame:
+def holding_returns(runs: DataFrame, prices: DataFrame, bench, rows: int | None = None) -> DataFrame:
     """What each run of a position returned from its first quarter to its exit; runs without both prices are left out."""
-    return priced_spans(runs, prices, bench, "start", "exit").where("entry_price > 0 and exit_price is not null")
+    return priced_spans(runs, prices, bench, "start", "exit", rows).where("entry_price > 0 and exit_price is not null")
 
 
 def coverage_stats(quarters: DataFrame, positions: DataFrame) -> DataFrame:
@@ -107,14 +120,13 @@ def coverage_stats(quarters: DataFrame, positions: DataFrame) -> DataFrame:
     return a.join(b, "manager")
 
 
-def position_returns(history: DataFrame, prices: DataFrame, bench, today: str, copycat_days: int = 0, few: int = 10) -> DataFrame:
+def position_returns(history: DataFrame, prices: DataFrame, bench, today: str, copycat_days: int = 0, few: int = 10, rows: int | None = None) -> DataFrame:
     """Return of each position from its quarter's end (or filing) to the next quarter's, and its excess over a benchmark."""
     p = history.where("change <> 'closed'")
-    n = F.count(F.lit(1)).over(Window.partitionBy("manager", "period"))
-    spans = p.select("manager", "period").distinct().withColumn("_next", F.lead("period").over(over("manager", "period")))
-    spans = spans.select("manager", "period", F.date_add("period", copycat_days).alias("entry_date"), F.coalesce(F.date_add("_next", copycat_days), F.lit(today).cast("date")).alias("exit_date"))
-    p = p.withColumn("confidential", n < few).join(spans, ["manager", "period"])
-    return priced_spans(p, prices, bench, "entry_date", "exit_date")
+    spans = p.groupBy("manager", "period").agg(F.count(F.lit(1)).alias("_n")).withColumn("_next", F.lead("period").over(over("manager", "period")))
+    spans = spans.select("manager", "period", (F.col("_n") < few).alias("confidential"), F.date_add("period", copycat_days).alias("entry_date"), F.coalesce(F.date_add("_next", copycat_days), F.lit(today).cast("date")).alias("exit_date"))
+    p = p.join(spans, ["manager", "period"])
+    return priced_spans(p, prices, bench, "entry_date", "exit_date", rows)
 
 
 def quarterly_returns(positions: DataFrame) -> DataFrame:

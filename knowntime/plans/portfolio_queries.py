@@ -21,7 +21,8 @@ hist AS (SELECT manager, period, cusip, shares, value, weight, change, quarters_
 
 @query("f8_portfolio_history", f"WITH {HISTORY} SELECT manager, period, cusip, shares, round(value, 2) AS value, round(weight, 8) AS weight, change, quarters_held::INT AS quarters_held FROM hist")
 def f8(spark, sf):
-    return P.portfolio_history(holdings(spark, sf)).select("manager", "period", "cusip", "shares", F.round("value", 2).alias("value"), F.round("weight", 8).alias("weight"), "change", "quarters_held")
+    h = stored(holdings(spark, sf))
+    return P.portfolio_history(h, rows=h.count()).select("manager", "period", "cusip", "shares", F.round("value", 2).alias("value"), F.round("weight", 8).alias("weight"), "change", "quarters_held")
 
 
 @query("d6_d7_holdings", """WITH l AS (SELECT c_nationkey AS manager, last_day((date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH)::DATE) AS period, l_suppkey AS cusip, l_quantity AS shares, l_extendedprice AS value FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE l_linenumber <> 2),
@@ -56,7 +57,8 @@ runs AS (SELECT manager, cusip, min(period) FILTER (WHERE change <> 'closed') AS
 c AS (SELECT b.*, x.close AS b0 FROM b ASOF LEFT JOIN (SELECT * FROM bars WHERE ticker = 0) x ON b.start >= x.event), d AS (SELECT c.*, x.close AS b1 FROM c ASOF LEFT JOIN (SELECT * FROM bars WHERE ticker = 0) x ON c.exit >= x.event)
 SELECT manager, cusip, start, last, closed_on, quarters, round(peak_weight, 8) AS peak_weight, is_open, exit, round(c0, 8) AS entry_price, round(c1, 8) AS exit_price, round(c1 / c0 - 1, 6) AS ret, round((c1 / c0) / (b1 / b0) - 1, 6) AS alpha FROM d WHERE c0 > 0 AND c1 IS NOT NULL""")
 def f11(spark, sf):
-    runs = P.holding_returns(P.holding_runs(P.portfolio_history(holdings(spark, sf)), TODAY), bars(spark, sf), 0)
+    h, b = stored(holdings(spark, sf)), stored(bars(spark, sf).select("ticker", "event", "close"))
+    runs = P.holding_returns(P.holding_runs(P.portfolio_history(h, rows=h.count()), TODAY), b, 0, h.count() + b.count())
     return runs.select("manager", "cusip", "start", "last", "closed_on", "quarters", F.round("peak_weight", 8).alias("peak_weight"), "is_open", "exit", *[F.round(c, 8).alias(c) for c in ("entry_price", "exit_price")], *[F.round(c, 6).alias(c) for c in ("ret", "alpha")])
 
 
@@ -68,7 +70,8 @@ pos AS (SELECT *, c1 / c0 - 1 AS ret, b1 / b0 - 1 AS bench, (c1 / c0) / (b1 / b0
 
 
 def _positions(spark, sf, copycat_days=0):
-    return P.position_returns(P.portfolio_history(holdings(spark, sf)), bars(spark, sf), 0, TODAY, copycat_days)
+    h, b = stored(holdings(spark, sf)), stored(bars(spark, sf).select("ticker", "event", "close"))
+    return P.position_returns(P.portfolio_history(h, rows=h.count()), b, 0, TODAY, copycat_days, rows=h.count() + b.count())
 
 
 def _written(spark, df):

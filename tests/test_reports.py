@@ -82,3 +82,25 @@ def test_moments_of_pairs_are_not_shuffled(spark):
     plan = bars.correlation_matrix(rows, block_size=2)._jdf.queryExecution().executedPlan().toString()
     # Nothing but the pairs' own task stands above the rows that were dealt to it.
     assert "MapInArrow" in plan and "Exchange" not in plan.split("MapInArrow")[0] and "FlatMapGroups" not in plan
+
+
+def test_ends_of_a_key_come_from_its_parts(spark, monkeypatch):
+    from knowntime.operators import portfolio
+
+    rows = spark.createDataFrame([(m, i, float(i * 7 % 50 // 2)) for m in "ab" for i in range(100)], "m string, i int, v double")
+    monkeypatch.setattr(portfolio, "PARTS_OF_A_KEY", 3)
+    got = {(r.m, r.i, r.side) for r in portfolio.best_and_worst(rows, "m", "v", ["i"]).collect()}
+    values = sorted((i * 7 % 50 // 2, i) for i in range(100))
+    best = sorted(values, key=lambda x: (-x[0], x[1]))
+    assert got == {(m, i, side) for m in "ab" for side, order in (("best", best), ("worst", values)) for _, i in order[:5]}
+
+
+def test_totals_of_quarters_need_no_window(spark):
+    from knowntime.operators import portfolio
+
+    rows = spark.range(60).selectExpr("id % 2 as manager", "date_add(date'2020-03-31', cast(id % 3 * 91 as int)) as period", "id % 7 as cusip", "cast(id as double) as shares", "cast(id as double) as value")
+    history = portfolio.portfolio_history(rows.groupBy("manager", "period", "cusip").agg(F.sum("shares").alias("shares"), F.sum("value").alias("value")))
+    windows = [line for line in history._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line and "sum(value" in line]
+    assert not windows
+    sums = history.where("change <> 'closed'").groupBy("manager", "period").agg(F.sum("weight").alias("w")).collect()
+    assert len(sums) == 6 and all(abs(r.w - 1) < 1e-9 for r in sums)
