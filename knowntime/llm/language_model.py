@@ -10,8 +10,8 @@ tokens never seen. So probabilities of all tokens sum to one, and every text of
 length has a finite log-likelihood. The state is carried from window to window
 to the end of the text.
 
-The weights are learnt in Spark by truncated back-propagation on whole texts, ``fit_share``
-of the training texts by a hash, so that what is learnt from grows with the corpus. In
+The weights are learnt in Spark by truncated back-propagation on all training texts, whole
+(a ``fit_share`` below 1 takes that share of them by a hash), each in one round. In
 each of ``rounds`` rounds every task carries the common weights through its part of the
 round's texts, and the common weights become the mean of the tasks', weighted by
 tokens. The driver sees one set of weights a round.
@@ -298,7 +298,7 @@ def _mean(table: pa.Table) -> pa.Table:
     return pa.table({"tokens": pa.array([int(share.sum())], pa.int64()), "weights": pa.array([total.tobytes()], pa.binary())})
 
 
-def learn(model: Model, texts: DataFrame, fit_share: float = 0.125, rounds: int = 3, task_bytes: int = 2 << 20, learners: int = 1024, chunk: int = 1 << 18) -> None:
+def learn(model: Model, texts: DataFrame, fit_share: float = 1.0, rounds: int = 3, task_bytes: int = 2 << 20, learners: int = 1024, chunk: int = 1 << 18) -> None:
     """Fit the weights; ``texts`` has text and place, a hash."""
     taken, path = stage_at(texts.where(below(F.col("place"), fit_share)).select("text", "place"), "lessons")
     size = taken.agg(F.sum(F.octet_length("text"))).first()[0] or 0

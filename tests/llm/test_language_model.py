@@ -155,3 +155,19 @@ def test_learning_grows_with_the_corpus_and_agrees_again(spark):
         made.append(m.weights())
     assert np.allclose(np.frombuffer(made[0], np.float32), np.frombuffer(made[1], np.float32), atol=1e-5)
     assert made[0] != lm.untrained(counts, 0.005, 1).weights()
+
+
+def test_all_training_texts_are_learnt_from(spark, monkeypatch):
+    from knowntime.llm import language_model as lm
+
+    taken, stage_at = [], lm.stage_at
+
+    def seen(df, label):
+        out = stage_at(df, label)
+        if label == "lessons":
+            taken.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(lm, "stage_at", seen)
+    docs = spark.range(40).selectExpr("id as doc_id", "concat('word ', id % 3, ' and more') as text")
+    assert lm.likelihoods(docs).count() == 40 and taken == [40]
