@@ -126,22 +126,42 @@ def _margins(weights: np.ndarray, texts: list[bytes]) -> np.ndarray:
     return 10 * (total[w.first[1:]] - total[w.first[:-1]]) / np.maximum(n, 1) + weights[_text_slots(w, len(texts))] + weights[-1]
 
 
+def _slotted(texts: list[bytes], limit: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(slots of every word, words of every text, slot of every text); about ``limit`` bytes are hashed at a time, as that takes some 60 times their memory."""
+    ends = np.cumsum([len(t) for t in texts])
+    kinds, n, own, at = [np.zeros((KINDS - 1, 0), np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        w = words(texts[at:to])
+        kinds.append(_slots(w).astype(np.int32))
+        n.append(np.diff(w.first))
+        own.append(_text_slots(w, to - at))
+        at = to
+    return np.concatenate(kinds, 1), np.concatenate(n), np.concatenate(own)
+
+
 def train_scorer(texts: list[bytes], posterior: np.ndarray, rounds: int = 150, rate: float = 0.05, decay: float = 1e-3) -> np.ndarray:
     """Weights of a logistic scorer on soft labels: mean over words, full-batch Adam with decay."""
-    w = words(texts)
-    slots, n = _slots(w), np.diff(w.first)
-    own = _text_slots(w, len(texts))
-    per_word = 10 / np.maximum(n, 1)[w.doc]
-    used, inverse = np.unique(np.concatenate((slots.ravel(), own)), return_inverse=True)
-    of_words, of_texts = inverse[: slots.size].reshape(slots.shape), inverse[slots.size :]
+    slots, n, own = _slotted(texts)
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), n)
+    per_word = (10 / np.maximum(n, 1))[doc]
+    place = np.zeros(KINDS * SLOTS, np.int32)
+    place[slots], place[own] = 1, 1
+    used = np.flatnonzero(place)
+    place[used] = np.arange(len(used))
+    of_words, of_texts = place[slots], place[own]
     x, bias = np.zeros(len(used)), 0.0
     m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     balance = np.where(posterior >= 0.5, 1 / max((posterior >= 0.5).sum(), 1), 1 / max((posterior < 0.5).sum(), 1)) / 2
     for t in range(1, rounds + 1):
-        margin = np.bincount(w.doc, x[of_words].sum(0) * per_word, len(texts)) + x[of_texts] + bias
+        value = x[of_words[0]]
+        for k in range(1, KINDS - 1):
+            value += x[of_words[k]]
+        value *= per_word
+        margin = np.bincount(doc, value, len(texts)) + x[of_texts] + bias
         g = (sigmoid(margin) - posterior) * balance
         grad = np.bincount(of_texts, g, len(used)) + decay * x
-        gw = g[w.doc] * per_word
+        gw = g[doc] * per_word
         for k in range(KINDS - 1):
             grad += np.bincount(of_words[k], gw, len(used))
         grad = np.append(grad, g.sum())

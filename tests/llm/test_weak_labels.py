@@ -48,6 +48,24 @@ def test_long_texts_and_nothing_else(spark):
     assert np.mean([out[i] for i in out if i % 4]) > np.mean([out[i] for i in out if not i % 4]) + 0.2
 
 
+def test_memory_of_the_fit(monkeypatch):
+    """4 MB of texts are hashed a slab at a time: about 260 MB in one go, and four times as much for the 16 MB of a fit."""
+    import tracemalloc
+
+    from knowntime.llm import vectortext
+
+    monkeypatch.setattr(vectortext, "_POWERS", {})
+    rng = random.Random(6)
+    texts = [good(rng).encode() * 64 for _ in range(110)]
+    posterior = np.array([i % 3 / 2 for i in range(len(texts))])
+    assert sum(map(len, texts)) > 4_000_000
+    tracemalloc.start()
+    weak_labels.train_scorer(texts, posterior, rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 << 20, peak
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
 def test_labels_that_were_never_learnt_from(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
