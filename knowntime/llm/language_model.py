@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .sampling import below
 from .staging import drop, stage, stage_at, tidy
-from .toxicity import Adam, sigmoid
+from .toxicity import Adam
 from .vectortext import as_bytes, slabs
 
 END = "\n"
@@ -125,35 +125,58 @@ class Model:
         i = self.words.get(word)
         return self.k + form(word) if i is None else i
 
+    def codes(self, words: list[bytes]) -> list[int]:
+        known, k = self.words.get, self.k
+        return [k + form(w) if (i := known(w)) is None else i for w in words]
+
     def step(self, g: np.ndarray, h: np.ndarray):
         H, u = HIDDEN, h @ self.p["U"]
-        zr = sigmoid(g[:, : 2 * H] + u[:, : 2 * H])
-        c = np.tanh(g[:, 2 * H :] + zr[:, H:] * u[:, 2 * H :])
-        return c + zr[:, :H] * (h - c), zr, c, u[:, 2 * H :]
+        zr = g[:, : 2 * H] + u[:, : 2 * H]
+        # The logistic function, in place.
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        c = zr[:, H:] * u[:, 2 * H :]
+        c += g[:, 2 * H :]
+        np.tanh(c, out=c)
+        new = h - c
+        new *= zr[:, :H]
+        new += c
+        return new, zr, c, u[:, 2 * H :]
 
     def output(self, h: np.ndarray, target: np.ndarray, keep: bool = False):
         """log P(class) + log P(token in class) of each target; the share inside a form is added by the caller."""
         p = self.p
         cls = np.where(target < self.k, target // CLASS_SIZE, self.classes + target - self.k)
-        logits = h @ p["C"] + p["d"]
+        logits = h @ p["C"]
+        logits += p["d"]
         logits -= logits.max(1, keepdims=True)
-        soft = np.exp(logits)
+        row = np.arange(len(h))
+        out = logits[row, cls]
+        soft = np.exp(logits, out=logits)
         norm = soft.sum(1)
-        out = logits[np.arange(len(h)), cls] - np.log(norm)
-        order = np.argsort(cls, kind="stable")
+        out -= np.log(norm)
+        # Targets of the shortlist by class: a product a class, all else at once.
+        order = np.argsort(cls.astype(np.int16), kind="stable")
         cuts = np.searchsorted(cls[order], np.arange(self.classes + 1))
-        inner = []
-        for c in range(self.classes):
-            rows = order[cuts[c] : cuts[c + 1]]
-            if len(rows):
-                x = h[rows] @ p["V"][c] + p["w"][c]
-                x -= x.max(1, keepdims=True)
-                e = np.exp(x)
-                s, at = e.sum(1), target[rows] - c * CLASS_SIZE
-                out[rows] += x[np.arange(len(rows)), at] - np.log(s)
-                if keep:
-                    inner.append((c, rows, e / s[:, None], at))
-        return (out, cls, soft / norm[:, None], inner) if keep else out
+        order = order[: cuts[-1]]
+        near, x = h[order], np.empty((len(order), CLASS_SIZE), h.dtype)
+        for c, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if a < b:
+                np.matmul(near[a:b], p["V"][c], out=x[a:b])
+        x += p["w"][cls[order]]
+        x -= x.max(1, keepdims=True)
+        at = target[order] - cls[order] * CLASS_SIZE
+        own = x[row[: len(x)], at]
+        e = np.exp(x, out=x)
+        s = e.sum(1)
+        out[order] += own - np.log(s)
+        if not keep:
+            return out
+        soft /= norm[:, None]
+        e /= s[:, None]
+        return out, cls, soft, (order, cuts, near, e, at)
 
     def train(self, stream: np.ndarray, starts: np.ndarray, lanes: int = 64, window: int = 32, epochs: int = 1, rate: float = 0.004) -> None:
         """Truncated back-propagation over ``stream``; ``starts`` marks where a text begins."""
@@ -174,47 +197,64 @@ class Model:
     def _update(self, inputs, targets, fresh, h, opt):
         p, H, T = self.p, HIDDEN, len(inputs)
         x = p["E"][inputs]
-        g_in, tape, states = x @ p["W"] + p["c"], [], []
+        g_in = x @ p["W"] + p["c"]
+        # What each step of the window had and made, over all lanes; a state is dropped where a text begins.
+        before, after = np.empty((T, *h.shape), h.dtype), np.empty((T, *h.shape), h.dtype)
+        zr, c, uc = np.empty((T, len(h), 2 * H), h.dtype), np.empty_like(before), np.empty_like(before)
+        stays = np.where(fresh, 0, 1).astype(h.dtype)[:, :, None]
         for t in range(T):
-            h = np.where(fresh[t][:, None], np.float32(0), h)
-            new, zr, c, uc = self.step(g_in[t], h)
-            tape.append((h, zr, c, uc))
-            states.append(new)
-            h = new
-        hs, flat = np.concatenate(states), targets.ravel()
-        _, cls, soft, inner = self.output(hs, flat, True)
-        m = np.float32(1 / len(flat))
+            np.multiply(h, stays[t], out=before[t])
+            after[t], zr[t], c[t], uc[t] = self.step(g_in[t], before[t])
+            h = after[t]
+        hs, flat = after.reshape(-1, H), targets.ravel()
+        _, cls, soft, (order, cuts, near, q, at) = self.output(hs, flat, True)
+        m = h.dtype.type(1 / len(flat))
         soft[np.arange(len(flat)), cls] -= 1
         soft *= m
-        grads = {k: np.zeros_like(v) for k, v in p.items()}
-        grads["C"], grads["d"] = hs.T @ soft, soft.sum(0)
-        dhs = soft @ p["C"].T
-        for c, rows, q, at in inner:
-            q[np.arange(len(rows)), at] -= 1
-            q *= m
-            grads["V"][c], grads["w"][c] = hs[rows].T @ q, q.sum(0)
-            dhs[rows] += q @ p["V"][c].T
-        dhs, dg, dh = dhs.reshape(T, -1, H), np.zeros_like(g_in), np.zeros_like(h)
+        q[np.arange(len(q)), at] -= 1
+        q *= m
+        grads = {"V": np.zeros_like(p["V"]), "w": np.zeros_like(p["w"]), "C": hs.T @ soft, "d": soft.sum(0)}
+        dhs, dnear = soft @ p["C"].T, np.empty_like(near)
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if a < b:
+                np.matmul(near[a:b].T, q[a:b], out=grads["V"][k])
+                np.matmul(q[a:b], p["V"][k].T, out=dnear[a:b])
+        some = np.flatnonzero(np.diff(cuts))
+        if len(some):
+            grads["w"][some] = np.add.reduceat(q, cuts[some], 0)
+        dhs[order] += dnear
+        dhs, dg, dh = dhs.reshape(T, -1, H), np.empty_like(g_in), np.zeros_like(h)
+        # All factors of the chain but the gradient that is carried back.
+        z, r, back = zr[:, :, :H], zr[:, :, H:], np.ascontiguousarray(p["U"].T)
+        by_c = (1 - z) * (1 - c * c)
+        by_z, by_r = (before - c) * z * (1 - z), uc * r * (1 - r)
+        pass_on, du = z * stays, np.empty((len(h), 3 * H), h.dtype)
         for t in reversed(range(T)):
-            prev, zr, c, uc = tape[t]
-            z, r = zr[:, :H], zr[:, H:]
-            dh = dh + dhs[t]
-            dc = dh * (1 - z) * (1 - c * c)
-            dz, dr = dh * (prev - c) * z * (1 - z), dc * uc * r * (1 - r)
-            dg[t] = np.concatenate((dz, dr, dc), 1)
-            du = np.concatenate((dz, dr, dc * r), 1)
-            grads["U"] += prev.T @ du
-            dh = np.where(fresh[t][:, None], np.float32(0), dh * z + du @ p["U"].T)
+            dh += dhs[t]
+            dz, dr, dc = dg[t, :, :H], dg[t, :, H : 2 * H], dg[t, :, 2 * H :]
+            np.multiply(dh, by_c[t], out=dc)
+            np.multiply(dh, by_z[t], out=dz)
+            np.multiply(dc, by_r[t], out=dr)
+            du[:, : 2 * H] = dg[t, :, : 2 * H]
+            np.multiply(dc, r[t], out=du[:, 2 * H :])
+            dh *= pass_on[t]
+            dh += (du @ back) * stays[t]
         flat_g = dg.reshape(-1, 3 * H)
+        by_u = flat_g.copy()
+        by_u[:, 2 * H :] *= r.reshape(-1, H)
+        grads["U"] = before.reshape(-1, H).T @ by_u
         grads["W"], grads["c"] = x.reshape(-1, EMBED).T @ flat_g, flat_g.sum(0)
-        np.add.at(grads["E"], inputs.ravel(), flat_g @ p["W"].T)
-        size = np.sqrt(sum(float((v * v).sum()) for v in grads.values()))
+        grads["E"] = np.zeros_like(p["E"])
+        by_word = np.argsort(inputs.ravel(), kind="stable")
+        words, first = np.unique(inputs.ravel()[by_word], return_index=True)
+        grads["E"][words] = np.add.reduceat((flat_g @ p["W"].T)[by_word], first, 0)
+        size = np.sqrt(sum(float(np.vdot(v, v)) for v in grads.values()))
         if size > 1:
-            grads = {k: v / np.float32(size) for k, v in grads.items()}
+            grads = {k: v / h.dtype.type(size) for k, v in grads.items()}
         opt.step(grads)
         return h
 
-    def log_likelihoods(self, codes: list[np.ndarray], lanes: int = 128, chunk: int = 64) -> np.ndarray:
+    def log_likelihoods(self, codes: list[np.ndarray], lanes: int = 128, chunk: int = 16) -> np.ndarray:
         """Natural log-likelihood of every text (codes end with the end mark), without shares inside forms."""
         end = self.words[END.encode()]
         load = [(0, i) for i in range(min(lanes, len(codes)))]
@@ -223,7 +263,10 @@ class Model:
             n, i = heapq.heappop(load)
             held[i].append(d)
             heapq.heappush(load, (n + len(codes[d]), i))
-        T = max(n for n, _ in load)
+        # Longest lanes first, so that those still running are the first ones.
+        held.sort(key=lambda docs: -sum(len(codes[d]) for d in docs))
+        length = np.array([sum(len(codes[d]) for d in docs) for docs in held])
+        T = int(length[0])
         target, owner = np.full((len(held), T), -1), np.zeros((len(held), T), np.int64)
         inputs, fresh = np.full((len(held), T), end), np.zeros((len(held), T), bool)
         for i, docs in enumerate(held):
@@ -237,14 +280,15 @@ class Model:
         inputs, fresh, out = inputs.T.copy(), fresh.T[:, :, None], np.zeros(len(codes))
         h = np.zeros((len(held), HIDDEN), np.float32)
         for a in range(0, T, chunk):
-            states = []
+            states, live = [], int((length > a).sum())
+            h = h[:live]
             for t in range(a, min(T, a + chunk)):
-                h = self.step(table[inputs[t]], np.where(fresh[t], np.float32(0), h))[0]
+                h = self.step(table[inputs[t, :live]], np.where(fresh[t, :live], np.float32(0), h))[0]
                 states.append(h)
-            want = target[:, a : a + chunk].T.ravel()
+            want = target[:live, a : a + chunk].T.ravel()
             real = want >= 0
             got = self.output(np.concatenate(states)[real], want[real])
-            out += np.bincount(owner[:, a : a + chunk].T.ravel()[real], got, len(codes))
+            out += np.bincount(owner[:live, a : a + chunk].T.ravel()[real], got, len(codes))
         return out
 
 
@@ -277,7 +321,7 @@ def _learn(model: Model, chunk: int):
         for batch in batches:
             for _, _, texts in slabs(batch.column(0)):
                 for t in texts:
-                    held.append(np.array([end, *map(own.code, tokens(t))]))
+                    held.append(np.array([end, *own.codes(tokens(t))]))
                     size += len(held[-1])
                     if size >= chunk:
                         seen += learn()

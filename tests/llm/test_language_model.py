@@ -57,6 +57,16 @@ def test_state_is_carried_and_lanes_agree():
     assert np.allclose(alone, m.log_likelihoods(codes, lanes=2, chunk=7))
 
 
+def test_lanes_at_their_end_are_not_carried_on(monkeypatch):
+    m, rng, rows = model(), np.random.default_rng(3), []
+    codes = [rng.integers(0, m.k + lm.FORMS, n) for n in (2000, *[10] * 30)]
+    step = lm.Model.step
+    monkeypatch.setattr(lm.Model, "step", lambda self, g, h: rows.append(len(h)) or step(self, g, h))
+    m.log_likelihoods(codes, lanes=31, chunk=16)
+    # One window more a lane at most; 31 * 2000 if all lanes ran to the end of the longest.
+    assert sum(rows) <= 2300 + 31 * 16
+
+
 def test_gradients():
     m, rng = model(), np.random.default_rng(5)
     stream = rng.integers(0, m.k + lm.FORMS, (6, 3))
