@@ -8,14 +8,18 @@ short texts. A key is made of the most decided sums: of a few drawn groups of th
 each gives the place of its largest sum and the sign of it, which near copies share far
 oftener than as many signs alone. Two nodes are candidates if one of their ``bands`` keys
 agrees. The length of a key is about log2 of the number of nodes, and the number
-of keys follows from it and from ``recall``. Candidates link if the Jaccard similarity of their
-sets is at least ``similarity``; 64 further bits and the sizes of the sets rule most
+of keys follows from it and from ``recall``. The signs of 64 further sums are a node's fingerprint:
+fingerprints up to RING bits apart are candidates too, searched as :mod:`.simhash` does, by keys of agreeing
+segments under the budgets of the pigeonring. Candidates link if the Jaccard similarity of their
+sets is at least ``similarity``; the fingerprints and the sizes of the sets rule most
 others out before.
 
 Scale: in each bucket all members are compared with one of them, another one in every
 bucket that the same nodes share; only where a
 bucket still holds several components after that are its remaining pairs
-compared, of nodes in different components. Where one of two components is large, its members
+compared, of nodes in different components. A bucket of CROWD or more components, such as
+texts with a passage in common or copies too far apart to link, is compared by the signs of all turned sums first, of
+which a linked pair differs in more than are let through once in three million times. Where one of two components is large, its members
 are dealt into blocks and every node of the other meets each block in a task, which finds
 the links without a row for a pair. So a large group of near copies costs
 a few rows a member, and no pair of candidates is left out. Buckets meet in a window by
@@ -39,6 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
+from .simhash import cuts, key_masks, within_budgets
 from .skew import attach
 from .staging import drop, numbered, stage, stage_at, tidy
 from .vectortext import grams, mix, slabs, words
@@ -53,6 +58,9 @@ _FLIP = np.where(np.random.default_rng(7).random(DRAWN * 64) < 0.5, np.float32(-
 FREQUENT, TRACKED, MANY = 1000, 10_000, 10_000
 #: Members from which on a component is met in blocks; members of a block, nodes that meet one in a task, and bytes of either side's sets.
 LARGE, BLOCK, ASKING, SIDE_BYTES = 64, 256, 1024, 16 << 20
+#: Components from which on a bucket is a crowd; differing bits of fingerprints that are searched for, and nodes up to which such a key is paired out.
+CROWD, RING, PAIRED = 4, 4, 4096
+_WIDE = [f"wide{i}" for i in range(DRAWN)]
 
 
 def shingle_sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
@@ -125,10 +133,11 @@ def _nodes(shingle: int, sizes: list[int], bands: int):
                 sets = shingle_sets(texts, shingle)
                 total = np.stack([sums(s) for s in sets])
                 sieve = np.packbits(total[:, DRAWN * 64 :] > 0, axis=1).view(np.int64).ravel()
-                made = keys(rotated(total[:, : DRAWN * 64]), sizes, bands)
+                turned = rotated(total[:, : DRAWN * 64])
+                made, wide = keys(turned, sizes, bands), np.packbits(turned > 0, axis=1).view(np.int64)
                 listed = pa.ListArray.from_arrays(pa.array(np.arange(0, made.size + 1, bands), pa.int32()), pa.array(made.ravel()))
                 size = pa.array([len(s) for s in sets], pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _signed(sets), size, pa.array(sieve), listed], ["row", "node", "size", "sieve", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _signed(sets), size, pa.array(sieve), listed, *map(pa.array, wide.T)], ["row", "node", "size", "sieve", "keys", *_WIDE])
 
     return run
 
@@ -212,6 +221,12 @@ def _in_blocks(ways: DataFrame, label: DataFrame, sizes: DataFrame, sets_of, sim
     return found
 
 
+def _most(bits: int, similarity: float, deviations: int) -> int:
+    """Differing signs that a linked pair has at most, so many deviations above the mean."""
+    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(bits * differ + deviations * math.sqrt(bits * differ * (1 - differ)))
+
+
 def _possible(similarity: float, most: int):
     """Condition on (size, sieve) and (size2, sieve2)."""
     sizes = F.least("size", "size2") >= F.lit(similarity) * F.greatest("size", "size2") - 1e-6
@@ -234,11 +249,29 @@ def _buckets(put: DataFrame) -> DataFrame:
     return cold.unionByName(put.join(F.broadcast(groups), "key"))
 
 
+def _ring(nodes: DataFrame, n: int) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` whose fingerprints differ in RING bits at most.
+
+    Every node of a key meets one of them; where a key has over PAIRED nodes its other pairs are left to the keys of sums.
+    """
+    m = cuts(RING, n)
+    masks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(x).alias("mask")) for i, x in enumerate(key_masks(m, RING))])
+    put = nodes.select("node", "size", "sieve", F.explode(masks).alias("cut"))
+    put = put.select(F.xxhash64(F.col("cut.i"), F.col("sieve").bitwiseAND(F.col("cut.mask"))).alias("key"), "node", "size", "sieve")
+    met = stage(_buckets(put), "ring")
+    differ = F.col("sieve").bitwiseXOR(F.col("sieve2"))
+    near = (F.col("node") != F.col("node2")) & (F.bit_count(differ) <= RING) & within_budgets(differ, m, RING)
+    stars = met.select("node", "sieve", F.col("lead.node").alias("node2"), F.col("lead.sieve").alias("sieve2")).where(near)
+    few = met.where(F.col("n").between(3, PAIRED)).select("key", "node", "sieve")
+    pairs = few.join(few.select("key", F.col("node").alias("node2"), F.col("sieve").alias("sieve2")), "key").where(near & (F.col("node") < F.col("node2")))
+    return _pair(stars.select("node", "node2").unionByName(pairs.select("node", "node2")))
+
+
 def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float) -> DataFrame:
     """(row, keep): the row that stays of each row's group; ``rows`` has (row, id, text), written once."""
     spark, total_rows = rows.sparkSession, rows.count()
     sizes, bands = plan(total_rows, similarity, recall)
-    made = rows.select("row", "text").mapInArrow(_nodes(shingle, sizes, bands), "row long, node long, size int, sieve long, keys array<int>")
+    made = rows.select("row", "text").mapInArrow(_nodes(shingle, sizes, bands), "row long, node long, size int, sieve long, keys array<int>, " + ", ".join(f"{w} long" for w in _WIDE))
     made, made_path = stage_at(made, "shingled")
     firsts = made.select("row", "node").join(rows.select("row", "id"), "row")
     firsts = firsts.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -252,11 +285,12 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
     put = nodes.select("node", "size", "sieve", F.posexplode("keys").alias("band", "key"))
     put = put.withColumn("key", F.shiftleft(F.col("band").cast("long"), 32).bitwiseOR(F.col("key").cast("long"))).drop("band")
     shared, shared_path = stage_at(_buckets(put), "shared")
+    signs = stage(nodes.select("node", *_WIDE), "signs")
+    ring = _ring(nodes, distinct)
+    ring = stage(ring, "ringed")
     rows_of = stage(made.select("row", "node", "size"), "nodes")
     drop(spark, made_path)
-    # Four deviations above the mean of the 64 sieve bits at this similarity.
-    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    most = math.ceil(64 * differ + 4 * math.sqrt(64 * differ * (1 - differ)))
+    most = _most(64, similarity, 4)
     possible = _possible(similarity, most)
 
     def sets_of(wanted):
@@ -272,22 +306,29 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
         drop(spark, at_pairs, at_sets)
         return found
 
-    # All members of a bucket against one of them.
+    # All members of a bucket against one of them, and fingerprints that are near.
     stars = shared.select("node", "size", "sieve", F.col("lead.node").alias("node2"), F.col("lead.size").alias("size2"), F.col("lead.sieve").alias("sieve2"))
-    label = stage(components(confirmed(_pair(stars.where("node <> node2").where(possible)))), "label")
+    label = stage(components(confirmed(_pair(stars.where("node <> node2").where(possible)).union(ring).distinct())), "label")
 
     # What is left: pairs of nodes of one bucket in different components.
     open_ = shared.where("n > 2").select("key", "node", "size", "sieve")
     open_ = open_.join(label.withColumnRenamed("a", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_, open_path = stage_at(open_, "open")
     drop(spark, shared_path)
-    parts = open_.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"), F.min("size").alias("low"), F.max("size").alias("high"), F.min("sieve").alias("sieve"))
-    mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("key")
-    parts = stage(parts.join(mixed, "key", "left_semi"), "parts")
-    # Components whose sizes exclude any link do not meet, nor do single nodes whose sieves do.
-    near = (F.col("x.high") >= F.lit(similarity) * F.col("y.low") - 1e-6) & (F.col("y.high") >= F.lit(similarity) * F.col("x.low") - 1e-6)
-    near &= (F.col("x.members") > 1) | (F.col("y.members") > 1) | (F.bit_count(F.col("x.sieve").bitwiseXOR(F.col("y.sieve"))) <= most)
-    ways = parts.alias("x").join(parts.alias("y"), "key").where("x.component < y.component").where(near).select("key", F.col("x.component").alias("component"), F.col("y.component").alias("component2"))
+    parts = open_.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"), F.min("size").alias("low"), F.max("size").alias("high"), F.min("sieve").alias("sieve"), F.min("node").alias("node"))
+    mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    parts = stage(parts.join(mixed, "key"), "parts")
+
+    def meeting(parts, unlike):
+        # Components whose sizes exclude any link do not meet, nor do single nodes that are ``unlike`` each other.
+        near = (F.col("x.high") >= F.lit(similarity) * F.col("y.low") - 1e-6) & (F.col("y.high") >= F.lit(similarity) * F.col("x.low") - 1e-6)
+        near &= (F.col("x.members") > 1) | (F.col("y.members") > 1) | ~unlike
+        return parts.alias("x").join(parts.alias("y"), "key").where("x.component < y.component").where(near).select("key", F.col("x.component").alias("component"), F.col("y.component").alias("component2"))
+
+    bits = lambda *columns: sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in columns), F.lit(0))
+    unlike = bits("sieve") > most
+    crowd = stage(parts.where(F.col("parts") >= CROWD).join(signs, "node"), "crowd")
+    ways = meeting(parts.where(F.col("parts") < CROWD), unlike).unionByName(meeting(crowd, unlike | (bits(*_WIDE) > _most(64 * DRAWN, similarity, 5))))
     ways = stage(ways, "ways")
     # Components of one bucket after the other by their members in all; only the large ones need to be listed.
     large = label.groupBy("component").agg(F.count(F.lit(1)).alias("total")).where(F.col("total") >= LARGE)

@@ -94,3 +94,35 @@ def test_each_row_is_decided_once(spark):
     assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted([(7, text), (7, rows[3][1]), (0, rows[4][1]), (0, rows[6][1])])
     assert near_dedup.drop_similar(df.limit(0)).count() == 0
     assert got.where(F.col("doc_id").isNull()).count() == 2
+
+
+def test_fingerprints_up_to_four_bits_apart_are_found(spark):
+    """The search of the pigeonring finds every pair that all pairs have."""
+    rng, fps = random.Random(3), []
+    for _ in range(60):
+        base = rng.getrandbits(64)
+        fps += [base] + [base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 7))) for _ in range(4)]
+    want = {(i, j) for j in range(len(fps)) for i in range(j) if bin(fps[i] ^ fps[j]).count("1") <= 4}
+    nodes = spark.createDataFrame([(i, 9, x - (1 << 64) if x >> 63 else x) for i, x in enumerate(fps)], "node long, size int, sieve long")
+    assert len(want) > 100
+    for n in (300, 10**6):
+        assert {(r.a, r.b) for r in near_dedup._ring(nodes, n).collect()} == want
+
+
+def test_a_passage_in_common_does_not_pair_its_texts_out(spark, monkeypatch):
+    """Of 400 texts with the same 100 words of 170 none is near another; two pairs beside them are."""
+    rng, stage = random.Random(6), near_dedup.stage
+    own = lambda n: [str(rng.getrandbits(40)) for _ in range(n)]
+    passage = own(100)
+    texts = [passage + own(70) for _ in range(400)]
+    texts += [[*texts[7][:-1], "other"], [*texts[9][:-1], "other"]]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    made = []
+    monkeypatch.setattr(near_dedup, "stage", lambda d, name: made.append((name, out := stage(d, name), out.count())) or out)
+    counts = []
+    for crowd in (near_dedup.CROWD, 10**9):
+        monkeypatch.setattr(near_dedup, "CROWD", crowd)
+        assert {r.doc_id for r in near_dedup.drop_similar(df).collect()} == set(range(400))
+        counts.append([n for name, _, n in made if name == "ways"][-1])
+    # The fingerprint of 64 bits alone, as before, lets most rows through; buckets of two or three components have three at most.
+    assert 2 * counts[0] < counts[1], counts
