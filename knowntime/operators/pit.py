@@ -109,13 +109,13 @@ def panel_latest(panel: DataFrame, by: list[str], order: list[Column]) -> DataFr
 def as_ofs_within(spans: DataFrame, dates: DataFrame, start: str, end: str, bucket_days: int | None = None) -> DataFrame:
     """Each span [start, end) with every ``as_of`` of ``dates`` in it; a null end is open, a null start no span.
 
-    Both sides carry a bucket of the calendar, about eight dates wide, so the join is an equi-join and what a span is cut
-    into grows with its dates. Only the calendar's two ends are collected.
+    Both sides carry a bucket of the calendar, about one date wide, so the join is an equi-join, what a span is cut
+    into grows with its dates, and a short span meets one date or two. Only the calendar's two ends are collected.
     """
     first, last, n = dates.agg(F.min("as_of"), F.max("as_of"), F.count(F.lit(1))).first()
     if not n:
         return spans.join(dates.limit(0), F.lit(False)).select(*spans.columns, "as_of")
-    size = bucket_days or max(1, ((last - first).days + 1) * 8 // n)
+    size = bucket_days or max(1, ((last - first).days + 1) // n)
 
     def bucket(c):
         return F.floor(F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")) / size)

@@ -287,17 +287,18 @@ FROM days JOIN own ON start <= as_of AND ("end" IS NULL OR "end" > as_of) LEFT J
 
 
 def _calendar(spark, sf):
-    b, lines = bars(spark, sf), table(spark, sf, "lineitem")
+    # Prices and averages are read from one table of the bars.
+    b = bars(spark, sf, ("ticker",)).select("ticker", "event", "known", "close", "volume", sma(F.col("close"), "ticker", "event", 20).alias("sma_20"))
+    b, lines = stored(b), table(spark, sf, "lineitem")
 
     def told(flag, days):
         return lines.where(F.col("l_returnflag") == flag).select(F.col("l_suppkey").alias("ticker"), F.date_add(F.col("l_shipdate").cast("date"), days).alias("known"))
 
     begins = F.date_add(F.lit("1992-01-01").cast("date"), (F.col("s_suppkey") * 37 % 1500).cast("int"))
     members = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("ticker"), begins.alias("start"), F.when(F.col("s_suppkey") % 3 == 0, F.date_add(begins, 900)).alias("end"))
-    averages = b.select("ticker", "event", "known", sma(F.col("close"), "ticker", "event", 20).alias("sma_20"))
     numbered = pit.number_revisions(releases(spark, sf), ["code", "event"], ["known", "value"])
     dates = pit.calendar(spark, "1993-01-15", "1999-01-15", "2 MONTH")
-    return flat_calendar(dates, members, 90, b, averages, financials(spark, sf), numbered, {"insider": told("R", 2), "congress": told("A", 30)}, ["revenue"], ["sma_20"])
+    return flat_calendar(dates, members, 90, b.drop("sma_20"), b.select("ticker", "event", "known", "sma_20"), financials(spark, sf), numbered, {"insider": told("R", 2), "congress": told("A", 30)}, ["revenue"], ["sma_20"])
 
 
 def _named(flat):

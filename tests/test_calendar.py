@@ -77,3 +77,25 @@ def test_calendar_is_the_daily_loop(spark):
     nested = snapshot.nested_calendar(flat, 3)
     again = nested.select("as_of", F.explode("tickers").alias("ticker", "f")).select("as_of", "ticker", "f.*")
     assert rows(again.collect()) == rows(want) and nested.select("block").distinct().count() > 1
+
+
+def test_short_spans_meet_few_dates(spark):
+    dates = pit.calendar(spark, "1993-01-15", "1999-01-15", "2 MONTH")
+    own = spark.range(1000).selectExpr("id AS k", "TIMESTAMP_NTZ'1993-02-01' + make_dt_interval(cast(id * 2 AS int)) AS start")
+    cut = own.withColumn("end", F.col("start") + F.expr("INTERVAL 2 DAYS"))
+    met = pit.as_ofs_within(cut, dates, "start", "end")
+    # The buckets of spans and of dates: what the conditions look at, without them.
+    kept, where = [], type(met).where
+    try:
+        type(met).where = lambda self, *a: kept.append(self) or where(self, *a)
+        pit.as_ofs_within(cut, dates, "start", "end")
+    finally:
+        type(met).where = where
+    assert kept[-1].count() <= 2 * cut.count() and met.count() == 33
+
+
+def test_bars_of_the_calendar_are_computed_once(spark):
+    from knowntime.plans import pit_queries
+
+    made = pit_queries._calendar(spark, "/root/testdata/sf0.001")
+    assert "max_by" not in made._jdf.queryExecution().optimizedPlan().toString()
