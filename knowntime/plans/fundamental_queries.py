@@ -85,7 +85,8 @@ SELECT ticker, event, round(close, 8) AS close, cap AS market_cap, round(ev + 1e
   round(CASE WHEN flow / shares / close BETWEEN -0.5 AND 0.5 THEN flow / shares / close END, 6) AS fcf_yield, round(CASE WHEN ttm_dividends / close BETWEEN 0 AND 0.5 THEN ttm_dividends / close END, 6) AS dividend_yield FROM v""")
 def f1(spark, sf):
     """Both sides round a little above a tie, which sums in another order would hit from either side."""
-    v = X.valuations(stored(bars(spark, sf)), stored(financials(spark, sf)))
+    # Bars are dealt by ticker once; their windows and the join as of a time follow without a table between.
+    v = X.valuations(bars(spark, sf, ("ticker",)), stored(financials(spark, sf)))
     four = ("ttm_eps", "book_value_per_share", "revenue_per_share", "fcf_per_share", "revenue", "fcf", "ebitda", "pe_ttm", "pb", "ps")
     return v.select("ticker", "event", F.round("close", 8).alias("close"), "shares_outstanding", "market_cap", F.round(F.col("enterprise_value") + 1e-7, 4).alias("enterprise_value"), *[F.round(F.col(c) + 1e-7, 4).alias(c) for c in four], *[F.round(c, 6).alias(c) for c in ("ev_ebitda", "fcf_yield", "dividend_yield")])
 

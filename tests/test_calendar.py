@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from knowntime.operators import pit, snapshot
@@ -99,3 +100,10 @@ def test_bars_of_the_calendar_are_computed_once(spark):
 
     made = pit_queries._calendar(spark, "/root/testdata/sf0.001")
     assert "max_by" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bars_by_ticker_take_one_shuffle(spark):
+    from knowntime.plans.proxies import bars
+
+    b = bars(spark, "/root/testdata/sf0.001", ("ticker",)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("ticker")))
+    assert b._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
