@@ -12,14 +12,15 @@ of keys follows from it and from ``recall``. The signs of 64 further sums are a
 fingerprints up to RING bits apart are candidates too, searched as :mod:`.simhash` does, by keys of agreeing
 segments under the budgets of the pigeonring. Candidates link if the Jaccard similarity of their
 sets is at least ``similarity``; the fingerprints and the sizes of the sets rule most
-others out before.
+others out before; a SimHash test of a pair of candidates, like the keys, goes by chance, and ``recall`` says how near it comes to all pairs.
 
 Scale: in each bucket all members are compared with one of them, another one in every
 bucket that the same nodes share; only where a
 bucket still holds several components after that are its remaining pairs
 compared, of nodes in different components. A bucket of CROWD or more components, such as
-texts with a passage in common or copies too far apart to link, is compared by the signs of all turned sums first, of
-which a linked pair differs in more than are let through once in three million times. Where one of two components is large, its members
+texts with a passage in common or copies too far apart to link, is compared first by the parities of the numbers of hashes in 512 bins.
+Sets differ in at least as many hashes as parities, so no linked pair is lost by that. A key of fingerprints with over PAIRED nodes is a
+bucket like those of the sums. Where one of two components is large, its members
 are dealt into blocks and every node of the other meets each block in a task, which finds
 the links without a row for a pair. So a large group of near copies costs
 a few rows a member, and no pair of candidates is left out. Buckets meet in a window by
@@ -60,7 +61,9 @@ FREQUENT, TRACKED, MANY = 1000, 10_000, 10_000
 LARGE, BLOCK, ASKING, SIDE_BYTES = 64, 256, 1024, 16 << 20
 #: Components from which on a bucket is a crowd; differing bits of fingerprints that are searched for, and nodes up to which such a key is paired out.
 CROWD, RING, PAIRED = 4, 4, 4096
-_WIDE = [f"wide{i}" for i in range(DRAWN)]
+#: Bins of hashes whose parities tell sets of a crowd apart.
+BINS = 512
+_ODD = [f"odd{i}" for i in range(BINS // 64)]
 
 
 def shingle_sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
@@ -90,6 +93,12 @@ def rotated(total: np.ndarray) -> np.ndarray:
     return x
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """For each bin, whether an odd number of the hashes is in it, as words of 64 bits."""
+    counts = np.bincount((hashes % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+    return np.packbits((counts & 1).astype(bool)).view(np.int64)
+
+
 def agreement(size: int, similarity: float, trials: int = 4000) -> float:
     """How often two texts share the place and sign of the largest of ``size`` sums."""
     drawn, rho = np.random.default_rng(3), 2 * similarity / (1 + similarity)
@@ -134,10 +143,10 @@ def _nodes(shingle: int, sizes: list[int], bands: int):
                 total = np.stack([sums(s) for s in sets])
                 sieve = np.packbits(total[:, DRAWN * 64 :] > 0, axis=1).view(np.int64).ravel()
                 turned = rotated(total[:, : DRAWN * 64])
-                made, wide = keys(turned, sizes, bands), np.packbits(turned > 0, axis=1).view(np.int64)
+                made, odd = keys(turned, sizes, bands), np.stack([parities(s) for s in sets])
                 listed = pa.ListArray.from_arrays(pa.array(np.arange(0, made.size + 1, bands), pa.int32()), pa.array(made.ravel()))
                 size = pa.array([len(s) for s in sets], pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _signed(sets), size, pa.array(sieve), listed, *map(pa.array, wide.T)], ["row", "node", "size", "sieve", "keys", *_WIDE])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _signed(sets), size, pa.array(sieve), listed, *map(pa.array, odd.T)], ["row", "node", "size", "sieve", "keys", *_ODD])
 
     return run
 
@@ -249,16 +258,20 @@ def _buckets(put: DataFrame) -> DataFrame:
     return cold.unionByName(put.join(F.broadcast(groups), "key"))
 
 
-def _ring(nodes: DataFrame, n: int) -> DataFrame:
-    """Pairs (a, b) of ``nodes`` whose fingerprints differ in RING bits at most.
-
-    Every node of a key meets one of them; where a key has over PAIRED nodes its other pairs are left to the keys of sums.
-    """
-    m = cuts(RING, n)
-    masks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(x).alias("mask")) for i, x in enumerate(key_masks(m, RING))])
+def _ring_buckets(nodes: DataFrame, n: int) -> DataFrame:
+    """The buckets of the fingerprints' keys."""
+    masks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(x).alias("mask")) for i, x in enumerate(key_masks(cuts(RING, n), RING))])
     put = nodes.select("node", "size", "sieve", F.explode(masks).alias("cut"))
     put = put.select(F.xxhash64(F.col("cut.i"), F.col("sieve").bitwiseAND(F.col("cut.mask"))).alias("key"), "node", "size", "sieve")
-    met = stage(_buckets(put), "ring")
+    return stage(_buckets(put), "ring")
+
+
+def _ring(nodes: DataFrame, n: int, met: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` whose fingerprints differ in RING bits at most; ``met`` are their buckets, if they are written.
+
+    Every node of a key meets one of them; where a key has over PAIRED nodes its other pairs are not made here.
+    """
+    m, met = cuts(RING, n), _ring_buckets(nodes, n) if met is None else met
     differ = F.col("sieve").bitwiseXOR(F.col("sieve2"))
     near = (F.col("node") != F.col("node2")) & (F.bit_count(differ) <= RING) & within_budgets(differ, m, RING)
     stars = met.select("node", "sieve", F.col("lead.node").alias("node2"), F.col("lead.sieve").alias("sieve2")).where(near)
@@ -271,7 +284,7 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
     """(row, keep): the row that stays of each row's group; ``rows`` has (row, id, text), written once."""
     spark, total_rows = rows.sparkSession, rows.count()
     sizes, bands = plan(total_rows, similarity, recall)
-    made = rows.select("row", "text").mapInArrow(_nodes(shingle, sizes, bands), "row long, node long, size int, sieve long, keys array<int>, " + ", ".join(f"{w} long" for w in _WIDE))
+    made = rows.select("row", "text").mapInArrow(_nodes(shingle, sizes, bands), "row long, node long, size int, sieve long, keys array<int>, " + ", ".join(f"{w} long" for w in _ODD))
     made, made_path = stage_at(made, "shingled")
     firsts = made.select("row", "node").join(rows.select("row", "id"), "row")
     firsts = firsts.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -285,9 +298,9 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
     put = nodes.select("node", "size", "sieve", F.posexplode("keys").alias("band", "key"))
     put = put.withColumn("key", F.shiftleft(F.col("band").cast("long"), 32).bitwiseOR(F.col("key").cast("long"))).drop("band")
     shared, shared_path = stage_at(_buckets(put), "shared")
-    signs = stage(nodes.select("node", *_WIDE), "signs")
-    ring = _ring(nodes, distinct)
-    ring = stage(ring, "ringed")
+    odd = stage(nodes.select("node", *_ODD), "odd")
+    near = _ring_buckets(nodes, distinct)
+    ring = stage(_ring(nodes, distinct, near), "ringed")
     rows_of = stage(made.select("row", "node", "size"), "nodes")
     drop(spark, made_path)
     most = _most(64, similarity, 4)
@@ -311,7 +324,7 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
     label = stage(components(confirmed(_pair(stars.where("node <> node2").where(possible)).union(ring).distinct())), "label")
 
     # What is left: pairs of nodes of one bucket in different components.
-    open_ = shared.where("n > 2").select("key", "node", "size", "sieve")
+    open_ = shared.where("n > 2").unionByName(near.where(F.col("n") > PAIRED)).select("key", "node", "size", "sieve")
     open_ = open_.join(label.withColumnRenamed("a", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_, open_path = stage_at(open_, "open")
     drop(spark, shared_path)
@@ -327,8 +340,10 @@ def linked_rows(rows: DataFrame, similarity: float, shingle: int, recall: float)
 
     bits = lambda *columns: sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in columns), F.lit(0))
     unlike = bits("sieve") > most
-    crowd = stage(parts.where(F.col("parts") >= CROWD).join(signs, "node"), "crowd")
-    ways = meeting(parts.where(F.col("parts") < CROWD), unlike).unionByName(meeting(crowd, unlike | (bits(*_WIDE) > _most(64 * DRAWN, similarity, 5))))
+    crowd = stage(parts.where(F.col("parts") >= CROWD).join(odd, "node"), "crowd")
+    # A linked pair's sets differ in so many hashes at most.
+    apart = bits(*_ODD) > F.lit((1 - similarity) / (1 + similarity)) * (F.col("x.high") + F.col("y.high")) + 1e-6
+    ways = meeting(parts.where(F.col("parts") < CROWD), unlike).unionByName(meeting(crowd, unlike | apart))
     ways = stage(ways, "ways")
     # Components of one bucket after the other by their members in all; only the large ones need to be listed.
     large = label.groupBy("component").agg(F.count(F.lit(1)).alias("total")).where(F.col("total") >= LARGE)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,3 +127,35 @@ def test_a_passage_in_common_does_not_pair_its_texts_out(spark, monkeypatch):
         counts.append([n for name, _, n in made if name == "ways"][-1])
     # The fingerprint of 64 bits alone, as before, lets most rows through; buckets of two or three components have three at most.
     assert 2 * counts[0] < counts[1], counts
+
+
+def test_a_key_of_many_fingerprints_loses_no_pair(spark, monkeypatch):
+    """All fingerprints in one key, over the limit of those that are paired out: before, each met one other only."""
+    rng = random.Random(8)
+    texts = [[str(rng.getrandbits(40)) for _ in range(400)] for _ in range(40)]
+    texts += [[*t[:-1], "other"] for t in texts]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    # Nothing but the fingerprints finds pairs.
+    monkeypatch.setattr(near_dedup, "plan", lambda *_: ([1], 1))
+    monkeypatch.setattr(near_dedup, "keys", lambda total, *_: np.frombuffer(total[:, :1].astype(np.float32).tobytes(), np.int32).reshape(-1, 1))
+    monkeypatch.setattr(near_dedup, "key_masks", lambda *_: [0])
+    monkeypatch.setattr(near_dedup, "PAIRED", 8)
+    assert {r.doc_id for r in near_dedup.drop_similar(df).collect()} == set(range(40))
+
+
+def test_parities_exclude_no_linked_pair():
+    rng = np.random.default_rng(5)
+    bits = lambda x, y: int(np.unpackbits((near_dedup.parities(x) ^ near_dedup.parities(y)).view(np.uint8)).sum())
+    most = lambda x, y: (len(x) + len(y)) / 9
+    for n in [*range(4, 40), 300, 3000]:
+        x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        cut = n // 5
+        other = np.unique(rng.integers(0, 1 << 63, cut // 2).astype(np.uint64))
+        for y in (x[cut:], np.concatenate([x[cut // 2 + (cut - cut // 2) // 2 :], other[: cut // 4]])):
+            both = len(np.intersect1d(x, y))
+            if both / (len(x) + len(y) - both) >= 0.8:
+                assert bits(x, y) <= most(x, y)
+        assert bits(x, x) == 0
+    x, y = (rng.integers(0, 1 << 63, 300).astype(np.uint64) for _ in range(2))
+    y[:200] = x[:200]
+    assert bits(x, y) > most(x, y)
