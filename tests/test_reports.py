@@ -104,3 +104,23 @@ def test_totals_of_quarters_need_no_window(spark):
     assert not windows
     sums = history.where("change <> 'closed'").groupBy("manager", "period").agg(F.sum("weight").alias("w")).collect()
     assert len(sums) == 6 and all(abs(r.w - 1) < 1e-9 for r in sums)
+
+
+def test_blocks_of_tickers_are_shuffled_once(spark, monkeypatch):
+    """Before, a ticker's rows were written once for each block of tickers, so the shuffle grew with their square."""
+    monkeypatch.setattr(bars, "BLOCK_BYTES", 1200, raising=False)
+    rng = np.random.default_rng(2)
+    x, seen = rng.normal(size=(12, 40)), rng.random((12, 40)) < 0.7
+    seen[11, :] = False
+    rows = [(100 - i, D(2020, 1, 1) + dt.timedelta(days=t), float(x[i, t]) if seen[i, t] else None) for i in range(12) for t in range(40)]
+    df = spark.createDataFrame([*rows, (None, D(2020, 1, 1), 1.0), (7, None, 1.0)], "ticker long, event date, ret double")
+    made = bars.correlation_matrix(df, block_size=2, span_days=16)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "CartesianProduct" in plan
+    got = {(r.a, r.b): (r.corr, r.n) for r in made.collect()}
+    for i in range(11):
+        for j in range(i + 1):
+            both = seen[i] & seen[j]
+            corr, n = got.pop((100 - i, 100 - j))
+            assert n == both.sum() and abs(corr - np.corrcoef(x[i, both], x[j, both])[0, 1]) < 1e-9
+    assert not got and bars.correlation_matrix(df.limit(0)).count() == 0
