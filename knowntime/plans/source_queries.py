@@ -163,7 +163,8 @@ def f5(spark, sf):
     return e.withColumn("eps", F.round("eps", 4))
 
 
-#: A file of XML is read by one task, so filings land in files of so many rows, about 40 MB, however large the table is.
+#: A file of XML is read by one task, so filings land in files of so many rows, about 40 MB of XML, however large the table is. XML repeats
+#: its tags in every row, so files land compressed.
 ROWS_OF_A_FILING = 100_000
 
 
@@ -175,7 +176,7 @@ def a12(spark, sf):
         F.concat(F.lit("Issuer & Co "), "l_suppkey").alias("nameOfIssuer"), F.when(F.col("l_suppkey") % 9 == 0, " ").otherwise(F.concat(F.lit("C"), "l_suppkey")).alias("cusip"),
         F.format_number("l_partkey", 0).alias("value"), F.struct(F.col("l_quantity").cast("int").cast("string").alias("sshPrnamt"), F.lit("SH").alias("sshPrnamtType")).alias("shrsOrPrnAmt"),
         F.lit("SOLE").alias("investmentDiscretion"), F.struct(F.when(F.col("l_returnflag") == "R", "1").otherwise("0").alias("Sole"), F.lit("0").alias("Shared"), F.lit("0").alias("None")).alias("votingAuthority"))
-    rows.write.format("xml").option("rowTag", "infoTable").option("rootTag", "informationTable").option("maxRecordsPerFile", ROWS_OF_A_FILING).save(f"{root}/xml")
+    rows.write.format("xml").option("rowTag", "infoTable").option("rootTag", "informationTable").option("maxRecordsPerFile", ROWS_OF_A_FILING).option("compression", "gzip").save(f"{root}/xml")
     parsed = parsers.parse_infotable(spark, f"{root}/xml")
     return parsed.groupBy("cusip").agg(F.sum("value_raw").alias("value_raw"), F.sum("shares").alias("shares"), F.sum("voting_sole").alias("voting"))
 
